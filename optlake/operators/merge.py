@@ -146,13 +146,15 @@ def change_labels(
     last_q = [c for c in compare if c != raw]
     aggs = [
         F.max(F.col(_HELD).cast("int")).alias("__was_held"),
+        F.min(F.col(_HELD).cast("int")).alias("__untouched"),
         F.max_by(F.struct(*compare), F.when(F.col(_HELD), F.col(_ORDER))).alias("__before"),
         F.max_by(F.struct(*last_q), F.col(_ORDER)).alias("__after"),
     ]
     if raw in compare:
         aggs.append(F.max_by(F.col(raw), F.when(F.col(raw).isNotNull(), F.col(_ORDER))).alias("__after_raw"))
-    g = rows.groupBy(*key).agg(*aggs)
-    same = [F.col(f"__before.{c}").eqNullSafe(F.col(f"__after.{c}")) for c in last_q]
+    # keys the staged rows do not touch are not part of this upsert
+    g = rows.groupBy(*key).agg(*aggs).where(F.col("__untouched") == 0)
+    same =[F.col(f"__before.{c}").eqNullSafe(F.col(f"__after.{c}")) for c in last_q]
     if raw in compare:
         same.append(F.col(f"__before.{raw}").eqNullSafe(F.col("__after_raw")))
     all_same = reduce(lambda a, b: a & b, same) if same else F.lit(True)

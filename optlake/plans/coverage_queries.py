@@ -1 +1,101 @@
-"""Driver queries (filled in as operators land)."""
+"""Driver queries: coverage status, gaps, request signatures, slice plan and todo."""
+
+from __future__ import annotations
+
+import datetime as _dt
+
+from pyspark.sql import functions as F
+
+from optlake.operators.coverage import coverage_status, gaps, held_slices, plan_slices, signatures, slices_todo
+from optlake.plans import fixtures as fx
+from optlake.plans.common import chain, held_eod
+from optlake.plans.registry import query
+
+TOLERANCE_DAYS = 15
+
+
+@query("coverage_status", ["requests_like", "held_eod"], """
+, span as (select contract, min(tradetime) as first_date, max(tradetime) as last_date from held_eod group by contract)
+select r.request_id, r.contract, r.start_date, r.end_date, s.first_date, s.last_date,
+       case when s.contract is null then 'miss'
+            when s.first_date <= r.start_date + 15 and s.last_date >= r.end_date - 15 then 'hit'
+            else 'partial' end as status
+from requests_like r left join span s on s.contract = r.contract
+""")
+def q_coverage_status(spark, sf_dir):
+    """C1+C2: hit / partial / miss for every request at once."""
+    req = fx.requests_like(spark, sf_dir).select("request_id", "contract", "start_date", "end_date")
+    return coverage_status(req, held_eod(spark, sf_dir), ["contract"], tolerance=TOLERANCE_DAYS).select(
+        "request_id", "contract", "start_date", "end_date", "first_date", "last_date", "status")
+
+
+@query("coverage_gaps", ["requests_like", "held_eod"], """
+, cal as (select distinct tradetime as day from held_eod)
+select r.request_id, r.contract, c.day as missing_day
+from requests_like r join cal c on c.day >= r.start_date and c.day <= r.end_date
+where not exists (select 1 from held_eod h where h.contract = r.contract and h.tradetime = c.day)
+""")
+def q_coverage_gaps(spark, sf_dir):
+    """Exact missing (request, trade day) pairs against the held calendar."""
+    req = fx.requests_like(spark, sf_dir).select("request_id", "contract", "start_date", "end_date")
+    return gaps(req, held_eod(spark, sf_dir), ["contract"]).select("request_id", "contract", "missing_day")
+
+
+@query("request_signature", ["requests_like"], """
+, s as (select request_id, sha1(concat('{"endpoint":"eod","params":{"filter[contract]":"', contract, '"',
+             case when option_type is null then '' else concat(',"filter[type]":"', option_type, '"') end,
+             '}}')) as signature from requests_like)
+select request_id, signature, concat('opt_eod_', substr(signature, 1, 24)) as slice_name from s
+""")
+def q_request_signature(spark, sf_dir):
+    """C4: canonical request signature; date filters and paging left out."""
+    req = fx.requests_like(spark, sf_dir)
+    params = {
+        "filter[contract]": F.col("contract"),
+        "filter[type]": F.col("option_type"),
+        "filter[tradetime_from]": F.col("start_date").cast("string"),
+        "filter[tradetime_to]": F.col("end_date").cast("string"),
+        "page[limit]": F.lit(1000),
+    }
+    return signatures(req, "eod", params).select("request_id", "signature", "slice_name")
+
+
+PLAN_FROM = _dt.date(1995, 1, 1)
+PLAN_TO = _dt.date(1996, 12, 1)
+
+_PLAN_SQL = """
+, dims as (select underlying_symbol, exp_date,
+                  cast(floor(min(strike) / 25) as bigint) * 25 as lo, cast(floor(max(strike) / 25) as bigint) * 25 as hi
+           from contracts_like group by underlying_symbol, exp_date),
+plan as (
+  select d.underlying_symbol, cast(m.trade_date as date) as trade_date, d.exp_date, t.option_type,
+         cast(b.band as double) as strike_from, cast(b.band + 25 as double) as strike_to
+  from dims d
+  cross join (select unnest(generate_series(date '1995-01-01', date '1996-12-01', interval 1 month)) as trade_date) m
+  cross join (select unnest(['put', 'call']) as option_type) t
+  join lateral (select unnest(generate_series(d.lo, d.hi, 25)) as band) b on true)
+"""
+
+
+def _plan(spark, sf_dir):
+    return plan_slices(fx.contracts_like(spark, sf_dir), PLAN_FROM, PLAN_TO)
+
+
+@query("slice_plan", ["contracts_like"], _PLAN_SQL + """
+select * from plan
+""")
+def q_slice_plan(spark, sf_dir):
+    """Symbols x trade months x expiries x types x strike bands."""
+    return _plan(spark, sf_dir)
+
+
+@query("slice_todo", ["contracts_like", "chain"], _PLAN_SQL + """
+, held as (select distinct underlying_symbol, tradetime as trade_date, exp_date, option_type,
+                  cast(floor(strike / 25) * 25 as double) as strike_from from chain)
+select p.* from plan p
+where not exists (select 1 from held h where h.underlying_symbol = p.underlying_symbol and h.trade_date = p.trade_date
+                  and h.exp_date = p.exp_date and h.option_type = p.option_type and h.strike_from = p.strike_from)
+""")
+def q_slice_todo(spark, sf_dir):
+    """Planned slices that have no held rows yet (resume)."""
+    return slices_todo(_plan(spark, sf_dir), held_slices(chain(spark, sf_dir)))

@@ -1 +1,145 @@
-"""Driver queries (filled in as operators land)."""
+"""Driver queries: keep-last, merge by name, EOD upsert, change labels,
+contract and symbol refreshes."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from optlake.operators.merge import change_labels, contracts_seen, keep_last, merge_keep_last, symbol_universe, upsert_eod
+from optlake.plans import fixtures as fx
+from optlake.plans.registry import query
+
+
+@query("keep_last", ["held_eod"], """
+select contract, tradetime, bid, ask, volatility, delta, raw_json from held_eod
+""")
+def q_keep_last(spark, sf_dir):
+    """One row per (contract, tradetime), the highest seq wins."""
+    raw = fx.eod_raw_like(spark, sf_dir).select("contract", "tradetime", "bid", "ask", "volatility", "delta", "raw_json", "seq")
+    return keep_last(raw, ["contract", "tradetime"])
+
+
+@query("merge_by_name", ["eod_raw_like"], """
+, u as (
+  select contract, tradetime, bid, ask, volatility, cast(null as varchar) as raw_json, cast(null as double) as delta,
+         0 as side, seq
+  from eod_raw_like where load_side = 'O'
+  union all
+  select contract, tradetime, bid, cast(null as double) as ask, cast(null as double) as volatility, raw_json, delta,
+         1 as side, seq
+  from eod_raw_like where load_side = 'F')
+select contract, tradetime, bid, ask, volatility, raw_json, delta from (
+  select *, row_number() over (partition by contract, tradetime order by side desc, seq desc) as rn from u) x
+where rn = 1
+""")
+def q_merge_by_name(spark, sf_dir):
+    """U1+U2: held and fresh rows with different column sets, aligned by name."""
+    raw = fx.eod_raw_like(spark, sf_dir)
+    held = raw.where(F.col("load_side") == "O").select("contract", "tradetime", "bid", "ask", "volatility", "seq")
+    fresh = raw.where(F.col("load_side") == "F").select("seq", "raw_json", "delta", "tradetime", "contract", "bid")
+    return merge_keep_last(held, fresh, ["contract", "tradetime"]).select(
+        "contract", "tradetime", "bid", "ask", "volatility", "raw_json", "delta")
+
+
+def _eod_rows(spark, sf_dir):
+    """Quote rows with their contract identity, as an ingest would stage them."""
+    c = fx.contracts_like(spark, sf_dir).select("contract", "underlying_symbol", "exp_date", "option_type", "strike")
+    r = fx.eod_raw_like(spark, sf_dir).select(
+        "contract", "tradetime", "bid", "ask", "volatility", "delta", "fetched_at", "raw_json", "src_id", "volume",
+        "load_side", "seq")
+    return r.join(c, "contract")
+
+
+UPSERT_OUT = ["contract", "tradetime", "underlying_symbol", "exp_date", "option_type", "strike", "src_id", "volume",
+              "bid", "ask", "volatility", "delta", "fetched_at", "raw_json"]
+
+_EOD_ROWS_SQL = """
+, rows_ as (select r.*, c.underlying_symbol, c.exp_date, c.option_type, c.strike
+            from eod_raw_like r join contracts_like c on c.contract = r.contract)
+"""
+
+
+@query("upsert_eod", ["eod_raw_like", "contracts_like"], _EOD_ROWS_SQL + """
+, f as (select contract, tradetime, underlying_symbol, exp_date, option_type, strike, src_id, volume from (
+          select *, row_number() over (partition by contract, tradetime order by seq) as rn from rows_) x where rn = 1),
+l as (select contract, tradetime, bid, ask, volatility, delta, fetched_at from (
+          select *, row_number() over (partition by contract, tradetime order by seq desc) as rn from rows_) x where rn = 1),
+j as (select contract, tradetime, raw_json from (
+          select *, row_number() over (partition by contract, tradetime order by seq desc) as rn
+          from rows_ where raw_json is not null) x where rn = 1)
+select f.contract, f.tradetime, f.underlying_symbol, f.exp_date, f.option_type, f.strike, f.src_id, f.volume,
+       l.bid, l.ask, l.volatility, l.delta, l.fetched_at, j.raw_json
+from f join l on l.contract = f.contract and l.tradetime = f.tradetime
+left join j on j.contract = f.contract and j.tradetime = f.tradetime
+""")
+def q_upsert_eod(spark, sf_dir):
+    """Held rows ('O') + staged rows ('F'): identity and unwritten columns
+    from the first row, quotes from the last (NULLs overwrite), raw_json the
+    last non-NULL."""
+    rows = _eod_rows(spark, sf_dir)
+    held = rows.where(F.col("load_side") == "O").drop("load_side")
+    staged = rows.where(F.col("load_side") == "F").drop("load_side")
+    return upsert_eod(held, staged, seq="seq").select(*UPSERT_OUT)
+
+
+@query("upsert_changes", ["eod_raw_like", "contracts_like"], _EOD_ROWS_SQL + """
+, b as (select contract, tradetime, bid, ask, volatility, delta from (
+          select *, row_number() over (partition by contract, tradetime order by seq desc) as rn
+          from rows_ where load_side = 'O') x where rn = 1),
+braw as (select contract, tradetime, raw_json from (
+          select *, row_number() over (partition by contract, tradetime order by seq desc) as rn
+          from rows_ where load_side = 'O' and raw_json is not null) x where rn = 1),
+a as (select contract, tradetime, bid, ask, volatility, delta from (
+          select *, row_number() over (partition by contract, tradetime order by seq desc) as rn from rows_) x where rn = 1),
+araw as (select contract, tradetime, raw_json from (
+          select *, row_number() over (partition by contract, tradetime order by seq desc) as rn
+          from rows_ where raw_json is not null) x where rn = 1),
+touched as (select distinct contract, tradetime from rows_ where load_side = 'F'),
+held_keys as (select distinct contract, tradetime from rows_ where load_side = 'O')
+select t.contract, t.tradetime,
+       case when hk.contract is null then 'inserted'
+            when b.bid is not distinct from a.bid and b.ask is not distinct from a.ask
+             and b.volatility is not distinct from a.volatility and b.delta is not distinct from a.delta
+             and braw.raw_json is not distinct from araw.raw_json then 'unchanged'
+            else 'updated' end as change
+from touched t
+left join held_keys hk on hk.contract = t.contract and hk.tradetime = t.tradetime
+left join b on b.contract = t.contract and b.tradetime = t.tradetime
+left join braw on braw.contract = t.contract and braw.tradetime = t.tradetime
+left join a on a.contract = t.contract and a.tradetime = t.tradetime
+left join araw on araw.contract = t.contract and araw.tradetime = t.tradetime
+""")
+def q_upsert_changes(spark, sf_dir):
+    """Inserted / updated / unchanged per key touched by the staged rows."""
+    rows = _eod_rows(spark, sf_dir)
+    held = upsert_eod(None, rows.where(F.col("load_side") == "O").drop("load_side"), seq="seq")
+    staged = rows.where(F.col("load_side") == "F").drop("load_side")
+    return change_labels(held.drop("fetched_at"), staged.drop("fetched_at"), seq="seq")
+
+
+@query("contracts_seen", ["eod_raw_like", "contracts_like"], _EOD_ROWS_SQL + """
+, seen as (select contract, min(tradetime) as first_seen_at, max(tradetime) as last_seen_at from rows_ group by contract),
+ident as (select contract, underlying_symbol, exp_date, option_type, strike from (
+          select *, row_number() over (partition by contract order by tradetime desc, seq desc) as rn from rows_) x
+          where rn = 1),
+raw as (select contract, raw_json from (
+          select *, row_number() over (partition by contract order by tradetime desc, seq desc) as rn
+          from rows_ where raw_json is not null) x where rn = 1)
+select s.contract, i.underlying_symbol, i.exp_date, i.option_type, i.strike, s.first_seen_at, s.last_seen_at, r.raw_json
+from seen s join ident i on i.contract = s.contract left join raw r on r.contract = s.contract
+""")
+def q_contracts_seen(spark, sf_dir):
+    """Contracts refresh from end-of-day sightings."""
+    obs = _eod_rows(spark, sf_dir).select(
+        "contract", "underlying_symbol", "exp_date", "option_type", "strike", "raw_json",
+        F.col("tradetime").alias("seen_at"), F.struct("tradetime", "seq").alias("seq"))
+    return contracts_seen(obs, seen="seen_at", seq="seq")
+
+
+@query("symbol_universe", ["eod_raw_like", "contracts_like"], _EOD_ROWS_SQL + """
+select underlying_symbol, min(fetched_at) as first_fetched_at, max(fetched_at) as fetched_at
+from rows_ group by underlying_symbol
+""")
+def q_symbol_universe(spark, sf_dir):
+    """Underlying symbols with first and latest fetch time."""
+    return symbol_universe(_eod_rows(spark, sf_dir).select("underlying_symbol", "fetched_at"))

@@ -93,6 +93,8 @@ def with_views(names: list[str], body: str) -> str:
 
     for n in names:
         add(n)
+    if not order:
+        return body.strip()
     ctes = ",\n".join(f"{n} as ({VIEWS[n].strip()})" for n in order)
     return f"with {ctes}\n{body.strip()}"
 

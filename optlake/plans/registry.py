@@ -40,6 +40,7 @@ def load_all() -> None:
     """Import every query module so its registrations run."""
     from optlake.plans import (  # noqa: F401
         coverage_queries,
+        filter_queries,
         ingest_queries,
         merge_queries,
         ops_queries,
