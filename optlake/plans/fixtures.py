@@ -35,9 +35,11 @@ def contract_code(key_col) -> F.Column:
     return F.concat(F.lit("O:"), F.lpad(key_col.cast("string"), 8, "0"))
 
 
-def contracts_like(spark: SparkSession, sf_dir: str) -> DataFrame:
+def contracts_like(spark: SparkSession, sf_dir: str, with_part_key: bool = False) -> DataFrame:
     p = table(spark, sf_dir, "part")
+    extra = [F.col("p_partkey")] if with_part_key else []
     return p.select(
+        *extra,
         contract_code(F.col("p_partkey")).alias("contract"),
         F.col("p_type").alias("underlying_symbol"),
         F.make_date(F.lit(2002), F.lit(1) + (F.col("p_size") % 4) * 3, F.lit(18)).alias("exp_date"),
@@ -51,8 +53,9 @@ def eod_raw_like(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unmerged quote rows.  ``load_side`` 'O' = already held, 'F' = fresh.
 
     ``seq`` orders the rows of one key: held rows first, then by ship date and
-    line id.  It is a struct (compared field by field), unique per row, so no
-    ranking window is needed to build it.
+    line id.  It is a struct (compared field by field), unique within a key, so
+    no ranking window is needed to build it.  ``src_id`` is the source line id
+    (order x 8 + line number); it is not unique in the driver's data.
     """
     li = table(spark, sf_dir, "lineitem")
     return li.select(
@@ -73,6 +76,7 @@ def eod_raw_like(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("l_shipdate").alias("shipdate"),
             F.col("l_orderkey").alias("orderkey"),
             F.col("l_linenumber").alias("line"),
+            F.col("l_suppkey").alias("supp"),
         ).alias("seq"),
         F.col("l_partkey").alias("part_key"),
     )

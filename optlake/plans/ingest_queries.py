@@ -1 +1,80 @@
-"""Driver queries (filled in as operators land)."""
+"""Driver queries: landed pages -> records -> typed rows (the oracle is the
+flat table the pages were built from)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from optlake.operators.normalize import normalize_bars, normalize_contracts, normalize_eod, normalize_symbols
+from optlake.plans import landing
+from optlake.plans.registry import query
+from optlake.sources.pages import page_records, parse_pages
+
+
+def _records(pages):
+    return page_records(parse_pages(pages.drop("shape")))
+
+
+@query("explode_pages", [], """
+with x as (select concat('O:', lpad(cast(p_partkey as varchar), 8, '0')) as contract, p_partkey, p_partkey % 3 as shape,
+               case when p_partkey % 3 = 1 then concat('c1-', p_partkey)
+                    else concat('c', p_partkey % 3, '-', p_partkey // 300) end as page_id
+        from part)
+select page_id, cast(row_number() over (partition by page_id order by p_partkey) - 1 as integer) as pos,
+       case shape when 0 then 'results' when 1 then 'result' else 'data' end as kind, contract
+from x
+""")
+def q_explode_pages(spark, sf_dir):
+    """Records of every page ('results' list / single object / legacy 'data')."""
+    recs = _records(landing.contract_pages(spark, sf_dir))
+    return normalize_contracts(recs, keep=["page_id", "pos", "kind"]).select("page_id", "pos", "kind", "contract")
+
+
+@query("normalize_contracts", ["contracts_like"], """
+select contract, underlying_symbol, exp_date, option_type, strike, exchange from contracts_like
+""")
+def q_normalize_contracts(spark, sf_dir):
+    """N1+N4: flat and legacy contract records -> contract rows."""
+    recs = _records(landing.contract_pages(spark, sf_dir))
+    return normalize_contracts(recs).select("contract", "underlying_symbol", "exp_date", "option_type", "strike", "exchange")
+
+
+@query("normalize_chain", ["eod_raw_like", "contracts_like"], """
+select e.contract, cast(e.tradetime as timestamp) as tradetime, c.underlying_symbol, c.exp_date, c.option_type,
+       c.strike, e.bid, e.ask, e.volatility, e.delta, e.volume, e.fetched_at as bid_date
+from eod_raw_like e join contracts_like c on c.contract = e.contract
+""")
+def q_normalize_chain(spark, sf_dir):
+    """N2+N4+N7: chain snapshot and legacy records -> end-of-day rows."""
+    recs = _records(landing.chain_pages(spark, sf_dir))
+    rows = normalize_eod(recs, columns=["contract", "tradetime", "underlying_symbol", "exp_date", "option_type",
+                                        "strike", "bid", "ask", "volatility", "delta", "volume", "bid_date"])
+    return rows.select(
+        "contract", F.col("tradetime").cast("timestamp_ntz").alias("tradetime"), "underlying_symbol", "exp_date",
+        "option_type", "strike", "bid", "ask", "volatility", "delta", "volume",
+        F.col("bid_date").cast("timestamp_ntz").alias("bid_date"))
+
+
+@query("normalize_bars", ["ticks_like"], """
+select case when event_id % 7 = 0 then concat('X:', contract) else contract end as contract,
+       make_timestamp((epoch_us(t) // 1000) * 1000) as tradetime, price as open, price as high, price as low, price as last,
+       cast(size as double) as volume, price as vwap
+from ticks_like
+""")
+def q_normalize_bars(spark, sf_dir):
+    """N3+S2: bar records; the page ticker stamps records without one."""
+    recs = _records(landing.bar_pages(spark, sf_dir))
+    rows = normalize_bars(recs)
+    return rows.select("contract", F.col("tradetime").cast("timestamp_ntz").alias("tradetime"),
+                       "open", "high", "low", "last", "volume", "vwap")
+
+
+@query("normalize_symbols", [], """
+select p_brand as underlying_symbol, case when p_partkey % 2 = 1 then 'stocks' end as market,
+       case when p_partkey % 2 = 1 then p_size % 2 = 0 end as active
+from part
+""")
+def q_normalize_symbols(spark, sf_dir):
+    """Bare symbol strings (legacy list) and ticker objects."""
+    recs = _records(landing.symbol_pages(spark, sf_dir))
+    return normalize_symbols(recs).select("underlying_symbol", "market", "active")

@@ -24,7 +24,7 @@ select concat('O:', lpad(cast(l_partkey as varchar), 8, '0')) as contract,
        l_linestatus as load_side, l_quantity as volume, l_quantity - l_linenumber as open_interest,
        l_shipdate as fetched_at, l_orderkey * 8 + l_linenumber as src_id,
        row_number() over (partition by l_partkey, date_trunc('month', l_shipdate)
-                          order by l_linestatus desc, l_shipdate, l_orderkey, l_linenumber) as seq
+                          order by l_linestatus desc, l_shipdate, l_orderkey, l_linenumber, l_suppkey) as seq
 from lineitem""",
     "ticks_like": """
 select event_type as contract, ts as t, value as price, 1 + event_id % 9 as size, event_id from events""",
