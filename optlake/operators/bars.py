@@ -32,7 +32,9 @@ def ticks_to_bars(ticks: DataFrame, bar_width: str, key: str = "contract", ts: s
     """A3: bars of ``bar_width`` ('15 minutes', '1 hour', '1 day') per contract."""
     order = F.struct(F.col(ts), F.col(tie))
     notional = F.col(price).cast("decimal(18,4)") * F.col(size)
-    g = ticks.groupBy(F.col(key).alias("contract"), F.window(F.col(ts), bar_width).start.alias("tradetime")).agg(
+    # grouping by the window struct (not its start) keeps the event-time
+    # column visible to a streaming watermark
+    g = ticks.groupBy(F.col(key).alias("contract"), F.window(F.col(ts), bar_width).alias("__w")).agg(
         F.min_by(F.col(price), order).alias("open"),
         F.max(F.col(price)).alias("high"),
         F.min(F.col(price)).alias("low"),
@@ -42,7 +44,7 @@ def ticks_to_bars(ticks: DataFrame, bar_width: str, key: str = "contract", ts: s
         F.count(F.lit(1)).alias("trades"),
     )
     return g.select(
-        "contract", "tradetime", "open", "high", "low", "last",
+        "contract", F.col("__w.start").alias("tradetime"), "open", "high", "low", "last",
         F.col("__vol").cast("double").alias("volume"),
         (F.col("notional").cast("double") / F.col("__vol").cast("double")).alias("vwap"),
         "notional", "trades")

@@ -31,11 +31,11 @@ def quota_per_minute(log: DataFrame, ts: str = "created_at",
                      vendor_limit: int = VENDOR_REQUESTS_PER_MINUTE) -> DataFrame:
     """L1: requests, call units and rows per minute, flagged against the
     configured rate and the vendor limit."""
-    g = log.groupBy(F.window(F.col(ts), "1 minute").start.alias("minute")).agg(
+    g = log.groupBy(F.window(F.col(ts), "1 minute").alias("__w")).agg(
         F.count(F.lit(1)).alias("requests"),
         F.sum("row_count").cast("long").alias("rows"))
     return g.select(
-        "minute", "requests", (F.col("requests") * CALL_UNITS_PER_REQUEST).alias("units"), "rows",
+        F.col("__w.start").alias("minute"), "requests", (F.col("requests") * CALL_UNITS_PER_REQUEST).alias("units"), "rows",
         (F.col("requests") > rate_limit).alias("over_rate"),
         (F.col("requests") > vendor_limit).alias("over_vendor_limit"))
 

@@ -30,6 +30,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def table_stream(spark: SparkSession, sf_dir: str, name: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """The same table as a file stream (a glob, since a stream source must
+    name a folder or a pattern, not a single file)."""
+    r = spark.readStream.schema(table(spark, sf_dir, name).schema)
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    return r.parquet(f"{sf_dir.rstrip('/')}/{name[:-1]}[{name[-1]}].parquet")
+
+
 def contract_code(key_col) -> F.Column:
     """'O:' + 8-digit zero-padded number."""
     return F.concat(F.lit("O:"), F.lpad(key_col.cast("string"), 8, "0"))
@@ -49,7 +58,7 @@ def contracts_like(spark: SparkSession, sf_dir: str, with_part_key: bool = False
     )
 
 
-def eod_raw_like(spark: SparkSession, sf_dir: str) -> DataFrame:
+def eod_raw_like(spark: SparkSession, sf_dir: str, src: DataFrame | None = None) -> DataFrame:
     """Unmerged quote rows.  ``load_side`` 'O' = already held, 'F' = fresh.
 
     ``seq`` orders the rows of one key: held rows first, then by ship date and
@@ -57,7 +66,7 @@ def eod_raw_like(spark: SparkSession, sf_dir: str) -> DataFrame:
     no ranking window is needed to build it.  ``src_id`` is the source line id
     (order x 8 + line number); it is not unique in the driver's data.
     """
-    li = table(spark, sf_dir, "lineitem")
+    li = src if src is not None else table(spark, sf_dir, "lineitem")
     return li.select(
         contract_code(F.col("l_partkey")).alias("contract"),
         F.trunc(F.col("l_shipdate"), "month").alias("tradetime"),
@@ -82,8 +91,8 @@ def eod_raw_like(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def ticks_like(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events")
+def ticks_like(spark: SparkSession, sf_dir: str, src: DataFrame | None = None) -> DataFrame:
+    e = src if src is not None else table(spark, sf_dir, "events")
     return e.select(
         F.col("event_type").alias("contract"),
         F.col("ts").alias("t"),
@@ -114,8 +123,8 @@ def tasks_like(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def task_events_like(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events")
+def task_events_like(spark: SparkSession, sf_dir: str, src: DataFrame | None = None) -> DataFrame:
+    e = src if src is not None else table(spark, sf_dir, "events")
     return e.select(
         F.col("event_id").alias("seq"),
         F.floor(F.col("event_id") / 3).cast("bigint").alias("task_id"),
@@ -130,8 +139,8 @@ def task_events_like(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def request_log_like(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events")
+def request_log_like(spark: SparkSession, sf_dir: str, src: DataFrame | None = None) -> DataFrame:
+    e = src if src is not None else table(spark, sf_dir, "events")
     return e.select(
         F.col("event_id").alias("request_id"),
         F.col("ts").alias("created_at"),
