@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from optlake.operators.normalize import normalize_bars, normalize_contracts, normalize_eod, normalize_symbols
+from optlake.plans import fixtures as fx
 from optlake.plans import landing
 from optlake.plans.registry import query
 from optlake.sources.pages import page_records, parse_pages
@@ -78,3 +79,28 @@ def q_normalize_symbols(spark, sf_dir):
     """Bare symbol strings (legacy list) and ticker objects."""
     recs = _records(landing.symbol_pages(spark, sf_dir))
     return normalize_symbols(recs).select("underlying_symbol", "market", "active")
+
+
+@query("flatfile_roundtrip", ["ticks_like"], """
+select contract, t, price, size, event_id, cast(t as date) as file_date from ticks_like
+""")
+def q_flatfile_roundtrip(spark, sf_dir):
+    """Trades written as daily .csv.gz files, read back with a fixed
+    schema; the file date comes from the path."""
+    from optlake.session import scratch_path
+    from optlake.sources.flatfiles import read_daily_csv, write_daily_csv
+
+    ticks = fx.ticks_like(spark, sf_dir)
+    root = scratch_path(spark, "flat")
+    write_daily_csv(ticks, root, "t")
+    back = read_daily_csv(spark, f"{root}/day=*/*.csv.gz", ticks.schema)
+    return back.select("contract", "t", "price", "size", "event_id", "file_date")
+
+
+@query("file_inventory")
+def q_file_inventory(spark, sf_dir):
+    """Files of the driver's data folder with size and modification
+    time, summarised per folder (no file bodies read)."""
+    from optlake.sources.flatfiles import file_inventory, folder_summary
+
+    return folder_summary(file_inventory(spark, f"{sf_dir.rstrip('/')}/*.parquet")).select("folder", "files", "bytes")
