@@ -116,6 +116,12 @@ def held_slices(chain: DataFrame, band: float = 25.0) -> DataFrame:
 
 
 def slices_todo(planned: DataFrame, done: DataFrame,
-                on=("underlying_symbol", "trade_date", "exp_date", "option_type", "strike_from")) -> DataFrame:
-    """Planned slices with no held rows (and, when given, no completed task)."""
-    return planned.join(done, list(on), "left_anti")
+                on=("underlying_symbol", "trade_date", "exp_date", "option_type", "strike_from"),
+                finished_tasks: DataFrame | None = None) -> DataFrame:
+    """Planned slices with no held rows and, when ``finished_tasks``
+    is given (slice columns of tasks that completed or used up their
+    retries), without a finished task."""
+    out = planned.join(done, list(on), "left_anti")
+    if finished_tasks is not None:
+        out = out.join(finished_tasks.select(*on).distinct(), list(on), "left_anti")
+    return out

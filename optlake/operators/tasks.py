@@ -24,16 +24,18 @@ TASK_ID_STRIDE = 1_000_000
 CALL_UNITS_PER_REQUEST = 10
 
 
-def create_jobs(configs: DataFrame, order: list[str], max_held_job_id: int = 0) -> DataFrame:
+def create_jobs(configs: DataFrame, split: str, order: list[str], max_held_job_id: int | Column = 0) -> DataFrame:
     """Job configs -> job rows with status 'pending'.
 
-    Ids follow the config order after the highest id already held.  Config
-    tables are a handful of rows, so the single ordered window is harmless.
+    Ids follow the config order (``split`` first, then ``order``) after the
+    highest id already held.  The ranking is ``group_index`` over one group,
+    so it runs per ``split`` bucket in parallel instead of in a single task.
     """
-    w = Window.orderBy(*[F.col(c).asc_nulls_last() for c in order])
-    return configs.select(
-        (F.lit(max_held_job_id) + F.row_number().over(w)).cast("long").alias("job_id"),
-        "*",
+    held = max_held_job_id if isinstance(max_held_job_id, Column) else F.lit(max_held_job_id)
+    ranked = group_index(configs.withColumn("__all", F.lit(0)), ["__all"], split, order, "__idx").drop("__all")
+    return ranked.select(
+        (held + F.col("__idx") + F.lit(1)).cast("long").alias("job_id"),
+        *[c for c in configs.columns],
         F.lit("pending").alias("status"),
     )
 

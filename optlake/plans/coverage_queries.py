@@ -99,3 +99,13 @@ where not exists (select 1 from held h where h.underlying_symbol = p.underlying_
 def q_slice_todo(spark, sf_dir):
     """Planned slices that have no held rows yet (resume)."""
     return slices_todo(_plan(spark, sf_dir), held_slices(chain(spark, sf_dir)))
+
+
+@query("held_span", ["held_eod"], """
+select contract, min(tradetime) as first_date, max(tradetime) as last_date from held_eod group by contract
+""")
+def q_held_span(spark, sf_dir):
+    """A2: first and last held trade date per contract."""
+    from optlake.operators.coverage import held_span
+
+    return held_span(held_eod(spark, sf_dir), ["contract"])

@@ -50,3 +50,13 @@ select * from contracts_like order by strike desc nulls last, contract limit 100
 def q_ordered_page(spark, sf_dir):
     """O1+O2: '-strike' order, key tie-break, page size clamped to 1000."""
     return ordered_page(fx.contracts_like(spark, sf_dir), "-strike", ["contract"], limit=5000)
+
+
+@query("next_page", ["contracts_like"], """
+select * from contracts_like where contract > 'O:00000100' order by contract limit 1000
+""")
+def q_next_page(spark, sf_dir):
+    """O2: keyset paging, the page after a given contract code."""
+    from optlake.operators.filters import next_page
+
+    return next_page(fx.contracts_like(spark, sf_dir), "contract", "O:00000100")

@@ -30,19 +30,22 @@ def _json_string(c: Column) -> Column:
 def _assemble(rows: DataFrame, page_id: Column, shape: Column, sort_key: Column, record_json: Column,
               page_ticker: Column | None = None) -> DataFrame:
     """Group record JSON into page text.  shape 0: results list, 1: single
-    results object, 2: legacy data list; an optional page-level ticker."""
-    keys = [page_id.alias("page_id"), shape.alias("shape")]
-    if page_ticker is not None:
-        keys.append(page_ticker.alias("page_ticker"))
-    g = rows.groupBy(*keys).agg(
-        F.sort_array(F.collect_list(F.struct(sort_key.alias("k"), record_json.alias("j")))).alias("recs"))
+    results object, 2: legacy data list; an optional page-level ticker.
+
+    Single-object pages hold one record by construction, so they are built
+    row by row; only list pages go through a grouping."""
+    extra_of = (lambda c: F.concat(F.lit(',"ticker":'), _json_string(c))) if page_ticker is not None else (lambda c: F.lit(""))
+    tagged = rows.select(page_id.alias("page_id"), shape.alias("shape"), sort_key.alias("k"), record_json.alias("j"),
+                         (page_ticker if page_ticker is not None else F.lit(None).cast("string")).alias("page_ticker"))
+    single = tagged.where(F.col("shape") == 1).select(
+        "page_id", "shape", F.concat(F.lit('{"results":'), F.col("j"), extra_of(F.col("page_ticker")), F.lit("}")).alias("page_text"))
+    g = tagged.where(F.col("shape") != 1).groupBy("page_id", "shape", "page_ticker").agg(
+        F.sort_array(F.collect_list(F.struct("k", "j"))).alias("recs"))
     body = F.array_join(F.transform("recs", lambda r: r["j"]), ",")
-    extra = (F.concat(F.lit(',"ticker":'), _json_string(F.col("page_ticker"))) if page_ticker is not None
-             else F.lit(""))
+    extra = extra_of(F.col("page_ticker"))
     text = (F.when(F.col("shape") == 0, F.concat(F.lit('{"results":['), body, F.lit('],"next_url":null'), extra, F.lit("}")))
-            .when(F.col("shape") == 1, F.concat(F.lit('{"results":'), F.col("recs")[0]["j"], extra, F.lit("}")))
             .otherwise(F.concat(F.lit('{"data":['), body, F.lit('],"links":{"next":null}'), extra, F.lit("}"))))
-    return g.select("page_id", "shape", text.alias("page_text"))
+    return g.select("page_id", "shape", text.alias("page_text")).unionByName(single)
 
 
 def _page_id(prefix: str, shape: Column, key: Column, span: int, row_key: Column | None = None) -> Column:

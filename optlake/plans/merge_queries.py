@@ -143,3 +143,27 @@ from rows_ group by underlying_symbol
 def q_symbol_universe(spark, sf_dir):
     """Underlying symbols with first and latest fetch time."""
     return symbol_universe(_eod_rows(spark, sf_dir).select("underlying_symbol", "fetched_at"))
+
+
+@query("store_eod_slice", ["eod_raw_like", "contracts_like"], _EOD_ROWS_SQL + """
+, f as (select contract, tradetime, underlying_symbol, option_type, strike from (
+          select *, row_number() over (partition by contract, tradetime order by seq) as rn from rows_) x where rn = 1),
+l as (select contract, tradetime, bid, ask from (
+          select *, row_number() over (partition by contract, tradetime order by seq desc) as rn from rows_) x where rn = 1)
+select f.contract, f.tradetime, f.strike, l.bid, l.ask
+from f join l on l.contract = f.contract and l.tradetime = f.tradetime
+where f.underlying_symbol = 'PROMO' and f.option_type = 'put' and f.strike >= 930 and f.strike <= 970
+  and f.tradetime >= date '1995-01-01' and f.tradetime <= date '1996-06-30'
+""")
+def q_store_eod_slice(spark, sf_dir):
+    """S4-S6 + API: quote rows upserted into the partitioned end-of-day
+    table, then a filtered read (trade months pruned, filters pushed)."""
+    from optlake import api
+    from optlake.session import scratch_path
+    from optlake.sources.store import TableStore
+
+    store = TableStore(spark, scratch_path(spark, "store"))
+    store.upsert_eod(_eod_rows(spark, sf_dir).drop("load_side", "src_id"))
+    out = api.eod(store, underlying_symbol="PROMO", option_type="put", strike_from=930, strike_to=970,
+                  tradetime_from="1995-01-01", tradetime_to="1996-06-30", fields="contract,tradetime,strike,bid,ask")
+    return out.withColumn("tradetime", F.to_date("tradetime"))

@@ -292,3 +292,33 @@ def q_rebar_1h_1d(spark, sf_dir):
     """A4: daily bars re-barred from hourly bars (must equal daily from trades)."""
     hourly = B.ticks_to_bars(fx.ticks_like(spark, sf_dir), "1 hour")
     return B.rebar(hourly, "1 day").select(*BAR_COLUMNS)
+
+
+@query("create_jobs", [], """
+select row_number() over (order by c_nationkey, c_custkey) as job_id, 'eod' as endpoint, c_name as underlying_symbol,
+       case when c_acctbal < 0 then 'put' end as option_type, c_nationkey, c_custkey, 'pending' as status
+from customer
+""")
+def q_create_jobs(spark, sf_dir):
+    """One backfill job per config row, ids in config order."""
+    cfg = fx.table(spark, sf_dir, "customer").select(
+        F.lit("eod").alias("endpoint"), F.col("c_name").alias("underlying_symbol"),
+        F.when(F.col("c_acctbal") < 0, F.lit("put")).alias("option_type"), "c_nationkey", "c_custkey")
+    return T.create_jobs(cfg, split="c_nationkey", order=["c_custkey"])
+
+
+@query("job_status", [], """
+select job_id, status, updated_at from (
+  select o_custkey as job_id,
+         case o_orderstatus when 'F' then 'completed' when 'O' then 'running' else 'paused' end as status,
+         o_orderdate as updated_at,
+         row_number() over (partition by o_custkey order by o_orderkey desc) as rn
+  from orders) x where rn = 1
+""")
+def q_job_status(spark, sf_dir):
+    """T5: job status = its last status event (events keyed by order)."""
+    o = fx.table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("job_id"), F.col("o_orderkey").alias("seq"), F.col("o_orderdate").alias("at"),
+        F.when(F.col("o_orderstatus") == "F", "completed").when(F.col("o_orderstatus") == "O", "running")
+        .otherwise("paused").alias("status"))
+    return T.job_status(o)

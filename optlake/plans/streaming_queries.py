@@ -135,3 +135,21 @@ def q_stream_upsert(spark, sf_dir):
     return t.select("contract", F.to_date("tradetime").alias("tradetime"), "underlying_symbol", "exp_date",
                     "option_type", "strike", "volume", "bid", "ask", "volatility", "delta",
                     F.col("fetched_at").cast("timestamp_ntz").alias("fetched_at"), "raw_json")
+
+
+@query("stream_landing", ["contracts_like"], """
+select contract, underlying_symbol, exp_date, option_type, strike, exchange from contracts_like
+""")
+def q_stream_landing(spark, sf_dir):
+    """Vendor pages landed as files (one page per line), picked up by a
+    file stream and normalised with the batch normaliser."""
+    from optlake.plans import landing
+
+    land = scratch_path(spark, "landing")
+    landing.contract_pages(spark, sf_dir).select("page_text").write.mode("overwrite").text(land)
+    rows = X.landing_stream(spark, f"{land}/*.txt", "contracts", one_page_per_file=False)
+    sink, ck = scratch_path(spark, "stream-landing"), scratch_path(spark, "ck-stream-landing")
+    q = rows.select("contract", "underlying_symbol", "exp_date", "option_type", "strike", "exchange") \
+        .writeStream.format("parquet").outputMode("append").option("path", sink)
+    _run(X._start(q, ck, True))
+    return spark.read.parquet(sink)

@@ -28,32 +28,36 @@ def parse_pages(pages: DataFrame, text: str = "page_text") -> DataFrame:
     return pages.withColumn("payload", F.try_parse_json(F.col(text))).drop(text)
 
 
-def _kind_of(v: Column) -> Column:
-    return F.schema_of_variant(v)
-
-
 def page_records(pages: DataFrame, payload: str = "payload") -> DataFrame:
     """Explode each page into its records (S1) with the page ticker.
 
     Output: page columns, ``pos`` (0-based position in the page), ``kind``
     ('results', 'result', 'data'), ``record`` (VARIANT), ``page_ticker``.
+
+    The envelope members are taken from the payload once per page, and the
+    explode is an outer one followed by a filter on its output: an inner
+    explode would add a ``size(records) > 0`` filter that the optimizer
+    pushes below the parse, parsing every page again.
     """
     p = F.col(payload)
-    results = F.variant_get(p, "$.results", "variant")
-    results_list = F.try_variant_get(p, "$.results", "array<variant>")
-    data_list = F.try_variant_get(p, "$.data", "array<variant>")
-    is_obj = _kind_of(results).startswith("OBJECT")
-    records = (F.when(results_list.isNotNull(), results_list)
-               .when(results.isNotNull() & is_obj, F.array(results))
-               .when(data_list.isNotNull(), data_list))
-    kind = (F.when(results_list.isNotNull(), F.lit("results"))
-            .when(results.isNotNull() & is_obj, F.lit("result"))
-            .when(data_list.isNotNull(), F.lit("data")))
     keep = [c for c in pages.columns if c != payload]
-    staged = pages.select(*keep, kind.alias("kind"), records.alias("__records"),
-                          F.try_variant_get(p, "$.ticker", "string").alias("page_ticker"))
-    return staged.select(*keep, "kind", "page_ticker",
-                         F.posexplode("__records").alias("pos", "record"))
+    env = pages.select(*keep,
+                       F.variant_get(p, "$.results", "variant").alias("__res"),
+                       F.variant_get(p, "$.data", "variant").alias("__data"),
+                       F.try_variant_get(p, "$.ticker", "string").alias("page_ticker"))
+    res, data = F.col("__res"), F.col("__data")
+    res_list = F.try_variant_get(res, "$", "array<variant>")
+    data_list = F.try_variant_get(data, "$", "array<variant>")
+    res_obj = F.try_variant_get(res, "$", "map<string,variant>").isNotNull()
+    staged = env.select(
+        *keep, "page_ticker",
+        F.when(res_list.isNotNull(), F.struct(F.lit("results").alias("kind"), res_list.alias("recs")))
+        .when(res_obj, F.struct(F.lit("result").alias("kind"), F.array(res).alias("recs")))
+        .when(data_list.isNotNull(), F.struct(F.lit("data").alias("kind"), data_list.alias("recs")))
+        .alias("__env"))
+    out = staged.select(*keep, F.col("__env.kind").alias("kind"), "page_ticker",
+                        F.posexplode_outer("__env.recs").alias("pos", "record"))
+    return out.where(F.col("record").isNotNull())
 
 
 def next_link(payload: Column) -> Column:

@@ -55,10 +55,17 @@ def read_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet",
     return r.load(path)
 
 
-def landing_stream(spark: SparkSession, landing_glob: str, endpoint: str) -> DataFrame:
-    """Landed page files -> normalised rows, as files arrive."""
-    pages = (spark.readStream.format("text").option("wholetext", True).load(landing_glob)
-             .select(F.col("_metadata.file_path").alias("page_id"), F.col("value").alias("page_text")))
+def landing_stream(spark: SparkSession, landing_glob: str, endpoint: str, one_page_per_file: bool = True,
+                   max_files_per_trigger: int | None = None) -> DataFrame:
+    """Landed pages -> normalised rows, as files arrive.  A landing file
+    holds one page, or (``one_page_per_file=False``) one page per line."""
+    r = spark.readStream.format("text").option("wholetext", one_page_per_file)
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    raw = r.load(landing_glob)
+    page_id = (F.col("_metadata.file_path") if one_page_per_file
+               else F.concat_ws(":", F.col("_metadata.file_path"), F.xxhash64("value").cast("string")))
+    pages = raw.select(page_id.alias("page_id"), F.col("value").alias("page_text"))
     return normalize(page_records(parse_pages(pages)), endpoint, keep=["page_id", "pos"])
 
 
