@@ -24,11 +24,15 @@ SHORT_STRIKE_FACTOR = 0.90
 SPREAD_WIDTH = 5.0
 
 
-def option_chain(eod: DataFrame, contracts: DataFrame) -> DataFrame:
-    """End-of-day rows with their contract identity and a filled midpoint."""
-    ident = contracts.select("contract", "underlying_symbol", "exp_date", "option_type", "strike")
-    rows = eod.drop(*[c for c in ("underlying_symbol", "exp_date", "option_type", "strike") if c in eod.columns])
-    chain = rows.join(ident, "contract")
+def option_chain(eod: DataFrame, contracts: DataFrame, on: str = "contract") -> DataFrame:
+    """End-of-day rows with their contract identity and a filled midpoint.
+
+    ``on`` names the contract key shared by both sides (the contract code, or
+    a compact surrogate of it)."""
+    ident = contracts.select(*dict.fromkeys([on, "contract", "underlying_symbol", "exp_date", "option_type", "strike"]))
+    rows = eod.drop(*[c for c in ("contract", "underlying_symbol", "exp_date", "option_type", "strike")
+                      if c in eod.columns and c != on])
+    chain = rows.join(ident, on)
     mid = midpoint_fill("midpoint" if "midpoint" in chain.columns else F.lit(None).cast("double"))
     return chain.withColumn("midpoint", mid)
 

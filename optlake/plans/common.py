@@ -3,20 +3,32 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from optlake.operators.merge import keep_last
 from optlake.operators.strategy import option_chain
 from optlake.plans import fixtures as fx
 
 
-def held_eod(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Keep-last over the raw quote rows: the end-of-day table as held."""
+def _held_by_part(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The contract code is a function of the part key: fold and join on the
+    # 8-byte key and format the code once per output row, instead of hashing
+    # and shuffling the string.
     raw = fx.eod_raw_like(spark, sf_dir).select(
-        "contract", "tradetime", "bid", "ask", "volatility", "delta", "raw_json",
+        "part_key", "tradetime", "bid", "ask", "volatility", "delta", "raw_json",
         "volume", "open_interest", "fetched_at", "seq")
-    return keep_last(raw, ["contract", "tradetime"])
+    return keep_last(raw, ["part_key", "tradetime"])
+
+
+def held_eod(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keep-last over the raw quote rows: the end-of-day table as held."""
+    held = _held_by_part(spark, sf_dir)
+    return held.select(fx.contract_code(F.col("part_key")).alias("contract"),
+                       *[c for c in held.columns if c != "part_key"])
 
 
 def chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Held end-of-day rows joined to their contract identity."""
-    return option_chain(held_eod(spark, sf_dir).drop("raw_json", "fetched_at"), fx.contracts_like(spark, sf_dir))
+    held = _held_by_part(spark, sf_dir).drop("raw_json", "fetched_at")
+    ident = fx.contracts_like(spark, sf_dir, with_part_key=True).withColumnRenamed("p_partkey", "part_key")
+    return option_chain(held, ident, on="part_key").drop("part_key")

@@ -10,6 +10,7 @@ from optlake.operators.strategy import chain_entries, chain_slice, short_leg, sp
 from optlake.plans import fixtures as fx
 from optlake.plans.common import chain, held_eod
 from optlake.plans.registry import query
+from optlake.session import materialize
 
 SLICE = FilterSet(underlying_symbol="PROMO", option_type="put", strike_from=930.0, strike_to=970.0,
                   tradetime_from="1995-01-01", tradetime_to="1996-06-30")
@@ -41,6 +42,8 @@ select underlying_symbol, tradetime, exp_date, spot, target, contract, strike, m
 
 
 def nearest_put_df(spark, sf_dir):
+    # the chain feeds two branches, but the entries branch only needs a
+    # narrow distinct of it, so recomputing beats writing it out
     ch = chain(spark, sf_dir)
     return short_leg(chain_entries(ch, "put"), ch).select(
         "underlying_symbol", "tradetime", "exp_date", "spot", "target", "contract", "strike", "midpoint")
@@ -77,7 +80,8 @@ from long_leg
 """)
 def q_spread_credit(spark, sf_dir):
     """G2+G3: long put 5 below the short strike, entry credit per chain."""
-    ch = chain(spark, sf_dir)
+    # three consumers (entries, short leg, long leg): write the chain once
+    ch = materialize(chain(spark, sf_dir), "chain")
     return spread_credit(chain_entries(ch, "put"), ch).select(
         "underlying_symbol", "tradetime", "exp_date", "spot", "short_contract", "short_strike", "short_midpoint",
         "long_target", "long_contract", "long_strike", "long_midpoint", "credit")

@@ -20,6 +20,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split a hot join key even when that costs one more shuffle afterwards
+    # (nearest-strike joins feed an aggregation keyed on the join keys)
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
@@ -68,3 +71,17 @@ def get_session(master: str | None = None, app: str = "optlake", shuffle_partiti
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return prepare_session(spark)
+
+
+def materialize(df, label: str):
+    """Write ``df`` once to a fresh Parquet folder under the shared scratch
+    root and return a reader over it.
+
+    Used where one intermediate feeds several branches of a plan: the
+    branches then scan the written copy instead of recomputing it, and the
+    lineage is cut (a lost executor does not force a recompute from source).
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

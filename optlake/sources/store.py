@@ -27,6 +27,10 @@ PARTITIONING = {
     "option_eod": ("trade_month", lambda df: F.trunc(F.col("tradetime"), "month")),
     "bars": ("trade_date", lambda df: F.to_date(F.col("tradetime"))),
 }
+# Rows of one partition are spread over this many write tasks (hash of the
+# key), so a large month is written by many tasks, not one.
+FILES_PER_PARTITION = 16
+BUCKET_KEY = {"option_eod": "contract", "bars": "contract"}
 SORT_WITHIN = {
     "option_eod": ["underlying_symbol", "tradetime", "exp_date", "option_type", "strike"],
     "bars": ["contract", "tradetime"],
@@ -88,7 +92,8 @@ class TableStore:
         cols = [f.name for f in _partitioned_schema(name).fields]
         staged = self.with_partition(name, rows).select(*cols)
         if part:
-            staged = staged.repartition(part[0])
+            bucket = F.pmod(F.xxhash64(F.col(BUCKET_KEY.get(name, cols[0]))), F.lit(FILES_PER_PARTITION))
+            staged = staged.repartition(F.col(part[0]), bucket)
         staged = write_order(staged, part[0] if part else cols[0], SORT_WITHIN.get(name, []))
         staged.write.mode("overwrite").parquet(staging)
         copy = self.spark.read.schema(_partitioned_schema(name)).parquet(staging)
