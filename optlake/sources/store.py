@@ -27,10 +27,10 @@ PARTITIONING = {
     "option_eod": ("trade_month", lambda df: F.trunc(F.col("tradetime"), "month")),
     "bars": ("trade_date", lambda df: F.to_date(F.col("tradetime"))),
 }
-# Rows of one partition are spread over this many write tasks (hash of the
-# key), so a large month is written by many tasks, not one.
-FILES_PER_PARTITION = 16
-BUCKET_KEY = {"option_eod": "contract", "bars": "contract"}
+# Writes are range-partitioned on (partition column, key): a large month is
+# split over many write tasks, small months share one, and the task count
+# follows spark.sql.shuffle.partitions (sized by the cluster for its data).
+RANGE_KEY = {"option_eod": "contract", "bars": "contract"}
 SORT_WITHIN = {
     "option_eod": ["underlying_symbol", "tradetime", "exp_date", "option_type", "strike"],
     "bars": ["contract", "tradetime"],
@@ -89,11 +89,15 @@ class TableStore:
         """
         part = PARTITIONING.get(name)
         staging = scratch_path(self.spark, f"stage-{name}")
-        cols = [f.name for f in _partitioned_schema(name).fields]
-        staged = self.with_partition(name, rows).select(*cols)
+        schema = _partitioned_schema(name)
+        cols = [f.name for f in schema.fields]
+        rows = self.with_partition(name, rows)
+        # columns the rows lack are written as typed NULLs; the rest are cast
+        staged = rows.select(*[(F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+                               for f in schema.fields])
         if part:
-            bucket = F.pmod(F.xxhash64(F.col(BUCKET_KEY.get(name, cols[0]))), F.lit(FILES_PER_PARTITION))
-            staged = staged.repartition(F.col(part[0]), bucket)
+            n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+            staged = staged.repartitionByRange(n, F.col(part[0]), F.col(RANGE_KEY.get(name, cols[0])))
         staged = write_order(staged, part[0] if part else cols[0], SORT_WITHIN.get(name, []))
         staged.write.mode("overwrite").parquet(staging)
         copy = self.spark.read.schema(_partitioned_schema(name)).parquet(staging)
@@ -116,8 +120,5 @@ class TableStore:
         # only the touched months of the held table
         held_touched = held.join(touched, "trade_month", "left_semi").drop("trade_month")
         folded = upsert_eod(held_touched, staged.drop("trade_month"), seq=seq)
-        eod_cols = [f.name for f in schemas.OPTION_EOD.fields]
-        folded = folded.select(*[(F.col(c) if c in folded.columns else F.lit(None)).cast(t.dataType).alias(c)
-                                 for c, t in zip(eod_cols, schemas.OPTION_EOD.fields)])
         self.overwrite_partitions(name, folded)
         return self.read(name)
