@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql.types import (
     ArrayType,
+    BooleanType,
     DateType,
     DoubleType,
     IntegerType,
@@ -28,8 +29,13 @@ def _d(name, nullable=True):
     return StructField(name, DoubleType(), nullable)
 
 
+# market / active / name are kept so the universe defaults (market = stocks,
+# active only) can be applied to held rows.
 UNDERLYING_SYMBOLS = StructType([
     _s("underlying_symbol", nullable=False),
+    _s("market"),
+    StructField("active", BooleanType(), True),
+    _s("name"),
     StructField("fetched_at", TimestampType(), True),
 ])
 

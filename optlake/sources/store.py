@@ -82,7 +82,8 @@ class TableStore:
         return df.withColumn(part[0], part[1](df)) if part else df
 
     def overwrite_partitions(self, name: str, rows: DataFrame) -> None:
-        """Replace exactly the partitions present in ``rows``.
+        """Replace exactly the partitions present in ``rows`` (S5); an
+        unpartitioned table is replaced whole.
 
         ``rows`` must not be a lazy read of this table: it is written to a
         staging folder first, and the table is overwritten from that copy.
@@ -104,10 +105,14 @@ class TableStore:
         w = copy.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         if part:
             w = w.partitionBy(part[0])
-        elif self.exists(name):
-            raise ValueError(f"{name} is not partitioned: use a full rewrite")
         w.parquet(self.path(name))
 
+    def replace(self, name: str, rows: DataFrame) -> None:
+        """Write a table from ``rows``: an unpartitioned table (contracts,
+        symbols) is replaced whole, a partitioned one in the partitions the
+        rows touch.  Staged first, then copied over the table."""
+        self.overwrite_partitions(name, rows)
+
     def upsert_eod(self, staged: DataFrame, seq: str = "seq") -> DataFrame:
         """W1 into the table: fold staged rows with the held rows of the
         trade months they touch, rewrite those months; returns the folded rows
