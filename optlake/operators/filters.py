@@ -79,7 +79,25 @@ def window_predicate(date_col: Column, start, end) -> Column | None:
 
 
 def apply_window(df: DataFrame, start, end, date_col: str = "tradetime") -> DataFrame:
-    pred = window_predicate(F.to_date(F.col(date_col)), start, end)
+    """Whole-day window on a DATE or TIMESTAMP column, written as plain
+    comparisons on the column (``ts >= start 00:00 and ts < end+1 00:00``)
+    so the Parquet reader can push them; other types compare their date."""
+    dtype = dict(df.dtypes).get(date_col)
+    c = F.col(date_col)
+    if dtype == "date":
+        pred = window_predicate(c, start, end)
+    elif dtype in ("timestamp", "timestamp_ntz"):
+        preds = []
+        if start is not None:
+            preds.append(c >= F.lit(f"{start.isoformat()} 00:00:00").cast(dtype))
+        if end is not None:
+            nxt = end + _dt.timedelta(days=1)
+            preds.append(c < F.lit(f"{nxt.isoformat()} 00:00:00").cast(dtype))
+        pred = None
+        for p in preds:
+            pred = p if pred is None else pred & p
+    else:
+        pred = window_predicate(F.to_date(c), start, end)
     return df if pred is None else df.where(pred)
 
 
