@@ -27,7 +27,6 @@ from optlake.functions.keys import first_non_empty, row_hash
 from optlake.schemas import OPTION_EOD
 
 _NUMERIC = r"^(TINYINT|SMALLINT|INT|BIGINT|DECIMAL|DOUBLE|FLOAT)"
-_MAP = "map<string,variant>"
 
 
 def _v(v: Column, t: str) -> Column:
@@ -41,6 +40,7 @@ def _when_ts(v: Column, numeric_unit: str = "ns") -> Column:
 
 
 _CONV = {
+    "boolean": lambda v: _v(v, "boolean"),
     "string": lambda v: _v(v, "string"),
     "double": lambda v: _v(v, "double"),
     "long": lambda v: _v(v, "bigint"),
@@ -49,7 +49,7 @@ _CONV = {
     "ts": lambda v: _when_ts(v, "ns"),
     "date": lambda v: F.to_date(_when_ts(v, "ns")),
 }
-_TYPES = {"string": "string", "double": "double", "ns": "timestamp", "ms": "timestamp", "ts": "timestamp",
+_TYPES = {"boolean": "boolean", "string": "string", "double": "double", "ns": "timestamp", "ms": "timestamp", "ts": "timestamp",
           "date": "date", "long": "bigint"}
 
 
@@ -57,29 +57,54 @@ def _obj(name: str) -> Column:
     return F.col(f"__m_{name}")
 
 
-def with_objects(records: DataFrame, record: str, objects: dict[str, str]) -> DataFrame:
-    """Add each (sub-)object of the record once, as map<string, variant>.
+class Keys:
+    """Keys read from each (sub-)object, collected while column expressions
+    are built, so each object is cast once to a struct of just those keys."""
 
-    A JSON null member stays a (non-SQL-NULL) variant null in the map, so key
-    presence is a map lookup; later column picks read the maps instead of
-    walking the record again for every path.
+    def __init__(self) -> None:
+        self.used: dict[str, list[str]] = {}
+
+    def field(self, obj: str, key: str) -> Column:
+        keys = self.used.setdefault(obj, [])
+        if key not in keys:
+            keys.append(key)
+        return _obj(obj).getField(key)
+
+    def object(self, obj: str) -> Column:
+        self.used.setdefault(obj, [])
+        return _obj(obj)
+
+
+def with_objects(records: DataFrame, record: str, objects: dict[str, str], keys: Keys) -> DataFrame:
+    """Add each (sub-)object the columns read, cast once to a struct of
+    variants holding only the keys read.
+
+    A JSON null member stays a (non-SQL-NULL) variant null in the struct and
+    an absent key is SQL NULL, so presence is a field test; a member that is
+    not an object gives a NULL struct.  Later column picks read struct fields
+    instead of walking the record again for every path.
     """
     rec = F.col(record)
-    return records.select("*", *[F.try_variant_get(rec, path, _MAP).alias(f"__m_{name}")
-                                 for name, path in objects.items()])
+    cols = []
+    for name, path in objects.items():
+        if name not in keys.used:
+            continue
+        fields = keys.used[name] or ["__none"]
+        ddl = "struct<" + ",".join(f"`{k.replace('`', '``')}`:variant" for k in fields) + ">"
+        cols.append(F.try_variant_get(rec, path, ddl).alias(f"__m_{name}"))
+    return records.select("*", *cols)
 
 
 def drop_objects(df: DataFrame) -> DataFrame:
     return df.drop(*[c for c in df.columns if c.startswith("__m_")])
 
 
-def pick(candidates: list[tuple[str, str, str]], out_type: str) -> Column:
+def pick(keys: Keys, candidates: list[tuple[str, str, str]], out_type: str) -> Column:
     """First present candidate wins; ``candidates`` = [(object, key, converter)]."""
     expr: Column = F.lit(None).cast(out_type)
     for obj, key, conv in reversed(candidates):
-        m = _obj(obj)
-        expr = F.when(F.map_contains_key(m, F.lit(key)), _CONV[conv](F.element_at(m, F.lit(key))).cast(out_type)) \
-            .otherwise(expr)
+        v = keys.field(obj, key)
+        expr = F.when(v.isNotNull(), _CONV[conv](v).cast(out_type)).otherwise(expr)
     return expr
 
 
@@ -134,19 +159,19 @@ CONTRACT_ALIASES = {
 BAR_FIELDS = {"open": "o", "high": "h", "low": "l", "last": "c", "volume": "v", "vwap": "vw"}
 
 
-def _is_legacy() -> Column:
-    return _obj("attributes").isNotNull()
+def _is_legacy(keys: Keys) -> Column:
+    return keys.object("attributes").isNotNull()
 
 
-def _legacy_ids(rec: Column) -> list[Column]:
-    legacy = _is_legacy()
-    return [F.when(legacy, pick([("rec", "id", "string")], "string")).alias("response_id"),
-            F.when(legacy, pick([("rec", "type", "string")], "string")).alias("response_type")]
+def _legacy_ids(keys: Keys) -> list[Column]:
+    legacy = _is_legacy(keys)
+    return [F.when(legacy, pick(keys, [("rec", "id", "string")], "string")).alias("response_id"),
+            F.when(legacy, pick(keys, [("rec", "type", "string")], "string")).alias("response_type")]
 
 
-def _legacy_option_type() -> Column:
-    return first_non_empty(pick([("attributes", "option_type", "string")], "string"),
-                           pick([("attributes", "type", "string")], "string"))
+def _legacy_option_type(keys: Keys) -> Column:
+    return first_non_empty(pick(keys, [("attributes", "option_type", "string")], "string"),
+                           pick(keys, [("attributes", "type", "string")], "string"))
 
 
 def normalize_eod(records: DataFrame, record: str = "record", keep: list[str] = (),
@@ -155,11 +180,11 @@ def normalize_eod(records: DataFrame, record: str = "record", keep: list[str] =
 
     ``columns`` limits the output to the columns a caller reads: each column
     is a sizeable expression, and building only the needed ones keeps query
-    planning short (pruning would drop the rest at run time anyway).
+    planning short and the per-object structs narrow.
     """
     rec = F.col(record)
-    staged = with_objects(records, record, EOD_OBJECTS)
-    legacy = _is_legacy()
+    keys = Keys()
+    legacy = _is_legacy(keys)
     wanted = EOD_COLUMNS if columns is None else [c for c in EOD_COLUMNS if c in columns]
     cols = []
     for name in wanted:
@@ -168,19 +193,21 @@ def normalize_eod(records: DataFrame, record: str = "record", keep: list[str] =
         cands = [("greeks", name, kind), ("details", name, kind), ("rec", name, kind)]
         if name in EOD_NAMED_SOURCES:
             cands = [EOD_NAMED_SOURCES[name]] + cands
-        modern = pick(cands, out_type)
-        old = _legacy_option_type() if name == "option_type" else pick([("attributes", name, kind)], out_type)
+        modern = pick(keys, cands, out_type)
+        old = _legacy_option_type(keys) if name == "option_type" else pick(keys, [("attributes", name, kind)], out_type)
         cols.append(F.when(legacy, old).otherwise(modern).alias(name))
+    ids = _legacy_ids(keys)
     extra = [F.to_json(rec).alias("raw_json")] if columns is None or "raw_json" in columns else []
-    out = staged.select(*keep, *_legacy_ids(rec), *cols, *extra)
+    staged = with_objects(records, record, EOD_OBJECTS, keys)
+    out = staged.select(*keep, *ids, *cols, *extra)
     return out.withColumn("event_date", F.to_date("tradetime")) if "tradetime" in wanted else out
 
 
 def normalize_contracts(records: DataFrame, record: str = "record", keep: list[str] = ()) -> DataFrame:
     """N1 (+N4): flat contract records; vendor names fill absent columns."""
     rec = F.col(record)
-    staged = with_objects(records, record, {"rec": "$", "attributes": "$.attributes"})
-    legacy = _is_legacy()
+    keys = Keys()
+    legacy = _is_legacy(keys)
     spec = {"contract": "string", "underlying_symbol": "string", "exp_date": "date", "expiration_type": "string",
             "option_type": "string", "strike": "double", "exchange": "string", "currency": "string"}
     cols = []
@@ -189,23 +216,26 @@ def normalize_contracts(records: DataFrame, record: str = "record", keep: list[s
         cands = [("rec", name, kind)]
         if name in CONTRACT_ALIASES:
             cands.append(("rec", CONTRACT_ALIASES[name], kind))
-        modern = pick(cands, out_type)
-        old = _legacy_option_type() if name == "option_type" else pick([("attributes", name, kind)], out_type)
+        modern = pick(keys, cands, out_type)
+        old = _legacy_option_type(keys) if name == "option_type" else pick(keys, [("attributes", name, kind)], out_type)
         cols.append(F.when(legacy, old).otherwise(modern).alias(name))
-    return staged.select(*keep, *_legacy_ids(rec), *cols, F.to_json(rec).alias("raw_json"))
+    ids = _legacy_ids(keys)
+    staged = with_objects(records, record, {"rec": "$", "attributes": "$.attributes"}, keys)
+    return staged.select(*keep, *ids, *cols, F.to_json(rec).alias("raw_json"))
 
 
 def normalize_bars(records: DataFrame, record: str = "record", page_ticker: str = "page_ticker",
                    keep: list[str] = ()) -> DataFrame:
     """N3 (+S2): bar records; the page ticker fills a record without one."""
-    staged = with_objects(records, record, {"rec": "$"})
+    keys = Keys()
     contract = F.coalesce(
-        pick([("rec", "contract", "string"), ("rec", "ticker", "string")], "string"),
+        pick(keys, [("rec", "contract", "string"), ("rec", "ticker", "string")], "string"),
         F.col(page_ticker) if page_ticker in records.columns else F.lit(None).cast("string"))
     cols = [contract.alias("contract"),
-            pick([("rec", "t", "ms"), ("rec", "tradetime", "ts")], "timestamp").alias("tradetime")]
+            pick(keys, [("rec", "t", "ms"), ("rec", "tradetime", "ts")], "timestamp").alias("tradetime")]
     for name, short in BAR_FIELDS.items():
-        cols.append(pick([("rec", short, "double"), ("rec", name, "double")], "double").alias(name))
+        cols.append(pick(keys, [("rec", short, "double"), ("rec", name, "double")], "double").alias(name))
+    staged = with_objects(records, record, {"rec": "$"}, keys)
     out = staged.select(*keep, *cols)
     return out.withColumn("event_date", F.to_date("tradetime"))
 
@@ -214,25 +244,28 @@ def normalize_symbols(records: DataFrame, record: str = "record", keep: list[str
     """A bare string is the symbol; an object gives its fields (the
     symbol from ``underlying_symbol``, else ``ticker``)."""
     rec = F.col(record)
-    staged = with_objects(records, record, {"rec": "$"})
-    is_obj = _obj("rec").isNotNull()
-    symbol = F.when(is_obj, pick([("rec", "underlying_symbol", "string"), ("rec", "ticker", "string")], "string")) \
+    keys = Keys()
+    is_obj = keys.object("rec").isNotNull()
+    symbol = F.when(is_obj, pick(keys, [("rec", "underlying_symbol", "string"), ("rec", "ticker", "string")], "string")) \
         .otherwise(F.try_variant_get(rec, "$", "string"))
-    return staged.select(
-        *keep, symbol.alias("underlying_symbol"),
-        F.when(is_obj, pick([("rec", "market", "string")], "string")).alias("market"),
-        F.when(is_obj, F.try_variant_get(F.element_at(_obj("rec"), F.lit("active")), "$", "boolean")).alias("active"),
-        F.when(is_obj, pick([("rec", "name", "string")], "string")).alias("name"))
+    cols = [symbol.alias("underlying_symbol"),
+            F.when(is_obj, pick(keys, [("rec", "market", "string")], "string")).alias("market"),
+            F.when(is_obj, pick(keys, [("rec", "active", "boolean")], "boolean")).alias("active"),
+            F.when(is_obj, pick(keys, [("rec", "name", "string")], "string")).alias("name")]
+    staged = with_objects(records, record, {"rec": "$"}, keys)
+    return staged.select(*keep, *cols)
 
 
 def normalize_generic(records: DataFrame, record: str = "record", keep: list[str] = ()) -> DataFrame:
     """N4/N6 for other endpoints: legacy ids, a scalar record as ``value``,
     the record as JSON, and a fallback row key (SHA-1 of the record)."""
     rec = F.col(record)
-    staged = with_objects(records, record, {"rec": "$", "attributes": "$.attributes"})
-    is_obj = _obj("rec").isNotNull()
+    keys = Keys()
+    is_obj = keys.object("rec").isNotNull()
+    ids = _legacy_ids(keys)
+    staged = with_objects(records, record, {"rec": "$", "attributes": "$.attributes"}, keys)
     return staged.select(
-        *keep, *_legacy_ids(rec),
+        *keep, *ids,
         F.when(~is_obj, F.try_variant_get(rec, "$", "string")).alias("value"),
         F.to_json(rec).alias("record_json"),
         F.sha1(F.to_json(rec)).alias("row_key"))
