@@ -21,31 +21,33 @@ def _ns(ts: Column) -> Column:
     return F.unix_micros(ts.cast("timestamp")) * F.lit(1000)
 
 
-def _json_string(c: Column) -> Column:
-    """JSON text of a string value (quoted and escaped)."""
-    arr = F.to_json(F.array(c))
-    return F.substring(arr, F.lit(2), F.length(arr) - 2)
-
-
-def _assemble(rows: DataFrame, page_id: Column, shape: Column, sort_key: Column, record_json: Column,
-              page_ticker: Column | None = None) -> DataFrame:
-    """Group record JSON into page text.  shape 0: results list, 1: single
-    results object, 2: legacy data list; an optional page-level ticker.
-
-    Single-object pages hold one record by construction, so they are built
-    row by row; only list pages go through a grouping."""
-    extra_of = (lambda c: F.concat(F.lit(',"ticker":'), _json_string(c))) if page_ticker is not None else (lambda c: F.lit(""))
-    tagged = rows.select(page_id.alias("page_id"), shape.alias("shape"), sort_key.alias("k"), record_json.alias("j"),
-                         (page_ticker if page_ticker is not None else F.lit(None).cast("string")).alias("page_ticker"))
+def _assemble(rows: DataFrame, page_id: Column, shape: Column, sort_key: Column, modern: Column,
+              legacy: Column | None = None, page_ticker: Column | None = None) -> DataFrame:
+    """Pages as JSON text.  shape 0: ``results`` list of modern records,
+    1: a single modern record as ``results``, 2: legacy ``data`` list.
+
+    Records stay structs until the page is serialised once with ``to_json``
+    (NULL members are left out, as the vendor omits them).  Single-record
+    pages hold one record by construction, so they are built row by row;
+    only list pages go through a grouping, sorted by ``sort_key``."""
+    ticker = page_ticker if page_ticker is not None else F.lit(None).cast("string")
+    tagged = rows.select(page_id.alias("page_id"), shape.alias("shape"), sort_key.alias("k"),
+                         modern.alias("m"), (legacy if legacy is not None else F.lit(None)).alias("l"),
+                         ticker.alias("ticker"))
     single = tagged.where(F.col("shape") == 1).select(
-        "page_id", "shape", F.concat(F.lit('{"results":'), F.col("j"), extra_of(F.col("page_ticker")), F.lit("}")).alias("page_text"))
-    g = tagged.where(F.col("shape") != 1).groupBy("page_id", "shape", "page_ticker").agg(
-        F.sort_array(F.collect_list(F.struct("k", "j"))).alias("recs"))
-    body = F.array_join(F.transform("recs", lambda r: r["j"]), ",")
-    extra = extra_of(F.col("page_ticker"))
-    text = (F.when(F.col("shape") == 0, F.concat(F.lit('{"results":['), body, F.lit('],"next_url":null'), extra, F.lit("}")))
-            .otherwise(F.concat(F.lit('{"data":['), body, F.lit('],"links":{"next":null}'), extra, F.lit("}"))))
-    return g.select("page_id", "shape", text.alias("page_text")).unionByName(single)
+        "page_id", "shape", F.to_json(F.struct(F.col("m").alias("results"), "ticker")).alias("page_text"))
+    parts = [single]
+    for shp, col, member in ((0, "m", "results"), (2, "l", "data")):
+        if col == "l" and legacy is None:
+            continue
+        g = tagged.where(F.col("shape") == shp).groupBy("page_id", "shape", "ticker").agg(
+            F.sort_array(F.collect_list(F.struct("k", col))).alias("recs"))
+        parts.append(g.select("page_id", "shape", F.to_json(F.struct(
+            F.transform("recs", lambda r: r[col]).alias(member), "ticker")).alias("page_text")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def _page_id(prefix: str, shape: Column, key: Column, span: int, row_key: Column | None = None) -> Column:
@@ -57,16 +59,16 @@ def _page_id(prefix: str, shape: Column, key: Column, span: int, row_key: Column
 def contract_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fx.contracts_like(spark, sf_dir, with_part_key=True)
     shape = F.col("p_partkey") % 3
-    modern = F.to_json(F.struct(
+    modern = F.struct(
         F.col("contract").alias("ticker"), F.col("underlying_symbol").alias("underlying_ticker"),
         F.col("option_type").alias("contract_type"), F.col("exp_date").cast("string").alias("expiration_date"),
-        F.col("strike").alias("strike_price"), F.col("exchange")))
-    legacy = F.to_json(F.struct(
+        F.col("strike").alias("strike_price"), F.col("exchange"))
+    legacy = F.struct(
         F.col("contract").alias("id"), F.lit("options-contracts").alias("type"),
         F.struct("contract", "underlying_symbol", F.col("exp_date").cast("string").alias("exp_date"),
-                 F.col("option_type").alias("type"), "strike", "exchange").alias("attributes")))
-    rec = F.when(shape == 2, legacy).otherwise(modern)
-    return _assemble(rows, _page_id("c", shape, F.col("p_partkey"), RECORDS_PER_PAGE_KEYS), shape, F.col("p_partkey"), rec)
+                 F.col("option_type").alias("type"), "strike", "exchange").alias("attributes"))
+    return _assemble(rows, _page_id("c", shape, F.col("p_partkey"), RECORDS_PER_PAGE_KEYS), shape, F.col("p_partkey"),
+                     modern, legacy)
 
 
 def chain_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,7 +76,7 @@ def chain_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = fx.eod_raw_like(spark, sf_dir)
     rows = e.join(c, "contract")
     shape = F.col("src_id") % 3
-    modern = F.to_json(F.struct(
+    modern = F.struct(
         F.struct(F.col("contract").alias("ticker"), F.col("option_type").alias("contract_type"),
                  F.col("exp_date").cast("string").alias("expiration_date"),
                  F.col("strike").alias("strike_price")).alias("details"),
@@ -82,28 +84,28 @@ def chain_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(_ns(F.col("tradetime")).alias("last_updated"), F.col("volume")).alias("day"),
         F.struct("bid", "ask", _ns(F.col("fetched_at")).alias("last_updated")).alias("last_quote"),
         F.struct("delta").alias("greeks"),
-        F.col("volatility").alias("implied_volatility")))
-    legacy = F.to_json(F.struct(
+        F.col("volatility").alias("implied_volatility"))
+    legacy = F.struct(
         F.concat_ws("-", "contract", F.col("tradetime").cast("string")).alias("id"),
         F.lit("options-eod").alias("type"),
         F.struct("contract", "underlying_symbol", F.col("exp_date").cast("string").alias("exp_date"),
                  F.col("option_type").alias("type"), "strike", "bid", "ask",
                  F.col("tradetime").cast("string").alias("tradetime"), "volatility", "delta", "volume",
-                 F.col("fetched_at").cast("string").alias("bid_date")).alias("attributes")))
-    rec = F.when(shape == 2, legacy).otherwise(modern)
+                 F.col("fetched_at").cast("string").alias("bid_date")).alias("attributes"))
     # one row = (contract, trade month, seq): unique, unlike the line id alone
     row_key = F.concat_ws("|", "contract", F.col("tradetime").cast("string"), F.col("seq").cast("string"))
-    return _assemble(rows, _page_id("e", shape, F.col("src_id"), 1600, row_key), shape, F.struct("src_id", row_key), rec)
+    return _assemble(rows, _page_id("e", shape, F.col("src_id"), 1600, row_key), shape, F.struct("src_id", row_key),
+                     modern, legacy)
 
 
 def bar_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = fx.ticks_like(spark, sf_dir)
     own = F.col("event_id") % 7 == 0
-    rec = F.to_json(F.struct(
+    rec = F.struct(
         F.when(own, F.concat(F.lit("X:"), F.col("contract"))).alias("ticker"),
         F.col("price").alias("o"), F.col("price").alias("h"), F.col("price").alias("l"), F.col("price").alias("c"),
         F.col("size").alias("v"), F.col("price").alias("vw"),
-        F.unix_millis(F.col("t").cast("timestamp")).alias("t")))
+        F.unix_millis(F.col("t").cast("timestamp")).alias("t"))
     page_id = F.concat_ws("-", F.lit("b"), F.col("contract"), F.floor(F.col("event_id") / 500).cast("string"))
     return _assemble(t, page_id, F.lit(0), F.col("event_id"), rec, page_ticker=F.col("contract"))
 
@@ -111,10 +113,10 @@ def bar_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def symbol_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = fx.table(spark, sf_dir, "part")
     obj = F.col("p_partkey") % 2 == 1
-    rec = F.when(obj, F.to_json(F.struct(
+    modern = F.struct(
         F.col("p_brand").alias("ticker"), F.lit("stocks").alias("market"),
-        (F.col("p_size") % 2 == 0).alias("active"), F.col("p_name").alias("name")))
-    ).otherwise(_json_string(F.col("p_brand")))  # a bare string record
+        (F.col("p_size") % 2 == 0).alias("active"), F.col("p_name").alias("name"))
     shape = F.when(obj, F.lit(0)).otherwise(F.lit(2))
     page_id = F.concat(F.lit("s"), shape.cast("string"), F.lit("-"), F.floor(F.col("p_partkey") / 200).cast("string"))
-    return _assemble(p, page_id, shape, F.col("p_partkey"), rec)
+    # legacy pages list bare symbol strings
+    return _assemble(p, page_id, shape, F.col("p_partkey"), modern, legacy=F.col("p_brand"))
