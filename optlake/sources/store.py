@@ -81,7 +81,7 @@ class TableStore:
         part = PARTITIONING.get(name)
         return df.withColumn(part[0], part[1](df)) if part else df
 
-    def overwrite_partitions(self, name: str, rows: DataFrame) -> None:
+    def overwrite_partitions(self, name: str, rows: DataFrame, staged_copy: bool = True) -> None:
         """Replace exactly the partitions present in ``rows`` (S5); an
         unpartitioned table is replaced whole.
 
@@ -100,8 +100,11 @@ class TableStore:
             n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
             staged = staged.repartitionByRange(n, F.col(part[0]), F.col(RANGE_KEY.get(name, cols[0])))
         staged = write_order(staged, part[0] if part else cols[0], SORT_WITHIN.get(name, []))
-        staged.write.mode("overwrite").parquet(staging)
-        copy = self.spark.read.schema(_partitioned_schema(name)).parquet(staging)
+        if staged_copy:
+            staged.write.mode("overwrite").parquet(staging)
+            copy = self.spark.read.schema(_partitioned_schema(name)).parquet(staging)
+        else:
+            copy = staged
         w = copy.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         if part:
             w = w.partitionBy(part[0])
@@ -120,6 +123,11 @@ class TableStore:
         name = "option_eod"
         held = self.read(name)
         staged = self.with_partition(name, staged)
+        if not held.inputFiles():
+            # first load: nothing held, nothing read from the target, so the
+            # fold is written straight into the table
+            self.overwrite_partitions(name, upsert_eod(None, staged.drop("trade_month"), seq=seq), staged_copy=False)
+            return self.read(name)
         touched = staged.select("trade_month").distinct()
         # semi-join on the partition column: dynamic partition pruning reads
         # only the touched months of the held table

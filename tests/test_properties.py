@@ -69,3 +69,15 @@ def test_keep_last_matches_reference(spark, data):
         if (k, t) not in best or i > best[(k, t)][1]:
             best[(k, t)] = (v, i)
     assert got == sorted((k, t, v) for (k, t), (v, _) in best.items())
+
+
+def test_change_counts(spark):
+    from optlake.operators.merge import change_counts, change_labels
+
+    held = spark.createDataFrame([("A", 1, 1.0, "x"), ("B", 1, 2.0, "y")], "contract string, tradetime int, bid double, raw_json string")
+    staged = spark.createDataFrame([("A", 1, 1.0, None, 1), ("B", 1, 3.0, None, 1), ("C", 1, 4.0, None, 1)],
+                                   "contract string, tradetime int, bid double, raw_json string, seq int")
+    labels = {r.contract: r.change for r in change_labels(held, staged).collect()}
+    assert labels == {"A": "unchanged", "B": "updated", "C": "inserted"}
+    c = change_counts(change_labels(held, staged)).collect()[0]
+    assert (c.inserted_rows, c.updated_rows, c.skipped_existing_rows) == (1, 1, 1)
