@@ -27,10 +27,10 @@ PARTITIONING = {
     "option_eod": ("trade_month", lambda df: F.trunc(F.col("tradetime"), "month")),
     "bars": ("trade_date", lambda df: F.to_date(F.col("tradetime"))),
 }
-# Writes are range-partitioned on (partition column, key): a large month is
-# split over many write tasks, small months share one, and the task count
-# follows spark.sql.shuffle.partitions (sized by the cluster for its data).
-RANGE_KEY = {"option_eod": "contract", "bars": "contract"}
+# Writes are rebalanced on the partition column (AQE REBALANCE): rows of a
+# month stay together, a month larger than the advisory partition size is
+# split over several write tasks, small months are coalesced, and there is
+# no sampling pass over the (possibly expensive) input.
 SORT_WITHIN = {
     "option_eod": ["underlying_symbol", "tradetime", "exp_date", "option_type", "strike"],
     "bars": ["contract", "tradetime"],
@@ -97,8 +97,7 @@ class TableStore:
         staged = rows.select(*[(F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name)
                                for f in schema.fields])
         if part:
-            n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-            staged = staged.repartitionByRange(n, F.col(part[0]), F.col(RANGE_KEY.get(name, cols[0])))
+            staged = staged.hint("rebalance", part[0])
         staged = write_order(staged, part[0] if part else cols[0], SORT_WITHIN.get(name, []))
         if staged_copy:
             staged.write.mode("overwrite").parquet(staging)

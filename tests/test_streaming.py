@@ -58,3 +58,43 @@ def test_upsert_stream_replay_is_harmless(spark, tmp_path):
     assert once == twice
     r = store.read("option_eod").collect()[0]
     assert (r.bid, r.ask, r.raw_json) == (1.5, None, "a")
+
+
+def test_upsert_stream_two_loads_match_oracle(spark, tmp_path):
+    """Held rows land first, fresh rows later (two stream runs into one
+    table); the table equals the one-shot W1 oracle."""
+    import duckdb
+
+    from conftest import SMALL
+    from optlake.plans import fixtures as fx
+    from optlake.plans.merge_queries import _eod_rows
+    from optlake.plans.oracle_sql import VIEWS
+    from optlake.sources.store import TableStore
+
+    rows = _eod_rows(spark, SMALL).drop("src_id")
+    for side in ("O", "F"):
+        rows.where(F.col("load_side") == side).drop("load_side").write.parquet(str(tmp_path / f"land_{side}"))
+    store = TableStore(spark, str(tmp_path / "store"))
+    schema = spark.read.parquet(str(tmp_path / "land_O")).schema
+    for side in ("O", "F"):
+        src = spark.readStream.schema(schema).parquet(str(tmp_path / f"land_{side}"))
+        q = X.upsert_stream(src, store, str(tmp_path / f"ck_{side}"))
+        q.awaitTermination()
+    got = sorted((r.contract, r.tradetime.date(), r.bid, r.ask, r.volatility, r.raw_json, r.strike)
+                 for r in store.read("option_eod").collect())
+    con = duckdb.connect()
+    for t in ("part", "lineitem"):
+        con.execute(f"create view {t} as select * from read_parquet('{SMALL}/{t}.parquet')")
+    sql = f"""
+    with contracts_like as ({VIEWS['contracts_like']}), eod_raw_like as ({VIEWS['eod_raw_like']}),
+    r as (select e.*, c.strike from eod_raw_like e join contracts_like c on c.contract = e.contract),
+    l as (select contract, tradetime, bid, ask, volatility, strike from (
+            select *, row_number() over (partition by contract, tradetime order by seq desc) rn from r) x where rn = 1),
+    j as (select contract, tradetime, raw_json from (
+            select *, row_number() over (partition by contract, tradetime order by seq desc) rn
+            from r where raw_json is not null) x where rn = 1)
+    select l.contract, l.tradetime, l.bid, l.ask, l.volatility, j.raw_json, l.strike
+    from l left join j on j.contract = l.contract and j.tradetime = l.tradetime"""
+    want = sorted(con.execute(sql).fetchall())
+    assert len(got) == len(want) and got == want
+    assert fx is not None
