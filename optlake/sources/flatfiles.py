@@ -19,9 +19,12 @@ TS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
 def write_daily_csv(df: DataFrame, root: str, date_col: str, compression: str = "gzip") -> None:
-    """Write rows as one compressed CSV set per day under ``root/day=YYYY-MM-DD``."""
+    """Write rows as compressed CSV files per day under ``root/day=YYYY-MM-DD``.
+
+    Rebalanced on the day (AQE): a day's rows stay together unless the day is
+    large, which is then split over several tasks (and files)."""
     (df.withColumn("day", F.to_date(F.col(date_col)))
-       .repartition("day")
+       .hint("rebalance", "day")
        .write.mode("overwrite").partitionBy("day").option("header", True).option("compression", compression)
        .option("timestampNTZFormat", TS_FORMAT).option("timestampFormat", TS_FORMAT)
        .csv(root))
