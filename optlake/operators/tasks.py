@@ -97,7 +97,7 @@ def next_pending(tasks: DataFrame, n: int = 1, per: list[str] | None = None) ->
     if not per:
         return pending.orderBy(*order).limit(n)
     w = Window.partitionBy(*per).orderBy(*order)
-    return pending.withColumn("claim_rank", F.row_number().over(w)).where(F.col("claim_rank") <= n)
+    return pending.withColumn("claim_rank", F.row_number().over(w).cast("long")).where(F.col("claim_rank") <= n)
 
 
 def task_state(events: DataFrame, max_retries: int | Column = DEFAULT_MAX_RETRIES) -> DataFrame:

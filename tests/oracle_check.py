@@ -19,6 +19,8 @@ sys.path.insert(0, __import__("os").path.dirname(__import__("os").path.dirname(_
 
 from optlake.plans.fixtures import TABLE_NAMES  # noqa: E402
 
+EXACT = bool(__import__("os").environ.get("ORACLE_EXACT"))
+
 
 def _canon(v):
     if v is None:
@@ -29,7 +31,7 @@ def _canon(v):
         f = float(v)
         if math.isnan(f):
             return "nan"
-        return repr(round(f, 9))
+        return repr(f) if EXACT else repr(round(f, 9))
     if isinstance(v, dt.datetime):
         return v.replace(tzinfo=None).isoformat()
     if isinstance(v, dt.date):
