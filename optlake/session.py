@@ -23,8 +23,9 @@ RUNTIME_CONF = {
     # split a hot join key even when that costs one more shuffle afterwards
     # (nearest-strike joins feed an aggregation keyed on the join keys)
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
+# (dynamic partition overwrite is passed per write by the table store, not set
+# for the whole session)
 
 _LOCAL_SCRATCH = "/tmp/optlake-scratch"
 
