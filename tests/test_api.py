@@ -56,3 +56,26 @@ def test_bars_rebar_15_minutes(spark, tmp_path):
     assert [r.last for r in one] == [30.5, 29.5]
     none = api.bars(store, "C1", "2025-01-04", "2025-01-05").collect()
     assert none == []
+
+
+def test_readme_landing_to_store_flow(spark, tmp_path):
+    import json
+
+    from optlake.operators.normalize import normalize_eod
+    from optlake.sources.pages import page_records, parse_pages, read_page_files
+
+    snap = {"details": {"ticker": "O:SPY250117P00450000", "contract_type": "put", "expiration_date": "2025-01-17",
+                        "strike_price": 450.0}, "underlying_asset": {"ticker": "SPY"},
+            "day": {"last_updated": 1735862400000000000}, "last_quote": {"bid": 1.1, "ask": 1.3}}
+    later = json.loads(json.dumps(snap))
+    later["last_quote"] = {"bid": 1.9, "ask": 2.1}
+    (tmp_path / "p1.json").write_text(json.dumps({"results": [snap]}))
+    (tmp_path / "p2.json").write_text(json.dumps({"results": [later]}))
+    store = TableStore(spark, str(tmp_path / "store"))
+    pages = page_records(parse_pages(read_page_files(spark, str(tmp_path / "p*.json"))))
+    rows = normalize_eod(pages, keep=["page_id", "pos"])
+    store.upsert_eod(rows.withColumn("fetched_at", F.lit("2025-01-10 21:00:00").cast("timestamp"))
+                         .withColumn("seq", F.struct("page_id", "pos")).drop("page_id", "pos"))
+    out = api.eod(store, underlying_symbol="SPY", option_type="put", exp_date_eq="2025-01-17",
+                  tradetime_from="2025-01-03", tradetime_to="2025-01-10", sort="-strike").collect()
+    assert len(out) == 1 and (out[0].bid, out[0].ask) == (1.9, 2.1)
