@@ -60,6 +60,19 @@ class TableStore:
         p = jvm.org.apache.hadoop.fs.Path(self.path(name))
         return p.getFileSystem(conf).exists(p)
 
+    def has_partitions(self, name: str) -> bool:
+        """Whether the table holds any partition folder (one directory
+        listing of the table root, not a listing of its files)."""
+        part = PARTITIONING.get(name)
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        root = jvm.org.apache.hadoop.fs.Path(self.path(name))
+        fs = root.getFileSystem(conf)
+        if not fs.exists(root):
+            return False
+        prefix = f"{part[0]}=" if part else "part-"
+        return any(st.getPath().getName().startswith(prefix) for st in fs.listStatus(root))
+
     def ensure(self, name: str) -> None:
         """Create an empty table with its fixed schema if missing."""
         if self.exists(name):
@@ -122,7 +135,7 @@ class TableStore:
         name = "option_eod"
         held = self.read(name)
         staged = self.with_partition(name, staged)
-        if not held.inputFiles():
+        if not self.has_partitions(name):
             # first load: nothing held, nothing read from the target, so the
             # fold is written straight into the table
             self.overwrite_partitions(name, upsert_eod(None, staged.drop("trade_month"), seq=seq), staged_copy=False)
