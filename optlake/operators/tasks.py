@@ -203,3 +203,24 @@ def task_counts(tasks: DataFrame, by: list[str]) -> DataFrame:
         F.sum("api_requests_made").cast("long").alias("api_requests_made"),
     )
     return out.withColumn("api_call_units", F.col("api_requests_made") * F.lit(CALL_UNITS_PER_REQUEST))
+
+
+def job_result(jobs: DataFrame, tasks: DataFrame, changes: DataFrame | None = None) -> DataFrame:
+    """The job result record: job summary (A1) with the task id list, plus
+    updated / unchanged row counts from change labels (W2) carrying a
+    ``job_id`` (zeros without them).  ``jobs`` needs job_id, endpoint,
+    status."""
+    s = job_summary(jobs, tasks, with_ids=True)
+    zero = F.lit(0).cast("long")
+    if changes is not None:
+        c = changes.groupBy("job_id").agg(
+            F.count_if(F.col("change") == "updated").alias("updated_rows"),
+            F.count_if(F.col("change") == "unchanged").alias("skipped_existing_rows"))
+        s = s.join(c, "job_id", "left")
+        upd, skip = F.coalesce(F.col("updated_rows"), zero), F.coalesce(F.col("skipped_existing_rows"), zero)
+    else:
+        upd, skip = zero, zero
+    return s.select(
+        F.col("job_id").cast("long").alias("job_id"), "endpoint", "status", "requested_tasks", "completed_tasks",
+        "failed_tasks", "inserted_rows", upd.alias("updated_rows"), skip.alias("skipped_existing_rows"),
+        "api_requests_made", "api_call_units_estimated", "unresolved_tasks")

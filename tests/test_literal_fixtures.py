@@ -162,3 +162,22 @@ def test_page_files_read(spark, tmp_path):
     out = sorted(r.contract for r in normalize_contracts(recs).collect())
     assert out == ["X1", "X2"]
     assert F is not None
+
+
+def test_config_to_job_and_result(spark):
+    from optlake.config import BackfillConfig, configs_frame
+    from optlake.operators.tasks import create_jobs, job_result
+    from optlake.schemas import JOB_RESULT
+
+    cfg = configs_frame(spark, [BackfillConfig("eod", underlying_symbol="SPY", option_type="put",
+                                               fields=("contract", "bid"), sort="-strike")])
+    jobs = create_jobs(cfg, split="endpoint", order=["underlying_symbol"], max_held_job_id=41)
+    j = jobs.collect()[0]
+    assert (j.job_id, j.status, j.page_limit, j.max_pages_per_task, j.fields, j.sort) == (42, "pending", 1000, 25, "contract,bid", "-strike")
+    tasks = _tasks(spark, [(11, 42, "completed", 45, 3), (12, 42, "failed", 0, 0)])
+    changes = spark.createDataFrame([(42, "updated"), (42, "unchanged"), (42, "inserted")], "job_id long, change string")
+    r = job_result(jobs.select("job_id", "endpoint", "status"), tasks, changes)
+    assert [f.name for f in r.schema.fields] == [f.name for f in JOB_RESULT.fields]
+    row = r.collect()[0]
+    assert (row.inserted_rows, row.updated_rows, row.skipped_existing_rows, row.api_call_units_estimated,
+            list(row.unresolved_tasks)) == (45, 1, 1, 30, [12])
