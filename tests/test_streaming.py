@@ -98,3 +98,20 @@ def test_upsert_stream_two_loads_match_oracle(spark, tmp_path):
     want = sorted(con.execute(sql).fetchall())
     assert len(got) == len(want) and got == want
     assert fx is not None
+
+
+def test_landing_stream_one_page_per_file(spark, tmp_path):
+    import json
+
+    land = tmp_path / "land"
+    land.mkdir()
+    (land / "a.json").write_text(json.dumps({"results": [{"ticker": "C1", "strike_price": 1.0},
+                                                         {"ticker": "C2", "strike_price": 2.0}]}))
+    (land / "b.json").write_text(json.dumps({"data": [{"id": "x", "type": "t", "attributes": {"contract": "C3"}}]}))
+    rows = X.landing_stream(spark, str(land / "*.json"), "contracts", one_page_per_file=True)
+    sink, ck = str(tmp_path / "sink"), str(tmp_path / "ck")
+    q = rows.select("page_id", "pos", "contract", "strike").writeStream.format("parquet") \
+        .option("path", sink).option("checkpointLocation", ck).trigger(availableNow=True).start()
+    q.awaitTermination()
+    got = sorted((r.page_id.rsplit("/", 1)[1], r.pos, r.contract, r.strike) for r in spark.read.parquet(sink).collect())
+    assert got == [("a.json", 0, "C1", 1.0), ("a.json", 1, "C2", 2.0), ("b.json", 0, "C3", None)]
