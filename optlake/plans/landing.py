@@ -72,9 +72,10 @@ def contract_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def chain_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = fx.contracts_like(spark, sf_dir)
-    e = fx.eod_raw_like(spark, sf_dir)
-    rows = e.join(c, "contract")
+    # join on the numeric part key (the contract code is a function of it)
+    c = fx.contracts_like(spark, sf_dir, with_part_key=True).withColumnRenamed("p_partkey", "part_key")
+    e = fx.eod_raw_like(spark, sf_dir).drop("contract")
+    rows = e.join(c, "part_key")
     shape = F.col("src_id") % 3
     modern = F.struct(
         F.struct(F.col("contract").alias("ticker"), F.col("option_type").alias("contract_type"),
