@@ -153,3 +153,42 @@ def q_stream_landing(spark, sf_dir):
         .writeStream.format("parquet").outputMode("append").option("path", sink)
     _run(X._start(q, ck, True))
     return spark.read.parquet(sink)
+
+
+STREAM_UPSERT_SQL = """
+, rows_ as (select r.*, c.underlying_symbol, c.exp_date, c.option_type, c.strike
+            from eod_raw_like r join contracts_like c on c.contract = r.contract),
+f as (select contract, tradetime, underlying_symbol, exp_date, option_type, strike, volume from (
+          select *, row_number() over (partition by contract, tradetime order by seq) as rn from rows_) x where rn = 1),
+l as (select contract, tradetime, bid, ask, volatility, delta, fetched_at from (
+          select *, row_number() over (partition by contract, tradetime order by seq desc) as rn from rows_) x where rn = 1),
+j as (select contract, tradetime, raw_json from (
+          select *, row_number() over (partition by contract, tradetime order by seq desc) as rn
+          from rows_ where raw_json is not null) x where rn = 1)
+select f.contract, f.tradetime, f.underlying_symbol, f.exp_date, f.option_type, f.strike, f.volume,
+       l.bid, l.ask, l.volatility, l.delta, l.fetched_at, j.raw_json
+from f join l on l.contract = f.contract and l.tradetime = f.tradetime
+left join j on j.contract = f.contract and j.tradetime = f.tradetime
+"""
+
+
+@query("stream_upsert_loads", ["eod_raw_like", "contracts_like"], STREAM_UPSERT_SQL)
+def q_stream_upsert_loads(spark, sf_dir):
+    """X2 over two loads: the held rows land and stream into the table
+    first, the fresh rows later; the second run folds them with the held
+    months of the table (pruned read, staged copy, dynamic overwrite)."""
+    c = fx.contracts_like(spark, sf_dir).select("contract", "underlying_symbol", "exp_date", "option_type", "strike")
+    raw = fx.eod_raw_like(spark, sf_dir).select(
+        "contract", "tradetime", "bid", "ask", "volatility", "delta", "fetched_at", "raw_json", "volume", "seq",
+        "load_side")
+    land = scratch_path(spark, "landing-eod")
+    raw.join(c, "contract").write.partitionBy("load_side").parquet(land)
+    store = TableStore(spark, scratch_path(spark, "store"))
+    for side in ("O", "F"):
+        folder = f"{land}/load_side={side}"
+        src = spark.readStream.schema(spark.read.parquet(folder).schema).parquet(folder)
+        _run(X.upsert_stream(src, store, scratch_path(spark, f"ck-upsert-{side}")))
+    t = store.read("option_eod")
+    return t.select("contract", F.to_date("tradetime").alias("tradetime"), "underlying_symbol", "exp_date",
+                    "option_type", "strike", "volume", "bid", "ask", "volatility", "delta",
+                    F.col("fetched_at").cast("timestamp_ntz").alias("fetched_at"), "raw_json")
