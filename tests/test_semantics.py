@@ -144,3 +144,23 @@ def test_c4_signature_matches_canonical_json(spark):
                                               "filter[tradetime_eq]": F.lit("2025-01-03")}).alias("s")).collect()[0].s
     payload = json.dumps({"endpoint": "eod", "params": {"filter[contract]": "C1"}}, sort_keys=True, separators=(",", ":"))
     assert sig == hashlib.sha1(payload.encode()).hexdigest()
+
+
+def test_q2_typed_key_dedupes_date_and_midnight_text(spark):
+    recs = [{"contract": "C1", "tradetime": "2025-01-03", "bid": 1.0},
+            {"contract": "C1", "tradetime": "2025-01-03 00:00:00", "bid": 2.0}]
+    rows = normalize_eod(_recs(spark, {"results": recs}), keep=["pos"]).withColumnRenamed("pos", "seq")
+    out = keep_last(rows.select("contract", "tradetime", "bid", "seq"), ["contract", "tradetime"]).collect()
+    assert [(r.contract, r.bid) for r in out] == [("C1", 2.0)]
+
+
+def test_q20_bad_rows_quarantined_with_reasons(spark):
+    from optlake.operators.checks import OPTION_TYPES, validate
+
+    df = spark.createDataFrame([("C1", "put", 1.0), (None, "put", 1.0), ("C3", "straddle", None)],
+                               "contract string, option_type string, bid double")
+    good, bad = validate(df, not_null=["contract"], allowed={"option_type": OPTION_TYPES},
+                         rules={"bid missing": F.col("bid").isNull()})
+    assert [r.contract for r in good.collect()] == ["C1"]
+    got = sorted((r.contract or "", list(r.reasons)) for r in bad.collect())
+    assert got == [("", ["contract is null"]), ("C3", ["option_type not allowed", "bid missing"])]
