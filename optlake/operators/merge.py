@@ -8,7 +8,8 @@ holds a large share of the rows costs no more than its partial states.
 
 ``seq`` orders the rows of a key (later wins).  It may be any orderable type
 (a long, or a struct such as (load id, file, position)) and must be unique
-within a key, or the result would depend on timing.
+within a key, or the result would depend on timing.  It must not be NULL:
+``max_by`` / ``min_by`` skip rows whose ordering is NULL.
 """
 
 from __future__ import annotations
