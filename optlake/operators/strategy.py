@@ -45,10 +45,11 @@ def chain_slice(chain: DataFrame, fs: FilterSet) -> DataFrame:
 def chain_entries(chain: DataFrame, option_type: str = "put", spot_divisor: float = 1.8) -> DataFrame:
     """One entry per (underlying, trade date, expiry) of the ``option_type``
     chain, with a stand-in close: (lowest + highest strike) / ``spot_divisor``."""
+    # grouped on all four chain keys, in join-key order, so the entries come
+    # out hash-partitioned the way the nearest-strike join needs them
     return (chain.where(F.col("option_type") == option_type)
-            .groupBy("underlying_symbol", "tradetime", "exp_date")
-            .agg(((F.min("strike") + F.max("strike")) / F.lit(spot_divisor)).alias("spot"))
-            .withColumn("option_type", F.lit(option_type)))
+            .groupBy(*CHAIN_KEY)
+            .agg(((F.min("strike") + F.max("strike")) / F.lit(spot_divisor)).alias("spot")))
 
 
 def nearest_strike(entries: DataFrame, chain: DataFrame, target: str = "target",
