@@ -81,6 +81,17 @@ def map_stream(df: DataFrame, cols: list, schema: str,
     return df.select(*cols).mapInArrow(run, struct)
 
 
+# Words are runs of ASCII digits and letters and of non-ASCII characters:
+# every other byte becomes a blank, A-Z become a-z.
+WORD_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32
+                   for b in range(256))
+
+
+def words_of(text: str | None) -> list[bytes]:
+    """Lower-cased words (UTF-8) of a whole text."""
+    return (text or "").encode().translate(WORD_BYTES).split()
+
+
 class Scratch:
     """Shared-folder copies of intermediates.
 

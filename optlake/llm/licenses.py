@@ -21,7 +21,7 @@ import re
 import ahocorasick
 from pyspark.sql import DataFrame
 
-from optlake.llm.common import map_columns
+from optlake.llm.common import map_columns, words_of
 
 # Phrases of the contract and their labels.
 BASE_PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
@@ -52,17 +52,6 @@ _BINDS = {"or": 1, "and": 2, "with": 3}
 _TOKEN = re.compile(r"\(|\)|[a-z0-9][a-z0-9.+-]*")
 _VERSION = re.compile(r"-v?\d[\d.]*(-only|-or-later|-clause)?\+?$|\+$")
 
-# Words are runs of ASCII digits and letters and of non-ASCII characters:
-# every other byte becomes a blank, A-Z become a-z.
-_WORD_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32
-                    for b in range(256))
-
-
-def words_of(text: str | None) -> list[bytes]:
-    """Lower-cased words (UTF-8) of a whole text."""
-    return (text or "").encode().translate(_WORD_BYTES).split()
-
-
 def automaton(patterns) -> ahocorasick.Automaton:
     found = ahocorasick.Automaton()
     for p in patterns:

@@ -25,6 +25,17 @@ def query(name: str):
     return wrap
 
 
+@query("op4_toxicity")
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document; labels are learnt from rows that are not held out."""
+    from optlake.llm.toxicity import fit, held_out, score_toxicity
+
+    docs = table(spark, sf_dir, "documents")
+    model = fit(docs, table(spark, sf_dir, "labels").where(~held_out()).select("doc_id", "toxic"), Scratch(spark))
+    return score_toxicity(docs, model).select(
+        "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 @query("op5_url_templates")
 def op5_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict of every page url."""

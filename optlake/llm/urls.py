@@ -124,13 +124,13 @@ def learn_templates(labelled: DataFrame, scratch: Scratch, min_purity: float = M
             .drop("shape", "seg", "alike"), f"url-branch-{d}")
         scratch.drop(before)
     tree = tree.withColumn("template", F.concat(F.lit("/"), F.array_join("segs", "/")))
-    total = tree.agg(F.sum("lab").alias("all_lab"), F.sum("good").alias("all_good"))
+    total = tree.agg(F.sum("lab").alias("lab"), F.sum("good").alias("good")).first()  # one row
     hosts = tree.groupBy("host").agg(F.sum("lab").alias("host_lab"), F.sum("good").alias("host_good"))
     leaf = tree.groupBy("host", "template").agg(F.sum("lab").alias("labelled"), F.sum("good").alias("good"))
-    base = (F.col("all_good") + 1) / (F.col("all_lab") + 2)
+    base = F.lit(((total.good or 0) + 1) / ((total.lab or 0) + 2))
     prior = (F.col("host_good") + PRIOR_WEIGHT * base) / (F.col("host_lab") + PRIOR_WEIGHT)
     purity = (F.col("good") + PRIOR_WEIGHT * prior) / (F.col("labelled") + PRIOR_WEIGHT)
-    judged = (leaf.join(hosts, "host").join(F.broadcast(total))  # one row
+    judged = (leaf.join(hosts, "host")
               .select("host", "template", "labelled", purity.alias("purity")))
     return (tree.select("host", "typed", "template").join(judged, ["host", "template"])
             .withColumn("allow", F.col("purity") >= min_purity))
