@@ -44,6 +44,17 @@ def op5_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), page_labels(table(spark, sf_dir, "labels")), Scratch(spark))
 
 
+@query("op6_byte_bpe")
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, and the bytes they decode to, as digests."""
+    import public_tokenizers
+
+    from optlake.llm.bpe import encode_decode, load_ranks
+
+    ranks = load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return encode_decode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, Scratch(spark), with_ids=False)
+
+
 @query("op7_licenses")
 def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence findings of every document."""
