@@ -25,6 +25,15 @@ def query(name: str):
     return wrap
 
 
+@query("op2_pii")
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document."""
+    from optlake.llm.pii import find_pii, train_tagger
+
+    docs = table(spark, sf_dir, "documents")
+    return find_pii(docs, train_tagger(docs))
+
+
 @query("op4_toxicity")
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document; labels are learnt from rows that are not held out."""
