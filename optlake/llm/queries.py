@@ -75,6 +75,14 @@ def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "base_labels", "labels", "score")
 
 
+@query("op9_top_k")
+def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 highest integer inner products of every hundredth vector."""
+    from optlake.llm.topk import top_k
+
+    return top_k(table(spark, sf_dir, "embeddings"), Scratch(spark))
+
+
 #: A conversation whose texts hold control strings.
 CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
 
