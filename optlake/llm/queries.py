@@ -75,6 +75,14 @@ def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "base_labels", "labels", "score")
 
 
+@query("op8_decontaminate")
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Test items that documents hold, with the place and score of the best passage."""
+    from optlake.llm.decontam import find_leaks
+
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), Scratch(spark))
+
+
 @query("op9_top_k")
 def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 10 highest integer inner products of every hundredth vector."""
