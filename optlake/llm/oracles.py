@@ -17,3 +17,34 @@ with whole as (
 )
 select query_id, cast(rank as int) as rank, vec_id, score from ranked where rank <= 10
 """
+
+# Exact: all pairs of documents that share a shingle, then the smallest reachable id.
+ORACLES["op1_minhash_neardup"] = r"""
+with recursive words as (
+  select doc_id, list_filter(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\x20\x09-\x0D]+'), lambda w: w <> '') as w
+  from documents
+), sets as (
+  select doc_id, case when len(w) = 0 then [] when len(w) = 1 then w
+           else list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) end as s
+  from words
+), shingles as (
+  select doc_id, len(s) as n, unnest(s) as g from sets
+), counted as (
+  select a.doc_id as x, b.doc_id as y, any_value(a.n) as nx, any_value(b.n) as ny, count(*) as both_
+  from shingles a join shingles b on a.g = b.g and a.doc_id < b.doc_id
+    and 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+  group by 1, 2
+), links as (
+  select x, y from counted where 100 * both_ >= 80 * (nx + ny - both_)
+  union select y, x from counted where 100 * both_ >= 80 * (nx + ny - both_)
+), reach as (
+  select doc_id as x, doc_id as y from documents
+  union select r.x, l.y from reach r join links l on r.y = l.x
+), smallest as (
+  select x, min(y) as component_id from reach group by x
+)
+select s.doc_id, cast(len(s.s) as bigint) as n_shingles, m.component_id, m.component_id = s.doc_id as kept
+from sets s join smallest m on m.x = s.doc_id
+"""

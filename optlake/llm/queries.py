@@ -25,6 +25,14 @@ def query(name: str):
     return wrap
 
 
+@query("op1_minhash_neardup")
+def op1_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents on two-word shingles."""
+    from optlake.llm.neardup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"), Scratch(spark), size=2)
+
+
 @query("op2_pii")
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of every document."""
