@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType, _parse_datatype_string
 
@@ -81,6 +82,29 @@ def map_stream(df: DataFrame, cols: list, schema: str,
     return df.select(*cols).mapInArrow(run, struct)
 
 
+def fold_partition(df: DataFrame, cols: list, schema: str, fold: Callable[[Iterator[list[list]]], list],
+                   rows: int = 100_000) -> DataFrame:
+    """One result per partition: ``fold(batches)`` consumes its batches (as lists of columns) and returns arrays."""
+    struct: StructType = _parse_datatype_string(schema)
+    out = to_arrow_schema(struct)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got = fold([c.to_pylist() for c in b.columns] for b in batches)
+        for a in range(0, len(got[0]), rows):
+            yield pa.RecordBatch.from_arrays([pa.array(c[a:a + rows], f.type) for c, f in zip(got, out)], schema=out)
+
+    return df.select(*cols).mapInArrow(run, struct)
+
+
+#: Ids that may be broadcast (8 bytes each); more are joined by a shuffle.
+BROADCAST_IDS = 1_000_000
+
+
+def broadcast_if_few(ids: DataFrame) -> DataFrame:
+    """The frame, marked for broadcast when its counted rows are at most BROADCAST_IDS."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
 # Words are runs of ASCII digits and letters and of non-ASCII characters:
 # every other byte becomes a blank, A-Z become a-z.
 WORD_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32

@@ -42,6 +42,15 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_pii(docs, train_tagger(docs))
 
 
+@query("op3_lm_difference")
+def op3_lm_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cross-entropy difference of every document; the target is what is labelled of good quality."""
+    from optlake.llm.lm import score_documents
+
+    wanted = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    return score_documents(table(spark, sf_dir, "documents"), wanted)
+
+
 @query("op4_toxicity")
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document; labels are learnt from rows that are not held out."""
