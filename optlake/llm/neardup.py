@@ -14,17 +14,18 @@ when the Jaccard similarity of their full sets reaches ``percent`` / 100.
 3. Star: in each bucket of a key all members are compared with its smallest
    member only.  Links are confirmed on the full shingle sets of the texts and
    joined into components.
-4. Rest: a bucket whose members lie in several components is not finished.
-   The members outside its largest component are compared with all members of
-   other components, unless their signatures differ in more than MAX_ERRORS
-   symbols.  Buckets with more than ``DENSE`` such members are first split by
-   their members' keys of the other chunks (two chunks then
-   have at most one error, which every pair that differs in fewer than
-   2 * CHUNKS - 2 symbols has).
-
-A large group of near copies so costs a star per bucket, not all its pairs, and
-no link between different texts is lost to skew.  At a similarity of 0.8 and 10
-chunks of 5 symbols, a pair shares no key with probability 2e-6.
+4. Rest: a bucket of three or more whose members lie in several components is
+   not finished.  The members outside its largest component (the outsiders) are
+   compared with all members of other components.  Where that is few pairs they
+   are formed, kept if their signatures differ in at most MAX_ERRORS symbols,
+   and confirmed.  Larger buckets are gathered by their largest component:
+   outsiders and members meet in tiles of bounded size, a tile counts the common
+   shingles of all its pairs through an inverted list, and only links come out.
+
+A large group of near copies so costs a star per bucket and its outsiders'
+tiles, never rows for all its pairs, and no link between different texts is
+lost to skew.  At a similarity of 0.8 and 10 chunks of 5 symbols, a pair shares
+no key with probability 2e-6.
 
 Links and components stay in Spark; components are found by the alternating
 large-star and small-star steps, each written to the shared scratch folder.
@@ -38,21 +39,22 @@ them carry that id.  Null ids take no part in links (component null, kept).
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from optlake.llm.common import Scratch, map_columns
+from optlake.llm.common import Scratch, broadcast_if_few, map_columns
 
 #: Chunks of a signature, symbols of a chunk (16 bits each).
 CHUNKS, CHUNK = 10, 5
 SYMBOLS = CHUNKS * CHUNK
 #: Differing symbols beyond which unfinished buckets' pairs are not compared (5 standard deviations at 0.8).
 MAX_ERRORS = 24
-#: Members of an unfinished bucket outside its largest component, before it is split.
-DENSE = 32
-#: Document ids that may be broadcast (8 bytes each); more are joined by a shuffle.
-BROADCAST_IDS = 1_000_000
+#: Outsiders times members of an unfinished bucket up to which its pairs are formed.
+FEW_PAIRS = 256
+#: Shingles of a tile's outsiders and of its members.
+TILE_OUTSIDE, TILE_MEMBERS = 1 << 19, 1 << 21
 _MEMO = 1 << 20
 
 
@@ -147,7 +149,7 @@ def features(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFram
 
 
 def bucket_keys(classes: DataFrame, size: int) -> DataFrame:
-    """(key, chunk, rep) for every key of every class."""
+    """(key, rep) for every key of every class."""
     def start():
         hasher = Hasher(size)
 
@@ -157,16 +159,13 @@ def bucket_keys(classes: DataFrame, size: int) -> DataFrame:
         return step
 
     keyed = map_columns(classes, ["rep", "signature"], "rep long, keys array<long>", start)
-    return keyed.select(F.posexplode("keys").alias("pos", "key"), "rep").select(
-        "key", F.expr(f"pos div {CHUNK}").alias("chunk"), "rep")
+    return keyed.select(F.explode("keys").alias("key"), "rep")
 
 
 def texts_of(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(rep, text) of the documents in ``ids`` (column rep); broadcast if they are few enough."""
-    ids = ids.distinct()
-    few = ids.count() <= BROADCAST_IDS
+    """(rep, text) of the documents in ``ids`` (column rep); their ids are broadcast if they are few enough."""
     plain = docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("text"))
-    return plain.join(F.broadcast(ids) if few else ids, "rep", "left_semi")
+    return plain.join(broadcast_if_few(ids.distinct()), "rep", "left_semi")
 
 
 def verify(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
@@ -219,15 +218,83 @@ def _is_star_forest(edges: DataFrame) -> bool:
     return not edges.select(F.col("b").alias("a")).distinct().join(edges, "a", "left_semi").limit(1).count()
 
 
-def _pairs_of_buckets(members: DataFrame, key: list[str]) -> DataFrame:
-    """(a, b): in each bucket, members outside its largest component against members of other components."""
-    size = members.groupBy(*key, "component").agg(F.count("*").alias("n"))
-    main = (size.groupBy(*key).agg(F.max(F.struct("n", "component")).alias("top"), F.count("*").alias("parts"))
-            .where("parts > 1").select(*key, F.col("top.component").alias("main")))
-    rows = members.select(*key, "rep", "component").join(main, key)
-    outside = rows.where("component <> main").select(*key, F.col("rep").alias("x"), F.col("component").alias("cx"))
-    return (outside.join(rows, key).where("cx <> component")
-            .select(F.least("x", "rep").alias("a"), F.greatest("x", "rep").alias("b")))
+def _open_buckets(members: DataFrame) -> DataFrame:
+    """(key, rep, component, main, few) of buckets of three or more members in several components."""
+    parts = members.groupBy("key", "component").agg(F.count("*").alias("n"))
+    open_ = (parts.groupBy("key").agg(F.count("*").alias("parts"), F.sum("n").alias("members"),
+                                      F.max(F.struct("n", "component")).alias("top"))
+             .where("parts > 1 and members > 2")
+             .select("key", F.col("top.component").alias("main"),
+                     ((F.col("members") - F.col("top.n")) * F.col("members") <= FEW_PAIRS).alias("few")))
+    return members.select("key", "rep", "component").join(open_, "key")
+
+
+def _few_pairs(buckets: DataFrame) -> DataFrame:
+    """(a, b): outsiders against members of other components, bucket by bucket."""
+    outside = buckets.where("component <> main").select("key", F.col("rep").alias("x"), F.col("component").alias("cx"))
+    return (outside.join(buckets.select("key", "rep", "component"), "key").where("cx <> component")
+            .select(F.least("x", "rep").alias("a"), F.greatest("x", "rep").alias("b")).distinct())
+
+
+def common_counts(outside: list[np.ndarray], member: np.ndarray, index: tuple) -> np.ndarray:
+    """Common shingles of one member and every outsider of a tile."""
+    vocab, first, owner = index
+    at = np.searchsorted(vocab, member)
+    at[at == len(vocab)] = 0
+    hit = at[vocab[at] == member]
+    num = first[hit + 1] - first[hit]
+    take = np.arange(num.sum()) + np.repeat(first[hit] - (np.cumsum(num) - num), num)
+    return np.bincount(owner[take], minlength=len(outside))
+
+
+def inverted(outside: list[np.ndarray]) -> tuple:
+    """(shingles, starts of their owners, owners) of the outsiders' sets."""
+    flat = np.concatenate(outside)
+    owner = np.repeat(np.arange(len(outside)), [len(s) for s in outside])
+    order = np.argsort(flat, kind="stable")
+    vocab, first = np.unique(flat[order], return_index=True)
+    return vocab, np.append(first, len(flat)), owner[order]
+
+
+def _tiles(buckets: DataFrame, docs: DataFrame, nodes: DataFrame, scratch: Scratch, size: int, percent: int, id_col: str,
+           text_col: str) -> DataFrame:
+    """(a, b): links between outsiders and members of the buckets, gathered by their largest component."""
+    rows = scratch.keep(buckets.select("main", "rep", "component").distinct().join(nodes.select("rep", "n"), "rep"), "tile-rows")
+
+    def start():
+        hasher = Hasher(size)
+        return lambda reps, texts: [reps, [hasher.shingles(t).tobytes() for t in texts]]
+
+    sets = map_columns(texts_of(docs, rows.select("rep"), id_col, text_col), ["rep", "text"], "rep long, shingles binary", start)
+    cut = rows.groupBy("main").agg(F.ceil(F.sum("n") / TILE_MEMBERS).cast("int").alias("ny"),
+                                   F.ceil(F.sum(F.when(F.col("component") != F.col("main"), F.col("n"))) / TILE_OUTSIDE).cast("int").alias("nx"))
+    full = scratch.keep(rows.join(sets.distinct(), "rep").join(cut, "main"), "tile-sets")
+
+    def spread(n):
+        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+
+    def own(n):
+        return F.pmod(F.xxhash64("rep"), F.col(n)).cast("int")
+
+    members = full.select("main", spread("nx").alias("bx"), own("ny").alias("by"), "rep", "component", "shingles")
+    outside = full.where("component <> main").select("main", own("nx").alias("bx"), spread("ny").alias("by"), "rep", "component", "shingles")
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def tile(xs: pa.Table, ys: pa.Table) -> pa.Table:
+        found = []
+        if xs.num_rows and ys.num_rows:
+            reps, comps = xs["rep"].to_numpy(), xs["component"].to_numpy()
+            held = [np.frombuffer(s, np.uint64) for s in xs["shingles"].to_pylist()]
+            sizes, index = np.array([len(s) for s in held]), inverted(held)
+            for y, c, s in zip(ys["rep"].to_pylist(), ys["component"].to_pylist(), ys["shingles"].to_pylist()):
+                s = np.frombuffer(s, np.uint64)
+                both = common_counts(held, s, index)
+                good = (100 * both >= percent * (sizes + len(s) - both)) & (comps != c)
+                found += [(min(x, y), max(x, y)) for x in reps[good].tolist()]
+        return pa.table([pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)], schema=schema)
+
+    key = ["main", "bx", "by"]
+    return outside.groupBy(*key).cogroup(members.groupBy(*key)).applyInArrow(tile, "a long, b long").distinct()
 
 
 def close_signatures(pairs: DataFrame) -> DataFrame:
@@ -267,7 +334,12 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, size: int = 5, percent: i
     scratch.drop(texts)
 
     members = buckets.join(comp, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    more = scratch.keep(_candidates(_unfinished_pairs(members, rows).join(star, ["a", "b"], "left_anti"), nodes, percent), "rest")
+    open_ = scratch.keep(_open_buckets(members), "open-buckets")
+    few = _candidates(_few_pairs(open_.where("few")).join(star, ["a", "b"], "left_anti"), nodes, percent)
+    many = open_.where("not few")
+    if many.limit(1).count():
+        few = few.unionByName(_tiles(many, docs, nodes, scratch, size, percent, id_col, text_col)).distinct()
+    more = scratch.keep(few, "rest")
     if more.limit(1).count():
         ends = more.select(F.col("a").alias("rep")).unionByName(more.select(F.col("b").alias("rep")))
         texts = scratch.keep(texts_of(docs, ends, id_col, text_col), "texts")
@@ -275,7 +347,7 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, size: int = 5, percent: i
         scratch.drop(texts)
         if rest.limit(1).count():
             comp = scratch.keep(components(links.unionByName(rest), scratch), "components")
-    scratch.drop(buckets, star, more)
+    scratch.drop(buckets, star, open_, more)
     own = F.col("doc_id").isNotNull()
     return (feats.select("doc_id", "n_shingles", "set_a", "set_b")
             .join(classes.select("set_a", "set_b", "rep"), ["set_a", "set_b"], "left").join(comp, "rep", "left")
@@ -289,15 +361,3 @@ def _candidates(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     b = nodes.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("signature").alias("sb"))
     both = pairs.join(a, "a").join(b, "b").where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
     return close_signatures(both)
-
-
-def _unfinished_pairs(members: DataFrame, rows: DataFrame) -> DataFrame:
-    """Pairs of unfinished buckets; dense buckets are split by the keys of their members' other chunks first."""
-    parts = members.groupBy("key", "component").agg(F.count("*").alias("n"))
-    open_ = (parts.groupBy("key").agg(F.count("*").alias("parts"), (F.sum("n") - F.max("n")).alias("outside"))
-             .where("parts > 1").select("key", (F.col("outside") > DENSE).alias("dense")))
-    now = members.join(open_, "key").select("key", "chunk", "rep", "component", "dense")
-    second = rows.select(F.col("key").alias("key2"), F.col("chunk").alias("chunk2"), "rep")
-    split = now.where("dense").join(second, "rep").where("chunk <> chunk2")
-    return (_pairs_of_buckets(now.where("not dense"), ["key"])
-            .unionByName(_pairs_of_buckets(split, ["key", "key2"])).distinct())
