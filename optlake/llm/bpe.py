@@ -2,8 +2,9 @@
 
 1. Explode: each task splits its texts into pre-tokens and closes a *block*
    whenever enough distinct words are gathered.  A block keeps, per text, the
-   positions as an array of block-local word numbers, and its distinct words
-   dealt into parts by word hash (so a frequent word is one row per block).
+   positions as an array of block-local word numbers (by falling frequency, so
+   most take a byte), and its distinct words dealt into parts by word hash (so a
+   frequent word is one row per block).
 2. Encode: the words are shuffled by hash; each distinct word of the corpus is
    encoded once, in the one task that owns its hash, whatever its frequency.
 3. Join back: the ids return to the blocks that asked for them.
@@ -11,9 +12,9 @@
    numbers pick the ids in order.  Decoding joins the ids with the token-byte
    table, which is bounded by the vocabulary and read by every task.
 
-The exploded form is written to the shared scratch folder once: both the word
-shuffle and the reassembly read it, and a lost executor re-reads it.  A task
-holds one block at a time.  Defined results: null and empty texts have no ids
+The exploded form is written to the shared scratch folder once, bucketed by
+block: both the word shuffle and the reassembly read it, the positions are never
+shuffled, and a lost executor re-reads it.  A task holds one block at a time.  Defined results: null and empty texts have no ids
 and decode to no bytes; very long texts stay whole (a block holds at least one
 text); repeated rows give repeated results.
 """
@@ -37,6 +38,8 @@ from optlake.llm.common import Scratch, map_stream
 
 #: A block closes at this many distinct words or pre-tokens.
 BLOCK_WORDS, BLOCK_TOKENS = 400_000, 6_000_000
+#: Texts of a row of a block.
+TEXTS_PER_ROW = 64
 #: Parts by word hash: at least so many, and one for so many texts, so that a part's distinct words fit a task.
 WORD_PARTS, TEXTS_PER_PART = 64, 50_000
 
@@ -59,21 +62,51 @@ def _spread(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(raw.reshape(4, -1).T).view("<u4").ravel()
 
 
+def _frames(parts: list[bytes]) -> bytes:
+    packed = [zstandard.compress(p, 6) for p in parts]
+    return np.array([len(p) for p in packed], "<u4").tobytes() + b"".join(packed)
+
+
+def _unframe(data: bytes, n: int) -> list[bytes]:
+    ends = np.cumsum(np.frombuffer(data, "<u4", n), dtype=np.int64) + 4 * n
+    return [zstandard.decompress(data[a:b]) for a, b in zip([4 * n, *ends[:-1].tolist()], ends.tolist())]
+
+
+#: Word numbers below ONE take a byte; the next TWO * 256 take two, led by ONE and more; others five, led by 255.
+ONE, TWO = 176, 79
+
+
+def pack_numbers(v: np.ndarray) -> bytes:
+    """Word numbers, mostly small, as compressed byte planes."""
+    v = v.astype(np.int64)
+    q = v - ONE
+    two, more = (q >= 0) & (q < TWO * 256), q >= TWO * 256
+    lead = np.where(two, ONE + (q >> 8), np.where(more, 255, v)).astype(np.uint8)
+    rest = (q[more] - TWO * 256).astype("<u4").view(np.uint8).reshape(-1, 4).T
+    return _frames([lead.tobytes(), (q[two] & 255).astype(np.uint8).tobytes(), rest.tobytes()])
+
+
+def unpack_numbers(data: bytes) -> np.ndarray:
+    lead, second, rest = (np.frombuffer(x, np.uint8) for x in _unframe(data, 3))
+    out = lead.astype(np.int64)
+    two, more = (lead >= ONE) & (lead < 255), lead == 255
+    out[two] = ONE + ((out[two] - ONE) << 8 | second)
+    out[more] = ONE + TWO * 256 + np.ascontiguousarray(rest.reshape(4, -1).T).view("<u4").ravel()
+    return out
+
+
 def _pack_words(words: list[bytes]) -> bytes:
-    lens = np.array([len(w) for w in words], dtype="<u4").tobytes()
-    return zstandard.compress(np.uint32(len(words)).tobytes() + lens + b"".join(words), 3)
+    return _frames([np.array([len(w) for w in words], "<u4").tobytes(), b"".join(words)])
 
 
 def _unpack_words(data: bytes) -> list[bytes]:
-    raw = zstandard.decompress(data)
-    n = int(np.frombuffer(raw, "<u4", 1)[0])
-    ends = np.cumsum(np.frombuffer(raw, "<u4", n, 4), dtype=np.int64) + 4 + 4 * n
-    starts = np.concatenate(([4 + 4 * n], ends[:-1])) if n else ends
-    return [raw[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
+    lens, raw = _unframe(data, 2)
+    ends = np.cumsum(np.frombuffer(lens, "<u4"), dtype=np.int64)
+    return [raw[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
 
 
 def explode_words(docs: DataFrame, keep: list[str], text_col: str, pattern: str, word_parts: int = WORD_PARTS) -> DataFrame:
-    """Blocks: one row per text (part -1: the kept columns and positions) and one per word part."""
+    """Blocks: rows of TEXTS_PER_ROW texts (part -1: kept columns, sizes, positions) and a row per word part."""
     def start(rows: Iterator[tuple]) -> Iterator[tuple]:
         from pyspark import TaskContext
 
@@ -84,18 +117,26 @@ def explode_words(docs: DataFrame, keep: list[str], text_col: str, pattern: str,
 
         def close():
             block = task << 32 | serial
-            yield from ((block, -1, *kept, _squeeze(np.array(p, dtype="<u4")), b"") for kept, p in held)
+            often = np.bincount(np.concatenate([p for _, p in held]), minlength=len(words))
+            rank = np.empty(len(words), np.int64)
+            rank[np.argsort(-often, kind="stable")] = np.arange(len(words))
+            for a in range(0, len(held), TEXTS_PER_ROW):
+                some = held[a:a + TEXTS_PER_ROW]
+                sizes = np.array([len(p) for _, p in some], "<u4")
+                yield (block, -1, *map(list, zip(*[k for k, _ in some])), _squeeze(sizes),
+                       pack_numbers(rank[np.concatenate([p for _, p in some])]))
             parts: list[list[tuple[int, bytes]]] = [[] for _ in range(word_parts)]
-            for w, i in words.items():
+            for w, r in zip(words, rank.tolist()):
                 w = w.encode()
-                parts[xxhash.xxh3_64_intdigest(w) % word_parts].append((i, w))
+                parts[xxhash.xxh3_64_intdigest(w) % word_parts].append((r, w))
             for k, p in enumerate(parts):
                 if p:
-                    yield (block, k, *([None] * len(keep)), _squeeze(np.array([i for i, _ in p], dtype="<u4")),
+                    p.sort()
+                    yield (block, k, *([None] * len(keep)), _squeeze(np.diff([r for r, _ in p], prepend=0)),
                            _pack_words([w for _, w in p]))
 
         for *kept, text in rows:
-            positions = [number(w, len(words)) for w in split(text or "")]
+            positions = np.array([number(w, len(words)) for w in split(text or "")], dtype=np.int64)
             tokens += len(positions)
             held.append((kept, positions))
             if len(words) >= BLOCK_WORDS or tokens >= BLOCK_TOKENS:
@@ -106,13 +147,13 @@ def explode_words(docs: DataFrame, keep: list[str], text_col: str, pattern: str,
             yield from close()
 
     types = dict(docs.dtypes)
-    fields = "".join(f"`{c}` {types[c]}, " for c in keep)
+    fields = "".join(f"`{c}` array<{types[c]}>, " for c in keep)
     return map_stream(docs, [*keep, F.col(text_col).alias("__text")],
-                      f"block long, part int, {fields}positions binary, words binary", start, rows=64)
+                      f"block long, part int, {fields}numbers binary, data binary", start, rows=64)
 
 
 def encode_words(parts: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
-    """(block, part, locals, counts, ids): every distinct word of a part is encoded once."""
+    """(block, part, numbers, counts, ids): every distinct word of a part is encoded once."""
     shared = parts.sparkSession.sparkContext.broadcast(ranks)  # bounded by the vocabulary
 
     def start(rows: Iterator[tuple]) -> Iterator[tuple]:
@@ -120,7 +161,7 @@ def encode_words(parts: DataFrame, ranks: dict[bytes, int], pattern: str) -> Dat
 
         one = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=shared.value, special_tokens={})._encode_single_piece
         now, done = None, {}
-        for part, block, locals_, words in rows:
+        for part, block, numbers, words in rows:
             if part != now:  # rows come by part, so each part's words are known only while it is read
                 now, done = part, {}
             got = []
@@ -131,11 +172,11 @@ def encode_words(parts: DataFrame, ranks: dict[bytes, int], pattern: str) -> Dat
                 got.append(ids)
             counts = np.array([len(x) for x in got], dtype="<u4")
             flat = np.fromiter((i for x in got for i in x), dtype="<u4", count=int(counts.sum()))
-            yield block, part, locals_, _squeeze(counts), _squeeze(flat)
+            yield block, part, numbers, _squeeze(counts), _squeeze(flat)
 
     dealt = parts.repartition("part").sortWithinPartitions("part", "block")
-    return map_stream(dealt, ["part", "block", "positions", "words"],
-                      "block long, part int, locals binary, counts binary, ids binary", start, rows=8)
+    return map_stream(dealt, ["part", "block", "numbers", "data"],
+                      "block long, part int, numbers binary, counts binary, ids binary", start, rows=8)
 
 
 class TokenBytes:
@@ -162,9 +203,9 @@ def encode_decode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, scratc
     keep = keep or ["doc_id"]
     types = dict(docs.dtypes)
     word_parts = max(WORD_PARTS, docs.count() // TEXTS_PER_PART)
-    exploded = scratch.keep(explode_words(docs, keep, text_col, pattern, word_parts), "bpe-blocks")
-    ids = encode_words(exploded.where("part >= 0").select("part", "block", "positions", "words"), ranks, pattern)
-    texts = exploded.where("part < 0").select("block", *keep, "positions")
+    exploded = scratch.keep_bucketed(explode_words(docs, keep, text_col, pattern, word_parts), "bpe-blocks", "block")
+    ids = encode_words(exploded.where("part >= 0").select("part", "block", "numbers", "data"), ranks, pattern)
+    texts = exploded.where("part < 0").select("block", *keep, "numbers", "data")
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
     fields = "".join(f"`{c}` {types[c]}, " for c in keep)
     more = ", ids array<int>, decoded binary" if with_ids else ""
@@ -179,23 +220,24 @@ def encode_decode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, scratc
     def reassemble(left: pa.Table, right: pa.Table) -> pa.Table:
         if not table:
             table.append(TokenBytes(shared.value))
-        locals_, flat = gather(right["locals"]), gather(right["ids"])
-        counts = gather(right["counts"]).astype(np.int64)
+        flat, counts = gather(right["ids"]), gather(right["counts"]).astype(np.int64)
+        numbers = np.concatenate([np.zeros(0, np.int64), *(np.cumsum(_spread(x), dtype=np.int64) for x in right["numbers"].to_pylist())])
         first = np.concatenate(([0], np.cumsum(counts)))
-        slot = np.empty(len(locals_), np.int64)
-        slot[locals_] = np.arange(len(locals_))
+        slot = np.empty(len(numbers), np.int64)  # place of a word number's ids
+        slot[numbers] = np.arange(len(numbers))
         made: list[tuple] = []
-        for data in left["positions"].to_pylist():
-            at = slot[_spread(data)]
-            n = counts[at]
-            # the ids of a word stand at first[k] ... first[k] + counts[k]; position j of the text starts at begin[j]
-            begin = np.concatenate(([0], np.cumsum(n)))
-            got = flat[np.arange(begin[-1]) + np.repeat(first[at] - begin[:-1], n)]
-            plain = table[0].decode(got.tolist())
-            row = len(got), hashlib.sha256(got.astype("<u4").tobytes()).hexdigest(), hashlib.sha256(plain).hexdigest()
-            made.append(row + ((got.astype(np.int32), plain) if with_ids else ()))
+        for sizes, data in zip(left["numbers"].to_pylist(), left["data"].to_pylist()):
+            cut = np.cumsum(_spread(sizes), dtype=np.int64)[:-1]
+            for at in np.split(slot[unpack_numbers(data)], cut):
+                n = counts[at]
+                # the ids of a word stand at first[k] ... first[k] + counts[k]; position j of the text starts at begin[j]
+                begin = np.concatenate(([0], np.cumsum(n)))
+                got = flat[np.arange(begin[-1]) + np.repeat(first[at] - begin[:-1], n)]
+                plain = table[0].decode(got.tolist())
+                row = len(got), hashlib.sha256(got.astype("<u4").tobytes()).hexdigest(), hashlib.sha256(plain).hexdigest()
+                made.append(row + ((got.astype(np.int32), plain) if with_ids else ()))
         new = zip(*made) if made else [[]] * (len(out) - len(keep))
-        cols = [left[c].combine_chunks() for c in keep] + list(new)
+        cols = [left[c].combine_chunks().flatten() for c in keep] + list(new)
         return pa.Table.from_arrays([c.cast(f.type) if isinstance(c, (pa.Array, pa.ChunkedArray)) else pa.array(c, f.type)
                                      for c, f in zip(cols, out)], schema=out)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -136,6 +137,18 @@ class Scratch:
         got._scratch = self  # the copy is known by its reader
         return got
 
+    def keep_bucketed(self, df: DataFrame, label: str, column: str) -> DataFrame:
+        """Like ``keep``, but the copy is bucketed: grouping it by ``column`` needs no shuffle."""
+        path = scratch_path(self.spark, label)
+        name = f"scratch_{uuid.uuid4().hex}"
+        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        df.write.bucketBy(buckets, column).format("parquet").option("path", path).saveAsTable(name)
+        got = self.spark.table(name)
+        self.spark.sql(f"drop table {name}")  # the name only: the files are the scratch copy
+        self.paths[id(got)] = path
+        got._scratch = self
+        return got
+
     def drop(self, *frames: DataFrame) -> None:
         for f in frames:
             path = self.paths.pop(id(f), None)

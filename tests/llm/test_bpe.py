@@ -42,3 +42,13 @@ def test_query(llm):
     got = {r.doc_id: tuple(r)[1:] for r in QUERIES["op6_byte_bpe"](llm, "/root/testdata/sf0.001").collect()}
     rows = llm.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()
     assert got == {r.doc_id: want(r.text) for r in rows}
+
+
+def test_number_packing():
+    r = np.random.default_rng(0)
+    for v in ([], [0], [175, 176, 177, 176 + 79 * 256 - 1, 176 + 79 * 256, 2**31], r.integers(0, 2**20, 5000), r.integers(0, 400, 999)):
+        v = np.array(v, np.int64)
+        assert B.unpack_numbers(B.pack_numbers(v)).tolist() == v.tolist()
+        assert B._spread(B._squeeze(v)).tolist() == v.tolist()
+    words = [b"", b"a", "é".encode() * 9]
+    assert B._unpack_words(B._pack_words(words)) == words
