@@ -14,10 +14,8 @@ from pyspark.sql import functions as F
 from optlake.operators import bars as B
 from optlake.operators.coverage import coverage_status
 from optlake.operators.filters import (
-    DEFAULT_BARS_LIMIT,
     FilterSet,
     apply_filter_set,
-    clamp_page_limit,
     resolve_window,
     sort_columns,
     symbol_defaults,
@@ -29,8 +27,9 @@ HELD_BAR_MINUTES = 1
 
 
 def _finish(df: DataFrame, fs: FilterSet, key: list[str]) -> DataFrame:
-    out = df.orderBy(*sort_columns(fs.sort, df.columns, key))
-    return out.limit(clamp_page_limit(fs.limit)) if fs.limit is not None else out
+    """The whole result in order.  ``limit`` is a request's page size: it never
+    cuts the result (``ordered_page`` gives single pages)."""
+    return df.orderBy(*sort_columns(fs.sort, df.columns, key))
 
 
 def symbols(store: TableStore, market: str | None = "stocks", active: bool | None = True) -> DataFrame:
@@ -58,22 +57,23 @@ def eod(store: TableStore, **filters) -> DataFrame:
 
 
 def bars(store: TableStore, contract: str, start, end, multiplier: int = B.DEFAULT_MULTIPLIER,
-         timespan: str = B.DEFAULT_TIMESPAN, sort: str = "asc", limit: int = DEFAULT_BARS_LIMIT) -> DataFrame:
-    """Bars of one contract between two dates at ``multiplier x timespan``;
-    coarser than the held width -> re-barred from the held bars."""
+         timespan: str = B.DEFAULT_TIMESPAN, sort: str = "asc", limit: int | None = None) -> DataFrame:
+    """All bars of one contract between two dates at ``multiplier x timespan``,
+    re-barred from the held bars; a span finer than those raises.  ``limit`` is
+    the request's page size and does not cut the result."""
     fs = FilterSet(range_from=start, range_to=end)
     s, e = resolve_window(fs)
+    if timespan == "second" and int(multiplier) < 60 * HELD_BAR_MINUTES:
+        raise ValueError(f"held bars are {HELD_BAR_MINUTES}-minute bars; {multiplier} second bars cannot be made from them")
     held = store.read("bars")
     if s is not None:
         held = held.where(F.col("trade_date") >= F.lit(s))
     if e is not None:
         held = held.where(F.col("trade_date") <= F.lit(e))
     rows = B.bars_in_range(held.drop("trade_date"), contract, s, e)
-    width = B.width(multiplier, timespan)
     if not (timespan == "minute" and int(multiplier) == HELD_BAR_MINUTES):
-        rows = B.rebar(rows, width).drop("notional", "trades")
-    order = F.col("tradetime").desc() if sort == "desc" else F.col("tradetime").asc()
-    return rows.orderBy(order).limit(int(limit))
+        rows = B.rebar(rows, B.width(multiplier, timespan)).drop("notional", "trades")
+    return rows.orderBy(F.col("tradetime").desc() if sort == "desc" else F.col("tradetime").asc())
 
 
 def coverage(store: TableStore, requests: DataFrame, tolerance_days: int = 0) -> DataFrame:

@@ -40,7 +40,7 @@ def parse_date_arg(value, label: str = "date") -> _dt.date | None:
                 return _dt.date.fromisoformat(text)
             return _to_utc_date(_dt.datetime.fromisoformat(text.replace("Z", "+00:00")))
         except ValueError as exc:
-            raise ValueError(f"{label} must be a valid date string (YYYY-MM-DD), got {value!r}") from exc
+            raise ValueError(f"cannot read {label}={value!r} as a day: give year-month-day or an ISO instant") from exc
     raise ValueError(f"{label} must be a date or a date string, got {type(value).__name__}")
 
 
@@ -73,26 +73,24 @@ def coerce_timestamp(col: Column | str) -> Column:
     )
 
 
-def coerce_date(col: Column | str) -> Column:
-    """Text column -> DATE (UTC date of the parsed instant); bad -> NULL."""
-    return F.to_date(coerce_timestamp(col))
-
-
 def epoch_ns_to_ts(col: Column | str) -> Column:
     """Epoch nanoseconds -> TIMESTAMP (sub-microsecond digits dropped)."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.timestamp_micros(F.floor(c.cast("decimal(38,0)") / F.lit(1000)).cast("long"))
+    return _micros(F.floor(c.cast("decimal(38,0)") / F.lit(1000)))
 
 
 def epoch_ms_to_ts(col: Column | str) -> Column:
     c = F.col(col) if isinstance(col, str) else col
-    return F.timestamp_millis(c.cast("long"))
+    return _micros(c.cast("decimal(38,0)") * F.lit(1000))
 
 
-def utc_date(col: Column | str) -> Column:
-    """Trade date of a timestamp (the session zone is UTC)."""
-    c = F.col(col) if isinstance(col, str) else col
-    return F.to_date(c)
+# Microseconds of the first and last instant of the years 1 to 9999.
+_FIRST_MICRO, _LAST_MICRO = -62_135_596_800_000_000, 253_402_300_799_999_999
+
+
+def _micros(value: Column) -> Column:
+    """Epoch microseconds -> TIMESTAMP; NULL outside the years 1 to 9999."""
+    return F.timestamp_micros(F.when(value.between(_FIRST_MICRO, _LAST_MICRO), value).cast("long"))
 
 
 def tolerance_days(n) -> int:

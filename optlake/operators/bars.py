@@ -9,11 +9,14 @@ not depend on the order partial sums meet; bars carry it for re-barring.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Bar width units of the time-series request and their defaults.
-TIMESPANS = {"second": "second", "minute": "minute", "hour": "hour", "day": "day", "week": "week"}
+TIMESPANS = {"second": "second", "minute": "minute", "hour": "hour", "day": "day", "week": "week",
+             "month": "month", "quarter": "quarter", "year": "year"}
+# Months of the spans that have no fixed length; their bars start on the first of a month, counted from year 0.
+MONTHS = {"month": 1, "quarter": 3, "year": 12}
 DEFAULT_MULTIPLIER = 15
 DEFAULT_TIMESPAN = "minute"
 NOTIONAL_TYPE = "decimal(38,4)"
@@ -27,6 +30,18 @@ def width(multiplier: int = DEFAULT_MULTIPLIER, timespan: str = DEFAULT_TIMESPAN
     return f"{int(multiplier)} {TIMESPANS[timespan]}s"
 
 
+def bar_start(ts: Column, bar_width: str) -> Column:
+    """Start of the bar a time falls in.  Weeks start on Monday, months on the first."""
+    count, unit = bar_width.split()
+    unit = unit.rstrip("s")
+    if unit in MONTHS:
+        step = int(count) * MONTHS[unit]
+        index = F.year(ts) * 12 + F.month(ts) - 1
+        first = index - index % step
+        return F.make_date(F.floor(first / 12).cast("int"), (first % 12 + 1).cast("int"), F.lit(1)).cast("timestamp")
+    return F.window(ts, bar_width, startTime="4 days").start if unit == "week" else F.window(ts, bar_width).start
+
+
 def ticks_to_bars(ticks: DataFrame, bar_width: str, key: str = "contract", ts: str = "t",
                   price: str = "price", size: str = "size", tie: str = "event_id") -> DataFrame:
     """A3: bars of ``bar_width`` ('15 minutes', '1 hour', '1 day') per contract."""
@@ -34,7 +49,12 @@ def ticks_to_bars(ticks: DataFrame, bar_width: str, key: str = "contract", ts: s
     notional = F.col(price).cast("decimal(18,4)") * F.col(size)
     # grouping by the window struct (not its start) keeps the event-time
     # column visible to a streaming watermark
-    g = ticks.groupBy(F.col(key).alias("contract"), F.window(F.col(ts), bar_width).alias("__w")).agg(
+    unit = bar_width.split()[1].rstrip("s")
+    if unit in MONTHS:
+        bar = F.struct(bar_start(F.col(ts), bar_width).alias("start"))
+    else:
+        bar = F.window(F.col(ts), bar_width, startTime="4 days" if unit == "week" else None)
+    g = ticks.groupBy(F.col(key).alias("contract"), bar.alias("__w")).agg(
         F.min_by(F.col(price), order).alias("open"),
         F.max(F.col(price)).alias("high"),
         F.min(F.col(price)).alias("low"),
@@ -57,7 +77,7 @@ def rebar(bars: DataFrame, bar_width: str) -> DataFrame:
     notional = (F.col("notional") if "notional" in bars.columns
                 else (F.col("vwap") * F.col("volume")).cast(NOTIONAL_TYPE))
     trades = F.sum("trades") if "trades" in bars.columns else F.count(F.lit(1))
-    g = bars.groupBy("contract", F.window("tradetime", bar_width).start.alias("__t")).agg(
+    g = bars.groupBy("contract", bar_start(F.col("tradetime"), bar_width).alias("__t")).agg(
         F.min_by("open", "tradetime").alias("open"),
         F.max("high").alias("high"),
         F.min("low").alias("low"),

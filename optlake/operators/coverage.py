@@ -80,6 +80,19 @@ def signatures(requests: DataFrame, endpoint: str, params: dict[str, Column]) ->
     return requests.withColumn("signature", sig).withColumn("slice_name", slice_name(endpoint, F.col("signature")))
 
 
+BAND_TYPE = "decimal(18,4)"
+
+
+def band_index(strike: Column, band: float) -> Column:
+    """Number of the strike band of true width ``band`` (exact, any width)."""
+    return F.floor(strike.cast(BAND_TYPE) / F.lit(str(band)).cast(BAND_TYPE)).cast("bigint")
+
+
+def band_edge(index: Column, band: float) -> Column:
+    """Lower strike of a band."""
+    return (index * F.lit(str(band)).cast(BAND_TYPE)).cast("double")
+
+
 def plan_slices(chains: DataFrame, trade_from: _dt.date, trade_to: _dt.date, option_types=("put", "call"),
                 band: float = 25.0, step: str = "1 month") -> DataFrame:
     """Slice plan = (underlying, expiry) held in ``chains`` x trade dates x
@@ -88,10 +101,9 @@ def plan_slices(chains: DataFrame, trade_from: _dt.date, trade_to: _dt.date, opt
 
     ``chains`` has underlying_symbol, exp_date, strike (one row per contract).
     """
-    b = F.lit(band)
+    strike = F.col("strike")
     dims = chains.groupBy("underlying_symbol", "exp_date").agg(
-        (F.floor(F.min("strike") / b) * F.lit(int(band))).alias("__lo"),
-        (F.floor(F.max("strike") / b) * F.lit(int(band))).alias("__hi"))
+        band_index(F.min(strike), band).alias("__lo"), band_index(F.max(strike), band).alias("__hi"))
     dates = F.sequence(F.lit(trade_from), F.lit(trade_to), F.expr(f"interval {step}"))
     return dims.select(
         "*", F.explode(dates).alias("trade_date"),
@@ -99,11 +111,11 @@ def plan_slices(chains: DataFrame, trade_from: _dt.date, trade_to: _dt.date, opt
         "*", F.explode(F.array(*[F.lit(t) for t in option_types])).alias("option_type"),
     ).select(
         "underlying_symbol", "exp_date", "trade_date", "option_type",
-        F.explode(F.sequence(F.col("__lo"), F.col("__hi"), F.lit(int(band)).cast("bigint"))).alias("__band"),
+        F.explode(F.sequence("__lo", "__hi")).alias("__band"),
     ).select(
         "underlying_symbol", "trade_date", "exp_date", "option_type",
-        F.col("__band").cast("double").alias("strike_from"),
-        (F.col("__band") + F.lit(int(band))).cast("double").alias("strike_to"),
+        band_edge(F.col("__band"), band).alias("strike_from"),
+        band_edge(F.col("__band") + 1, band).alias("strike_to"),
     )
 
 
@@ -111,7 +123,7 @@ def held_slices(chain: DataFrame, band: float = 25.0) -> DataFrame:
     """Slices that already have rows: (underlying, trade date, expiry, type, band)."""
     return chain.select(
         "underlying_symbol", F.to_date("tradetime").alias("trade_date"), "exp_date", "option_type",
-        (F.floor(F.col("strike") / F.lit(band)) * F.lit(int(band))).cast("double").alias("strike_from"),
+        band_edge(band_index(F.col("strike"), band), band).alias("strike_from"),
     ).distinct()
 
 

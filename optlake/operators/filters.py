@@ -15,10 +15,9 @@ from pyspark.sql import functions as F
 
 from optlake.functions.dates import parse_bound, parse_date_arg
 
-# Page size default and upper bound, bars limit default.
+# Page size default and upper bound.
 DEFAULT_PAGE_LIMIT = 1000
 MAX_PAGE_LIMIT = 1000
-DEFAULT_BARS_LIMIT = 50000
 HIDDEN_PREFIX = "__"
 
 
@@ -170,10 +169,32 @@ def clamp_page_limit(limit) -> int:
     return max(1, min(int(limit), MAX_PAGE_LIMIT))
 
 
-def ordered_page(df: DataFrame, sort: str | None, key: list[str], limit=None) -> DataFrame:
-    """First page of the ordered result: a top-k (TakeOrderedAndProject),
-    never a full sort of the table."""
-    return df.orderBy(*sort_columns(sort, df.columns, key)).limit(clamp_page_limit(limit))
+def ordered_page(df: DataFrame, sort: str | None, key: list[str], limit=None, after: dict | None = None) -> DataFrame:
+    """One page of the ordered result: a top-k (TakeOrderedAndProject), never
+    a full sort of the table.  ``after`` is the cursor, the last row of the page
+    before (its sort and key columns): following it reaches every row once, when
+    ``key`` is unique."""
+    order = sort_columns(sort, df.columns, key)
+    rows = df if after is None else df.where(after_cursor(sort, df.columns, key, after))
+    return rows.orderBy(*order).limit(clamp_page_limit(limit))
+
+
+def after_cursor(sort: str | None, available: list[str], key: list[str], after: dict) -> Column:
+    """Rows that follow the cursor row in ``sort_columns`` order (NULLs last)."""
+    name = (sort or "").strip()
+    desc, name = name.startswith("-"), name.lstrip("-+")
+    first = name if name in available else ("tradetime" if "tradetime" in available else None)
+    names = ([first] if first else []) + [k for k in key if k in available and k != first]
+    out = F.lit(False)
+    for c in reversed(names):
+        col, value = F.col(c), after[c]
+        if value is None:
+            beyond, same = F.lit(False), col.isNull()
+        else:
+            beyond = col.isNull() | (col < F.lit(value) if desc and c == name else col > F.lit(value))
+            same = col == F.lit(value)
+        out = F.coalesce(beyond, F.lit(False)) | (F.coalesce(same, F.lit(False)) & out)
+    return out
 
 
 def next_page(df: DataFrame, key: str, after, limit=None) -> DataFrame:

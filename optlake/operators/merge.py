@@ -2,9 +2,11 @@
 contract and symbol refreshes.
 
 Every fold here is one grouped aggregation of mergeable aggregates
-(``max_by`` / ``min_by`` / ``min`` / ``max``): partial aggregation runs map-side,
-there is one shuffle on the key and no sort of whole groups, so a key that
-holds a large share of the rows costs no more than its partial states.
+(``max_by`` / ``min_by`` / ``min`` / ``max``): partial aggregation runs map-side
+and there is one shuffle on the key, so a key that holds a large share of the
+rows costs no more than its partial states.  Folds over structs plan as
+sort-based aggregations: each task sorts its rows by key (spilling if it must)
+before it folds them.
 
 ``seq`` orders the rows of a key (later wins).  It may be any orderable type
 (a long, or a struct such as (load id, file, position)) and must be unique
@@ -46,12 +48,6 @@ def keep_last(df: DataFrame, key: list[str] | None, seq: str = "seq", keep_seq:
     return picked.select(*key, *_expand(picked, "__row", rest))
 
 
-def keep_first(df: DataFrame, key: list[str], seq: str = "seq") -> DataFrame:
-    rest = [c for c in df.columns if c not in key and c != seq]
-    picked = df.groupBy(*key).agg(F.min_by(F.struct(*rest), F.col(seq)).alias("__row"))
-    return picked.select(*key, *_expand(picked, "__row", rest))
-
-
 def merge_keep_last(held: DataFrame, fresh: DataFrame, key: list[str], seq: str = "seq") -> DataFrame:
     """Held rows then fresh rows, aligned by name, last row per key wins (U1+U2).
 
@@ -136,8 +132,9 @@ def change_labels(
     """Per key: 'inserted' (not held before), 'updated' (a compared column
     changed, NULL-safe) or 'unchanged' after the W1 upsert (W2).
 
-    One aggregation computes both the held state and the upserted state, so
-    there is no second fold and no outer join.
+    One aggregation computes the held state and the upserted state, without
+    an outer join.  ``held`` may be raw held rows: the held state takes the last
+    row's quotes and the last non-NULL ``raw``, as W1 does.
     """
     h = held.withColumn(_ORDER, _order_struct(held, seq, True)).withColumn(_HELD, F.lit(True))
     s = staged.withColumn(_ORDER, _order_struct(staged, seq, False)).withColumn(_HELD, F.lit(False))
@@ -148,16 +145,18 @@ def change_labels(
     aggs = [
         F.max(F.col(_HELD).cast("int")).alias("__was_held"),
         F.min(F.col(_HELD).cast("int")).alias("__untouched"),
-        F.max_by(F.struct(*compare), F.when(F.col(_HELD), F.col(_ORDER))).alias("__before"),
+        F.max_by(F.struct(*last_q), F.when(F.col(_HELD), F.col(_ORDER))).alias("__before"),
         F.max_by(F.struct(*last_q), F.col(_ORDER)).alias("__after"),
     ]
     if raw in compare:
-        aggs.append(F.max_by(F.col(raw), F.when(F.col(raw).isNotNull(), F.col(_ORDER))).alias("__after_raw"))
+        known = F.col(raw).isNotNull()
+        aggs.append(F.max_by(F.col(raw), F.when(known, F.col(_ORDER))).alias("__after_raw"))
+        aggs.append(F.max_by(F.col(raw), F.when(known & F.col(_HELD), F.col(_ORDER))).alias("__before_raw"))
     # keys the staged rows do not touch are not part of this upsert
     g = rows.groupBy(*key).agg(*aggs).where(F.col("__untouched") == 0)
     same = [F.col(f"__before.{c}").eqNullSafe(F.col(f"__after.{c}")) for c in last_q]
     if raw in compare:
-        same.append(F.col(f"__before.{raw}").eqNullSafe(F.col("__after_raw")))
+        same.append(F.col("__before_raw").eqNullSafe(F.col("__after_raw")))
     all_same = reduce(lambda a, b: a & b, same) if same else F.lit(True)
     label = (F.when(F.col("__was_held") == 0, F.lit("inserted"))
              .when(all_same, F.lit("unchanged"))
@@ -174,37 +173,48 @@ def change_counts(labels: DataFrame) -> DataFrame:
     )
 
 
+# Columns of a contract that a sighting without them must not blank.
+CONTRACT_KEPT = ("expiration_type", "exchange", "currency")
+
+
 def contracts_seen(
     observations: DataFrame,
     seen: str = "seen_at",
     seq: str = "seq",
     key: str = "contract",
-    identity: list[str] = ("underlying_symbol", "exp_date", "expiration_type", "option_type", "strike", "exchange", "currency"),
+    identity: list[str] = ("underlying_symbol", "exp_date", "option_type", "strike"),
+    kept: list[str] = CONTRACT_KEPT,
     raw: str | None = "raw_json",
+    held: DataFrame | None = None,
 ) -> DataFrame:
-    """Contracts refresh (W3): identity columns from the latest observation,
-    first_seen_at = earliest sighting, last_seen_at = latest, raw_json the
-    latest non-NULL."""
-    ident = [c for c in identity if c in observations.columns]
-    aggs = [
-        F.min(seen).alias("first_seen_at"),
-        F.max(seen).alias("last_seen_at"),
-        F.max_by(F.struct(*ident), F.col(seq)).alias("__id"),
-    ]
-    if raw and raw in observations.columns:
-        aggs.append(F.max_by(F.col(raw), F.when(F.col(raw).isNotNull(), F.col(seq))).alias(raw))
-    g = observations.groupBy(key).agg(*aggs)
-    out = [F.col(key)] + [F.col(f"__id.{c}").alias(c) for c in ident] + [F.col("first_seen_at"), F.col("last_seen_at")]
-    if raw and raw in observations.columns:
-        out.append(F.col(raw))
-    return g.select(*out)
+    """Contracts refresh (W3): identity columns from the latest observation;
+    expiration_type, exchange, currency and raw_json the latest non-NULL;
+    first_seen_at = earliest sighting, last_seen_at = latest.  ``held`` (the
+    contracts as stored) counts as a sighting before all others."""
+    rows = observations.withColumn("__first", F.col(seen)).withColumn("__last", F.col(seen))
+    rows = rows.withColumn(_ORDER, _order_struct(observations, seq, False)).drop(seen, seq)
+    if held is not None:
+        before = held.withColumn("__first", F.col("first_seen_at")).withColumn("__last", F.col("last_seen_at"))
+        before = before.withColumn(_ORDER, F.struct(F.lit(0).alias("side"), F.lit(None).cast(
+            rows.schema[_ORDER].dataType["seq"].dataType).alias("seq"))).drop("first_seen_at", "last_seen_at")
+        rows = union_by_name(before, rows)
+    ident = [c for c in identity if c in rows.columns]
+    late = [c for c in (*kept, *([raw] if raw else [])) if c in rows.columns]
+    folded = rows.groupBy(key).agg(
+        F.min("__first").alias("first_seen_at"), F.max("__last").alias("last_seen_at"),
+        F.max_by(F.struct(*ident), F.col(_ORDER)).alias("__id"),
+        *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(_ORDER))).alias(c) for c in late])
+    return folded.select(key, *[F.col(f"__id.{c}").alias(c) for c in ident], *late, "first_seen_at", "last_seen_at")
 
 
 def symbol_universe(symbol_rows: DataFrame, fetched: str = "fetched_at") -> DataFrame:
-    """Underlying symbols refresh (W4): one row per symbol, latest fetch time."""
+    """Underlying symbols refresh (W4): one row per symbol, first and latest
+    fetch time, and the latest non-NULL of any other column."""
+    rest = [c for c in symbol_rows.columns if c not in ("underlying_symbol", fetched)]
     return symbol_rows.groupBy("underlying_symbol").agg(
         F.min(fetched).alias("first_fetched_at"),
         F.max(fetched).alias("fetched_at"),
+        *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.struct(F.col(fetched), F.col(c).cast("string")))).alias(c) for c in rest],
     )
 
 

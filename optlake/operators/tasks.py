@@ -13,26 +13,42 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from optlake.functions.keys import sorted_json
+from optlake.session import materialize
 
 # Task statuses, defaults of a task row, start priority,
-# task id stride per job, call units per vendor request.
+# call units per vendor request.
 TASK_STATUSES = ["pending", "running", "completed", "failed"]
 DEFAULT_MAX_RETRIES = 3
 DEFAULT_PAGE_LIMIT = 1000
 START_PRIORITY = 100
-TASK_ID_STRIDE = 1_000_000
 CALL_UNITS_PER_REQUEST = 10
 
 
-def create_jobs(configs: DataFrame, split: str, order: list[str], max_held_job_id: int | Column = 0) -> DataFrame:
-    """Job configs -> job rows with status 'pending'.
+def global_index(df: DataFrame, order: list[str], name: str = "idx") -> DataFrame:
+    """0-based position of every row in ``order`` (NULLs first), over the whole frame.
 
-    Ids follow the config order (``split`` first, then ``order``) after the
-    highest id already held.  The ranking is ``group_index`` over one group,
-    so it runs per ``split`` bucket in parallel instead of in a single task.
+    Rows are range-partitioned by the order columns and sorted within their
+    partition, so no key, however frequent or NULL, is sorted by one task.  The
+    sorted copy is written once (a second evaluation could be partitioned
+    differently); offsets are running sums over its partitions' row counts, one
+    row per partition.  ``order`` must be unique, or ties are broken by chance.
     """
+    by = [F.col(c).asc_nulls_first() for c in order]
+    row = F.monotonically_increasing_id()  # partition number, then position in the partition
+    dealt = df.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("__row", row)
+    kept = materialize(dealt, "index").withColumn("__part", F.shiftright("__row", 33))
+    counts = kept.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # over one row per partition
+    offsets = counts.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
+    place = F.col("__off") + F.col("__row").bitwiseAND(F.lit((1 << 33) - 1))
+    return kept.join(offsets, "__part").withColumn(name, place.cast("long")).drop("__part", "__row", "__off")
+
+
+def create_jobs(configs: DataFrame, order: list[str], max_held_job_id: int | Column = 0) -> DataFrame:
+    """Job configs -> job rows with status 'pending'; ids follow the
+    config order after the highest id already held."""
     held = max_held_job_id if isinstance(max_held_job_id, Column) else F.lit(max_held_job_id)
-    ranked = group_index(configs.withColumn("__all", F.lit(0)), ["__all"], split, order, "__idx").drop("__all")
+    ranked = global_index(configs, order, "__idx")
     return ranked.select(
         (held + F.col("__idx") + F.lit(1)).cast("long").alias("job_id"),
         *[c for c in configs.columns],
@@ -40,43 +56,29 @@ def create_jobs(configs: DataFrame, split: str, order: list[str], max_held_job_i
     )
 
 
-def group_index(df: DataFrame, group: list[str], split: str, order: list[str], name: str = "idx") -> DataFrame:
-    """0-based position of each row within its group in (split, *order) order.
-
-    A large group is not sorted by one task: rows are ranked within
-    (group, split) buckets, and each bucket's offset is the running count of
-    the earlier buckets of its group, computed over the per-bucket counts
-    (one row per bucket).  ``split`` should be the leading sort column at a
-    coarse grain (e.g. the month of a date).
-    """
-    counts = df.groupBy(*group, split).agg(F.count(F.lit(1)).alias("__n"))
-    running = Window.partitionBy(*group).orderBy(F.col(split).asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*group, split, F.coalesce(F.sum("__n").over(running), F.lit(0)).alias("__off"))
-    inner = Window.partitionBy(*group, split).orderBy(*[F.col(c).asc_nulls_first() for c in order])
-    ranked = df.withColumn("__pos", F.row_number().over(inner) - 1)
-    return (ranked.join(offsets, group + [split])
-            .withColumn(name, (F.col("__off") + F.col("__pos")).cast("long"))
-            .drop("__off", "__pos"))
-
-
-def enqueue_tasks(slices: DataFrame, endpoint: Column | str, params: dict[str, Column], split: str,
-                  order: list[str], job: str = "job_id", start_priority: int = START_PRIORITY,
-                  max_retries: int = DEFAULT_MAX_RETRIES, page_limit: int = DEFAULT_PAGE_LIMIT,
-                  max_pages: int | None = None) -> DataFrame:
+def enqueue_tasks(slices: DataFrame, endpoint: Column | str, params: dict[str, Column], order: list[str],
+                  job: str = "job_id", start_priority: int = START_PRIORITY, max_retries: int = DEFAULT_MAX_RETRIES,
+                  page_limit: int = DEFAULT_PAGE_LIMIT, max_pages: int | None = None,
+                  max_held_task_id: int | Column = 0) -> DataFrame:
     """One pending task per planned slice.
 
-    priority = start + position in the job's slice order; task_id =
-    job_id x 1,000,000 + position (deterministic, so a rerun enqueues the same
-    ids); query_params = the slice parameters as sorted-key JSON.
+    task_id runs over all jobs in (job, ``order``) order after the highest id
+    already held, so ids never collide and a rerun on the same slices gives the
+    same ids; priority = start + position in the job's slice order;
+    query_params = the slice parameters as sorted-key JSON.
     """
-    idx = group_index(slices, [job], split, order, "__idx")
+    held = max_held_task_id if isinstance(max_held_task_id, Column) else F.lit(max_held_task_id)
+    idx = global_index(slices, [job, *order], "__idx")
+    first = idx.groupBy(F.col(job).alias("__job")).agg(F.min("__idx").alias("__first"))
+    idx = idx.join(first, F.col(job).eqNullSafe(F.col("__job")))
+    place = F.col("__idx") - F.col("__first")
     ep = F.lit(endpoint) if isinstance(endpoint, str) else endpoint
     return idx.select(
-        (F.col(job) * F.lit(TASK_ID_STRIDE) + F.col("__idx")).cast("long").alias("task_id"),
+        (held + F.col("__idx") + F.lit(1)).cast("long").alias("task_id"),
         F.col(job).cast("long").alias("job_id"),
         ep.alias("endpoint"),
         sorted_json(params).alias("query_params"),
-        (F.lit(start_priority) + F.col("__idx")).cast("int").alias("priority"),
+        (F.lit(start_priority) + place).cast("long").alias("priority"),
         F.lit("pending").alias("status"),
         F.lit(0).alias("retry_count"),
         F.lit(max_retries).alias("max_retries"),
@@ -100,11 +102,18 @@ def next_pending(tasks: DataFrame, n: int = 1, per: list[str] | None = None) ->
     return pending.withColumn("claim_rank", F.row_number().over(w).cast("long")).where(F.col("claim_rank") <= n)
 
 
-def task_state(events: DataFrame, max_retries: int | Column = DEFAULT_MAX_RETRIES) -> DataFrame:
+# Counters of a completion event that add up to a task's totals.
+TASK_COUNTERS = ["rows_received", "rows_inserted", "api_requests_made"]
+
+
+def task_state(events: DataFrame, max_retries: int = DEFAULT_MAX_RETRIES, tasks: DataFrame | None = None) -> DataFrame:
     """T4: current state of every task from its event log.
 
     events: task_id, seq (unique per task), at, kind in
-    {'claimed','completed','failed'}, worker, retryable, rows_inserted, message.
+    {'claimed','completed','failed'}, worker, retryable, message, and those of
+    TASK_COUNTERS the log has.  ``tasks`` (task_id, max_retries, and any other
+    columns, which are kept) adds the tasks without events, as 'pending', and
+    each task's own ``max_retries``.
       * retry_count = number of failures; counters = sums over completions;
       * status from the last event: claimed -> running, completed ->
         completed, failed -> failed when retry_count >= max_retries or not
@@ -114,10 +123,10 @@ def task_state(events: DataFrame, max_retries: int | Column = DEFAULT_MAX_RETRIE
       * last_error = message of the last failure; updated_at = last event time.
     """
     kind = F.col("kind")
-    mr = max_retries if isinstance(max_retries, Column) else F.lit(max_retries)
+    counters = [c for c in TASK_COUNTERS if c in events.columns]
     g = events.groupBy("task_id").agg(
         F.count_if(kind == "failed").cast("long").alias("retry_count"),
-        F.coalesce(F.sum(F.when(kind == "completed", F.col("rows_inserted"))), F.lit(0)).cast("long").alias("rows_inserted"),
+        *[F.coalesce(F.sum(F.when(kind == "completed", F.col(c))), F.lit(0)).cast("long").alias(c) for c in counters],
         F.max_by(F.struct("kind", "retryable", "at"), F.col("seq")).alias("__last"),
         F.max_by(F.struct("worker", "at"), F.when(kind == "claimed", F.col("seq"))).alias("__claim"),
         F.max(F.when(kind == "claimed", F.col("seq"))).alias("__claim_seq"),
@@ -125,20 +134,32 @@ def task_state(events: DataFrame, max_retries: int | Column = DEFAULT_MAX_RETRIE
         F.max_by(F.col("message"), F.when(kind == "failed", F.col("seq"))).alias("last_error"),
         F.count(F.lit(1)).alias("events"),
     )
+    limit, kept = F.lit(max_retries), []
+    if tasks is not None:
+        g = tasks.join(g, "task_id", "left")
+        limit = F.coalesce(F.col("max_retries"), F.lit(max_retries))
+        kept = [c for c in tasks.columns if c != "task_id"]
+    zero = F.lit(0).cast("long")
     last_kind = F.col("__last.kind")
     status = (F.when(last_kind == "claimed", F.lit("running"))
               .when(last_kind == "completed", F.lit("completed"))
-              .when((F.col("retry_count") >= mr) | ~F.col("__last.retryable"), F.lit("failed"))
+              .when((F.col("retry_count") >= limit) | ~F.col("__last.retryable"), F.lit("failed"))
               .otherwise(F.lit("pending")))
     cleared = F.col("__fail_seq") > F.col("__claim_seq")
     return g.select(
-        "task_id", status.alias("status"), "retry_count", "rows_inserted",
+        "task_id", *kept, status.alias("status"),
+        *[F.coalesce(F.col(c), zero).alias(c) for c in ["retry_count", *counters]],
         F.when(cleared, F.lit(None)).otherwise(F.col("__claim.worker")).alias("claimed_by"),
         F.when(cleared, F.lit(None)).otherwise(F.col("__claim.at")).alias("claimed_at"),
-        "last_error", F.col("__last.at").alias("updated_at"), "events",
+        "last_error", F.col("__last.at").alias("updated_at"), F.coalesce(F.col("events"), zero).alias("events"),
     )
 
 
+def finished_tasks(state: DataFrame) -> DataFrame:
+    """Tasks that planning skips: completed, or failed for good."""
+    return state.where(F.col("status").isin("completed", "failed"))
+
+
 def job_status(job_events: DataFrame) -> DataFrame:
     """T5: job status = the status of the job's last event (by seq)."""
     return job_events.groupBy("job_id").agg(

@@ -89,6 +89,53 @@ def q_slice_plan(spark, sf_dir):
     return _plan(spark, sf_dir)
 
 
+@query("slice_plan_narrow", ["contracts_like"], """
+, dims as (select underlying_symbol, exp_date, cast(floor(cast(min(strike) as decimal(18,4)) / 2.5) as bigint) as lo,
+                  cast(floor(cast(max(strike) as decimal(18,4)) / 2.5) as bigint) as hi
+           from contracts_like group by underlying_symbol, exp_date)
+select d.underlying_symbol, date '1995-01-01' as trade_date, d.exp_date, 'put' as option_type,
+       cast(b.band * 2.5 as double) as strike_from, cast((b.band + 1) * 2.5 as double) as strike_to
+from dims d join lateral (select unnest(generate_series(d.lo, d.hi)) as band) b on true
+""")
+def q_slice_plan_narrow(spark, sf_dir):
+    """Strike bands of 2.5, a width that is no whole number."""
+    return plan_slices(fx.contracts_like(spark, sf_dir), PLAN_FROM, PLAN_FROM, option_types=("put",), band=2.5)
+
+
+_DONE_SQL = """
+, done as (select c.underlying_symbol, cast(date_trunc('month', o.o_orderdate) as date) as trade_date, c.exp_date, c.option_type,
+                  cast(floor(c.strike / 25) * 25 as double) as strike_from, o.o_orderkey as task_id
+           from orders o join contracts_like c on c.contract = concat('O:', lpad(cast(o.o_custkey as varchar), 8, '0'))),
+ev as (select * from task_events_like),
+agg as (select task_id, count(*) filter (where kind = 'failed') as fails, max(seq) as last_seq from ev group by task_id),
+finished as (
+  select distinct d.underlying_symbol, d.trade_date, d.exp_date, d.option_type, d.strike_from
+  from done d join agg a on a.task_id = d.task_id join ev l on l.task_id = a.task_id and l.seq = a.last_seq
+  where l.kind = 'completed' or (l.kind = 'failed' and (a.fails >= 2 or not l.retryable)))
+"""
+
+
+@query("slice_todo_tasks", ["contracts_like", "task_events_like", "chain"], _PLAN_SQL + _DONE_SQL + """
+, held as (select distinct underlying_symbol, tradetime as trade_date, exp_date, option_type,
+                  cast(floor(strike / 25) * 25 as double) as strike_from from chain)
+select p.* from plan p
+where not exists (select 1 from held h where h.underlying_symbol = p.underlying_symbol and h.trade_date = p.trade_date
+                  and h.exp_date = p.exp_date and h.option_type = p.option_type and h.strike_from = p.strike_from)
+  and not exists (select 1 from finished f where f.underlying_symbol = p.underlying_symbol and f.trade_date = p.trade_date
+                  and f.exp_date = p.exp_date and f.option_type = p.option_type and f.strike_from = p.strike_from)
+""")
+def q_slice_todo_tasks(spark, sf_dir):
+    """Planned slices without held rows and without a completed or exhausted task (folded task state)."""
+    from optlake.operators.tasks import finished_tasks, task_state
+
+    contracts = fx.contracts_like(spark, sf_dir)
+    tasks = fx.table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("task_id"), F.lit(2).alias("max_retries"),
+        fx.contract_code(F.col("o_custkey")).alias("contract"), F.trunc("o_orderdate", "month").alias("tradetime"))
+    done = finished_tasks(task_state(fx.task_events_like(spark, sf_dir), tasks=tasks)).join(contracts, "contract")
+    return slices_todo(_plan(spark, sf_dir), held_slices(chain(spark, sf_dir)), finished_tasks=held_slices(done))
+
+
 @query("slice_todo", ["contracts_like", "chain"], _PLAN_SQL + """
 , held as (select distinct underlying_symbol, tradetime as trade_date, exp_date, option_type,
                   cast(floor(strike / 25) * 25 as double) as strike_from from chain)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from optlake.operators.filters import FilterSet, apply_filter_set, ordered_page, project
 from optlake.plans import fixtures as fx
 from optlake.plans.common import held_eod
@@ -60,3 +62,35 @@ def q_next_page(spark, sf_dir):
     from optlake.operators.filters import next_page
 
     return next_page(fx.contracts_like(spark, sf_dir), "contract", "O:00000100")
+
+
+@query("contract_pages", ["contracts_like"], """
+select *, cast(floor((row_number() over (order by strike desc nulls last, contract) - 1) / 1000) as bigint) as page
+from contracts_like
+""")
+def q_contract_pages(spark, sf_dir):
+    """O1+O2: all contracts in '-strike' order, 1000 to a page, each page fetched after the last row of the one before."""
+    rows, sort, key = fx.contracts_like(spark, sf_dir), "-strike", ["contract"]
+    pages, after = None, None
+    while True:
+        page = ordered_page(rows, sort, key, after=after)
+        tail = page.orderBy(F.col("strike").asc_nulls_first(), F.col("contract").desc()).limit(1).collect()
+        if not tail:
+            return pages
+        numbered = page.withColumn("page", F.lit(0 if pages is None else number).cast("long"))
+        pages = numbered if pages is None else pages.unionByName(numbered)
+        after, number = tail[0].asDict(), (1 if after is None else number + 1)
+
+
+@query("active_symbols", [], """
+select c_name as underlying_symbol, lower(c_mktsegment) as market, c_acctbal > 0 as active
+from customer where lower(c_mktsegment) = 'building' and c_acctbal > 0
+""")
+def q_active_symbols(spark, sf_dir):
+    """symbol defaults (one market, active only) without the hidden columns."""
+    from optlake.operators.filters import drop_hidden, symbol_defaults
+
+    c = fx.table(spark, sf_dir, "customer").select(
+        F.col("c_name").alias("underlying_symbol"), F.lower("c_mktsegment").alias("market"),
+        (F.col("c_acctbal") > 0).alias("active"), F.col("c_custkey").alias("__key"))
+    return drop_hidden(symbol_defaults(c, "building", True))

@@ -112,7 +112,7 @@ left join araw on araw.contract = t.contract and araw.tradetime = t.tradetime
 def q_upsert_changes(spark, sf_dir):
     """Inserted / updated / unchanged per key touched by the staged rows."""
     rows = _eod_rows(spark, sf_dir)
-    held = upsert_eod(None, rows.where(F.col("load_side") == "O").drop("load_side"), seq="seq")
+    held = rows.where(F.col("load_side") == "O").drop("load_side")
     staged = rows.where(F.col("load_side") == "F").drop("load_side")
     return change_labels(held.drop("fetched_at"), staged.drop("fetched_at"), seq="seq")
 
@@ -167,3 +167,116 @@ def q_store_eod_slice(spark, sf_dir):
     out = api.eod(store, underlying_symbol="PROMO", option_type="put", strike_from=930, strike_to=970,
                   tradetime_from="1995-01-01", tradetime_to="1996-06-30", fields="contract,tradetime,strike,bid,ask")
     return out.withColumn("tradetime", F.to_date("tradetime"))
+
+
+def _snapshots(spark, sf_dir):
+    """Quote snapshots at times of day, several a day for one contract."""
+    c = fx.contracts_like(spark, sf_dir, with_part_key=True).select(
+        "p_partkey", "contract", "underlying_symbol", "exp_date", "option_type", "strike")
+    li = fx.table(spark, sf_dir, "lineitem")
+    ts = F.timestamp_seconds(F.unix_date(F.to_date("l_shipdate")).cast("long") * 86400 + F.col("l_linenumber") * 3600)
+    return li.join(c, li.l_partkey == c.p_partkey).select(
+        "contract", "underlying_symbol", "exp_date", "option_type", "strike", ts.alias("tradetime"),
+        F.col("l_extendedprice").alias("bid"), (F.col("l_extendedprice") + F.col("l_quantity")).alias("ask"),
+        F.col("l_shipdate").cast("timestamp").alias("fetched_at"), "l_linestatus", "l_returnflag", "l_linenumber",
+        F.struct(ts.alias("ts"), "l_orderkey", "l_linenumber", "l_suppkey").alias("seq"))
+
+
+def _new_store(spark, label: str):
+    from optlake.session import scratch_path
+    from optlake.sources.store import TableStore
+
+    return TableStore(spark, scratch_path(spark, label))
+
+
+_SNAPSHOT_SQL = """
+, snaps as (
+  select c.contract, cast(l_shipdate as date) as tradetime, l_extendedprice as bid, l_extendedprice + l_quantity as ask,
+         l_linestatus, l_returnflag, l_linenumber, l_orderkey, l_suppkey
+  from lineitem join contracts_like c on c.contract = concat('O:', lpad(cast(l_partkey as varchar), 8, '0')))
+"""
+
+
+@query("upsert_same_day", ["contracts_like"], _SNAPSHOT_SQL + """
+select contract, tradetime, bid, ask from (
+  select *, row_number() over (partition by contract, tradetime
+                               order by l_linestatus, l_linenumber desc, l_orderkey desc, l_suppkey desc) as rn from snaps) x
+where rn = 1
+""")
+def q_upsert_same_day(spark, sf_dir):
+    """W1 into the store in two loads, keyed by trade DATE: snapshots of one day are one row with the newest quote."""
+    rows, store = _snapshots(spark, sf_dir), _new_store(spark, "same-day")
+    for side in ("O", "F"):
+        store.upsert_eod(rows.where(F.col("l_linestatus") == side).drop("l_linestatus", "l_returnflag", "l_linenumber"))
+    return store.read("option_eod").select("contract", "tradetime", "bid", "ask")
+
+
+@query("upsert_quarantine", ["contracts_like"], _SNAPSHOT_SQL + """
+select 'held' as kind, count(*) as n from (
+  select distinct contract, tradetime from snaps where l_linestatus = 'O' or (l_returnflag <> 'R' and l_linenumber < 6)) x
+union all
+select case when l_returnflag = 'R' and l_linenumber >= 6 then 'contract is null,tradetime is null'
+            when l_returnflag = 'R' then 'contract is null' else 'tradetime is null' end as kind, count(*) as n
+from snaps where l_linestatus = 'F' and (l_returnflag = 'R' or l_linenumber >= 6) group by 1
+""")
+def q_upsert_quarantine(spark, sf_dir):
+    """V1 in front of W1: rows with a NULL key part go to quarantine with reasons, held rows stay."""
+    rows, store = _snapshots(spark, sf_dir), _new_store(spark, "quarantine")
+    store.upsert_eod(rows.where("l_linestatus = 'O'").drop("l_linestatus", "l_returnflag", "l_linenumber"))
+    bad = rows.where("l_linestatus = 'F'") \
+        .withColumn("contract", F.when(F.col("l_returnflag") != "R", F.col("contract"))) \
+        .withColumn("tradetime", F.when(F.col("l_linenumber") < 6, F.col("tradetime")))
+    store.upsert_eod(bad.drop("l_linestatus", "l_returnflag", "l_linenumber"))
+    kept = store.read("option_eod").agg(F.lit("held").alias("kind"), F.count("*").alias("n"))
+    out = store.quarantine("option_eod")
+    return kept if out is None else kept.unionByName(
+        out.groupBy(F.array_join("reasons", ",").alias("kind")).agg(F.count("*").alias("n")))
+
+
+@query("store_bars_merge", ["ticks_like"], """
+, b as (select *, time_bucket(interval '1 hour', t) as bar from ticks_like),
+h as (select contract, bar, max(price) as high, min(price) as low, cast(sum(size) as double) as volume from b group by contract, bar)
+select contract, cast(bar as timestamp) as tradetime,
+       case when contract in ('view', 'click') and hour(bar) < 12 then high * 2 else high end as high, low, volume from h
+""")
+def q_store_bars_merge(spark, sf_dir):
+    """Bars merged into the store in two loads: fresh bars win, other contracts' and hours' held bars stay."""
+    from optlake.operators.bars import ticks_to_bars
+
+    bars = ticks_to_bars(fx.ticks_like(spark, sf_dir), "1 hour").drop("notional", "trades").withColumn("seq", F.lit(1))
+    store = _new_store(spark, "bars")
+    store.upsert_bars(bars)
+    fresh = bars.where(F.col("contract").isin("view", "click") & (F.hour("tradetime") < 12))
+    store.upsert_bars(fresh.withColumn("high", F.col("high") * 2))
+    return store.read("bars").select("contract", "tradetime", "high", "low", "volume")
+
+
+@query("store_contracts_merge", ["contracts_like", "eod_raw_like"], _EOD_ROWS_SQL + """
+, s as (select contract, min(tradetime) as lo, max(tradetime) as hi from rows_ group by contract)
+select c.contract, c.underlying_symbol, c.strike, c.exchange,
+       least(date '1994-01-01', coalesce(s.lo, date '1994-01-01')) as first_seen, greatest(date '1994-01-01', coalesce(s.hi, date '1994-01-01')) as last_seen
+from contracts_like c left join s on s.contract = c.contract
+""")
+def q_store_contracts_merge(spark, sf_dir):
+    """W3 into the store in two loads: sightings without an exchange keep the held one, first and last sighting move."""
+    store = _new_store(spark, "contracts")
+    listed = fx.contracts_like(spark, sf_dir)
+    store.upsert_contracts(listed.withColumn("seen_at", F.lit("1994-01-01").cast("timestamp")).withColumn("seq", F.lit(0)))
+    seen = _eod_rows(spark, sf_dir).select("contract", "underlying_symbol", "exp_date", "option_type", "strike",
+                                           F.col("tradetime").cast("timestamp").alias("seen_at"), "seq")
+    store.upsert_contracts(seen)
+    return store.read("contracts").select("contract", "underlying_symbol", "strike", "exchange",
+                                          F.to_date("first_seen_at").alias("first_seen"), F.to_date("last_seen_at").alias("last_seen"))
+
+
+@query("store_symbols_merge", ["contracts_like", "eod_raw_like"], _EOD_ROWS_SQL + """
+select underlying_symbol, 'stocks' as market, cast(max(fetched_at) as date) as fetched from rows_ group by 1
+""")
+def q_store_symbols_merge(spark, sf_dir):
+    """W4 into the store in two loads: the latest fetch time; fields a later load lacks stay."""
+    store = _new_store(spark, "symbols")
+    rows = _eod_rows(spark, sf_dir).select("underlying_symbol", F.col("fetched_at").cast("timestamp").alias("fetched_at"))
+    first = rows.groupBy("underlying_symbol").agg(F.min("fetched_at").alias("fetched_at"))
+    store.upsert_symbols(first.withColumn("market", F.lit("stocks")).withColumn("active", F.lit(True)))
+    store.upsert_symbols(rows)
+    return store.read("underlying_symbols").select("underlying_symbol", "market", F.to_date("fetched_at").alias("fetched"))

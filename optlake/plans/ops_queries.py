@@ -60,21 +60,20 @@ def q_task_counts(spark, sf_dir):
 
 
 @query("enqueue_tasks", [], """
-select o_custkey * 1000000 + idx as task_id, o_custkey as job_id, 'eod' as endpoint,
+select row_number() over (order by o_custkey, o_orderdate, o_orderkey) as task_id, o_custkey as job_id, 'eod' as endpoint,
        concat('{"filter[contract]":"', concat('O:', lpad(cast(o_custkey as varchar), 8, '0')),
               '","filter[tradetime_eq]":"', cast(cast(o_orderdate as date) as varchar), '"}') as query_params,
-       cast(100 + idx as integer) as priority, 'pending' as status, 3 as max_retries, 1000 as page_limit
+       100 + idx as priority, 'pending' as status, 3 as max_retries, 1000 as page_limit
 from (select *, row_number() over (partition by o_custkey order by o_orderdate, o_orderkey) - 1 as idx from orders) x
 """)
 def q_enqueue_tasks(spark, sf_dir):
     """One task per planned slice (here: each order date of a customer
     job), priority 100 + position, deterministic ids, sorted-key params."""
     o = fx.table(spark, sf_dir, "orders").select(
-        F.col("o_custkey").alias("job_id"), "o_orderdate", "o_orderkey",
-        F.trunc("o_orderdate", "month").alias("month"))
+        F.col("o_custkey").alias("job_id"), "o_orderdate", "o_orderkey")
     params = {"filter[contract]": fx.contract_code(F.col("job_id")),
               "filter[tradetime_eq]": F.to_date("o_orderdate").cast("string")}
-    t = T.enqueue_tasks(o, "eod", params, split="month", order=["o_orderdate", "o_orderkey"])
+    t = T.enqueue_tasks(o, "eod", params, order=["o_orderdate", "o_orderkey"])
     return t.select("task_id", "job_id", "endpoint", "query_params", "priority", "status", "max_retries", "page_limit")
 
 
@@ -287,6 +286,32 @@ def q_bars_1d(spark, sf_dir):
     return B.ticks_to_bars(fx.ticks_like(spark, sf_dir), "1 day").select(*BAR_COLUMNS)
 
 
+def _calendar_sql(start: str) -> str:
+    return f"""
+, b as (select *, {start} as bar from ticks_like),
+o as (select contract, bar, min(struct_pack(t := t, e := event_id, p := price)) as first_,
+             max(struct_pack(t := t, e := event_id, p := price)) as last_, max(price) as high, min(price) as low,
+             cast(sum(size) as double) as volume from b group by contract, bar)
+select contract, cast(bar as timestamp) as tradetime, first_.p as open, high, low, last_.p as last, volume from o
+"""
+
+
+WEEK_COLUMNS = ["contract", "tradetime", "open", "high", "low", "last", "volume"]
+
+
+@query("bars_1w", ["ticks_like"], _calendar_sql("date_trunc('week', t)"))
+def q_bars_1w(spark, sf_dir):
+    """A3: weekly bars; weeks start on Monday."""
+    return B.ticks_to_bars(fx.ticks_like(spark, sf_dir), B.width(1, "week")).select(*WEEK_COLUMNS)
+
+
+@query("bars_1q", ["ticks_like"], _calendar_sql("date_trunc('quarter', t)"))
+def q_bars_1q(spark, sf_dir):
+    """A3+A4: quarterly bars re-barred from monthly bars."""
+    monthly = B.ticks_to_bars(fx.ticks_like(spark, sf_dir), B.width(1, "month"))
+    return B.rebar(monthly, B.width(1, "quarter")).select(*WEEK_COLUMNS)
+
+
 @query("rebar_1h_1d", ["ticks_like"], _bars_sql("1 day"))
 def q_rebar_1h_1d(spark, sf_dir):
     """A4: daily bars re-barred from hourly bars (must equal daily from trades)."""
@@ -304,7 +329,76 @@ def q_create_jobs(spark, sf_dir):
     cfg = fx.table(spark, sf_dir, "customer").select(
         F.lit("eod").alias("endpoint"), F.col("c_name").alias("underlying_symbol"),
         F.when(F.col("c_acctbal") < 0, F.lit("put")).alias("option_type"), "c_nationkey", "c_custkey")
-    return T.create_jobs(cfg, split="c_nationkey", order=["c_custkey"])
+    return T.create_jobs(cfg, order=["c_nationkey", "c_custkey"])
+
+
+@query("create_jobs_null_split", [], """
+select row_number() over (order by grp nulls first, c_custkey) as job_id, grp, c_custkey, 'pending' as status
+from (select case when c_nationkey > 2 then c_nationkey end as grp, c_custkey from customer) x
+""")
+def q_create_jobs_null_split(spark, sf_dir):
+    """T1 on a config column that is NULL for most rows: no row is lost, one group is no task of its own."""
+    cfg = fx.table(spark, sf_dir, "customer").select(
+        F.when(F.col("c_nationkey") > 2, F.col("c_nationkey")).alias("grp"), "c_custkey")
+    return T.create_jobs(cfg, order=["grp", "c_custkey"])
+
+
+_TASKS_SQL = """
+, plain as (select o_orderkey as task_id, o_custkey as job_id, cast(1 + o_orderkey % 3 as integer) as max_retries from orders),
+ev as (select seq, task_id, "at", kind, retryable, worker, message, rows_inserted,
+              rows_inserted + seq % 5 as rows_received, 1 + seq % 3 as api_requests_made
+       from task_events_like),
+agg as (
+  select task_id, count(*) filter (where kind = 'failed') as retry_count,
+         coalesce(sum(rows_received) filter (where kind = 'completed'), 0) as rows_received,
+         coalesce(sum(rows_inserted) filter (where kind = 'completed'), 0) as rows_inserted,
+         coalesce(sum(api_requests_made) filter (where kind = 'completed'), 0) as api_requests_made,
+         max(seq) filter (where kind = 'failed') as fail_seq, max(seq) as last_seq, count(*) as events
+  from ev group by task_id),
+state as (
+  select t.task_id, t.job_id, t.max_retries,
+         case when l.kind is null then 'pending' when l.kind = 'claimed' then 'running' when l.kind = 'completed' then 'completed'
+              when a.retry_count >= t.max_retries or not l.retryable then 'failed' else 'pending' end as status,
+         coalesce(a.retry_count, 0) as retry_count, cast(coalesce(a.rows_received, 0) as bigint) as rows_received,
+         cast(coalesce(a.rows_inserted, 0) as bigint) as rows_inserted,
+         cast(coalesce(a.api_requests_made, 0) as bigint) as api_requests_made,
+         f.message as last_error, l.at as updated_at, coalesce(a.events, 0) as events
+  from plain t left join agg a on a.task_id = t.task_id
+  left join ev l on l.task_id = a.task_id and l.seq = a.last_seq
+  left join ev f on f.task_id = a.task_id and f.seq = a.fail_seq)
+"""
+
+
+def _folded_tasks(spark, sf_dir):
+    tasks = fx.table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("task_id"), F.col("o_custkey").alias("job_id"),
+        (F.lit(1) + F.col("o_orderkey") % 3).cast("int").alias("max_retries"))
+    events = fx.task_events_like(spark, sf_dir)
+    events = events.withColumn("rows_received", F.col("rows_inserted") + F.col("seq") % 5) \
+        .withColumn("api_requests_made", F.lit(1) + F.col("seq") % 3)
+    return T.task_state(events, tasks=tasks)
+
+
+@query("task_state_full", ["task_events_like"], _TASKS_SQL + "select * from state")
+def q_task_state_full(spark, sf_dir):
+    """T4 over the task table: three counters, each task's own max_retries, 'pending' without events."""
+    return _folded_tasks(spark, sf_dir).drop("claimed_by", "claimed_at")
+
+
+@query("job_summary_folded", ["jobs_like", "task_events_like"], _TASKS_SQL + """
+select j.job_id, j.endpoint, count(s.task_id) as requested_tasks,
+       count(*) filter (where s.status = 'completed') as completed_tasks,
+       count(*) filter (where s.status = 'failed') as failed_tasks,
+       cast(coalesce(sum(s.rows_inserted), 0) as bigint) as inserted_rows,
+       cast(coalesce(sum(s.api_requests_made), 0) as bigint) as api_requests_made,
+       cast(coalesce(sum(s.api_requests_made), 0) * 10 as bigint) as api_call_units_estimated,
+       count(*) filter (where s.status <> 'completed') as unresolved_count,
+       min(s.task_id) filter (where s.status <> 'completed') as first_unresolved_task
+from jobs_like j left join state s on s.job_id = j.job_id group by j.job_id, j.endpoint
+""")
+def q_job_summary_folded(spark, sf_dir):
+    """A1 on the folded task state (T4)."""
+    return T.job_summary(fx.jobs_like(spark, sf_dir), _folded_tasks(spark, sf_dir))
 
 
 @query("job_status", [], """

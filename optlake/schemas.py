@@ -61,7 +61,7 @@ EOD_KEY = ["contract", "tradetime"]
 
 OPTION_EOD = StructType([
     _s("contract", nullable=False),
-    StructField("tradetime", TimestampType(), False),
+    StructField("tradetime", DateType(), False),
     _s("underlying_symbol", nullable=False),
     StructField("exp_date", DateType(), True),
     _s("expiration_type"),
@@ -70,7 +70,7 @@ OPTION_EOD = StructType([
     _s("exchange"),
     _s("currency"),
     _d("open"), _d("high"), _d("low"), _d("last"), _d("last_size"), _d("previous"),
-    StructField("previous_date", TimestampType(), True),
+    StructField("previous_date", DateType(), True),
     _d("bid"),
     StructField("bid_date", TimestampType(), True),
     _d("bid_size"),

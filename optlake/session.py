@@ -36,16 +36,28 @@ def prepare_session(spark: SparkSession) -> SparkSession:
         spark.conf.set(key, value)
     ckpt = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not ckpt:
-        spark.sparkContext.setCheckpointDir(_LOCAL_SCRATCH + "/checkpoints")
+        if is_local(spark):
+            spark.sparkContext.setCheckpointDir(_LOCAL_SCRATCH + "/checkpoints")
     elif spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(ckpt)
     return spark
 
 
+def is_local(spark: SparkSession) -> bool:
+    """One JVM on one machine, where a machine-local folder is shared by all tasks."""
+    return spark.sparkContext.master.split("[")[0] == "local"
+
+
 def scratch_root(spark: SparkSession) -> str:
-    """Shared folder for lineage cuts, stream checkpoints and staged writes."""
+    """Shared folder for lineage cuts, stream checkpoints and staged writes.
+
+    It is the cluster's ``spark.checkpoint.dir``.  Without one, a local master
+    gets a folder of its own; any other master raises, since each executor would
+    write to its own disk."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not is_local(spark):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         prepare_session(spark)
         root = spark.sparkContext.getCheckpointDir()
     return root.rstrip("/")
@@ -56,6 +68,19 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/optlake/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder (a finished scratch copy) through the Hadoop file system."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def list_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly under a path (none if it does not exist)."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [st.getPath().getName() for st in fs.listStatus(where) if st.isDirectory()] if fs.exists(where) else []
+
+
 def get_session(master: str | None = None, app: str = "optlake", shuffle_partitions: int | None = None) -> SparkSession:
     """Build (or fetch) a session for tests and the bench; clusters bring their own."""
     master = master or os.environ.get("OPTLAKE_MASTER", "local[8]")

@@ -1,13 +1,17 @@
 """Partitioned Parquet tables: create if missing, read with pruning, and
 rewrite only the partitions a fold touched.
 
-No MERGE on plain Parquet, so an upsert is: read the touched partitions of
-the held table, fold them with the staged rows, write the result to a fresh
-staging folder (this cuts the lineage: the overwrite never reads the files it
-replaces), then overwrite exactly those partitions from the staging copy with
-dynamic partition overwrite.  A failed job leaves the table as it was up to
-the final rename of each partition folder; the staged input is kept until
-the write returns.  One writer per table at a time.
+No MERGE on plain Parquet, so a merge is: write the staged rows once to the
+shared scratch folder, partitioned like the table; take the touched partitions
+from the folder names; read exactly those of the held table (literal partition
+filters); fold; write the result to a second scratch folder (so the overwrite
+never reads the files it replaces); overwrite exactly those partitions with
+dynamic partition overwrite; delete both scratch copies.  A failed job leaves
+the table as it was up to the final rename of each partition folder.  One
+writer per table at a time.
+
+Rows that break the table's key or NOT NULL rules never reach a fold: they are
+appended with their reasons to the table's quarantine folder.
 """
 
 from __future__ import annotations
@@ -19,12 +23,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from optlake import schemas
-from optlake.operators.merge import upsert_eod, write_order
-from optlake.session import scratch_path
+from optlake.operators.checks import reasons
+from optlake.operators.merge import contracts_seen, keep_last, merge_keep_last, symbol_universe, upsert_eod, write_order
+from optlake.session import delete_path, list_folders, scratch_path
 
 # Fixed layout: partition column per table and the column it is derived from.
 PARTITIONING = {
-    "option_eod": ("trade_month", lambda df: F.trunc(F.col("tradetime"), "month")),
+    "option_eod": ("trade_month", lambda df: F.trunc(F.to_date("tradetime"), "month")),
     "bars": ("trade_date", lambda df: F.to_date(F.col("tradetime"))),
 }
 # Writes are rebalanced on the partition column (AQE REBALANCE): rows of a
@@ -102,7 +107,6 @@ class TableStore:
         staging folder first, and the table is overwritten from that copy.
         """
         part = PARTITIONING.get(name)
-        staging = scratch_path(self.spark, f"stage-{name}")
         schema = _partitioned_schema(name)
         cols = [f.name for f in schema.fields]
         rows = self.with_partition(name, rows)
@@ -112,38 +116,107 @@ class TableStore:
         if part:
             staged = staged.hint("rebalance", part[0])
         staged = write_order(staged, part[0] if part else cols[0], SORT_WITHIN.get(name, []))
-        if staged_copy:
+        staging = scratch_path(self.spark, f"stage-{name}") if staged_copy else None
+        if staging:
             staged.write.mode("overwrite").parquet(staging)
-            copy = self.spark.read.schema(_partitioned_schema(name)).parquet(staging)
-        else:
-            copy = staged
-        w = copy.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            staged = self.spark.read.schema(schema).parquet(staging)
+        w = staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         if part:
             w = w.partitionBy(part[0])
         w.parquet(self.path(name))
+        if staging:
+            delete_path(self.spark, staging)
 
     def replace(self, name: str, rows: DataFrame) -> None:
-        """Write a table from ``rows``: an unpartitioned table (contracts,
-        symbols) is replaced whole, a partitioned one in the partitions the
-        rows touch.  Staged first, then copied over the table."""
+        """Write an unpartitioned table (contracts, symbols) whole from
+        ``rows``, staged first.  A partitioned table is refused: use its merge,
+        which keeps the held rows of the partitions it rewrites."""
+        if name in PARTITIONING:
+            raise ValueError(f"{name} is partitioned: replace() would drop held rows; use the merge call")
         self.overwrite_partitions(name, rows)
 
+    def quarantine(self, name: str) -> DataFrame | None:
+        """Rows kept out of a table, with the ``reasons`` array; None if there are none."""
+        path = f"{self.root.rstrip('/')}/_quarantine/{name}"
+        return self.spark.read.option("mergeSchema", "true").parquet(path) if list_folders(self.spark, path) else None
+
+    def _stage(self, name: str, staged: DataFrame) -> tuple[DataFrame, str, list[str]]:
+        """Write staged rows once, partitioned like the table: (good rows,
+        scratch folder, touched partition values).  Bad rows go to quarantine."""
+        part = PARTITIONING[name][0]
+        path = scratch_path(self.spark, f"staged-{name}")
+        must = [c for c in schemas.TABLE_KEYS[name] if c in staged.columns]
+        must += [c for c in schemas.not_null_columns(schemas.TABLES[name]) if c in staged.columns and c not in must]
+        tagged = self.with_partition(name, staged).withColumn("__bad", reasons(must))
+        ok = F.size("__bad") == 0
+        tagged = tagged.withColumn(part, F.when(ok, F.col(part)))
+        tagged.write.partitionBy(part).parquet(path)
+        copy = self.spark.read.schema(tagged.schema).parquet(path)
+        folders = list_folders(self.spark, path)
+        values = sorted(f.split("=", 1)[1] for f in folders if f.startswith(f"{part}=") and "__HIVE_DEFAULT" not in f)
+        if any("__HIVE_DEFAULT" in f for f in folders):
+            bad = copy.where(F.col(part).isNull()).drop(part).withColumnRenamed("__bad", "reasons")
+            load = path.rstrip("/").rsplit("/", 1)[1]
+            bad.write.parquet(f"{self.root.rstrip('/')}/_quarantine/{name}/load={load}")
+        return copy.where(F.col(part).isNotNull()).drop("__bad", part), path, values
+
+    def _held(self, name: str, values: list[str]) -> DataFrame:
+        """Held rows of the given partitions: a literal partition filter, so no other folder is read."""
+        part = PARTITIONING[name][0]
+        return self.read(name).where(F.col(part).isin(*[F.lit(v).cast("date") for v in values])).drop(part)
+
+    def _merge(self, name: str, staged: DataFrame, fold) -> DataFrame:
+        """Fold staged rows with the held rows of the partitions they touch; ``fold(held or None, staged)``."""
+        good, path, values = self._stage(name, staged)
+        if values:
+            # the first load reads nothing from the target, so it is written straight into it
+            first = not self.has_partitions(name)
+            folded = fold(None if first else self._held(name, values), good)
+            self.overwrite_partitions(name, folded, staged_copy=not first)
+        delete_path(self.spark, path)
+        return self.read(name)
+
     def upsert_eod(self, staged: DataFrame, seq: str = "seq") -> DataFrame:
-        """W1 into the table: fold staged rows with the held rows of the
-        trade months they touch, rewrite those months; returns the folded rows
-        (read back from the table)."""
-        name = "option_eod"
-        held = self.read(name)
-        staged = self.with_partition(name, staged)
-        if not self.has_partitions(name):
-            # first load: nothing held, nothing read from the target, so the
-            # fold is written straight into the table
-            self.overwrite_partitions(name, upsert_eod(None, staged.drop("trade_month"), seq=seq), staged_copy=False)
-            return self.read(name)
-        touched = staged.select("trade_month").distinct()
-        # semi-join on the partition column: dynamic partition pruning reads
-        # only the touched months of the held table
-        held_touched = held.join(touched, "trade_month", "left_semi").drop("trade_month")
-        folded = upsert_eod(held_touched, staged.drop("trade_month"), seq=seq)
-        self.overwrite_partitions(name, folded)
+        """W1 into the end-of-day table, keyed by contract and UTC trade DATE.
+
+        A timestamp ``tradetime`` gives the date; its instant is kept in
+        ``bid_date`` where that is NULL.  Of several snapshots of one day the
+        last in ``seq`` order gives the quotes.  Returns the table."""
+        if dict(staged.dtypes).get("tradetime") != "date":
+            at = F.col("tradetime").cast("timestamp")
+            staged = staged.withColumn("bid_date", F.coalesce(F.col("bid_date"), at) if "bid_date" in staged.columns else at)
+            staged = staged.withColumn("tradetime", F.to_date("tradetime"))
+        return self._merge("option_eod", staged, lambda held, rows: upsert_eod(held, rows, seq=seq))
+
+    def upsert_bars(self, staged: DataFrame, seq: str = "seq") -> DataFrame:
+        """Bars merged by (contract, tradetime), the last row wins; held bars of the touched days stay."""
+        key = schemas.TABLE_KEYS["bars"]
+
+        def fold(held, rows):
+            return keep_last(rows, key, seq) if held is None else merge_keep_last(held, rows, key, seq)
+
+        return self._merge("bars", staged, fold)
+
+    def upsert_contracts(self, observations: DataFrame, seen: str = "seen_at", seq: str = "seq") -> DataFrame:
+        """W3 into the contracts table: held rows count as the first sighting."""
+        held = self.read("contracts") if self.exists("contracts") else None
+        good = observations.where(F.size(reasons(["contract", "underlying_symbol", "option_type", seen])) == 0)
+        bad = observations.withColumn("reasons", reasons(["contract", "underlying_symbol", "option_type", seen]))
+        self._keep_bad("contracts", bad.where(F.size("reasons") > 0))
+        self.overwrite_partitions("contracts", contracts_seen(good, seen, seq, held=held))
+        return self.read("contracts")
+
+    def upsert_symbols(self, rows: DataFrame) -> DataFrame:
+        """W4 into the symbols table: latest fetch time, latest non-NULL fields."""
+        name = "underlying_symbols"
+        self._keep_bad(name, rows.withColumn("reasons", reasons(["underlying_symbol"])).where(F.size("reasons") > 0))
+        good = rows.where(F.col("underlying_symbol").isNotNull())
+        if self.exists(name):
+            good = self.read(name).unionByName(good, allowMissingColumns=True)
+        self.overwrite_partitions(name, symbol_universe(good).drop("first_fetched_at"))
         return self.read(name)
+
+    def _keep_bad(self, name: str, bad: DataFrame) -> None:
+        if bad.limit(1).count():
+            load = scratch_path(self.spark, "bad").rsplit("/", 1)[1]
+            bad.write.parquet(f"{self.root.rstrip('/')}/_quarantine/{name}/load={load}")
