@@ -52,8 +52,8 @@ def test_bars_rebar_15_minutes(spark, tmp_path):
     first = out[0]
     assert (first.open, first.high, first.low, first.last, first.volume) == (1.0, 16.0, 0.5, 15.5, 150.0)
     assert abs(first.vwap - (sum(1.2 + i for i in range(15)) / 15)) < 1e-9
-    one = api.bars(store, "C1", "2025-01-03", "2025-01-03", multiplier=1, timespan="minute", sort="desc", limit=2).collect()
-    assert [r.last for r in one] == [30.5, 29.5]
+    one = api.bars(store, "C1", "2025-01-03", "2025-01-03", multiplier=1, timespan="minute", sort="desc").collect()
+    assert [r.last for r in one] == [30.5 - i for i in range(30)]
     none = api.bars(store, "C1", "2025-01-04", "2025-01-05").collect()
     assert none == []
 
@@ -64,18 +64,61 @@ def test_readme_landing_to_store_flow(spark, tmp_path):
     from optlake.operators.normalize import normalize_eod
     from optlake.sources.pages import page_records, parse_pages, read_page_files
 
-    snap = {"details": {"ticker": "O:SPY250117P00450000", "contract_type": "put", "expiration_date": "2025-01-17",
-                        "strike_price": 450.0}, "underlying_asset": {"ticker": "SPY"},
-            "day": {"last_updated": 1735862400000000000}, "last_quote": {"bid": 1.1, "ask": 1.3}}
-    later = json.loads(json.dumps(snap))
-    later["last_quote"] = {"bid": 1.9, "ask": 2.1}
-    (tmp_path / "p1.json").write_text(json.dumps({"results": [snap]}))
-    (tmp_path / "p2.json").write_text(json.dumps({"results": [later]}))
+    def page(ask):
+        stamp = int(dt.datetime(2026, 3, 9, 15, tzinfo=dt.timezone.utc).timestamp()) * 10**9
+        return {"results": [{"details": {"ticker": "O:KLMN261218P00040000", "contract_type": "put", "expiration_date": "2026-12-18",
+                                         "strike_price": 40.0}, "underlying_asset": {"ticker": "KLMN"},
+                             "day": {"last_updated": stamp}, "last_quote": {"bid": ask - 0.25, "ask": ask}}]}
+
+    for n, ask in enumerate((2.5, 2.75)):
+        (tmp_path / f"p{n}.json").write_text(json.dumps(page(ask)))
     store = TableStore(spark, str(tmp_path / "store"))
     pages = page_records(parse_pages(read_page_files(spark, str(tmp_path / "p*.json"))))
     rows = normalize_eod(pages, keep=["page_id", "pos"])
-    store.upsert_eod(rows.withColumn("fetched_at", F.lit("2025-01-10 21:00:00").cast("timestamp"))
+    store.upsert_eod(rows.withColumn("fetched_at", F.lit("2026-03-10 21:00:00").cast("timestamp"))
                          .withColumn("seq", F.struct("page_id", "pos")).drop("page_id", "pos"))
-    out = api.eod(store, underlying_symbol="SPY", option_type="put", exp_date_eq="2025-01-17",
-                  tradetime_from="2025-01-03", tradetime_to="2025-01-10", sort="-strike").collect()
-    assert len(out) == 1 and (out[0].bid, out[0].ask) == (1.9, 2.1)
+    out = api.eod(store, underlying_symbol="KLMN", option_type="put", exp_date_eq="2026-12-18",
+                  tradetime_from="2026-03-09", tradetime_to="2026-03-12", sort="-strike").collect()
+    assert len(out) == 1 and (out[0].bid, out[0].ask, out[0].tradetime) == (2.5, 2.75, dt.date(2026, 3, 9))
+
+
+def test_results_are_whole(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "whole"))
+    seen = dt.datetime(2026, 1, 2)
+    store.replace("contracts", spark.range(3000).select(
+        F.format_string("C%05d", "id").alias("contract"), F.lit("KLMN").alias("underlying_symbol"), F.lit("put").alias("option_type"),
+        (F.col("id") % 7).cast("double").alias("strike"), F.lit(seen).alias("first_seen_at"), F.lit(seen).alias("last_seen_at")))
+    assert api.contracts(store).count() == api.contracts(store, limit=2500).count() == 3000
+    store.upsert_bars(spark.range(60_000).select(
+        F.lit("C").alias("contract"), F.timestamp_seconds(F.lit(1_772_000_000) + F.col("id") * 60).alias("tradetime"),
+        *[F.lit(1.0).alias(c) for c in ("open", "high", "low", "last", "volume", "vwap")], F.col("id").alias("seq")))
+    assert api.bars(store, "C", "2026-01-01", "2026-12-31", 1, "minute").count() == 60_000
+
+
+def test_cursor_reaches_every_row(spark):
+    from optlake.operators.filters import ordered_page
+
+    rows = spark.range(2600).select(F.format_string("C%05d", "id").alias("contract"),
+                                    F.when(F.col("id") % 5 > 0, (F.col("id") % 11).cast("double")).alias("strike"))
+    for sort in ("-strike", "strike", None, "contract"):
+        got, after = [], None
+        while page := ordered_page(rows, sort, ["contract"], after=after).collect():
+            got += page
+            after = page[-1].asDict()
+        whole = rows.orderBy(*([F.col("strike").desc_nulls_last()] if sort == "-strike" else
+                               [F.col("strike").asc_nulls_last()] if sort == "strike" else []), "contract").collect()
+        assert got == whole
+
+
+def test_calendar_and_fine_bars(spark, tmp_path):
+    store = _store(spark, tmp_path)
+    week, = api.bars(store, "C1", "2025-01-01", "2025-01-31", 1, "week").collect()
+    assert week.tradetime == dt.datetime(2024, 12, 30) and week.volume == 300.0  # a Monday
+    for span, start in (("month", (2025, 1, 1)), ("quarter", (2025, 1, 1)), ("year", (2025, 1, 1))):
+        bar, = api.bars(store, "C1", "2025-01-01", "2025-01-31", 1, span).collect()
+        assert bar.tradetime == dt.datetime(*start) and bar.open == 1.0
+    two, = api.bars(store, "C1", "2025-01-01", "2025-01-31", 2, "month").collect()
+    assert two.tradetime == dt.datetime(2025, 1, 1)
+    import pytest
+    with pytest.raises(ValueError):
+        api.bars(store, "C1", "2025-01-03", "2025-01-03", 30, "second")

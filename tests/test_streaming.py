@@ -80,7 +80,7 @@ def test_upsert_stream_two_loads_match_oracle(spark, tmp_path):
         src = spark.readStream.schema(schema).parquet(str(tmp_path / f"land_{side}"))
         q = X.upsert_stream(src, store, str(tmp_path / f"ck_{side}"))
         q.awaitTermination()
-    got = sorted((r.contract, r.tradetime.date(), r.bid, r.ask, r.volatility, r.raw_json, r.strike)
+    got = sorted((r.contract, r.tradetime, r.bid, r.ask, r.volatility, r.raw_json, r.strike)
                  for r in store.read("option_eod").collect())
     con = duckdb.connect()
     for t in ("part", "lineitem"):
