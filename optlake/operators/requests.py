@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Vendor quota and configured rate, call units per request,
@@ -67,21 +67,28 @@ def request_outcomes(log: DataFrame, key: str = "task_id") -> DataFrame:
 def latency(log: DataFrame, by: list[str], ms: str = "elapsed_ms", exact: bool = True) -> DataFrame:
     """L3: requests, rows, mean / median / 95th percentile latency per group.
 
-    The exact percentiles keep a value -> count map per group, so their state
-    is bounded by the distinct millisecond values (the request timeout caps
-    them), not by the row count.  ``exact=False`` uses ``percentile_approx``.
+    Exact percentiles come from counts per (group, millisecond value): requests
+    are counted map-side first, then the counts are cumulated in value order,
+    so no task holds a group's requests.  ``exact=False`` uses ``percentile_approx``.
     """
     m = F.col(ms)
-    if exact:
-        med = F.median(m)
-        p95 = F.expr(f"percentile_disc(0.95) within group (order by {ms})").cast("double")
-    else:
-        med = F.percentile_approx(m, 0.5).cast("double")
-        p95 = F.percentile_approx(m, 0.95).cast("double")
-    return log.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("requests"),
-        F.sum("row_count").cast("long").alias("rows"),
-        (F.sum(m).cast("double") / F.count(m).cast("double")).alias("avg_ms"),
-        med.alias("median_ms"),
-        p95.alias("p95_ms"),
-        F.max(m).alias("max_ms"))
+    totals = [F.count(F.lit(1)).alias("requests"), F.sum("row_count").cast("long").alias("rows"),
+              (F.sum(m).cast("double") / F.count(m).cast("double")).alias("avg_ms")]
+    if not exact:
+        return log.groupBy(*by).agg(*totals, F.percentile_approx(m, 0.5).cast("double").alias("median_ms"),
+                                    F.percentile_approx(m, 0.95).cast("double").alias("p95_ms"), F.max(m).alias("max_ms"))
+    counts = log.groupBy(*by, ms).agg(F.count(F.lit(1)).alias("__n"), F.sum("row_count").alias("__rows"))
+    known = F.when(m.isNotNull(), F.col("__n")).otherwise(0)
+    group = Window.partitionBy(*by)
+    upto = group.orderBy(m.asc_nulls_first()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cum = counts.withColumn("__cum", F.sum(known).over(upto)).withColumn("__all", F.sum(known).over(group))
+
+    def value_at(place):
+        return F.min(F.when(F.col("__cum") >= place, m))
+
+    low, high = F.floor((F.col("__all") + 1) / 2), F.floor((F.col("__all") + 2) / 2)
+    return cum.groupBy(*by).agg(
+        F.sum("__n").alias("requests"), F.sum("__rows").cast("long").alias("rows"),
+        (F.sum(m * F.col("__n")).cast("double") / F.sum(known).cast("double")).alias("avg_ms"),
+        ((value_at(low) + value_at(high)) / 2).cast("double").alias("median_ms"),
+        value_at(F.ceil(F.col("__all") * F.lit(0.95).cast("decimal(3,2)"))).cast("double").alias("p95_ms"), F.max(m).alias("max_ms"))

@@ -97,10 +97,70 @@ def q_flatfile_roundtrip(spark, sf_dir):
     return back.select("contract", "t", "price", "size", "event_id", "file_date")
 
 
-@query("file_inventory")
+@query("file_inventory", ["ticks_like"], """
+select cast(cast(t as date) as varchar) as day, true as listed from ticks_like group by 1
+""")
 def q_file_inventory(spark, sf_dir):
-    """Files of the driver's data folder with size and modification
-    time, summarised per folder (no file bodies read)."""
-    from optlake.sources.flatfiles import file_inventory, folder_summary
+    """The daily trade files of a landing prefix, by day (no file bodies read)."""
+    from optlake.session import scratch_path
+    from optlake.sources.flatfiles import file_inventory, folder_summary, write_daily_csv
+
+    root = scratch_path(spark, "inventory")
+    write_daily_csv(fx.ticks_like(spark, sf_dir), root, "t")
+    days = folder_summary(file_inventory(spark, f"{root}/day=*/*.csv.gz"))
+    return days.select(F.regexp_extract("folder", "day=(.*)$", 1).alias("day"), (F.col("bytes") > 0).alias("listed"))
+
+
+@query("flatfile_bars", ["ticks_like"], """
+, b as (select contract, date_trunc('minute', t) as bar, price, size, struct_pack(t := t, e := event_id, p := price) as o from ticks_like)
+select contract, cast(bar as timestamp) as tradetime, min(o).p as open, max(price) as high, min(price) as low, max(o).p as last,
+       cast(sum(size) as double) as volume
+from b group by contract, bar
+""")
+def q_flatfile_bars(spark, sf_dir):
+    """Daily minute-aggregate files read with their fixed schema and merged into the bars table, a rerun included."""
+    from optlake.operators.bars import ticks_to_bars
+    from optlake.session import scratch_path
+    from optlake.sources.flatfiles import read_minute_aggregates, write_daily_csv
+    from optlake.sources.store import TableStore
+
+    bars = ticks_to_bars(fx.ticks_like(spark, sf_dir), "1 minute")
+    files = bars.select(F.col("contract").alias("ticker"), "volume", "open", F.col("last").alias("close"), "high", "low",
+                        (F.unix_micros(F.col("tradetime").cast("timestamp")) * 1000).alias("window_start"),
+                        F.col("trades").alias("transactions"), "tradetime")
+    root = scratch_path(spark, "minutes")
+    write_daily_csv(files, root, "tradetime", drop=["tradetime"])
+    store = TableStore(spark, scratch_path(spark, "minute-store"))
+    for pattern in ("day=*", "day=*-01"):  # all days, then some again
+        store.upsert_bars(read_minute_aggregates(spark, f"{root}/{pattern}/*.csv.gz"))
+    return store.read("bars").select("contract", F.col("tradetime").cast("timestamp_ntz").alias("tradetime"),
+                                     "open", "high", "low", "last", "volume")
+
+
+@query("page_files", ["contracts_like"], """
+select contract, underlying_symbol, exp_date, option_type, strike, exchange from contracts_like
+where cast(substring(contract, 3) as bigint) % 3 <> 1
+""")
+def q_page_files(spark, sf_dir):
+    """S3: list pages landed as one JSON file each, read back as whole texts."""
+    from optlake.session import scratch_path
+    from optlake.sources.pages import read_page_files
 
-    return folder_summary(file_inventory(spark, f"{sf_dir.rstrip('/')}/*.parquet")).select("folder", "files", "bytes")
+    root = scratch_path(spark, "page-files")
+    pages = landing.contract_pages(spark, sf_dir).where("shape <> 1").select("page_text")
+    pages.write.option("maxRecordsPerFile", 1).text(root)
+    recs = page_records(parse_pages(read_page_files(spark, f"{root}/part-*")))
+    return normalize_contracts(recs).select("contract", "underlying_symbol", "exp_date", "option_type", "strike", "exchange")
+
+
+@query("generic_values", [], """
+select p_brand as value, 'object' as kind from part where p_partkey % 2 = 0
+""")
+def q_generic_values(spark, sf_dir):
+    """Scalar records of an endpoint without a normaliser become ``value`` rows with a row key."""
+    from optlake.operators.normalize import normalize
+
+    pages = landing.symbol_pages(spark, sf_dir).where("shape = 2")
+    rows = normalize(_records(pages), "some-endpoint")
+    keyed = rows.where(F.length("row_key") == 40)
+    return keyed.select("value", F.lit("object").alias("kind"))

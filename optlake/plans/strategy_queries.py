@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from optlake.functions.derived import days_to_expiry, midpoint_fill, vol_oi_ratio
 from optlake.operators.filters import FilterSet
-from optlake.operators.strategy import chain_entries, chain_slice, short_leg, spread_credit
+from optlake.operators.strategy import CHAIN_KEY, chain_entries, chain_slice, short_leg, spread_credit
 from optlake.plans import fixtures as fx
 from optlake.plans.common import chain, held_eod
 from optlake.plans.registry import query
@@ -41,10 +41,15 @@ select underlying_symbol, tradetime, exp_date, spot, target, contract, strike, m
 """
 
 
+def put_chain(spark, sf_dir):
+    """The put chain with the columns the legs need, written once."""
+    ch = chain(spark, sf_dir, "put")
+    return materialize(ch.select(*CHAIN_KEY, "contract", "strike", "midpoint"), "put-chain")
+
+
 def nearest_put_df(spark, sf_dir):
-    # the chain feeds two branches, but the entries branch only needs a
-    # narrow distinct of it, so recomputing beats writing it out
-    ch = chain(spark, sf_dir)
+    # both branches (entries, legs) read one written copy of the put chain
+    ch = put_chain(spark, sf_dir)
     return short_leg(chain_entries(ch, "put"), ch).select(
         "underlying_symbol", "tradetime", "exp_date", "spot", "target", "contract", "strike", "midpoint")
 
@@ -80,8 +85,7 @@ from long_leg
 """)
 def q_spread_credit(spark, sf_dir):
     """G2+G3: long put 5 below the short strike, entry credit per chain."""
-    # three consumers (entries, short leg, long leg): write the chain once
-    ch = materialize(chain(spark, sf_dir), "chain")
+    ch = put_chain(spark, sf_dir)  # three consumers: entries, short leg, long leg
     return spread_credit(chain_entries(ch, "put"), ch).select(
         "underlying_symbol", "tradetime", "exp_date", "spot", "short_contract", "short_strike", "short_midpoint",
         "long_target", "long_contract", "long_strike", "long_midpoint", "credit")

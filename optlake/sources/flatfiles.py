@@ -2,8 +2,8 @@
 inventory of a landing prefix.
 
 A ``.csv.gz`` file cannot be split, so the reader gets one task per file;
-``read_daily_csv`` spreads the rows over ``partitions`` tasks right after the
-scan so later stages are not bound to the file count.  The schema is given,
+``read_daily_csv`` spreads the rows over more tasks right after the scan only
+when there are fewer files than cores.  The schema is given,
 never inferred (the column names of the vendor files are an argument).
 """
 
@@ -11,37 +11,54 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructType, _parse_datatype_string
+
+from optlake.functions.dates import epoch_ms_to_ts, epoch_ns_to_ts
 
 DATE_IN_PATH = r"(\d{4}-\d{2}-\d{2})"
 # microsecond timestamps in text (the default CSV pattern keeps milliseconds)
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
-def write_daily_csv(df: DataFrame, root: str, date_col: str, compression: str = "gzip") -> None:
+def write_daily_csv(df: DataFrame, root: str, date_col: str, compression: str = "gzip", drop: list[str] = ()) -> None:
     """Write rows as compressed CSV files per day under ``root/day=YYYY-MM-DD``.
 
     Rebalanced on the day (AQE): a day's rows stay together unless the day is
     large, which is then split over several tasks (and files)."""
-    (df.withColumn("day", F.to_date(F.col(date_col)))
+    (df.withColumn("day", F.to_date(F.col(date_col))).drop(*drop)
        .hint("rebalance", "day")
        .write.mode("overwrite").partitionBy("day").option("header", True).option("compression", compression)
        .option("timestampNTZFormat", TS_FORMAT).option("timestampFormat", TS_FORMAT)
        .csv(root))
 
 
-def read_daily_csv(spark: SparkSession, path: str, schema: StructType, partitions: int | None = None,
-                   date_col: str = "file_date") -> DataFrame:
+def read_daily_csv(spark: SparkSession, path: str, schema: StructType, date_col: str = "file_date") -> DataFrame:
     """Read daily CSV files (S8) with a fixed schema; the file's date comes
     from its path (``day=YYYY-MM-DD`` folder or a dated file name)."""
     rows = (spark.read.schema(schema).option("header", True)
             .option("timestampNTZFormat", TS_FORMAT).option("timestampFormat", TS_FORMAT)
-            .csv(path)
-            .withColumn(date_col, F.to_date(F.regexp_extract(F.col("_metadata.file_path"), DATE_IN_PATH, 1))))
+            .csv(path))
+    few = len(rows.inputFiles()) < spark.sparkContext.defaultParallelism
+    rows = rows.withColumn(date_col, F.to_date(F.regexp_extract(F.col("_metadata.file_path"), DATE_IN_PATH, 1)))
     if "day" in rows.columns:
         rows = rows.drop("day")
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartition(n)
+    return rows.repartition(spark.sparkContext.defaultParallelism) if few else rows
+
+
+# The columns of the vendor's minute-aggregate files.
+MINUTE_AGGREGATES = "ticker string, volume double, open double, close double, high double, low double, window_start long, transactions long"
+
+
+def read_minute_aggregates(spark: SparkSession, path: str) -> DataFrame:
+    """Daily minute-aggregate files -> bar rows (contract, tradetime, open,
+    high, low, last, volume) for the bars table.  ``window_start`` is epoch
+    nanoseconds, or milliseconds where it has no more than 13 digits; a start
+    out of range is NULL.  ``seq`` is (file, row) order for the merge."""
+    rows = read_daily_csv(spark, path, _parse_datatype_string(MINUTE_AGGREGATES))
+    start = F.col("window_start")
+    at = F.when(F.abs(start) < 10**13, epoch_ms_to_ts(start)).otherwise(epoch_ns_to_ts(start))
+    return rows.select(F.col("ticker").alias("contract"), at.alias("tradetime"), "open", "high", "low",
+                       F.col("close").alias("last"), "volume", F.struct("file_date", "window_start", "transactions").alias("seq"))
 
 
 def file_inventory(spark: SparkSession, path: str, recursive: bool = True) -> DataFrame:

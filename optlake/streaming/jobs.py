@@ -28,6 +28,7 @@ from optlake.operators import merge as M
 from optlake.operators import requests as L
 from optlake.operators import tasks as T
 from optlake.operators.normalize import normalize
+from optlake.session import delete_path, list_folders
 from optlake.sources.pages import page_records, parse_pages
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -103,7 +104,8 @@ def dedupe_stream(rows: DataFrame, key: list[str], ts: str, lateness: str, sink:
 def _keep_last_into(table: str, key: list[str]):
     """foreachBatch body: upsert a batch of keyed rows into a Parquet folder,
     later batch wins.  Writes a new version folder per batch and never reads
-    and overwrites the same files."""
+    and overwrites the same files; the version before stays for readers that
+    are still on it, older ones are deleted."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -114,6 +116,10 @@ def _keep_last_into(table: str, key: list[str]):
             held = spark.read.parquet(prev)
             rows = M.union_by_name(held, rows)
         M.keep_last(rows, key, seq="__batch", keep_seq=True).write.mode("overwrite").parquet(cur)
+        for name in list_folders(spark, table):
+            old = f"{table}/{name}"
+            if name.startswith("batch=") and name != cur.rsplit("/", 1)[1] and (prev is None or name != prev.rsplit("/", 1)[1]):
+                delete_path(spark, old)
     return run
 
 
