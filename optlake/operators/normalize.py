@@ -225,8 +225,9 @@ def normalize_contracts(records: DataFrame, record: str = "record", keep: list[s
 
 
 def normalize_bars(records: DataFrame, record: str = "record", page_ticker: str = "page_ticker",
-                   keep: list[str] = ()) -> DataFrame:
-    """N3 (+S2): bar records; the page ticker fills a record without one."""
+                   keep: list[str] = (), raw: bool = False) -> DataFrame:
+    """N3 (+S2): bar records; the page ticker fills a record without one.
+    ``raw`` adds the whole record as ``raw_json``, so unknown vendor keys stay."""
     keys = Keys()
     contract = F.coalesce(
         pick(keys, [("rec", "contract", "string"), ("rec", "ticker", "string")], "string"),
@@ -236,13 +237,14 @@ def normalize_bars(records: DataFrame, record: str = "record", page_ticker: str
     for name, short in BAR_FIELDS.items():
         cols.append(pick(keys, [("rec", short, "double"), ("rec", name, "double")], "double").alias(name))
     staged = with_objects(records, record, {"rec": "$"}, keys)
-    out = staged.select(*keep, *cols)
+    out = staged.select(*keep, *cols, *([F.to_json(F.col(record)).alias("raw_json")] if raw else []))
     return out.withColumn("event_date", F.to_date("tradetime"))
 
 
-def normalize_symbols(records: DataFrame, record: str = "record", keep: list[str] = ()) -> DataFrame:
+def normalize_symbols(records: DataFrame, record: str = "record", keep: list[str] = (), raw: bool = False) -> DataFrame:
     """A bare string is the symbol; an object gives its fields (the
-    symbol from ``underlying_symbol``, else ``ticker``)."""
+    symbol from ``underlying_symbol``, else ``ticker``).  ``raw`` adds the whole
+    record as ``raw_json``, so unknown vendor keys stay."""
     rec = F.col(record)
     keys = Keys()
     is_obj = keys.object("rec").isNotNull()
@@ -251,7 +253,8 @@ def normalize_symbols(records: DataFrame, record: str = "record", keep: list[str
     cols = [symbol.alias("underlying_symbol"),
             F.when(is_obj, pick(keys, [("rec", "market", "string")], "string")).alias("market"),
             F.when(is_obj, pick(keys, [("rec", "active", "boolean")], "boolean")).alias("active"),
-            F.when(is_obj, pick(keys, [("rec", "name", "string")], "string")).alias("name")]
+            F.when(is_obj, pick(keys, [("rec", "name", "string")], "string")).alias("name"),
+            *([F.to_json(rec).alias("raw_json")] if raw else [])]
     staged = with_objects(records, record, {"rec": "$"}, keys)
     return staged.select(*keep, *cols)
 

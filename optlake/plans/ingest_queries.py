@@ -164,3 +164,16 @@ def q_generic_values(spark, sf_dir):
     rows = normalize(_records(pages), "some-endpoint")
     keyed = rows.where(F.length("row_key") == 40)
     return keyed.select("value", F.lit("object").alias("kind"))
+
+
+@query("row_keys", ["eod_raw_like", "contracts_like"], """
+select e.contract, e.tradetime, e.tradetime as event_date, count(*) as n
+from eod_raw_like e join contracts_like c on c.contract = e.contract group by all
+""")
+def q_row_keys(spark, sf_dir):
+    """N8+N9: typed composite key and event date of every normalised quote row."""
+    from optlake.operators.normalize import row_key
+
+    rows = normalize_eod(_records(landing.chain_pages(spark, sf_dir)), columns=["contract", "tradetime"])
+    keyed = rows.select(row_key(rows, "eod").alias("key"), "event_date")
+    return keyed.groupBy("key.contract", "key.tradetime", "event_date").agg(F.count("*").alias("n"))

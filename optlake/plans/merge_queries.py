@@ -280,3 +280,38 @@ def q_store_symbols_merge(spark, sf_dir):
     store.upsert_symbols(first.withColumn("market", F.lit("stocks")).withColumn("active", F.lit(True)))
     store.upsert_symbols(rows)
     return store.read("underlying_symbols").select("underlying_symbol", "market", F.to_date("fetched_at").alias("fetched"))
+
+
+@query("raw_json_switch", ["contracts_like"], _SNAPSHOT_SQL + """
+, n as (select count(*) as n from (select distinct contract, tradetime from snaps) x)
+select true as stored, n as rows_, n as with_json from n union all select false, n, 0 from n
+""")
+def q_raw_json_switch(spark, sf_dir):
+    """The same load with and without the vendor's JSON."""
+    rows = _snapshots(spark, sf_dir).drop("l_linestatus", "l_returnflag", "l_linenumber").withColumn("raw_json", F.lit("{}"))
+    out = None
+    for stored in (True, False):
+        store = _new_store(spark, "raw-json")
+        store.store_raw_json = stored
+        held = store.upsert_eod(rows).agg(F.lit(stored).alias("stored"), F.count("*").alias("rows_"), F.count("raw_json").alias("with_json"))
+        out = held if out is None else out.unionByName(held)
+    return out
+
+
+@query("file_order", ["ticks_like"], """
+select contract, count(distinct time_bucket(interval '1 hour', t)) as bars, cast(0 as bigint) as out_of_order from ticks_like group by contract
+""")
+def q_file_order(spark, sf_dir):
+    """Rows of every file of the bars table stand in (day, contract, time) order."""
+    from pyspark.sql import Window
+
+    from optlake.operators.bars import ticks_to_bars
+
+    store = _new_store(spark, "order")
+    store.upsert_bars(ticks_to_bars(fx.ticks_like(spark, sf_dir), "1 hour").drop("notional", "trades").withColumn("seq", F.lit(1)))
+    here = F.struct("trade_date", "contract", "tradetime")
+    rows = store.read("bars").select("contract", here.alias("here"), F.col("_metadata.file_path").alias("file"),
+                                     F.col("_metadata.row_index").alias("pos"))
+    before = F.lag("here").over(Window.partitionBy("file").orderBy("pos"))
+    return (rows.withColumn("wrong", F.coalesce(before > F.col("here"), F.lit(False)))
+            .groupBy("contract").agg(F.count("*").alias("bars"), F.count_if("wrong").alias("out_of_order")))

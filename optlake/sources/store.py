@@ -51,10 +51,14 @@ def _partitioned_schema(name: str) -> StructType:
 
 @dataclass
 class TableStore:
-    """Tables under one root folder (a shared file system or object store)."""
+    """Tables under one root folder (a shared file system or object store).
+
+    With ``store_raw_json`` off (S7), merges leave the vendor's JSON out of what
+    they add; JSON that is held already stays."""
 
     spark: SparkSession
     root: str
+    store_raw_json: bool = True
 
     def path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
@@ -182,6 +186,7 @@ class TableStore:
         A timestamp ``tradetime`` gives the date; its instant is kept in
         ``bid_date`` where that is NULL.  Of several snapshots of one day the
         last in ``seq`` order gives the quotes.  Returns the table."""
+        staged = self._with_json(staged)
         if dict(staged.dtypes).get("tradetime") != "date":
             at = F.col("tradetime").cast("timestamp")
             staged = staged.withColumn("bid_date", F.coalesce(F.col("bid_date"), at) if "bid_date" in staged.columns else at)
@@ -200,6 +205,7 @@ class TableStore:
     def upsert_contracts(self, observations: DataFrame, seen: str = "seen_at", seq: str = "seq") -> DataFrame:
         """W3 into the contracts table: held rows count as the first sighting."""
         held = self.read("contracts") if self.exists("contracts") else None
+        observations = self._with_json(observations)
         good = observations.where(F.size(reasons(["contract", "underlying_symbol", "option_type", seen])) == 0)
         bad = observations.withColumn("reasons", reasons(["contract", "underlying_symbol", "option_type", seen]))
         self._keep_bad("contracts", bad.where(F.size("reasons") > 0))
@@ -216,6 +222,9 @@ class TableStore:
         self.overwrite_partitions(name, symbol_universe(good).drop("first_fetched_at"))
         return self.read(name)
 
+    def _with_json(self, rows: DataFrame) -> DataFrame:
+        return rows if self.store_raw_json else rows.withColumn("raw_json", F.lit(None).cast("string"))
+
     def _keep_bad(self, name: str, bad: DataFrame) -> None:
         if bad.limit(1).count():
             load = scratch_path(self.spark, "bad").rsplit("/", 1)[1]

@@ -73,6 +73,13 @@ def test_symbols(spark):
     assert sorted((r.underlying_symbol, r.market) for r in out.collect()) == [("KLMN", None), ("OPQ", None), ("RST", "otc")]
 
 
+def test_unknown_keys_stay_in_raw_json(spark):
+    page = {"ticker": CALL, "results": [{"o": 1.5, "t": _millis(2026, 3, 9), "otc": True}]}
+    bar, = normalize_bars(_records(spark, page), raw=True).collect()
+    symbol, = normalize_symbols(_records(spark, {"results": [{"ticker": "RST", "sic": "7"}]}), raw=True).collect()
+    assert json.loads(bar.raw_json)["otc"] is True and json.loads(symbol.raw_json)["sic"] == "7"
+
+
 def test_flat_contract(spark):
     rec = {"ticker": CALL, "underlying_ticker": "KLMN", "contract_type": "call", "expiration_date": "2026-12-18", "strike_price": 72.5}
     r, = normalize_contracts(_records(spark, {"results": [rec]})).collect()
