@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from optlake.operators.merge import keep_last, upsert_eod
-from conftest import rows
+from support import rows
 
 SCHEMA = ("contract string, tradetime int, underlying_symbol string, strike double, "
           "bid double, ask double, raw_json string, seq int")

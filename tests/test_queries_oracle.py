@@ -4,7 +4,7 @@ it runs) on the smallest driver scale."""
 import pytest
 
 from oracle_check import compare
-from conftest import SMALL
+from support import SMALL
 
 import __spark_entry__ as entry_mod
 

@@ -15,7 +15,7 @@ from optlake.operators.merge import keep_last, merge_keep_last
 from optlake.operators.normalize import normalize_contracts, normalize_eod, normalize_symbols
 from optlake.operators.tasks import task_state
 from optlake.sources.pages import page_records, parse_pages
-from conftest import rows
+from support import rows
 
 
 def _recs(spark, page):

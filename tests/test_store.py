@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from optlake import api
 from optlake.session import list_folders, scratch_root
 from optlake.sources.store import TableStore
-from conftest import rows
+from support import rows
 
 SCHEMA = ("contract string, tradetime timestamp, underlying_symbol string, option_type string, "
           "strike double, bid double, ask double, fetched_at timestamp, raw_json string, seq int")

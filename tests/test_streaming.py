@@ -65,7 +65,7 @@ def test_upsert_stream_two_loads_match_oracle(spark, tmp_path):
     table); the table equals the one-shot W1 oracle."""
     import duckdb
 
-    from conftest import SMALL
+    from support import SMALL
     from optlake.plans import fixtures as fx
     from optlake.plans.merge_queries import _eod_rows
     from optlake.plans.oracle_sql import VIEWS
