@@ -13,7 +13,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType, _parse_datatype_string
 
 import optlake.llm
-from optlake.session import prepare_session, scratch_path
+from optlake.session import delete_path, prepare_session, scratch_path
 
 # Task functions travel with the job, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(optlake.llm)
@@ -122,20 +122,16 @@ class Scratch:
 
     ``keep`` writes a frame once and returns a reader over the copy: this cuts
     the lineage, and a lost executor re-reads the copy.  ``drop`` deletes the
-    copies no later step reads.
+    copies no later step reads; other frames are left alone.
     """
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
-        self.paths: dict[int, str] = {}
 
     def keep(self, df: DataFrame, label: str) -> DataFrame:
         path = scratch_path(self.spark, label)
         df.write.mode("overwrite").parquet(path)
-        got = self.spark.read.schema(df.schema).parquet(path)
-        self.paths[id(got)] = path
-        got._scratch = self  # the copy is known by its reader
-        return got
+        return self._named(self.spark.read.schema(df.schema).parquet(path), path)
 
     def keep_bucketed(self, df: DataFrame, label: str, column: str) -> DataFrame:
         """Like ``keep``, but the copy is bucketed: grouping it by ``column`` needs no shuffle."""
@@ -145,14 +141,15 @@ class Scratch:
         df.write.bucketBy(buckets, column).format("parquet").option("path", path).saveAsTable(name)
         got = self.spark.table(name)
         self.spark.sql(f"drop table {name}")  # the name only: the files are the scratch copy
-        self.paths[id(got)] = path
-        got._scratch = self
-        return got
+        return self._named(got, path)
 
     def drop(self, *frames: DataFrame) -> None:
         for f in frames:
-            path = self.paths.pop(id(f), None)
+            path = f.__dict__.pop("_scratch_path", None)
             if path:
-                jvm = self.spark.sparkContext._jvm
-                where = jvm.org.apache.hadoop.fs.Path(path)
-                where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+                delete_path(self.spark, path)
+
+    @staticmethod
+    def _named(copy: DataFrame, path: str) -> DataFrame:
+        copy.__dict__["_scratch_path"] = path
+        return copy
