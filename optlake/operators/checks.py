@@ -48,9 +48,8 @@ def rule_counts(df: DataFrame, rules: dict[str, Column], table: str) -> DataFram
     """Rows breaking each rule, one output row per rule (zeros included),
     from a single aggregation."""
     agg = df.agg(*[F.count_if(bad).alias(f"r{i}") for i, bad in enumerate(rules.values())])
-    pairs = ", ".join(f"'{name}', r{i}" for i, name in enumerate(rules))
-    return agg.select(F.lit(table).alias("table_name"),
-                      F.expr(f"stack({len(rules)}, {pairs}) as (rule, bad_rows)"))
+    rows = F.array(*[F.struct(F.lit(name).alias("rule"), F.col(f"r{i}").alias("bad_rows")) for i, name in enumerate(rules)])
+    return agg.select(F.lit(table).alias("table_name"), F.explode(rows).alias("r")).select("table_name", "r.rule", "r.bad_rows")
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:

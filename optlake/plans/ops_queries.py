@@ -89,7 +89,7 @@ def q_next_tasks(spark, sf_dir):
         "job_id", "task_id", "priority", "created_at", "claim_rank")
 
 
-@query("task_state", ["task_events_like"], """
+TASK_STATE_SQL = """
 , agg as (
   select task_id, count(*) filter (where kind = 'failed') as retry_count,
          coalesce(sum(rows_inserted) filter (where kind = 'completed'), 0) as rows_inserted,
@@ -108,7 +108,10 @@ from agg a
 join task_events_like l on l.task_id = a.task_id and l.seq = a.last_seq
 left join task_events_like c on c.task_id = a.task_id and c.seq = a.claim_seq
 left join task_events_like f on f.task_id = a.task_id and f.seq = a.fail_seq
-""")
+"""
+
+
+@query("task_state", ["task_events_like"], TASK_STATE_SQL)
 def q_task_state(spark, sf_dir):
     """T4: task state folded from the claim / complete / fail event log."""
     return T.task_state(fx.task_events_like(spark, sf_dir))
@@ -194,12 +197,14 @@ def q_duplicate_keys(spark, sf_dir):
 
 
 @query("orphan_tasks", ["task_events_like", "tasks_like"], """
-select task_id, count(*) as events from task_events_like e
+, e as (select seq * 2 as task_id from task_events_like)
+select task_id, count(*) as events from e
 where not exists (select 1 from tasks_like t where t.task_id = e.task_id) group by task_id
 """)
 def q_orphan_tasks(spark, sf_dir):
-    """V3: task events whose task does not exist (foreign key check)."""
-    o = V.orphans(fx.task_events_like(spark, sf_dir), fx.tasks_like(spark, sf_dir), ["task_id"])
+    """V3: task events whose task does not exist (events numbered past the last task)."""
+    events = fx.task_events_like(spark, sf_dir).withColumn("task_id", F.col("seq") * 2)
+    o = V.orphans(events, fx.tasks_like(spark, sf_dir), ["task_id"])
     return o.groupBy("task_id").agg(F.count(F.lit(1)).alias("events"))
 
 
@@ -250,7 +255,7 @@ def q_bad_values(spark, sf_dir):
 BAR_COLUMNS = ["contract", "tradetime", "open", "high", "low", "last", "volume", "vwap", "trades"]
 
 
-def _bars_sql(interval: str) -> str:
+def bars_sql(interval: str) -> str:
     return f"""
 , b as (select *, time_bucket(interval '{interval}', t) as tradetime from ticks_like),
 f as (select contract, tradetime, price as open from (
@@ -268,19 +273,19 @@ join l on l.contract = a.contract and l.tradetime = a.tradetime
 """
 
 
-@query("bars_15m", ["ticks_like"], _bars_sql("15 minutes"))
+@query("bars_15m", ["ticks_like"], bars_sql("15 minutes"))
 def q_bars_15m(spark, sf_dir):
     """A3: 15-minute OHLCV/VWAP bars from trades."""
     return B.ticks_to_bars(fx.ticks_like(spark, sf_dir), "15 minutes").select(*BAR_COLUMNS)
 
 
-@query("bars_1h", ["ticks_like"], _bars_sql("1 hour"))
+@query("bars_1h", ["ticks_like"], bars_sql("1 hour"))
 def q_bars_1h(spark, sf_dir):
     """A3: hourly bars."""
     return B.ticks_to_bars(fx.ticks_like(spark, sf_dir), "1 hour").select(*BAR_COLUMNS)
 
 
-@query("bars_1d", ["ticks_like"], _bars_sql("1 day"))
+@query("bars_1d", ["ticks_like"], bars_sql("1 day"))
 def q_bars_1d(spark, sf_dir):
     """A3: daily bars."""
     return B.ticks_to_bars(fx.ticks_like(spark, sf_dir), "1 day").select(*BAR_COLUMNS)
@@ -312,7 +317,7 @@ def q_bars_1q(spark, sf_dir):
     return B.rebar(monthly, B.width(1, "quarter")).select(*WEEK_COLUMNS)
 
 
-@query("rebar_1h_1d", ["ticks_like"], _bars_sql("1 day"))
+@query("rebar_1h_1d", ["ticks_like"], bars_sql("1 day"))
 def q_rebar_1h_1d(spark, sf_dir):
     """A4: daily bars re-barred from hourly bars (must equal daily from trades)."""
     hourly = B.ticks_to_bars(fx.ticks_like(spark, sf_dir), "1 hour")

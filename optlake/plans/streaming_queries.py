@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from optlake.plans import fixtures as fx
-from optlake.plans.ops_queries import BAR_COLUMNS
+from optlake.plans.ops_queries import BAR_COLUMNS, TASK_STATE_SQL, bars_sql
 from optlake.plans.registry import query
 from optlake.session import scratch_path
 from optlake.sources.store import TableStore
@@ -21,22 +21,10 @@ def _run(q) -> None:
         raise RuntimeError(str(q.exception()))
 
 
-@query("stream_bars", ["ticks_like"], """
-, b as (select *, time_bucket(interval '1 hour', t) as tradetime from ticks_like),
-f as (select contract, tradetime, price as open from (
-        select *, row_number() over (partition by contract, tradetime order by t, event_id) as rn from b) x where rn = 1),
-l as (select contract, tradetime, price as last from (
-        select *, row_number() over (partition by contract, tradetime order by t desc, event_id desc) as rn from b) x
-      where rn = 1),
-a as (select contract, tradetime, max(price) as high, min(price) as low, cast(sum(size) as double) as volume,
-             cast(sum(cast(price as decimal(18,4)) * size) as double) / cast(sum(size) as double) as vwap,
-             count(*) as trades
-      from b group by contract, tradetime)
-select a.contract, a.tradetime, f.open, a.high, a.low, l.last, a.volume, a.vwap, a.trades
-from a join f on f.contract = a.contract and f.tradetime = a.tradetime
-join l on l.contract = a.contract and l.tradetime = a.tradetime
-where a.tradetime + interval '1 hour' <= (select max(t) from ticks_like)
-""")
+CLOSED_BARS_SQL = bars_sql("1 hour") + "where a.tradetime + interval '1 hour' <= (select max(t) from ticks_like)\n"
+
+
+@query("stream_bars", ["ticks_like"], CLOSED_BARS_SQL)
 def q_stream_bars(spark, sf_dir):
     """Hourly bars from a tick stream, watermark 0, append mode: every
     hour the watermark has closed (all but the last open one)."""
@@ -48,6 +36,25 @@ def q_stream_bars(spark, sf_dir):
     return out.select(*[F.col(c).cast("timestamp_ntz").alias(c) if c == "tradetime" else F.col(c) for c in BAR_COLUMNS])
 
 
+@query("stream_bars_batches", ["ticks_like"], CLOSED_BARS_SQL)
+def q_stream_bars_batches(spark, sf_dir):
+    """X3 in several micro-batches: ticks land in time order in three files, one
+    per batch, so bars stay open over batches and close as the watermark moves."""
+    X.use_rocksdb_state(spark)
+    ticks, land = fx.ticks_like(spark, sf_dir), scratch_path(spark, "landing-ticks")
+    span = ticks.agg(F.min("t").alias("a"), F.max("t").alias("b")).first()
+    third = (span.b - span.a) / 3
+    for n in range(3):
+        part = ticks.where(F.col("t") >= F.lit(span.a + n * third))
+        part = part.where(F.col("t") < F.lit(span.a + (n + 1) * third)) if n < 2 else part
+        part.coalesce(1).write.mode("append").parquet(f"{land}/{n}")
+    src = spark.readStream.schema(ticks.schema).option("maxFilesPerTrigger", 1).parquet(f"{land}/*")
+    sink, ck = scratch_path(spark, "stream-bars"), scratch_path(spark, "ck-stream-bars")
+    _run(X.bars_stream(src, "1 hour", "0 seconds", sink, ck))
+    out = spark.read.parquet(sink)
+    return out.select(*[F.col(c).cast("timestamp_ntz").alias(c) if c == "tradetime" else F.col(c) for c in BAR_COLUMNS])
+
+
 @query("stream_quota", ["request_log_like"], """
 select time_bucket(interval '1 minute', created_at) as minute, count(*) as requests, count(*) * 10 as units,
        cast(sum(row_count) as bigint) as rows, count(*) > 90 as over_rate, count(*) > 1000 as over_vendor_limit
@@ -66,37 +73,19 @@ def q_stream_quota(spark, sf_dir):
 
 
 @query("stream_dedupe", ["eod_raw_like"], """
-select distinct contract, tradetime from eod_raw_like
+select distinct contract, tradetime, cast(substring(contract, 3) as bigint) as part_key, cast(tradetime as timestamp) as at from eod_raw_like
 """)
 def q_stream_dedupe(spark, sf_dir):
-    """One row per (contract, tradetime) within the lateness bound."""
+    """One row per (contract, tradetime) within the lateness bound; repeats are equal in every column."""
     X.use_rocksdb_state(spark)
-    rows = fx.eod_raw_like(spark, sf_dir, src=fx.table_stream(spark, sf_dir, "lineitem")).drop("seq")
+    rows = fx.eod_raw_like(spark, sf_dir, src=fx.table_stream(spark, sf_dir, "lineitem")).select(
+        "contract", "tradetime", F.col("part_key").cast("long").alias("part_key"), F.col("tradetime").cast("timestamp").alias("at"))
     sink, ck = scratch_path(spark, "stream-dedupe"), scratch_path(spark, "ck-stream-dedupe")
-    _run(X.dedupe_stream(rows, ["contract", "tradetime"], "fetched_at", "3650 days", sink, ck))
-    return spark.read.parquet(sink).select("contract", "tradetime")
-
-
-@query("stream_task_state", ["task_events_like"], """
-, agg as (
-  select task_id, count(*) filter (where kind = 'failed') as retry_count,
-         coalesce(sum(rows_inserted) filter (where kind = 'completed'), 0) as rows_inserted,
-         max(seq) filter (where kind = 'claimed') as claim_seq,
-         max(seq) filter (where kind = 'failed') as fail_seq,
-         max(seq) as last_seq, count(*) as events
-  from task_events_like group by task_id)
-select a.task_id,
-       case when l.kind = 'claimed' then 'running' when l.kind = 'completed' then 'completed'
-            when a.retry_count >= 3 or not l.retryable then 'failed' else 'pending' end as status,
-       a.retry_count, cast(a.rows_inserted as bigint) as rows_inserted,
-       case when a.fail_seq > a.claim_seq then null else c.worker end as claimed_by,
-       case when a.fail_seq > a.claim_seq then null else c.at end as claimed_at,
-       f.message as last_error, l.at as updated_at, a.events
-from agg a
-join task_events_like l on l.task_id = a.task_id and l.seq = a.last_seq
-left join task_events_like c on c.task_id = a.task_id and c.seq = a.claim_seq
-left join task_events_like f on f.task_id = a.task_id and f.seq = a.fail_seq
-""")
+    _run(X.dedupe_stream(rows, ["contract", "tradetime"], "at", "3650 days", sink, ck))
+    return spark.read.parquet(sink).withColumn("at", F.col("at").cast("timestamp_ntz"))
+
+
+@query("stream_task_state", ["task_events_like"], TASK_STATE_SQL)
 def q_stream_task_state(spark, sf_dir):
     """Live task state from the event stream (update mode, upserted)."""
     X.use_rocksdb_state(spark)
@@ -106,7 +95,7 @@ def q_stream_task_state(spark, sf_dir):
     return X.latest_table(spark, table)
 
 
-@query("stream_upsert", ["eod_raw_like", "contracts_like"], """
+STREAM_UPSERT_SQL = """
 , rows_ as (select r.*, c.underlying_symbol, c.exp_date, c.option_type, c.strike
             from eod_raw_like r join contracts_like c on c.contract = r.contract),
 f as (select contract, tradetime, underlying_symbol, exp_date, option_type, strike, volume from (
@@ -120,7 +109,10 @@ select f.contract, f.tradetime, f.underlying_symbol, f.exp_date, f.option_type,
        l.bid, l.ask, l.volatility, l.delta, l.fetched_at, j.raw_json
 from f join l on l.contract = f.contract and l.tradetime = f.tradetime
 left join j on j.contract = f.contract and j.tradetime = f.tradetime
-""")
+"""
+
+
+@query("stream_upsert", ["eod_raw_like", "contracts_like"], STREAM_UPSERT_SQL)
 def q_stream_upsert(spark, sf_dir):
     """Quote rows streamed into the partitioned end-of-day table, each
     micro-batch folded with the W1 upsert (touched months rewritten)."""
@@ -155,23 +147,6 @@ def q_stream_landing(spark, sf_dir):
     return spark.read.parquet(sink)
 
 
-STREAM_UPSERT_SQL = """
-, rows_ as (select r.*, c.underlying_symbol, c.exp_date, c.option_type, c.strike
-            from eod_raw_like r join contracts_like c on c.contract = r.contract),
-f as (select contract, tradetime, underlying_symbol, exp_date, option_type, strike, volume from (
-          select *, row_number() over (partition by contract, tradetime order by seq) as rn from rows_) x where rn = 1),
-l as (select contract, tradetime, bid, ask, volatility, delta, fetched_at from (
-          select *, row_number() over (partition by contract, tradetime order by seq desc) as rn from rows_) x where rn = 1),
-j as (select contract, tradetime, raw_json from (
-          select *, row_number() over (partition by contract, tradetime order by seq desc) as rn
-          from rows_ where raw_json is not null) x where rn = 1)
-select f.contract, f.tradetime, f.underlying_symbol, f.exp_date, f.option_type, f.strike, f.volume,
-       l.bid, l.ask, l.volatility, l.delta, l.fetched_at, j.raw_json
-from f join l on l.contract = f.contract and l.tradetime = f.tradetime
-left join j on j.contract = f.contract and j.tradetime = f.tradetime
-"""
-
-
 @query("stream_upsert_loads", ["eod_raw_like", "contracts_like"], STREAM_UPSERT_SQL)
 def q_stream_upsert_loads(spark, sf_dir):
     """X2 over two loads: the held rows land and stream into the table
