@@ -66,3 +66,86 @@ select conv_id, count(*) as n_turns,
        cast(sum(length('<|im_start|>') + length(head) + 1 + length(body) + length('<|im_end|>') + 1) as bigint) as formatted_chars
 from escaped group by conv_id
 """
+
+
+def _url_sql(depth: int = 7) -> str:
+    """Rules and template tree; a level past the deepest path changes nothing."""
+    seg = "segs[{0} + 1]"
+    put = "list_concat(list_concat(segs[1:{0}], ['*']), segs[{0} + 2:])"
+    parts = [r"""
+pages_ as (
+  select page_id, url,
+         translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+         coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') as path
+  from pages
+), cut as (
+  select *, list_filter(string_split(path, '/'), lambda s: s <> '') as all_parts from pages_
+), rows_ as (
+  select page_id, host, path,
+         list_concat(list_transform(all_parts[1:6], lambda s:
+           case when regexp_matches(s, '^[0-9]+(\.[A-Za-z]{1,5})?$') then '{n}' || regexp_extract(s, '(\.[A-Za-z]{1,5})?$', 1)
+                when regexp_matches(s, '^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$') then '{uuid}'
+                when regexp_matches(s, '^[0-9a-fA-F]{12,}(\.[A-Za-z]{1,5})?$') then '{x}' || regexp_extract(s, '(\.[A-Za-z]{1,5})?$', 1)
+                else s end),
+           case when len(all_parts) > 6 then ['**'] else [] end) as typed
+  from cut
+), labels_ as (
+  select doc_id as id, 1 - max(case when coalesce(quality, 1) = 0 or coalesce(toxic, 0) = 1 then 1 else 0 end) as good
+  from labels where doc_id is not null group by doc_id
+), tree_0 as (
+  select r.host, r.typed, r.typed as segs, count(*) as n, count(l.good) as lab, cast(sum(coalesce(l.good, 0)) as bigint) as good
+  from rows_ r left join labels_ l on l.id = r.page_id group by r.host, r.typed
+)"""]
+    now = "tree_0"
+    for d in range(depth):
+        s, p = seg.format(d), put.format(d)
+        parts.append(f"""
+node_{d} as (select *, array_to_string(segs[1:{d}], chr(31)) as node, {s} as seg from {now}),
+child_{d} as (select host, node, seg, sum(n) as child_n from node_{d} where seg is not null and seg not like '{{%' group by all),
+fan_{d} as (select host, node from child_{d} group by all having count(*) >= 12 and count(*) filter (where child_n = 1) >= 0.5 * count(*)),
+level_{d} as (
+  select t.host, t.typed, t.n, t.lab, t.good, case when c.seg is not null then {p} else segs end as segs
+  from node_{d} t left join (select c.* from child_{d} c semi join fan_{d} f on f.host = c.host and f.node = c.node where c.child_n <= 2) c
+    on c.host = t.host and c.node = t.node and c.seg = t.seg)""")
+        now = f"level_{d}"
+    for d in range(depth):
+        s, p = seg.format(d), put.format(d)
+        parts.append(f"""
+shape_{d} as (
+  select *, case when {s} is null then array_to_string(segs, chr(31)) else array_to_string({p}, chr(31)) end as shape, {s} as seg from {now}),
+sum_{d} as (
+  select host, shape, count(*) as k, sum(lab) as l, sum(good) as g, sum(good * good / lab) as gg from (
+    select host, shape, seg, cast(sum(lab) as double) as lab, cast(sum(good) as double) as good from shape_{d} where seg is not null group by all) b
+  where lab > 0 group by all),
+alike_{d} as (
+  select host, shape from sum_{d}
+  where k >= 2 and case when g / l > 0 and g / l < 1 then (gg - l * (g / l) * (g / l)) / ((g / l) * (1 - g / l)) else 0 end
+                   <= k - 1 + 2 * sqrt(2.0 * (k - 1))),
+branch_{d} as (
+  select t.host, t.typed, t.n, t.lab, t.good, case when a.host is not null and seg is not null then {p} else segs end as segs
+  from shape_{d} t left join alike_{d} a on a.host = t.host and a.shape = t.shape)""")
+        now = f"branch_{d}"
+    parts.append(f"""
+leaves as (select *, '/' || array_to_string(segs, '/') as template from {now}),
+base as (select cast(coalesce(sum(good), 0) + 1 as double) / (coalesce(sum(lab), 0) + 2) as base from leaves),
+hosts as (select host, (sum(good) + 10.0::double * (select base from base)) / (sum(lab) + 10.0::double) as prior from leaves group by host),
+judged as (
+  select l.host, l.template, sum(l.lab) as lab, (sum(l.good) + 10.0::double * any_value(h.prior)) / (sum(l.lab) + 10.0::double) as purity
+  from leaves l join hosts h on h.host = l.host group by l.host, l.template),
+ruled as (
+  select *, case when host = 'example.org' and starts_with(path, '/en/1') or host like '%.example.org' and starts_with(path, '/en/1') then 'example.org/en/1'
+                 when (host = 'example.org' or host like '%.example.org') and starts_with(path, '/es/') then 'example.org/es/'
+                 when (host = 'com' or host like '%.com') and starts_with(path, '/fr/') then 'com/fr/'
+                 when (host = 'com' or host like '%.com') and starts_with(path, '/de/') then 'com/de/'
+                 when (host = 'org' or host like '%.org') and starts_with(path, '/') then 'org/' end as rule
+  from rows_)
+select r.page_id, r.host, r.path, r.rule,
+       case when r.rule in ('org/', 'com/fr/') then 'allow' when r.rule is not null then 'block'
+            when j.purity >= 0.5 then 'allow' else 'block' end as verdict,
+       j.template, cast(j.lab as bigint) as n_labelled, j.purity
+from ruled r left join leaves l on l.host = r.host and l.typed = r.typed
+left join judged j on j.host = l.host and j.template = l.template""")
+    return "with " + ",".join(parts)
+
+
+ORACLES["op5_url_templates"] = _url_sql()

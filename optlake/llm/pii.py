@@ -318,7 +318,7 @@ def train_tagger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         return None
     share = min(1.0, SAMPLE_DOCS / total)
     sample = docs.where(F.col(text_col).rlike("[0-9@]")).where(
-        F.pmod(F.xxhash64(F.lit("pii"), F.col(id_col)), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
+        F.pmod(F.xxhash64(F.lit("pii"), F.col(id_col)), F.lit(1 << 40)) < int(share * (1 << 40)) + 1)
 
     def start():
         def step(ids, texts):
