@@ -37,7 +37,7 @@ from pyspark.sql.types import _parse_datatype_string
 from optlake.llm.common import Scratch, map_stream
 
 #: A block closes at this many distinct words or pre-tokens.
-BLOCK_WORDS, BLOCK_TOKENS = 400_000, 6_000_000
+BLOCK_WORDS, BLOCK_TOKENS = 250_000, 3_000_000
 #: Texts of a row of a block.
 TEXTS_PER_ROW = 64
 #: Parts by word hash: at least so many, and one for so many texts, so that a part's distinct words fit a task.
@@ -118,13 +118,14 @@ def explode_words(docs: DataFrame, keep: list[str], text_col: str, pattern: str,
         def close():
             block = task << 32 | serial
             often = np.bincount(np.concatenate([p for _, p in held]), minlength=len(words))
-            rank = np.empty(len(words), np.int64)
+            rank = np.empty(len(words), np.int32)
             rank[np.argsort(-often, kind="stable")] = np.arange(len(words))
             for a in range(0, len(held), TEXTS_PER_ROW):
                 some = held[a:a + TEXTS_PER_ROW]
                 sizes = np.array([len(p) for _, p in some], "<u4")
                 yield (block, -1, *map(list, zip(*[k for k, _ in some])), _squeeze(sizes),
                        pack_numbers(rank[np.concatenate([p for _, p in some])]))
+            held.clear()
             parts: list[list[tuple[int, bytes]]] = [[] for _ in range(word_parts)]
             for w, r in zip(words, rank.tolist()):
                 w = w.encode()
@@ -136,13 +137,13 @@ def explode_words(docs: DataFrame, keep: list[str], text_col: str, pattern: str,
                            _pack_words([w for _, w in p]))
 
         for *kept, text in rows:
-            positions = np.array([number(w, len(words)) for w in split(text or "")], dtype=np.int64)
+            positions = np.array([number(w, len(words)) for w in split(text or "")], dtype=np.int32)
             tokens += len(positions)
             held.append((kept, positions))
             if len(words) >= BLOCK_WORDS or tokens >= BLOCK_TOKENS:
                 yield from close()
                 words.clear()
-                held, tokens, serial = [], 0, serial + 1
+                tokens, serial = 0, serial + 1
         if held:
             yield from close()
 

@@ -55,7 +55,8 @@ MAX_ERRORS = 24
 FEW_PAIRS = 256
 #: Shingles of a tile's outsiders and of its members.
 TILE_OUTSIDE, TILE_MEMBERS = 1 << 19, 1 << 21
-_MEMO = 1 << 20
+#: Word hashes a task remembers (about 20 MB).
+_MEMO = 1 << 17
 
 
 def words_lower(text: str | None) -> list[bytes]:
