@@ -1,15 +1,16 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
 1. Scan: one map over the corpus finds every word ``SEED``-gram of a test item
    (the items' words and grams are broadcast; benchmarks beyond ``MAX_WORDS``
    words are worked off in slices of items, each within that bound).  Hits on
    about one diagonal of an item become a passage: the words around them, as
    numbers of the benchmark's vocabulary (0: any other word).
-2. Rare seeds: a gram's frequency is counted over all documents.  A gram is a
-   seed of an item if it is at most ``RARE_TIMES`` as frequent as the lower
-   quartile of the item's grams (plus ``RARE_PLUS``), so an item that leaked a
-   thousand times keeps its seeds and stock phrases lose theirs.
-3. Align: passages with a seed are aligned with their item (match 2, mismatch
+2. Bound: an alignment matches at most the words that passage and item have in
+   common (counted with repeats).  A passage whose common words cannot reach
+   the least score is given up; how often a gram occurs decides nothing, so an
+   item that leaked a thousand times, edited or not, is found each time, and
+   stock phrases cost a count of words.
+3. Align: the other passages are aligned with their item (match 2, mismatch
    and gap -1); the score is the alignment's share of a perfect one.
 
 Text is read once and never shuffled; the passages are written to the shared
@@ -22,6 +23,7 @@ first of equals.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +34,6 @@ from optlake.llm.common import Scratch, map_columns, map_stream, words_of
 
 #: Words of a seed; words around a passage; least share of a perfect alignment; least aligned words.
 SEED, SLACK, MIN_SCORE, MIN_WORDS = 3, 8, 0.5, 8
-RARE_TIMES, RARE_PLUS = 5.0, 5.0
 #: Words of the benchmark that are broadcast at once.
 MAX_WORDS = 2_000_000
 MATCH, MISS, GAP = 2, -1, -1
@@ -81,27 +82,35 @@ class Items:
         same = self.keys[g] == key[at]
         return at[same], g[same]
 
-    def passages(self, at: np.ndarray, grams: np.ndarray, n: int) -> Iterator[tuple[int, int, int, list[int]]]:
-        """(item number, start, end, gram numbers) around the hits of a text of n words."""
+    def passages(self, at: np.ndarray, grams: np.ndarray, n: int) -> Iterator[tuple[int, int, int]]:
+        """(item number, start, end) around the hits of a text of n words."""
         num = self.first[grams + 1] - self.first[grams]
         hit = np.repeat(np.arange(len(at)), num)
         posting = np.arange(num.sum()) + np.repeat(self.first[grams] - np.concatenate(([0], np.cumsum(num)[:-1])), num)
-        item, p, g = self.item[posting], at[hit], grams[hit]
-        begin = p - self.pos[posting]
+        item = self.item[posting]
+        begin = at[hit] - self.pos[posting]
         order = np.lexsort((begin, item))
-        now, lo, hi, held = -1, 0, 0, []
-        for k, b, x in zip(item[order].tolist(), begin[order].tolist(), g[order].tolist()):
+        now, lo, hi = -1, 0, 0
+        for k, b in zip(item[order].tolist(), begin[order].tolist()):
             size = len(self.words[k])
             a, z = b - SLACK, b + size + SLACK
             if k == now and z - lo <= 2 * (size + 2 * SLACK):
                 hi = max(hi, z)
-                held.append(x)
                 continue
             if now >= 0:
-                yield now, max(0, lo), min(n, hi), held
-            now, lo, hi, held = k, a, z, [x]
+                yield now, max(0, lo), min(n, hi)
+            now, lo, hi = k, a, z
         if now >= 0:
-            yield now, max(0, lo), min(n, hi), held
+            yield now, max(0, lo), min(n, hi)
+
+    def common(self, k: int, passage: list[int]) -> int:
+        """Words that item k and a passage have in common, counted with repeats: no alignment matches more."""
+        return (Counter(self.words[k].tolist()) & Counter(passage)).total()
+
+
+def reaches(matched: float, size: int, min_score: float) -> bool:
+    """Whether so many matched words (the score over MATCH) are a leak of an item of ``size`` words."""
+    return matched / size >= min_score and matched >= min(MIN_WORDS, size)
 
 
 def align(items: list[np.ndarray], passages: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -167,51 +176,37 @@ def _leaks_of(docs: DataFrame, rows: list, scratch: Scratch, id_col: str, text_c
         for doc, text in stream:
             ids = np.array([get(w, 0) for w in words_of((text or "").lower())], dtype=np.int64)
             at, grams = items.hits(ids)
-            if not len(at):
-                continue
-            yield doc, -1, 0, 0, None, np.unique(grams).tolist()
-            for k, a, z, held in items.passages(at, grams, len(ids)):
-                yield doc, k, a, z, ids[a:z].tolist(), held
+            for k, a, z in items.passages(at, grams, len(ids)) if len(at) else ():
+                words = ids[a:z].tolist()
+                if reaches(items.common(k, words), len(items.words[k]), min_score):
+                    yield doc, k, a, z, words
 
-    found = scratch.keep(map_stream(docs, [id_col, text_col],
-                                    f"`{id_col}` long, item int, start int, stop int, words array<int>, grams array<int>", scan),
+    found = scratch.keep(map_stream(docs, [id_col, text_col], f"`{id_col}` long, item int, start int, stop int, words array<int>", scan),
                          "leak-passages")
-    counted = (found.where("item < 0").select(F.explode("grams").alias("g")).groupBy("g").count().toPandas())  # at most the items' grams
-    items = Items(rows)
-    often = np.zeros(len(items.keys))
-    often[counted["g"].to_numpy(np.int64)] = counted["count"].to_numpy(float)
-    rare: list[set[int]] = []
-    for ws in items.words:
-        g = np.searchsorted(items.keys, items.gram_keys(ws))
-        limit = RARE_TIMES * max(1.0, float(np.quantile(often[g], 0.25))) + RARE_PLUS
-        rare.append(set(g[often[g] <= limit].tolist()))
-    seeds = spark.sparkContext.broadcast(rare)
 
     def score():
         known = Items(shared.value)
 
-        def step(ids, item, start, stop, words, grams):
-            pick = [i for i, (k, gs) in enumerate(zip(item, grams)) if any(g in seeds.value[k] for g in gs)]
+        def step(ids, item, start, stop, words):
             out = [[], [], [], [], []]
             # pairs of like size are aligned together
-            pick.sort(key=lambda i: (len(known.words[item[i]]), len(words[i])))
+            pick = sorted(range(len(ids)), key=lambda i: (len(known.words[item[i]]), len(words[i])))
             for j in range(0, len(pick), 256):
                 some = pick[j:j + 256]
                 targets = [known.words[item[i]] for i in some]
                 best, bound, end = align(targets, [np.array(words[i]) for i in some])
                 for i, t, s, m, e in zip(some, targets, best, bound, end):
-                    share = float(s) / (MATCH * len(t))
-                    if share >= min_score and m >= min(MIN_WORDS, len(t)):
+                    if reaches(float(m), len(t), min_score):
                         last = start[i] + int(e)
-                        row = (ids[i], known.item_ids[item[i]], share, max(start[i], last - len(t)), last)
+                        row = (ids[i], known.item_ids[item[i]], float(s) / (MATCH * len(t)), max(start[i], last - len(t)), last)
                         for c, v in zip(out, row):
                             c.append(v)
             return out
 
         return step
 
-    cols = [id_col, "item", "start", "stop", "words", "grams"]
-    scored = map_columns(found.where("item >= 0"), cols,
+    cols = [id_col, "item", "start", "stop", "words"]
+    scored = map_columns(found, cols,
                          f"`{id_col}` long, item_id long, score double, start_word long, end_word long", score)
     best = F.max(F.struct("score", (-F.col("start_word")).alias("s"), (-F.col("end_word")).alias("e"))).alias("best")
     return scored.groupBy(id_col, "item_id").agg(best).select(

@@ -67,6 +67,16 @@ def test_common_leak_keeps_its_seeds(docs, llm, scratch):
     assert sorted((r.doc_id, r.item_id) for r in got.collect()) == [(i, 0) for i in range(300)]
 
 
+def test_common_edited_leak_is_found(docs, llm, scratch):
+    """The edit breaks a third of the item's grams; the others are as common as the copies, next to a stock phrase."""
+    item = [f"w{k}" for k in range(20)]
+    copy = list(item)
+    copy[5], copy[13] = "edit", "other"
+    rows = [(i, f"{' '.join(copy)} tail {i}") for i in range(300)] + [(1000 + i, f"w0 w1 w2 {i} clean text") for i in range(50)]
+    got = D.find_leaks(docs(rows), items_frame(llm, [(7, " ".join(item)), (8, "w0 w1 w2 " + " ".join(f"v{k}" for k in range(17)))]), scratch)
+    assert sorted((r.doc_id, r.item_id, r.score) for r in got.collect()) == [(i, 7, 0.85) for i in range(300)]
+
+
 def test_slices_and_edges(docs, llm, scratch, monkeypatch):
     items, rows, want = planted()
     monkeypatch.setattr(D, "MAX_WORDS", 100)
