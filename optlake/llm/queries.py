@@ -45,10 +45,10 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_lm_difference")
 def op3_lm_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cross-entropy difference of every document; the target is what is labelled of good quality."""
-    from optlake.llm.lm import score_documents
+    from optlake.llm.lm import score_by_words
 
     wanted = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
-    return score_documents(table(spark, sf_dir, "documents"), wanted)
+    return score_by_words(table(spark, sf_dir, "documents"), wanted, Scratch(spark))
 
 
 @query("op4_toxicity")
