@@ -8,7 +8,11 @@ pages costs a few rows per task.
 2. Variable segments: level by level, under each (host, prefix) node with many
    mostly-unique children, the rare children become ``*``.
 3. Similar branches: templates that differ in one segment are merged when a
-   chi-square test finds no difference between their labelled rates.
+   chi-square test finds no difference between their labelled rates.  Each
+   branch is first tested alone against the rate of its siblings, so one that
+   differs stays a template of its own however many siblings there are, and
+   does not stop the others from merging.  (The SQL twin has the pooled test
+   only: it agrees where no branch differs.)
 4. Purity: (good + a * prior) / (labelled + a), the prior being the host's own
    smoothed rate; templates below ``min_purity`` are blocked.
 
@@ -31,6 +35,8 @@ MAX_DEPTH = 6
 MIN_FAN_OUT, RARE_SHARE, RARE_COUNT = 12, 0.5, 2
 #: Weight of the prior in labelled pages, and the least good share to allow.
 PRIOR_WEIGHT, MIN_PURITY = 10.0, 0.5
+#: Squared deviations (in variances) at which a branch differs from its siblings; most labels it has in their rate.
+BRANCH_FIT, BRANCH_WEIGHT = 16.0, 10
 GLUE = "\x1f"
 
 # The rules of the contract as (verdict, host, path).
@@ -108,7 +114,14 @@ def learn_templates(labelled: DataFrame, scratch: Scratch, min_purity: float = M
         tree = tree.withColumn("shape", key).withColumn("seg", F.get("segs", F.lit(d)))
         branch = (tree.where("seg is not null").groupBy("host", "shape", "seg")
                   .agg(F.sum("lab").alias("lab"), F.sum("good").alias("good")))
-        sums = branch.where("lab > 0").groupBy("host", "shape").agg(
+        weight = F.least("lab", F.lit(BRANCH_WEIGHT))
+        rates = branch.where("lab > 0").groupBy("host", "shape").agg(
+            (F.sum(weight * F.col("good") / F.col("lab")) / F.sum(weight)).alias("usual"))
+        off = F.greatest(F.abs(F.col("good") - F.col("lab") * F.col("usual")) - 0.5, F.lit(0.0))
+        odd = (branch.where("lab > 0").join(rates, ["host", "shape"])
+               .withColumn("odd", off * off > BRANCH_FIT * F.col("lab") * F.col("usual") * (1 - F.col("usual")))
+               .select("host", "shape", "seg", "lab", "good", "odd"))
+        sums = odd.where("not odd").groupBy("host", "shape").agg(
             F.count("*").alias("k"), F.sum("lab").alias("l"), F.sum("good").alias("g"),
             F.sum(F.col("good") * F.col("good") / F.col("lab")).alias("gg"))
         rate = F.col("g") / F.col("l")
@@ -119,9 +132,10 @@ def learn_templates(labelled: DataFrame, scratch: Scratch, min_purity: float = M
                  .select("host", "shape", F.lit(True).alias("alike")))
         tree = scratch.keep(
             tree.join(alike, ["host", "shape"], "left")
-            .withColumn("segs", F.when(F.col("alike") & F.col("seg").isNotNull(), _put("segs", d, F.lit("*")))
+            .join(odd.where("odd").select("host", "shape", "seg", "odd"), ["host", "shape", "seg"], "left")
+            .withColumn("segs", F.when(F.col("alike") & F.col("odd").isNull() & F.col("seg").isNotNull(), _put("segs", d, F.lit("*")))
                         .otherwise(F.col("segs")))
-            .drop("shape", "seg", "alike"), f"url-branch-{d}")
+            .drop("shape", "seg", "alike", "odd"), f"url-branch-{d}")
         scratch.drop(before)
     tree = tree.withColumn("template", F.concat(F.lit("/"), F.array_join("segs", "/")))
     total = tree.agg(F.sum("lab").alias("lab"), F.sum("good").alias("good")).first()  # one row

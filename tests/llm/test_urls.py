@@ -3,6 +3,8 @@
 import re
 from collections import defaultdict
 
+import pytest
+
 from optlake.llm import urls as U
 
 PAGES = "page_id long, url string, html string, host int, good int, template string"
@@ -56,6 +58,18 @@ def test_purity_blocks_bad_templates(llm, scratch):
     assert got[1].template == "/spam/{n}"
 
 
+@pytest.mark.parametrize("branches", [100, 10000])
+def test_bad_branch_is_blocked_on_hosts_of_any_size(llm, scratch, branches):
+    """Directories at a rate of 0.9, three labelled pages each as a rule, and one of 30 bad pages."""
+    typed, rows = [], []
+    for d in range(branches):
+        typed += [("h.net", [f"dir{d}", "{n}"], 0 if (10 * d + k) % 9 == 0 else 1) for k in range(3)]
+    rows = typed + [("h.net", ["bad", "{n}"], 0)] * 30
+    got = {tuple(r.typed): r for r in U.learn_templates(llm.createDataFrame(rows, "host string, typed array<string>, good int"), scratch).collect()}
+    assert (got["bad", "{n}"].template, got["bad", "{n}"].allow) == ("/bad/{n}", False)
+    assert {(r.template, r.allow) for k, r in got.items() if k[0] != "bad"} == {("/*/{n}", True)}
+
+
 def brute_purity(rows):
     """Purity of (host, template) from judged rows and their labels."""
     lab, good, hl, hg = (defaultdict(float) for _ in range(4))
