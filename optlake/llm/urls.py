@@ -17,9 +17,10 @@ pages costs a few rows per task.
    smoothed rate; templates below ``min_purity`` are blocked.
 
 Defined results: a null URL, or one without ``://``, has an empty host and
-path and no rule; it is judged by the template of the empty host.  Segments
-past ``MAX_DEPTH`` are one ``**`` segment of the template (rules see the whole
-path).  Unlabelled templates take the host's prior.  Equal rules: one of them
+path and no rule; it is judged by the template of the empty host.  All segments
+of a path count; rounds end at the depth below which no two templates share a
+prefix, so a long path of its own costs none.  (The SQL twin cuts at six
+segments: it agrees on paths up to that.)  Unlabelled templates take the host's prior.  Equal rules: one of them
 decides, the longest text wins otherwise.  Repeated rows are judged alike.
 """
 
@@ -30,7 +31,6 @@ from pyspark.sql import functions as F
 
 from optlake.llm.common import Scratch
 
-MAX_DEPTH = 6
 #: A node is variable when it has this many children, half of them seen once.
 MIN_FAN_OUT, RARE_SHARE, RARE_COUNT = 12, 0.5, 2
 #: Weight of the prior in labelled pages, and the least good share to allow.
@@ -66,7 +66,7 @@ def match_rule(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]
 
 
 def typed_segments(path: Column) -> Column:
-    """Path segments with numbers, hex strings and UUIDs as wildcards; at most MAX_DEPTH + 1 of them."""
+    """Path segments with numbers, hex strings and UUIDs as wildcards."""
     def typed(s: Column) -> Column:
         ext = F.regexp_extract(s, r"(\.[A-Za-z]{1,5})?$", 1)
         return (F.when(s.rlike(r"^[0-9]+(\.[A-Za-z]{1,5})?$"), F.concat(F.lit("{n}"), ext))
@@ -74,15 +74,21 @@ def typed_segments(path: Column) -> Column:
                 .when(s.rlike(r"^[0-9a-fA-F]{12,}(\.[A-Za-z]{1,5})?$"), F.concat(F.lit("{x}"), ext))
                 .otherwise(s))
 
-    parts = F.filter(F.split(path, "/"), lambda s: s != "")
-    short = F.transform(F.slice(parts, 1, MAX_DEPTH), typed)
-    return F.when(F.size(parts) > MAX_DEPTH, F.concat(short, F.array(F.lit("**")))).otherwise(short)
+    return F.transform(F.filter(F.split(path, "/"), lambda s: s != ""), typed)
 
 
 def _put(segs: str, d: int, value: Column) -> Column:
     return F.transform(segs, lambda s, i: F.when(i == d, value).otherwise(s))
 
 
+def _divides(tree: DataFrame, d: int) -> bool:
+    """Whether two templates share their first ``d`` segments and one of them goes on."""
+    whole = F.array_join("segs", GLUE)
+    below = (tree.groupBy("host", F.array_join(F.slice("segs", 1, d), GLUE).alias("node"), F.least(F.size("segs"), F.lit(d)))
+             .agg(F.min(whole).alias("a"), F.max(whole).alias("b")))
+    return bool(below.where("a <> b").limit(1).count())
+
+
 def learn_templates(labelled: DataFrame, scratch: Scratch, min_purity: float = MIN_PURITY) -> DataFrame:
     """Templates of (host, typed): template, labelled, purity, allow.
 
@@ -94,6 +100,8 @@ def learn_templates(labelled: DataFrame, scratch: Scratch, min_purity: float = M
         .withColumn("segs", F.col("typed")), "url-paths")
     deepest = tree.agg(F.max(F.size("segs"))).first()[0] or 0
     for d in range(deepest):  # 2: a node's rare children become one wildcard
+        if not _divides(tree, d):
+            break
         before = tree
         here = F.get("segs", F.lit(d))
         tree = tree.withColumn("node", F.array_join(F.slice("segs", 1, d), GLUE)).withColumn("seg", here)
@@ -109,6 +117,8 @@ def learn_templates(labelled: DataFrame, scratch: Scratch, min_purity: float = M
             .drop("node", "seg", "rare"), f"url-level-{d}")
         scratch.drop(before)
     for d in range(deepest):  # 3: merge branches whose labelled rates do not differ
+        if not _divides(tree, d):
+            break
         before = tree
         key = F.array_join(_put("segs", d, F.lit("*")), GLUE)
         tree = tree.withColumn("shape", key).withColumn("seg", F.get("segs", F.lit(d)))

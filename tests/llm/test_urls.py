@@ -70,6 +70,14 @@ def test_bad_branch_is_blocked_on_hosts_of_any_size(llm, scratch, branches):
     assert {(r.template, r.allow) for k, r in got.items() if k[0] != "bad"} == {("/*/{n}", True)}
 
 
+def test_deep_paths_are_told_apart(llm, scratch):
+    """Good and bad branches below the sixth segment, next to one path of 300 segments."""
+    pages = [(i, f"http://h.net/a/b/c/d/e/f/{'spam' if i % 2 else 'news'}/{i}") for i in range(80)] + [(99, "http://h.net/" + "/".join(["s"] * 300))]
+    got = {r.page_id: r for r in judge(llm, scratch, pages, [(i, 1 - i % 2) for i in range(60)])}
+    assert all(got[i].verdict == ("block" if i % 2 else "allow") for i in range(80))
+    assert got[61].template == "/a/b/c/d/e/f/spam/{n}" and got[99].template == "/" + "/".join(["s"] * 300)
+
+
 def brute_purity(rows):
     """Purity of (host, template) from judged rows and their labels."""
     lab, good, hl, hg = (defaultdict(float) for _ in range(4))
