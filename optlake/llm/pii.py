@@ -13,8 +13,8 @@ windows' candidate spans are reconciled over the whole text: pieces of one kind
 that overlap are united, then a weighted-interval schedule picks the
 best-scoring set that overlaps neither itself nor a base span.
 
-A span counts only if it holds an anchor, a digit or ``@`` (each kind needs
-one).  A window's result depends on its own characters only, so windows
+A span counts only if it holds an anchor, a digit, ``@`` or a spelled address
+("at host dot org"); each kind needs one.  A window's result depends on its own characters only, so windows
 without an anchor are not decoded: their result is known to be empty.
 
 Scanning is a map over the corpus; the model is a few kilobytes.  Defined
@@ -42,7 +42,12 @@ IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _ANCHOR = re.compile(r"[0-9@]")
+_SPELLED = re.compile(r"(?<=[A-Za-z0-9._%+-]) at [A-Za-z0-9-]+(\.[A-Za-z0-9-]+)* dot [A-Za-z0-9-]", re.I)
+#: Every text with a base span fits one of these (Spark's and Python's reading of it is the same).
+_MAY_HOLD = r"@[A-Za-z0-9-]+\.|[0-9]\.[0-9]+\.[0-9]+\.[0-9]|([0-9][ -]?){15}[0-9]|\+[0-9]"
 
+#: Labelled windows a sample has, or else all documents are searched for them.
+LEAST_LABELLED = 300
 #: Characters of a window, and between window starts.
 SPAN, STRIDE = 96, 48
 #: Documents of the training sample, windows of the training set, and of a training step.
@@ -107,9 +112,14 @@ def classes(text: str) -> np.ndarray:
     return _TABLE[np.where(code < 128, code, 127)]
 
 
+def _spelled(text: str) -> list[int]:
+    """Places of the spelled addresses' " at "."""
+    return [m.start() for m in _SPELLED.finditer(text)] if " dot " in text.lower() else []
+
+
 def window_starts(text: str, n: int) -> np.ndarray:
     """Starts of the windows that hold an anchor; every window of a text has one of the starts 0, STRIDE, ..."""
-    at = np.array([m.start() for m in _ANCHOR.finditer(text)], dtype=np.int64)
+    at = np.array([m.start() for m in _ANCHOR.finditer(text)] + _spelled(text), dtype=np.int64)
     if not len(at):
         return at
     k = at // STRIDE
@@ -312,6 +322,9 @@ def train_tagger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     The sample is every document whose hash is under SAMPLE_DOCS / count, so
     about SAMPLE_DOCS of them; the windows with the smallest hashes are kept.
+    If few of those hold a base span, labelled windows of all documents (the
+    smallest hashes again) join them, so the tagger does not fade as the corpus
+    grows or its personal data gets rarer.
     """
     total = docs.count()
     if not total:
@@ -327,9 +340,15 @@ def train_tagger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
         return step
 
-    rows = (map_columns(sample, [id_col, text_col], "id long, windows array<string>, spans array<array<int>>", start)
-            .select("id", F.posexplode(F.arrays_zip("windows", "spans")).alias("k", "w"))
-            .orderBy(F.xxhash64("id", "k"), "id", "k").limit(TRAIN_WINDOWS).collect())
+    def pick(frame: DataFrame, keep, most: int) -> list:
+        return (map_columns(frame, [id_col, text_col], "id long, windows array<string>, spans array<array<int>>", start)
+                .select("id", F.posexplode(F.arrays_zip("windows", "spans")).alias("k", "w")).where(keep)
+                .orderBy(F.xxhash64("id", "k"), "id", "k").limit(most).collect())
+
+    rows = pick(sample, F.lit(True), TRAIN_WINDOWS)
+    if sum(bool(r.w.spans) for r in rows) < LEAST_LABELLED:
+        labelled = pick(docs.where(F.col(text_col).rlike(_MAY_HOLD)), F.size("w.spans") > 0, LEAST_LABELLED)
+        rows = [r for r in rows if not r.w.spans] + labelled
     if not any(r.w.spans for r in rows):
         return None
     windows = [(r.w.windows, [tuple(r.w.spans[i:i + 3]) for i in range(0, len(r.w.spans), 3)]) for r in rows]
@@ -342,7 +361,7 @@ def _plausible(kind: int, piece: str) -> bool:
     """Least content of an added span of a kind."""
     digits = sum("0" <= c <= "9" for c in piece)
     if kind == 0:
-        return "@" in piece[1:-1] and sum(c.isalpha() for c in piece) >= 4
+        return ("@" in piece[1:-1] or bool(_spelled(piece))) and sum(c.isalpha() for c in piece) >= 4
     if kind == 1:
         return 4 <= digits <= 12 and len(re.findall("[0-9]+", piece)) == 4 and all(int(p) <= 255 for p in re.findall("[0-9]+", piece))
     if kind == 2:
@@ -350,6 +369,23 @@ def _plausible(kind: int, piece: str) -> bool:
     return 8 <= digits <= 15 and len(re.findall("[0-9]+", piece)) >= 3
 
 
+_LOCAL = re.compile(r"[A-Za-z0-9._%+-]+(?: dot [A-Za-z0-9_%+-]+)*$", re.I)
+_HOST = re.compile(r" at [A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*(?: dot [A-Za-z0-9-]+)+", re.I)
+
+
+def spelled_spans(text: str) -> list[tuple[int, int, int, float]]:
+    """Candidates of spelled addresses, "name at host dot org"; names of up to SPAN characters.
+
+    The tagger has seen few without a digit, so they do not depend on it; what it tags around them is united with them.
+    """
+    out = []
+    for at in _spelled(text):
+        a = at - len(_LOCAL.search(text[max(0, at - SPAN):at])[0])
+        b = _HOST.match(text, at).end()
+        out.append((0, a, b, 2 * MIN_MARGIN * (b - a)))
+    return out
+
+
 def reconcile(found: list[tuple[int, int, int, float]], text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """Global choice among the windows' candidates (kind, start, end, margin sum)."""
     united: list[list] = []
@@ -417,6 +453,7 @@ def find_spans(texts: list, tagger: Tagger | None) -> list[tuple[list, list]]:
         queue.clear()
 
     for i, t in enumerate(texts):
+        found[i] += spelled_spans(t or "")
         if tagger is None or not t:
             continue
         starts = window_starts(t, len(t))

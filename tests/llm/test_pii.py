@@ -104,3 +104,19 @@ def test_base_spans_of_corpus(llm, tagger):
         base = P.base_spans(r.text or "")
         assert [got[r.doc_id][f"n_{k}"] for k in P.KINDS] == [sum(s[0] == i for s in base) for i in range(4)]
         assert set(P._joined(base).split(",")) <= set(got[r.doc_id].spans.split(","))
+
+
+def test_spelled_addresses_are_found_and_redacted(docs, tagger):
+    texts = ["write to john.smith at example dot org for help", "we met at home, dot your letters", "ask maria dot lopez at mail dot net please"]
+    found = [spans for _, spans in P.find_spans(texts, tagger)]
+    assert [P.KINDS[k] for s in found for k, _, _ in s] == ["email", "email"] and not found[1]
+    out = {r.doc_id: r.text for r in P.redact(docs(texts), tagger).collect()}
+    assert "[EMAIL]" in out[0] and "example" not in out[0] and "lopez" not in out[2] and out[1] == texts[1]
+
+
+def test_rare_personal_data_still_trains(docs, monkeypatch):
+    """One document in 400 holds a base span, and the sample is a hundredth."""
+    monkeypatch.setattr(P, "SAMPLE_DOCS", 4)
+    monkeypatch.setattr(P, "STEPS", 1)
+    rows = [f"plain text {i}" if i else "mail a.b@c-d.org" for i in range(400)]
+    assert P.train_tagger(docs(rows)) is not None and P.train_tagger(docs(rows[1:])) is None
