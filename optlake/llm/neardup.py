@@ -179,9 +179,9 @@ def verify(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataF
 
         def step(a, b, ta, tb):
             good = []
-            for x, tx, ty in zip(a, ta, tb):
-                if last[0] != x:
-                    last[:] = [x, shingle_set(tx, size)]
+            for tx, ty in zip(ta, tb):
+                if last[0] != tx:  # an id may have several texts
+                    last[:] = [tx, shingle_set(tx, size)]
                 p, q = last[1], shingle_set(ty, size)
                 both = len(p & q) if min(len(p), len(q)) * 100 >= percent * max(len(p), len(q)) else 0
                 good.append(bool(both) and 100 * both >= percent * (len(p) + len(q) - both))

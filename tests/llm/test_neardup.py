@@ -112,3 +112,13 @@ def test_components_of_chains(llm, scratch):
 def test_small_corpus(llm, scratch):
     df = llm.read.parquet(f"{SMALL}/documents.parquet")
     check(df, [(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()], scratch)
+
+
+def test_repeated_id_with_two_texts(docs, llm, scratch):
+    """Each text of a repeated id is near another document; pairs are checked with the text of their own row."""
+    one, two = [f"w{i}" for i in range(60)], [f"v{i}" for i in range(60)]
+    texts = [(7, " ".join(one)), (7, " ".join(two)), (8, " ".join([*one[:-1], "x"])), (9, " ".join([*two[:-1], "x"]))]
+    pairs = llm.createDataFrame([(7, 8), (7, 9)], "a long, b long").coalesce(1)
+    frame = llm.createDataFrame(texts, "rep long, text string").coalesce(1)
+    assert {tuple(r) for r in N.verify(pairs, frame, 2, 80).collect()} == {(7, 8), (7, 9)}
+    check(docs(texts), texts, scratch)
