@@ -149,3 +149,114 @@ left join judged j on j.host = l.host and j.template = l.template""")
 
 
 ORACLES["op5_url_templates"] = _url_sql()
+
+# Exact: all pairs of documents that share a five-word shingle and whose sizes allow a link, then the smallest reachable id.
+ORACLES["op11_jaccard_join"] = r"""
+with recursive words as (
+  select doc_id, list_filter(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\x20\x09-\x0D]+'), lambda w: w <> '') as w
+  from documents
+), sets as (
+  select doc_id, case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+           else list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) end as s
+  from words
+), shingles as (
+  select doc_id, len(s) as n, unnest(s) as g from sets
+), counted as (
+  select a.doc_id as x, b.doc_id as y, any_value(a.n) as nx, any_value(b.n) as ny, count(*) as both_
+  from shingles a join shingles b on a.g = b.g and a.doc_id < b.doc_id
+    and 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+  group by 1, 2
+), links as (
+  select x, y from counted where 100 * both_ >= 80 * (nx + ny - both_)
+  union select y, x from counted where 100 * both_ >= 80 * (nx + ny - both_)
+), reach as (
+  select doc_id as x, doc_id as y from documents
+  union select r.x, l.y from reach r join links l on r.y = l.x
+), smallest as (
+  select x, min(y) as component_id from reach group by x
+)
+select s.doc_id, cast(len(s.s) as bigint) as n_shingles, m.component_id from sets s join smallest m on m.x = s.doc_id
+"""
+
+
+def _centroid_sql(rounds: int = 5) -> str:
+    """Plain rounds: every vector against every centroid."""
+    dist = "list_sum(list_transform(list_zip(a.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))"
+    near = f"""
+near_{{0}} as materialized (
+  select a.row, a.vec_id, a.v, arg_min(c.number, struct_pack(d := {dist}, n := c.number)) as number, cast(min({dist}) as bigint) as distance
+  from kept a, cent_{{0}} c group by all)"""
+    parts = ["""
+kept as materialized (
+  select row_number() over () as row, vec_id, list_transform(embedding, lambda e: cast(floor(cast(e as double) * 256) as bigint)) as v
+  from embeddings
+  where len(embedding) = 64 and len(list_filter(embedding, lambda e: e is not null and isfinite(e))) = 64
+), cent_0 as materialized (
+  select row_number() over (order by h, v) - 1 as number, v from (
+    select sha256('2:' || vec_id) as h, v from kept where vec_id is not null order by 1, 2 limit 40) s
+)"""]
+    for r in range(rounds):
+        parts.append(near.format(r))
+        parts.append(f"""
+mean_{r} as (
+  select number, list(m order by pos) as v from (
+    select number, pos, cast(floor(sum(x) / cast(count(*) as double)) as bigint) as m
+    from (select number, unnest(v) as x, generate_subscripts(v, 1) as pos from near_{r}) u group by 1, 2) g group by 1),
+cent_{r + 1} as materialized (
+  select c.number, coalesce(m.v, c.v) as v from cent_{r} c left join mean_{r} m on m.number = c.number)""")
+    parts.append(near.format(rounds))
+    return "with " + ",".join(parts) + f"""
+select n.vec_id, cast(n.number as int) as cluster, n.distance,
+       cast(sum(n.distance) over (partition by n.number) as bigint) as cluster_inertia,
+       cast(sum(n.distance) over () as bigint) as inertia, sha256(array_to_string(c.v, ',')) as centroid_sha256
+from near_{rounds} n join cent_{rounds} c on c.number = n.number
+"""
+
+
+ORACLES["op12_centroids"] = _centroid_sql()
+
+# The CRC-32 of a feature is folded byte by byte over its table, which the reversed polynomial gives.
+ORACLES["op13_resample"] = r"""
+with crc as materialized (
+  select list(c order by i) as t from (
+    select i, list_reduce(range(8), lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, i) as c from range(256) r(i)) x
+), words as materialized (
+  select 'd' as side, doc_id as id, list_filter(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') as w
+  from documents
+  union all
+  select 't', item_id, list_filter(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '')
+  from benchmark
+), features as materialized (
+  select side, id, unnest(list_concat(w, list_transform(range(1, greatest(len(w), 1)), lambda i: w[i] || ' ' || w[i + 1]))) as f from words
+), named as materialized (
+  select f, hex(encode(f)) as h from (select distinct f from features) x
+), buckets as materialized (
+  select f, xor(4294967295, list_reduce(list_transform(range(0, len(h) // 2), lambda i: cast('0x' || h[2 * i + 1:2 * i + 2] as bigint)),
+                lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), cast(4294967295 as bigint))) % 10000 as bucket
+  from named, crc
+), counted as (
+  select bucket, count(*) filter (where side = 'd') as s, count(*) filter (where side = 't') as t
+  from features join buckets using (f) group by bucket
+), total as (
+  select sum(s) as all_s, sum(t) as all_t from counted
+), gains as (
+  select bucket, cast(floor(1000 * ln((t + 1) * (all_s + 10000)::double / ((s + 1) * (all_t + 10000)::double))) as bigint) as gain from counted, total
+), weights as (
+  select id, count(*) as n_features, cast(floor(sum(gain) / cast(count(*) as double)) as bigint) as weight
+  from features join buckets using (f) join gains using (bucket) where side = 'd' group by id
+), scored as (
+  select d.id as doc_id, len(d.w) as n_words, coalesce(n_features, 0) as n_features, coalesce(weight, 0) as weight,
+         coalesce(weight, 0) + cast(floor(-1000 * ln(-ln((cast('0x' || substr(sha256('7:' || d.id), 1, 8) as bigint) + 0.5::double) / 4294967296::double))) as bigint) as score
+  from words d left join weights w on w.id = d.id where d.side = 'd'
+), ranked as (
+  select doc_id, row_number() over (order by score desc, doc_id) as rank, count(*) over () as n from scored where n_words >= 20
+)
+select s.doc_id, s.n_features, s.weight, s.score, case when r.rank <= 25 * r.n // 100 then r.rank end as rank
+from scored s left join ranked r on r.doc_id = s.doc_id
+"""

@@ -121,3 +121,27 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     extra = spark.sql(f"select -1L as conv_id, turn, role, '{CONTROL_TEXT}' as text "
                       "from values (0L, 'user'), (1L, 'assistant') as t(turn, role)")
     return read_back(format_conversations(events_of_turns(turns.unionByName(extra))))
+
+
+@query("op11_jaccard_join")
+def op11_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents linked by five-word shingles."""
+    from optlake.llm.jaccard import jaccard_join
+
+    return jaccard_join(table(spark, sf_dir, "documents"), Scratch(spark))
+
+
+@query("op12_centroids")
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster, distance and inertia of every vector."""
+    from optlake.llm.centroids import cluster, with_inertia
+
+    return with_inertia(cluster(table(spark, sf_dir, "embeddings"), Scratch(spark)))
+
+
+@query("op13_resample")
+def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight, score and rank of every document; the target is the benchmark's distribution."""
+    from optlake.llm.resample import resample
+
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), Scratch(spark))

@@ -14,7 +14,7 @@ def test_registered():
     import __spark_entry__ as E
 
     names = list(E.queries())
-    assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
+    assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14))
     assert [n for n, _ in C.STAGES] == ["toxicity", "near_duplicates", "decontamination", "personal_data", "byte_bpe"]
 
 
