@@ -70,6 +70,37 @@ def ticks_to_bars(ticks: DataFrame, bar_width: str, key: str = "contract", ts: s
         "notional", "trades")
 
 
+# Columns of a bar state besides its key (contract, tradetime).
+STATE_COLUMNS = ["first", "last", "high", "low", "volume", "notional", "trades"]
+
+
+def bar_states(ticks: DataFrame, bar_width: str, key: str = "contract", ts: str = "t", price: str = "price",
+               size: str = "size", tie: str = "event_id") -> DataFrame:
+    """Mergeable states of bars: one row per (contract, bar start) with the first and the last trade as (time, id,
+    price), high, low, and the sums.  States of any parts of the ticks fold into the states of all (``merge_states``)."""
+    trade = F.struct(F.col(ts).alias("t"), F.col(tie).alias("id"), F.col(price).alias("price"))
+    return ticks.groupBy(F.col(key).alias("contract"), bar_start(F.col(ts), bar_width).alias("tradetime")).agg(
+        F.min(trade).alias("first"), F.max(trade).alias("last"), F.max(price).alias("high"), F.min(price).alias("low"),
+        F.sum(size).cast("long").alias("volume"),
+        F.sum(F.col(price).cast("decimal(18,4)") * F.col(size)).cast(NOTIONAL_TYPE).alias("notional"),
+        F.count(F.lit(1)).alias("trades"))
+
+
+def merge_states(states: DataFrame, key: list[str] = ("contract", "tradetime"), seq: str | None = None) -> DataFrame:
+    """Partial bar states -> one state per bar.  The order they came in (``seq``) does not matter."""
+    return states.groupBy(*key).agg(
+        F.min("first").alias("first"), F.max("last").alias("last"), F.max("high").alias("high"), F.min("low").alias("low"),
+        F.sum("volume").alias("volume"), F.sum("notional").cast(NOTIONAL_TYPE).alias("notional"), F.sum("trades").alias("trades"))
+
+
+def finish_states(states: DataFrame, keep: list[str] = ()) -> DataFrame:
+    """Bar states -> bars, with the columns of ``ticks_to_bars`` and those of ``keep``."""
+    volume = F.col("volume").cast("double")
+    return states.select("contract", "tradetime", F.col("first.price").alias("open"), "high", "low",
+                         F.col("last.price").alias("last"), volume.alias("volume"),
+                         (F.col("notional").cast("double") / volume).alias("vwap"), "notional", "trades", *keep)
+
+
 def rebar(bars: DataFrame, bar_width: str) -> DataFrame:
     """A4: coarser bars: first open, last close, max/min, summed volume, and
     volume-weighted vwap (from the notional when bars carry it, else

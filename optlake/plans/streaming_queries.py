@@ -7,10 +7,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from optlake.operators import bars as B
 from optlake.plans import fixtures as fx
 from optlake.plans.ops_queries import BAR_COLUMNS, TASK_STATE_SQL, bars_sql
 from optlake.plans.registry import query
 from optlake.session import scratch_path
+from optlake.sources.keyed import KeyedTable
 from optlake.sources.store import TableStore
 from optlake.streaming import jobs as X
 
@@ -38,23 +40,49 @@ def q_stream_bars(spark, sf_dir):
 
 @query("stream_bars_batches", ["ticks_like"], CLOSED_BARS_SQL)
 def q_stream_bars_batches(spark, sf_dir):
-    """X3 in several micro-batches: ticks land in time order in three files, one
-    per batch, so bars stay open over batches and close as the watermark moves."""
+    """X3 in several micro-batches: a time slice lands, then the stream goes on from its
+    checkpoint, so bars stay open over batches and close as the watermark moves."""
     X.use_rocksdb_state(spark)
     ticks, land = fx.ticks_like(spark, sf_dir), scratch_path(spark, "landing-ticks")
     span = ticks.agg(F.min("t").alias("a"), F.max("t").alias("b")).first()
     third = (span.b - span.a) / 3
+    sink, ck = scratch_path(spark, "stream-bars"), scratch_path(spark, "ck-stream-bars")
     for n in range(3):
         part = ticks.where(F.col("t") >= F.lit(span.a + n * third))
         part = part.where(F.col("t") < F.lit(span.a + (n + 1) * third)) if n < 2 else part
-        part.coalesce(1).write.mode("append").parquet(f"{land}/{n}")
-    src = spark.readStream.schema(ticks.schema).option("maxFilesPerTrigger", 1).parquet(f"{land}/*")
-    sink, ck = scratch_path(spark, "stream-bars"), scratch_path(spark, "ck-stream-bars")
-    _run(X.bars_stream(src, "1 hour", "0 seconds", sink, ck))
+        part.write.parquet(f"{land}/{n}")
+        _run(X.bars_stream(spark.readStream.schema(ticks.schema).parquet(f"{land}/*"), "1 hour", "0 seconds", sink, ck))
     out = spark.read.parquet(sink)
     return out.select(*[F.col(c).cast("timestamp_ntz").alias(c) if c == "tradetime" else F.col(c) for c in BAR_COLUMNS])
 
 
+def _late_ticks(spark, sf_dir, table, changelog=None):
+    """Three loads of ticks that each reach over the whole time span: all but the first are late for every bar."""
+    ticks, land, ck = fx.ticks_like(spark, sf_dir), scratch_path(spark, "landing-ticks"), scratch_path(spark, "ck-late-bars")
+    for n in range(3):
+        ticks.where(F.pmod("event_id", F.lit(3)) == n).write.parquet(f"{land}/{n}")
+        _run(X.late_bars_stream(spark.readStream.schema(ticks.schema).parquet(f"{land}/*"), "1 hour", table, ck, changelog))
+
+
+@query("stream_bars_late", ["ticks_like"], bars_sql("1 hour"))
+def q_stream_bars_late(spark, sf_dir):
+    """X3 with late ticks: two thirds of the ticks come when their bars are long written; the stored
+    states take them in, and the bars equal those over all ticks at once."""
+    table = X.bar_table(spark, scratch_path(spark, "late-bars"))
+    _late_ticks(spark, sf_dir, table)
+    out = B.finish_states(table.read())
+    return out.select(*[F.col(c).cast("timestamp_ntz").alias(c) if c == "tradetime" else F.col(c) for c in BAR_COLUMNS])
+
+
+@query("stream_bar_changes", ["ticks_like"], bars_sql("1 hour"))
+def q_stream_bar_changes(spark, sf_dir):
+    """X3 corrections: the log of retracted and inserted bars of all batches adds up to the bars over all ticks."""
+    table, log = X.bar_table(spark, scratch_path(spark, "late-bars")), scratch_path(spark, "bar-changes")
+    _late_ticks(spark, sf_dir, table, log)
+    rows = spark.read.parquet(f"{log}/v=*").withColumn("tradetime", F.col("tradetime").cast("timestamp_ntz"))
+    return rows.groupBy(*BAR_COLUMNS).agg(F.sum("op").alias("n")).where("n <> 0").select(*BAR_COLUMNS)
+
+
 @query("stream_quota", ["request_log_like"], """
 select time_bucket(interval '1 minute', created_at) as minute, count(*) as requests, count(*) * 10 as units,
        cast(sum(row_count) as bigint) as rows, count(*) > 90 as over_rate, count(*) > 1000 as over_vendor_limit
@@ -90,9 +118,22 @@ def q_stream_task_state(spark, sf_dir):
     """Live task state from the event stream (update mode, upserted)."""
     X.use_rocksdb_state(spark)
     events = fx.task_events_like(spark, sf_dir, src=fx.table_stream(spark, sf_dir, "events"))
-    table, ck = scratch_path(spark, "stream-task-state"), scratch_path(spark, "ck-stream-task-state")
+    table, ck = KeyedTable(spark, scratch_path(spark, "stream-task-state"), ["task_id"]), scratch_path(spark, "ck-stream-task-state")
     _run(X.task_state_stream(events, table, ck))
-    return X.latest_table(spark, table)
+    return table.read()
+
+
+@query("stream_task_state_batches", ["task_events_like"], TASK_STATE_SQL)
+def q_stream_task_state_batches(spark, sf_dir):
+    """X4 over four loads of events, in event order: each batch writes the tasks it changed."""
+    X.use_rocksdb_state(spark)
+    events, land, ck = fx.task_events_like(spark, sf_dir), scratch_path(spark, "landing-events"), scratch_path(spark, "ck-task-batches")
+    table = KeyedTable(spark, scratch_path(spark, "task-state"), ["task_id"])
+    last = events.agg(F.max("seq")).first()[0] or 0
+    for n in range(4):
+        events.where(F.floor(F.col("seq") * 4 / (last + 1)) == n).write.parquet(f"{land}/{n}")
+        _run(X.task_state_stream(spark.readStream.schema(events.schema).parquet(f"{land}/*"), table, ck))
+    return table.read()
 
 
 STREAM_UPSERT_SQL = """
@@ -167,3 +208,20 @@ def q_stream_upsert_loads(spark, sf_dir):
     return t.select("contract", F.to_date("tradetime").alias("tradetime"), "underlying_symbol", "exp_date",
                     "option_type", "strike", "volume", "bid", "ask", "volatility", "delta",
                     F.col("fetched_at").cast("timestamp_ntz").alias("fetched_at"), "raw_json")
+
+
+@query("stream_upsert_deltas", ["eod_raw_like", "contracts_like"], STREAM_UPSERT_SQL)
+def q_stream_upsert_deltas(spark, sf_dir):
+    """X2 over two loads into a keyed table: each load is folded once and kept as a delta, held rows are not rewritten."""
+    c = fx.contracts_like(spark, sf_dir).select("contract", "underlying_symbol", "exp_date", "option_type", "strike")
+    raw = fx.eod_raw_like(spark, sf_dir).select(
+        "contract", "tradetime", "bid", "ask", "volatility", "delta", "fetched_at", "raw_json", "volume", "seq", "load_side")
+    land, ck = scratch_path(spark, "landing-eod"), scratch_path(spark, "ck-upsert-deltas")
+    rows = raw.join(c, "contract")
+    table = X.eod_table(spark, scratch_path(spark, "eod-deltas"))
+    for side in ("O", "F"):
+        part = rows.where(F.col("load_side") == side).drop("load_side")
+        part.write.parquet(f"{land}/{side}")
+        _run(X.upsert_delta_stream(spark.readStream.schema(part.schema).parquet(f"{land}/*"), table, ck))
+    return table.read().select("contract", "tradetime", "underlying_symbol", "exp_date", "option_type", "strike", "volume", "bid",
+                               "ask", "volatility", "delta", F.col("fetched_at").cast("timestamp_ntz").alias("fetched_at"), "raw_json")

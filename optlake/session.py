@@ -74,6 +74,11 @@ def delete_path(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
 def list_folders(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders directly under a path (none if it does not exist)."""
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

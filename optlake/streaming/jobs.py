@@ -6,8 +6,10 @@ to a durable sink; the transformation code is the batch operator, unchanged.
 * X1 landing folder -> normalised rows (file source, ``parse_json``)
 * X2 replay-safe upsert per micro-batch (``foreachBatch`` + the W1 fold,
   seq = (batch id, row seq)); replaying a batch changes nothing
-* X3 tumbling bars with a watermark, append mode (closed windows only)
-* X4 live task state: the T4 aggregation in update mode, upserted by key
+  (``upsert_delta_stream``: the same fold over a keyed table's deltas)
+* X3 tumbling bars with a watermark, append mode (closed windows only), or
+  mergeable bar states that late ticks correct (``late_bars_stream``)
+* X4 live task state: the T4 aggregation in update mode, a delta per batch
 * X5 drop repeats within the lateness bound (``dropDuplicatesWithinWatermark``)
 * X6 requests per minute against the quota, watermark + 1-minute window
 
@@ -28,7 +30,8 @@ from optlake.operators import merge as M
 from optlake.operators import requests as L
 from optlake.operators import tasks as T
 from optlake.operators.normalize import normalize
-from optlake.session import delete_path, list_folders
+from optlake.session import path_exists
+from optlake.sources.keyed import KeyedTable
 from optlake.sources.pages import page_records, parse_pages
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -101,59 +104,59 @@ def dedupe_stream(rows: DataFrame, key: list[str], ts: str, lateness: str, sink:
     return _start(s.writeStream.format("parquet").outputMode("append").option("path", sink), checkpoint, available_now)
 
 
-def _keep_last_into(table: str, key: list[str]):
-    """foreachBatch body: upsert a batch of keyed rows into a Parquet folder,
-    later batch wins.  Writes a new version folder per batch and never reads
-    and overwrites the same files; the version before stays for readers that
-    are still on it, older ones are deleted."""
-
+def _apply_to(table: KeyedTable, seq: str | None = None):
+    """foreachBatch body: each micro-batch is one delta of a keyed table, its version the batch id."""
     def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        cur = f"{table}/batch={batch_id:012d}"
-        rows = batch.withColumn("__batch", F.lit(batch_id).cast("long"))
-        prev = _latest_version(spark, table, batch_id)
-        if prev is not None:
-            held = spark.read.parquet(prev)
-            rows = M.union_by_name(held, rows)
-        M.keep_last(rows, key, seq="__batch", keep_seq=True).write.mode("overwrite").parquet(cur)
-        for name in list_folders(spark, table):
-            old = f"{table}/{name}"
-            if name.startswith("batch=") and name != cur.rsplit("/", 1)[1] and (prev is None or name != prev.rsplit("/", 1)[1]):
-                delete_path(spark, old)
+        table.apply(batch, batch_id, seq=seq)
+
     return run
 
 
-def _latest_version(spark: SparkSession, table: str, before: int) -> str | None:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    root = jvm.org.apache.hadoop.fs.Path(table)
-    fs = root.getFileSystem(conf)
-    if not fs.exists(root):
-        return None
-    best = None
-    for st in fs.listStatus(root):
-        name = st.getPath().getName()
-        if name.startswith("batch=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            b = int(name.split("=", 1)[1])
-            if b < before and (best is None or b > best[0]):
-                best = (b, st.getPath().toString())
-    return best[1] if best else None
-
-
-def latest_table(spark: SparkSession, table: str) -> DataFrame:
-    """Current state of a table kept by ``_keep_last_into`` / ``upsert_stream``."""
-    path = _latest_version(spark, table, 1 << 62)
-    if path is None:
-        raise FileNotFoundError(f"no committed version under {table}")
-    return spark.read.parquet(path).drop("__batch")
-
-
-def task_state_stream(events: DataFrame, table: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
-    """The T4 fold as a streaming aggregation (update mode); each batch's
-    changed task rows are upserted into ``table`` (later batch wins)."""
+def task_state_stream(events: DataFrame, table: KeyedTable, checkpoint: str, available_now: bool = True) -> StreamingQuery:
+    """The T4 fold as a streaming aggregation (update mode); each batch's changed task rows are one delta of
+    ``table`` (keyed by task_id, the later batch wins)."""
     state = T.task_state(events)
-    w = state.writeStream.outputMode("update").foreachBatch(_keep_last_into(table, ["task_id"]))
-    return _start(w, checkpoint, available_now)
+    return _start(state.writeStream.outputMode("update").foreachBatch(_apply_to(table)), checkpoint, available_now)
+
+
+def bar_table(spark: SparkSession, root: str, **options) -> KeyedTable:
+    """Table of mergeable bar states: deltas add up with what is held."""
+    return KeyedTable(spark, root, ["contract", "tradetime"], fold=B.merge_states, **options)
+
+
+def late_bars_stream(ticks: DataFrame, bar_width: str, table: KeyedTable, checkpoint: str, changelog: str | None = None,
+                     ts: str = "t", available_now: bool = True) -> StreamingQuery:
+    """X3 with corrections: bars that stay right however late a tick comes.
+
+    A micro-batch becomes partial bar states, one delta of ``table``; there is no watermark and nothing is dropped.  A
+    tick for a bar that was written long ago changes that bar alone.  With ``changelog`` each batch also writes what it
+    changed there, as finished bars with ``op`` -1 (retracted) and 1 (inserted), under ``v=<batch id>``; a batch that is
+    replayed finds its version applied, so states are never added twice."""
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        table.apply(B.bar_states(batch, bar_width, ts=ts), batch_id, compact=False)
+        done = changelog and path_exists(spark, f"{changelog}/v={batch_id}/_SUCCESS")
+        if changelog and not done and batch_id in table.versions()[1]:
+            changed = table.changes(batch_id)
+            if changed is not None:
+                B.finish_states(changed, ["op"]).write.mode("overwrite").parquet(f"{changelog}/v={batch_id}")
+        table.compact_if_due()
+
+    timed = ticks.withColumn(ts, event_time(ts))
+    return _start(timed.writeStream.foreachBatch(run), checkpoint, available_now)
+
+
+def eod_table(spark: SparkSession, root: str, **options) -> KeyedTable:
+    """End-of-day rows by (contract, tradetime) whose deltas fold with the W1 upsert."""
+    return KeyedTable(spark, root, ["contract", "tradetime"], fold=lambda rows, key, seq: M.upsert_eod(None, rows, seq=seq, key=key),
+                      **options)
+
+
+def upsert_delta_stream(staged: DataFrame, table: KeyedTable, checkpoint: str, seq: str = "seq",
+                        available_now: bool = True) -> StreamingQuery:
+    """X2 without rewriting what is held: each micro-batch is folded by itself (W1) and kept as one delta; identity,
+    last quotes and last JSON meet when the table is read or compacted."""
+    return _start(staged.writeStream.foreachBatch(_apply_to(table, seq)), checkpoint, available_now)
 
 
 def upsert_stream(staged: DataFrame, store, checkpoint: str, seq: str = "seq",
