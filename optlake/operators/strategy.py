@@ -1,16 +1,17 @@
 """Chain slices, nearest-strike legs and vertical-spread credits.
 
-Nearest strike is an equi-join of entries to the chain on (underlying, trade
-date, expiry, type) followed by one grouped ``min_by``: each chain row meets
-only the entries of its own chain, the grouping keys extend the join keys (so
-the join's partitioning is reused, no second shuffle), and a hot chain is
-split by AQE's skew-join handling, its partial ``min_by`` states merged after.
-Ties in distance go to the lower strike, then the lower contract code.
+Nearest strike is a two-sided as-of merge: the targets of the entries and the
+strikes of their chain are put in one order per chain; the last strike at or
+below a target and the first above it come from two running windows, and the
+nearer one wins.  The cost is that of sorting entries plus strikes, never their
+product, and every entry row keeps its own result.  Entries of a chain that has
+very many are dealt into parts, each with a copy of the chain's strikes.  Ties in
+distance go to the lower strike, then the lower contract code.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from optlake.functions.derived import credit, midpoint_fill
@@ -52,24 +53,52 @@ def chain_entries(chain: DataFrame, option_type: str = "put", spot_divisor: floa
             .agg(((F.min("strike") + F.max("strike")) / F.lit(spot_divisor)).alias("spot")))
 
 
+# Entries of one chain from which on they are dealt into parts of about this many.
+PART_ENTRIES = 500_000
+
+
+def _parts(entries: DataFrame, on: list[str]) -> DataFrame:
+    """(chain, parts) of the chains with more than PART_ENTRIES entries: at most one row for so many entries."""
+    names = [F.col(c).alias(f"__{c}") for c in on]
+    return (entries.groupBy(*on).agg(F.ceil(F.count(F.lit(1)) / PART_ENTRIES).cast("int").alias("__parts"))
+            .where("__parts > 1").select(*names, "__parts"))
+
+
 def nearest_strike(entries: DataFrame, chain: DataFrame, target: str = "target",
                    on: list[str] = CHAIN_KEY, prefix: str = "") -> DataFrame:
-    """For each entry, the chain row whose strike is nearest ``target``.
+    """For each entry row, the chain row whose strike is nearest ``target``.
 
     Returns the entry columns plus ``{prefix}contract``, ``{prefix}strike``,
-    ``{prefix}midpoint``.  Entries with no chain row drop out (inner join).
+    ``{prefix}midpoint``, one row per entry row, equal rows included.  Entries
+    without a target, and those whose chain has no strike, drop out.
     """
-    legs = chain.select(*on, "contract", "strike", "midpoint").where(F.col("strike").isNotNull())
-    entry_cols = entries.columns
-    j = entries.join(legs, on)
-    dist = F.abs(F.col("strike") - F.col(target))
-    g = j.groupBy(*entry_cols).agg(
-        F.min_by(F.struct("contract", "strike", "midpoint"),
-                 F.struct(dist.alias("d"), F.col("strike").alias("s"), F.col("contract").alias("c"))).alias("__leg"))
-    return g.select(*entry_cols,
-                    F.col("__leg.contract").alias(f"{prefix}contract"),
-                    F.col("__leg.strike").alias(f"{prefix}strike"),
-                    F.col("__leg.midpoint").alias(f"{prefix}midpoint"))
+    hot = _parts(entries, on)
+    mine = [F.col(c) == F.col(f"__{c}") for c in on]
+    parts = F.coalesce("__parts", F.lit(1))
+    whole = F.struct(*[F.col(c) for c in entries.columns])
+    leg = F.struct("strike", "contract", "midpoint")
+    dealt = F.pmod(F.xxhash64(*entries.columns), parts).cast("int")  # of the row alone, so a task that runs again deals alike
+    targets = entries.where(F.col(target).isNotNull()).join(hot, mine, "left").select(
+        *on, dealt.alias("__part"), F.col(target).cast("double").alias("__at"),
+        whole.alias("__entry"), F.lit(None).cast(chain.select(leg).schema[0].dataType).alias("__leg"))
+    strikes = chain.where(F.col("strike").isNotNull()).select(*on, leg.alias("__leg")).join(hot, mine, "left").select(
+        *on, F.explode(F.sequence(F.lit(0), parts - 1)).alias("__part"), F.col("__leg.strike").cast("double").alias("__at"),
+        F.lit(None).cast(targets.schema["__entry"].dataType).alias("__entry"), "__leg")
+    merged = targets.unionByName(strikes).where(F.concat(*[F.col(c).cast("string") for c in on]).isNotNull())
+
+    # at one strike the lowest contract comes last in either direction; strikes stand before targets of the same value
+    side, contract = F.col("__entry").isNotNull(), F.col("__leg.contract").desc()
+    line = Window.partitionBy(*on, "__part")
+    up = line.orderBy("__at", side, contract).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    down = line.orderBy(F.col("__at").desc(), side, contract).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    met = merged.select("__entry", "__at", F.last("__leg", ignorenulls=True).over(up).alias("__below"),
+                        F.last("__leg", ignorenulls=True).over(down).alias("__above"))
+    met = met.where(F.col("__entry").isNotNull() & (F.col("__below").isNotNull() | F.col("__above").isNotNull()))
+    low = F.abs(F.col("__below.strike") - F.col("__at"))
+    high = F.abs(F.col("__above.strike") - F.col("__at"))
+    nearer = F.when(F.col("__above").isNull() | (low <= high), F.col("__below")).otherwise(F.col("__above"))
+    return met.withColumn("__leg", nearer).select(
+        "__entry.*", *[F.col(f"__leg.{c}").alias(f"{prefix}{c}") for c in ("contract", "strike", "midpoint")])
 
 
 def short_leg(entries: DataFrame, chain: DataFrame, factor: float = SHORT_STRIKE_FACTOR) -> DataFrame:

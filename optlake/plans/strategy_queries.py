@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from optlake.functions.derived import days_to_expiry, midpoint_fill, vol_oi_ratio
 from optlake.operators.filters import FilterSet
-from optlake.operators.strategy import CHAIN_KEY, chain_entries, chain_slice, short_leg, spread_credit
+from optlake.operators.strategy import CHAIN_KEY, chain_entries, chain_slice, nearest_strike, short_leg, spread_credit
 from optlake.plans import fixtures as fx
 from optlake.plans.common import chain, held_eod
 from optlake.plans.registry import query
@@ -60,6 +60,38 @@ def q_nearest_put(spark, sf_dir):
     return nearest_put_df(spark, sf_dir)
 
 
+# Shares of a quote row's own strike that make its targets.
+TARGET_SHARES = [0.95, 1.0, 1.05]
+
+
+@query("nearest_put_many", ["eod_raw_like", "chain"], """
+, entries as (
+  select c.underlying_symbol, e.tradetime, c.exp_date, 'put' as option_type, f.share * c.strike as target
+  from eod_raw_like e join contracts_like c on c.contract = e.contract
+  cross join (select unnest([0.95::double, 1.0::double, 1.05::double]) as share) f),
+points as (select distinct * from entries),
+near as (
+  select * from (
+    select p.*, c.contract, c.strike, c.midpoint,
+           row_number() over (partition by p.underlying_symbol, p.tradetime, p.exp_date, p.target
+                              order by abs(c.strike - p.target), c.strike, c.contract) as rn
+    from points p join chain c on c.underlying_symbol = p.underlying_symbol and c.tradetime = p.tradetime
+                              and c.exp_date = p.exp_date and c.option_type = p.option_type) x where rn = 1)
+select e.*, n.contract, n.strike, n.midpoint
+from entries e join near n on n.underlying_symbol = e.underlying_symbol and n.tradetime = e.tradetime
+                          and n.exp_date = e.exp_date and n.target = e.target
+""")
+def q_nearest_put_many(spark, sf_dir):
+    """J5/O4 with many entries a chain: every unmerged quote row asks for the put nearest to its own strike, 5 %
+    below and 5 % above; equal entries (several quotes of a contract in a month) stay separate rows."""
+    c = fx.contracts_like(spark, sf_dir).select("contract", "underlying_symbol", "exp_date", "strike")
+    quotes = fx.eod_raw_like(spark, sf_dir).select("contract", "tradetime").join(c, "contract")
+    share = F.explode(F.array(*[F.lit(x) for x in TARGET_SHARES]))
+    entries = quotes.withColumn("share", share).select(
+        "underlying_symbol", "tradetime", "exp_date", F.lit("put").alias("option_type"), (F.col("share") * F.col("strike")).alias("target"))
+    return nearest_strike(entries, put_chain(spark, sf_dir))
+
+
 @query("spread_credit", ["put_entries"], """
 , short_leg as (
   select * from (
