@@ -10,11 +10,12 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from optlake.functions.dates import tolerance_days
 from optlake.functions.keys import request_signature, slice_name
+from optlake.session import materialize
 
 
 def held_span(held: DataFrame, key: list[str], date_col: str = "tradetime") -> DataFrame:
@@ -74,6 +75,116 @@ def gaps(requests: DataFrame, held: DataFrame, key: list[str], calendar: DataFra
     return cand.join(have, key + ["day"], "left_anti").withColumnRenamed("day", "missing_day")
 
 
+# Trade days of one bucket of the interval join.
+BUCKET_DAYS = 64
+
+
+def numbered_calendar(days: DataFrame) -> DataFrame:
+    """(day, at): trade days and their place in the calendar.
+
+    The calendar is small (some 250 rows a year): the numbering sorts it in one task."""
+    return days.select("day").distinct().where("day is not null").select(
+        "day", (F.row_number().over(Window.orderBy("day")) - 1).alias("at"))
+
+
+def held_islands(held: DataFrame, key: list[str], calendar: DataFrame, date_col: str = "tradetime") -> DataFrame:
+    """(key, lo, hi): runs of consecutive held trade days, as calendar places.
+
+    A held day starts an island when the day before it is not held; an island ends where the next one starts."""
+    days = held.select(*key, F.to_date(F.col(date_col)).alias("day")).distinct().join(calendar, "day")
+    run = F.row_number().over(Window.partitionBy(*key).orderBy("at"))
+    return days.withColumn("__run", F.col("at") - run).groupBy(*key, "__run").agg(
+        F.min("at").alias("lo"), F.max("at").alias("hi")).drop("__run")
+
+
+def _places(requests: DataFrame, calendar: DataFrame, start: str, end: str, request: str) -> DataFrame:
+    """Requests with the first (``__from``) and the last (``__to``) calendar place inside their window."""
+    month = F.explode(F.sequence(F.trunc(F.col(start), "month"), F.trunc(F.col(end), "month"), F.expr("interval 1 month")))
+    per_month = calendar.groupBy(F.trunc("day", "month").alias("__month")).agg(F.sort_array(F.collect_list(F.struct("day", "at"))).alias("__days"))
+    # the trade days of the window's first and last month that has any lie on the window's edges: only those are looked at
+    edges = requests.where(F.col(start) <= F.col(end)).select(F.col(request), F.col(start), F.col(end), month.alias("__month")).join(per_month, "__month")
+    inside = F.filter("__days", lambda d: (d["day"] >= F.col(start)) & (d["day"] <= F.col(end)))
+    span = edges.select(request, inside.alias("__in")).where(F.size("__in") > 0).groupBy(request).agg(
+        F.min(F.element_at("__in", 1)["at"]).alias("__from"), F.max(F.element_at("__in", -1)["at"]).alias("__to"))
+    return requests.join(span, request)
+
+
+def gap_intervals(requests: DataFrame, held: DataFrame, key: list[str], request: str = "request_id", calendar: DataFrame | None = None,
+                  start: str = "start_date", end: str = "end_date", date_col: str = "tradetime") -> DataFrame:
+    """C3 as interval algebra: the requested window minus the islands of held trade days.
+
+    One row per maximal run of missing trade days of a request: its columns, ``gap_from``, ``gap_to`` and ``gap_days``
+    (trade days in it).  Windows and islands are intervals of calendar places; both are dealt into buckets of
+    BUCKET_DAYS places and joined on (key, bucket), a pair counted in the first bucket it shares.  The islands that
+    meet a window are at most half its days, so what lies between them is found in order per request.
+    ``request`` is unique per request; requests with a NULL key have nothing held.
+    """
+    cal = numbered_calendar(calendar if calendar is not None else trade_calendar(held, date_col))
+    cal = materialize(cal, "calendar")  # read by every branch
+    asked = _places(requests, cal, start, end, request)
+    names = {k: f"__key_{n}" for n, k in enumerate(key)}
+
+    def bucket(at):
+        return F.floor(at / BUCKET_DAYS)
+
+    islands = held_islands(held, key, cal, date_col).select(
+        *[F.col(k).alias(n) for k, n in names.items()], "lo", "hi",
+        F.explode(F.sequence(bucket(F.col("lo")), bucket(F.col("hi")))).alias("__bucket"))
+    windows = asked.select(request, *key, "__from", "__to",
+                           F.explode(F.sequence(bucket(F.col("__from")), bucket(F.col("__to")))).alias("bucket"))
+    same = [F.col(k) == F.col(n) for k, n in names.items()] + [F.col("bucket") == F.col("__bucket")]
+    met = windows.join(islands, same).where(
+        (F.col("lo") <= F.col("__to")) & (F.col("hi") >= F.col("__from"))
+        & (F.col("bucket") == F.greatest(bucket(F.col("lo")), bucket(F.col("__from"))))).select(
+        request, F.greatest("lo", "__from").alias("lo"), F.least("hi", "__to").alias("hi"))
+    # a window starts after an island that ends before it, and ends before one that starts after it
+    walls = asked.select(request, (F.col("__from") - 1).alias("hi"), F.lit(None).cast("int").alias("lo")).unionByName(
+        asked.select(request, F.lit(None).cast("int").alias("hi"), (F.col("__to") + 1).alias("lo")))
+    line = Window.partitionBy(request).orderBy(F.coalesce("hi", "lo"))
+    open_ = met.select(request, "hi", "lo").unionByName(walls.select(request, "hi", "lo")).select(
+        request, (F.lag("hi").over(line) + 1).alias("__a"), (F.col("lo") - 1).alias("__b")).where("__a <= __b")
+    first = cal.select(F.col("at").alias("__a"), F.col("day").alias("gap_from"))
+    last = cal.select(F.col("at").alias("__b"), F.col("day").alias("gap_to"))
+    found = open_.join(first, "__a").join(last, "__b").select(
+        request, "gap_from", "gap_to", (F.col("__b") - F.col("__a") + 1).cast("long").alias("gap_days"))
+    return requests.join(found, request)
+
+
+def cached_rows(requests: DataFrame, held: DataFrame, key: list[str], tolerance: int = 0, request: str = "request_id",
+                calendar: DataFrame | None = None, start: str = "start_date", end: str = "end_date",
+                date_col: str = "tradetime") -> tuple[DataFrame, DataFrame]:
+    """Answers many requests from held rows: (rows, to_fetch).
+
+    ``rows`` are the held rows inside the windows of the requests that are covered within ``tolerance`` days, with the
+    request's id; ``to_fetch`` are the missing intervals (``gap_intervals``) of all others."""
+    status = coverage_status(requests, held, key, start, end, tolerance, date_col).select(request, F.col("status").alias("__status"))
+    tagged = materialize(requests.join(status, request), "cache-status")
+    covered = tagged.where("__status = 'hit'").select(request, *key, F.col(start).alias("__start"), F.col(end).alias("__end"))
+    day = F.to_date(F.col(date_col))
+    rows = held.join(covered, key).where((F.col("__start").isNull() | (day >= F.col("__start"))) & (F.col("__end").isNull() | (day <= F.col("__end"))))
+    calendar = calendar if calendar is not None else trade_calendar(held, date_col)
+    missing = gap_intervals(tagged.where("__status <> 'hit'").drop("__status"), held, key, request, calendar, start, end, date_col)
+    return rows.drop("__start", "__end"), missing
+
+
+def minimal_requests(requests: DataFrame, signature: str = "signature", start: str = "start_date", end: str = "end_date",
+                     request: str = "request_id") -> DataFrame:
+    """C4: the requests whose window does not lie within another's of the same signature.
+
+    Of requests with equal windows the one with the least id stays.  An open (NULL) bound reaches without end.  Requests
+    of one signature and start are folded first (the longest window, then the least id), so what is sorted per signature
+    is at most one row a start date; a running maximum of the ends before a row then tells whether it is within one.
+    """
+    far, early = F.lit("9999-12-31").cast("date"), F.lit("0001-01-01").cast("date")
+    a, b = F.coalesce(F.col(start).cast("date"), early), F.coalesce(F.col(end).cast("date"), far)
+    cols = requests.columns
+    longest = requests.groupBy(signature, a.alias("__a")).agg(
+        F.max(b).alias("__b"), F.max_by(F.struct(*[F.col(c) for c in cols]), F.struct(b, -F.col(request))).alias("__row"))
+    before = Window.partitionBy(signature).orderBy("__a").rowsBetween(Window.unboundedPreceding, -1)
+    kept = longest.withColumn("__reach", F.max("__b").over(before)).where(F.col("__reach").isNull() | (F.col("__reach") < F.col("__b")))
+    return kept.select("__row.*")
+
+
 def signatures(requests: DataFrame, endpoint: str, params: dict[str, Column]) -> DataFrame:
     """C4: request signature (SHA-1 of the canonical request) and slice name."""
     sig = request_signature(endpoint, params)

@@ -6,7 +6,17 @@ import datetime as _dt
 
 from pyspark.sql import functions as F
 
-from optlake.operators.coverage import coverage_status, gaps, held_slices, plan_slices, signatures, slices_todo
+from optlake.operators.coverage import (
+    cached_rows,
+    coverage_status,
+    gap_intervals,
+    gaps,
+    held_slices,
+    minimal_requests,
+    plan_slices,
+    signatures,
+    slices_todo,
+)
 from optlake.plans import fixtures as fx
 from optlake.plans.common import chain, held_eod
 from optlake.plans.registry import query
@@ -41,6 +51,80 @@ def q_coverage_gaps(spark, sf_dir):
     return gaps(req, held_eod(spark, sf_dir), ["contract"]).select("request_id", "contract", "missing_day")
 
 
+_INTERVALS_SQL = """
+, cal as (select day, row_number() over (order by day) as at from (select distinct tradetime as day from held_eod) d),
+missing as (
+  select r.request_id, r.contract, c.day, c.at, c.at - row_number() over (partition by r.request_id order by c.at) as run
+  from asked r join cal c on c.day >= r.start_date and c.day <= r.end_date
+  where not exists (select 1 from held_eod h where h.contract = r.contract and h.tradetime = c.day)),
+intervals as (
+  select request_id, contract, min(day) as gap_from, max(day) as gap_to, count(*) as gap_days from missing group by request_id, contract, run)
+"""
+
+
+def _asked(spark, sf_dir):
+    """Coverage questions over windows of 30 to 1200 days."""
+    return fx.requests_like(spark, sf_dir).select(
+        "request_id", "contract", "option_type", "start_date",
+        F.date_add("start_date", (F.lit(30) + F.col("request_id") % 1171).cast("int")).alias("end_date"))
+
+
+_ASKED_SQL = """
+, asked as (select request_id, contract, option_type, start_date,
+                   cast(start_date + cast(30 + request_id % 1171 as integer) as date) as end_date from requests_like)"""
+
+
+@query("coverage_intervals", ["requests_like", "held_eod"], _ASKED_SQL + _INTERVALS_SQL + """
+select request_id, contract, gap_from, gap_to, gap_days from intervals
+""")
+def q_coverage_intervals(spark, sf_dir):
+    """C3 as intervals: maximal runs of missing trade days of every request (windows minus held islands)."""
+    req = _asked(spark, sf_dir).select("request_id", "contract", "start_date", "end_date")
+    return gap_intervals(req, held_eod(spark, sf_dir), ["contract"]).select("request_id", "contract", "gap_from", "gap_to", "gap_days")
+
+
+_HIT_SQL = """
+, span as (select contract, min(tradetime) as first_date, max(tradetime) as last_date from held_eod group by contract),
+hit as (select r.* from asked r join span s on s.contract = r.contract
+        where s.first_date <= r.start_date + 15 and s.last_date >= r.end_date - 15)
+"""
+
+
+@query("cache_rows", ["requests_like", "held_eod"], _ASKED_SQL + _HIT_SQL + """
+select r.request_id, h.contract, h.tradetime, h.bid, h.ask
+from hit r join held_eod h on h.contract = r.contract and h.tradetime >= r.start_date and h.tradetime <= r.end_date
+""")
+def q_cache_rows(spark, sf_dir):
+    """Tolerance-aware cache lookup: the held rows of every request that they cover within 15 days."""
+    rows, _ = cached_rows(_asked(spark, sf_dir), held_eod(spark, sf_dir), ["contract"], tolerance=TOLERANCE_DAYS)
+    return rows.select("request_id", "contract", "tradetime", "bid", "ask")
+
+
+@query("cache_missing", ["requests_like", "held_eod"], _ASKED_SQL + _HIT_SQL + _INTERVALS_SQL + """
+select request_id, contract, gap_from, gap_to, gap_days from intervals
+where request_id not in (select request_id from hit)
+""")
+def q_cache_missing(spark, sf_dir):
+    """Tolerance-aware cache lookup: what is to be fetched for the requests that held rows do not cover."""
+    _, missing = cached_rows(_asked(spark, sf_dir), held_eod(spark, sf_dir), ["contract"], tolerance=TOLERANCE_DAYS)
+    return missing.select("request_id", "contract", "gap_from", "gap_to", "gap_days")
+
+
+@query("minimal_requests", ["requests_like"], _ASKED_SQL + """
+, s as (select *, sha1(concat('{"endpoint":"eod","params":{"filter[contract]":"', contract, '"',
+             case when option_type is null then '' else concat(',"filter[type]":"', option_type, '"') end, '}}')) as signature from asked)
+select request_id, signature, start_date, end_date from s a
+where not exists (select 1 from s b where b.signature = a.signature and b.start_date <= a.start_date and b.end_date >= a.end_date
+                  and (b.start_date < a.start_date or b.end_date > a.end_date or b.request_id < a.request_id))
+""")
+def q_minimal_requests(spark, sf_dir):
+    """C4: requests without those whose window lies within another's of the same signature."""
+    asked = _asked(spark, sf_dir)
+    params = {"filter[contract]": F.col("contract"), "filter[type]": F.col("option_type"),
+              "filter[tradetime_from]": F.col("start_date").cast("string"), "filter[tradetime_to]": F.col("end_date").cast("string")}
+    return minimal_requests(signatures(asked, "eod", params)).select("request_id", "signature", "start_date", "end_date")
+
+
 @query("request_signature", ["requests_like"], """
 , s as (select request_id, sha1(concat('{"endpoint":"eod","params":{"filter[contract]":"', contract, '"',
              case when option_type is null then '' else concat(',"filter[type]":"', option_type, '"') end,
