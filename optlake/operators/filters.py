@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from optlake.functions.dates import parse_bound, parse_date_arg
+from optlake.operators.tasks import global_index
 
 # Page size default and upper bound.
 DEFAULT_PAGE_LIMIT = 1000
@@ -179,6 +180,13 @@ def ordered_page(df: DataFrame, sort: str | None, key: list[str], limit=None, af
     return rows.orderBy(*order).limit(clamp_page_limit(limit))
 
 
+def numbered_pages(df: DataFrame, sort: str | None, key: list[str], limit=None) -> DataFrame:
+    """Every row with the number of its page (``page``, from 0) in the ordered result: what following the cursor from
+    page to page gives, for all pages at once.  Rows are numbered by one range-partitioned sort, no page is a job."""
+    numbered = global_index(df, sort_columns(sort, df.columns, key), "__idx")
+    return numbered.withColumn("page", F.floor(F.col("__idx") / clamp_page_limit(limit)).cast("long")).drop("__idx")
+
+
 def after_cursor(sort: str | None, available: list[str], key: list[str], after: dict) -> Column:
     """Rows that follow the cursor row in ``sort_columns`` order (NULLs last)."""
     name = (sort or "").strip()

@@ -50,6 +50,38 @@ def quota_per_day(log: DataFrame, ts: str = "created_at", unit_limit: int = VEND
                     (F.lit(unit_limit) - units).alias("units_left"), (units > unit_limit).alias("over_quota"))
 
 
+# Seconds of a part of the log in which a sliding count runs.
+PART_SECONDS = 600
+
+
+def sliding_counts(log: DataFrame, by: list[str], ts: str = "created_at", seconds: int = 60) -> DataFrame:
+    """(by, at, requests): for every request time, the requests in the ``seconds`` that end with it.
+
+    Requests of one time are counted first.  The log is then cut into parts of time, so a hot endpoint is worked on by
+    many tasks; a part also gets the last ``seconds`` of the one before it (its halo), which only count and are not
+    reported.  Times are exact to the microsecond; a request leaves the count ``seconds`` after it was made."""
+    part_us, span_us = max(PART_SECONDS, seconds) * 1_000_000, seconds * 1_000_000
+    per_time = log.where(F.col(ts).isNotNull()).groupBy(*by, F.unix_micros(F.col(ts).cast("timestamp")).alias("__at")).agg(
+        F.count(F.lit(1)).alias("__n"))
+    at = F.col("__at")
+    own = F.floor(at / part_us)
+    spread = F.when(F.pmod(at, F.lit(part_us)) > part_us - span_us, F.array(own, own + 1)).otherwise(F.array(own))
+    line = Window.partitionBy(*by, "__part").orderBy("__at").rangeBetween(1 - span_us, Window.currentRow)
+    counted = per_time.withColumn("__part", F.explode(spread)).withColumn("requests", F.sum("__n").over(line))
+    return counted.where(F.col("__part") == own).select(*by, F.timestamp_micros("__at").alias("at"), "requests")
+
+
+def peak_rate(log: DataFrame, by: list[str], unit: str, ts: str = "created_at", seconds: int = 60,
+              rate_limit: int = CONFIGURED_REQUESTS_PER_MINUTE) -> DataFrame:
+    """L1: the most requests in any ``seconds`` ending within each ``unit`` ('minute', 'day'), and their call units.
+
+    Unlike counts per clock minute, a burst that spans two minutes is seen whole."""
+    peaks = sliding_counts(log, by, ts, seconds).groupBy(*by, F.date_trunc(unit, "at").alias(unit)).agg(
+        F.max("requests").alias("peak_requests"))
+    return peaks.select(*by, unit, "peak_requests", (F.col("peak_requests") * CALL_UNITS_PER_REQUEST).alias("peak_units"),
+                        (F.col("peak_requests") > rate_limit).alias("over_rate"))
+
+
 def request_outcomes(log: DataFrame, key: str = "task_id") -> DataFrame:
     """L2: attempts per task and how they ended; the last attempt decides."""
     cls = outcome_class(F.col("status_code"), F.col("error_message") if "error_message" in log.columns else None)

@@ -24,8 +24,8 @@ START_PRIORITY = 100
 CALL_UNITS_PER_REQUEST = 10
 
 
-def global_index(df: DataFrame, order: list[str], name: str = "idx") -> DataFrame:
-    """0-based position of every row in ``order`` (NULLs first), over the whole frame.
+def global_index(df: DataFrame, order: list[str | Column], name: str = "idx") -> DataFrame:
+    """0-based position of every row in ``order`` (names: ascending, NULLs first), over the whole frame.
 
     Rows are range-partitioned by the order columns and sorted within their
     partition, so no key, however frequent or NULL, is sorted by one task.  The
@@ -33,7 +33,7 @@ def global_index(df: DataFrame, order: list[str], name: str = "idx") -> DataFram
     differently); offsets are running sums over its partitions' row counts, one
     row per partition.  ``order`` must be unique, or ties are broken by chance.
     """
-    by = [F.col(c).asc_nulls_first() for c in order]
+    by = [F.col(c).asc_nulls_first() if isinstance(c, str) else c for c in order]
     row = F.monotonically_increasing_id()  # partition number, then position in the partition
     dealt = df.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("__row", row)
     kept = materialize(dealt, "index").withColumn("__part", F.shiftright("__row", 33))

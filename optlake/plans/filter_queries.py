@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from optlake.operators.filters import FilterSet, apply_filter_set, ordered_page, project
+from optlake.operators.filters import FilterSet, apply_filter_set, numbered_pages, ordered_page, project
 from optlake.plans import fixtures as fx
 from optlake.plans.common import held_eod
 from optlake.plans.registry import query
@@ -69,17 +69,8 @@ select *, cast(floor((row_number() over (order by strike desc nulls last, contra
 from contracts_like
 """)
 def q_contract_pages(spark, sf_dir):
-    """O1+O2: all contracts in '-strike' order, 1000 to a page, each page fetched after the last row of the one before."""
-    rows, sort, key = fx.contracts_like(spark, sf_dir), "-strike", ["contract"]
-    pages, after = None, None
-    while True:
-        page = ordered_page(rows, sort, key, after=after)
-        tail = page.orderBy(F.col("strike").asc_nulls_first(), F.col("contract").desc()).limit(1).collect()
-        if not tail:
-            return pages
-        numbered = page.withColumn("page", F.lit(0 if pages is None else number).cast("long"))
-        pages = numbered if pages is None else pages.unionByName(numbered)
-        after, number = tail[0].asDict(), (1 if after is None else number + 1)
+    """O1+O2: all contracts in '-strike' order, 1000 to a page."""
+    return numbered_pages(fx.contracts_like(spark, sf_dir), "-strike", ["contract"])
 
 
 @query("active_symbols", [], """

@@ -139,31 +139,62 @@ def q_flatfile_bars(spark, sf_dir):
 
 @query("page_files", ["contracts_like"], """
 select contract, underlying_symbol, exp_date, option_type, strike, exchange from contracts_like
-where cast(substring(contract, 3) as bigint) % 3 <> 1
 """)
 def q_page_files(spark, sf_dir):
-    """S3: list pages landed as one JSON file each, read back as whole texts."""
+    """S3: pages of every shape landed as one JSON file each, read back as whole texts."""
     from optlake.session import scratch_path
     from optlake.sources.pages import read_page_files
 
     root = scratch_path(spark, "page-files")
-    pages = landing.contract_pages(spark, sf_dir).where("shape <> 1").select("page_text")
-    pages.write.option("maxRecordsPerFile", 1).text(root)
+    landing.contract_pages(spark, sf_dir).select("page_text").write.option("maxRecordsPerFile", 1).text(root)
     recs = page_records(parse_pages(read_page_files(spark, f"{root}/part-*")))
     return normalize_contracts(recs).select("contract", "underlying_symbol", "exp_date", "option_type", "strike", "exchange")
 
 
+@query("page_chains", [], """
+, paged as (select p_type as symbol, p_partkey // 100 as k from part group by all),
+linked as (
+  select *, concat('https://api.example/contracts?underlying=', symbol, '&cursor=', md5(concat(symbol, '|', k))) as url from paged),
+links as (
+  select symbol, k, url, coalesce(lead(url) over w, case when symbol like '%COPPER' then first(url) over w end) as next
+  from linked window w as (partition by symbol order by k)),
+landed as (select url, next from links where not (symbol like 'PROMO%' and k % 11 = 5)),
+prev as (select next as url, min(url) as before from landed where next is not null group by next),
+walk(url, chain, pos) as (
+  select url, url, cast(0 as bigint) from landed where url not in (select url from prev)
+  union all
+  select l.url, w.chain, w.pos + 1 from walk w join prev p on p.before = w.url join landed l on l.url = p.url),
+tails as (
+  select w.chain, w.pos + 1 as pages,
+         case when l.next is null then 'complete' when l.next in (select url from landed) then 'forked' else 'broken' end as status
+  from walk w join landed l on l.url = w.url
+  where w.pos = (select max(pos) from walk x where x.chain = w.chain))
+select l.url, w.chain, w.pos, coalesce(t.pages, 1) as pages, coalesce(t.status, 'cycle') as status
+from landed l left join walk w on w.url = l.url left join tails t on t.chain = w.chain
+""".replace(", paged", "with recursive paged", 1))
+def q_page_chains(spark, sf_dir):
+    """S3: landed pages of every query in link order, with broken chains and cycles told apart."""
+    from optlake.operators.page_chains import page_positions
+    from optlake.sources.pages import next_link
+
+    pages = parse_pages(landing.linked_pages(spark, sf_dir))
+    return page_positions(pages.select("url", next_link(F.col("payload")).alias("next_url")))
+
+
 @query("generic_values", [], """
-select p_brand as value, 'object' as kind from part where p_partkey % 2 = 0
+select case when p_partkey % 2 = 0 then p_brand end as value, case when p_partkey % 2 = 0 then 'value' else 'fields' end as kind,
+       case when p_partkey % 2 = 1 then p_brand end as ticker
+from part
 """)
 def q_generic_values(spark, sf_dir):
-    """Scalar records of an endpoint without a normaliser become ``value`` rows with a row key."""
+    """Records of an endpoint without a normaliser, mixed shapes: scalars become ``value`` rows, objects keep their
+    fields as text; every row has a row key."""
     from optlake.operators.normalize import normalize
 
-    pages = landing.symbol_pages(spark, sf_dir).where("shape = 2")
-    rows = normalize(_records(pages), "some-endpoint")
+    rows = normalize(_records(landing.symbol_pages(spark, sf_dir)), "some-endpoint")
     keyed = rows.where(F.length("row_key") == 40)
-    return keyed.select("value", F.lit("object").alias("kind"))
+    return keyed.select("value", F.when(F.col("value").isNotNull(), "value").otherwise("fields").alias("kind"),
+                        F.get_json_object("record_json", "$.ticker").alias("ticker"))
 
 
 @query("row_keys", ["eod_raw_like", "contracts_like"], """

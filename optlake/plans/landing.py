@@ -9,7 +9,7 @@ order inside a page is fixed by a sort key, so positions are reproducible.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from optlake.plans import fixtures as fx
@@ -121,3 +121,23 @@ def symbol_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     page_id = F.concat(F.lit("s"), shape.cast("string"), F.lit("-"), F.floor(F.col("p_partkey") / 200).cast("string"))
     # legacy pages list bare symbol strings
     return _assemble(p, page_id, shape, F.col("p_partkey"), modern, legacy=F.col("p_brand"))
+
+
+def linked_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages (url, page_text) of one contract query per underlying, each with the vendor's link to the next.
+
+    A query's pages are ranges of part keys in order; a url ends in a hash, so names tell nothing about the order.  Some
+    pages never landed (every 11th range of 'PROMO' underlyings) and some last pages link back to the first
+    (underlyings of copper)."""
+    rows = fx.contracts_like(spark, sf_dir, with_part_key=True)
+    sym = F.col("underlying_symbol")
+    paged = rows.groupBy("underlying_symbol", F.floor(F.col("p_partkey") / 100).alias("k")).agg(
+        F.sort_array(F.collect_list(F.struct(F.col("contract").alias("ticker"), F.col("strike").alias("strike_price")))).alias("results"))
+    url = F.concat(F.lit("https://api.example/contracts?underlying="), sym, F.lit("&cursor="), F.md5(F.concat(sym, F.lit("|"), F.col("k").cast("string"))))
+    line = Window.partitionBy("underlying_symbol").orderBy("k")
+    linked = paged.withColumn("url", url).withColumn("after", F.lead("url").over(line)).withColumn(
+        "head", F.first("url").over(line.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    next_url = F.when(F.col("after").isNull() & sym.endswith("COPPER"), F.col("head")).otherwise(F.col("after"))
+    text = F.to_json(F.struct("results", next_url.alias("next_url")))
+    gone = sym.startswith("PROMO") & (F.col("k") % 11 == 5)
+    return linked.where(~gone).select("url", text.alias("page_text"))

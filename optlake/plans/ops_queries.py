@@ -130,6 +130,27 @@ def q_quota_minutes(spark, sf_dir):
     return L.quota_per_minute(fx.request_log_like(spark, sf_dir))
 
 
+def _peak_sql(unit: str) -> str:
+    return f"""
+, s as (select endpoint, created_at, count(*) over (partition by endpoint order by created_at
+               range between interval '59.999999 seconds' preceding and current row) as n from request_log_like)
+select endpoint, date_trunc('{unit}', created_at) as {unit}, max(n) as peak_requests, max(n) * 10 as peak_units, max(n) > 90 as over_rate
+from s group by all
+"""
+
+
+@query("peak_minutes", ["request_log_like"], _peak_sql("minute"))
+def q_peak_minutes(spark, sf_dir):
+    """L1: exact peak rate of every endpoint in any 60 seconds ending in a minute."""
+    return L.peak_rate(fx.request_log_like(spark, sf_dir), ["endpoint"], "minute").withColumn("minute", F.col("minute").cast("timestamp_ntz"))
+
+
+@query("peak_days", ["request_log_like"], _peak_sql("day").replace("date_trunc('day', created_at)", "cast(created_at as date)"))
+def q_peak_days(spark, sf_dir):
+    """L1: exact peak rate of every endpoint in any 60 seconds ending on a day."""
+    return L.peak_rate(fx.request_log_like(spark, sf_dir), ["endpoint"], "day").withColumn("day", F.to_date("day"))
+
+
 @query("quota_days", ["request_log_like"], """
 select cast(created_at as date) as day, count(*) as requests, count(*) * 10 as units,
        cast(sum(row_count) as bigint) as rows, 100000 - count(*) * 10 as units_left, count(*) * 10 > 100000 as over_quota
