@@ -124,3 +124,34 @@ def latency(log: DataFrame, by: list[str], ms: str = "elapsed_ms", exact: bool =
         (F.sum(m * F.col("__n")).cast("double") / F.sum(known).cast("double")).alias("avg_ms"),
         ((value_at(low) + value_at(high)) / 2).cast("double").alias("median_ms"),
         value_at(F.ceil(F.col("__all") * F.lit(0.95).cast("decimal(3,2)"))).cast("double").alias("p95_ms"), F.max(m).alias("max_ms"))
+
+
+# Size parameter of a latency sketch, and the rank error it stays within (99 % of the time, normalised).
+SKETCH_K = 800
+SKETCH_ERROR = 0.01
+
+
+def latency_sketches(log: DataFrame, by: list[str], ms: str = "elapsed_ms", k: int = SKETCH_K) -> DataFrame:
+    """L3 as stored state: per group (endpoint and day, say) counts, sums and a KLL quantile sketch of the latencies.
+
+    Sketches of any parts of a log merge into that of the whole (``merge_latency``), so days are read once and any
+    window of them is answered from a few kilobytes a day."""
+    m = F.col(ms).cast("long")
+    return log.groupBy(*by).agg(F.count(F.lit(1)).alias("requests"), F.count(m).alias("timed"), F.sum(m).alias("total_ms"),
+                                F.max(m).alias("max_ms"), F.kll_sketch_agg_bigint(m, k).alias("sketch"))
+
+
+def merge_latency(sketches: DataFrame, by: list[str], seq: str | None = None) -> DataFrame:
+    """Sketch rows -> one per group.  The order they came in (``seq``) does not matter."""
+    return sketches.groupBy(*by).agg(F.sum("requests").alias("requests"), F.sum("timed").alias("timed"),
+                                     F.sum("total_ms").alias("total_ms"), F.max("max_ms").alias("max_ms"),
+                                     F.kll_merge_agg_bigint("sketch").alias("sketch"))
+
+
+def sketch_percentiles(sketches: DataFrame, shares: list[float]) -> DataFrame:
+    """The sketches' group columns and requests, with mean, maximum and one row for each share (``share``, ``ms``)."""
+    keys = [c for c in sketches.columns if c not in ("requests", "timed", "total_ms", "max_ms", "sketch")]
+    wanted = F.array(*[F.lit(float(x)) for x in shares])
+    met = F.arrays_zip(wanted.alias("share"), F.kll_sketch_get_quantile_bigint("sketch", wanted).alias("ms"))
+    return sketches.where("timed > 0").select(
+        *keys, "requests", (F.col("total_ms").cast("double") / F.col("timed")).alias("avg_ms"), "max_ms", F.inline(met))

@@ -97,6 +97,45 @@ def q_flatfile_roundtrip(spark, sf_dir):
     return back.select("contract", "t", "price", "size", "event_id", "file_date")
 
 
+def _mixed_files(spark, sf_dir):
+    """Trades by day, with four headers: as agreed, reordered, with a column more, with one less (by day of the month)."""
+    from optlake.session import scratch_path
+    from optlake.sources.flatfiles import write_daily_csv
+
+    ticks = fx.ticks_like(spark, sf_dir).withColumn("turn", F.dayofmonth("t") % 4)
+    cols, root = ["contract", "t", "price", "size", "event_id"], scratch_path(spark, "mixed")
+    shapes = [cols, cols[::-1], [*cols, "venue"], cols[:-1]]
+    for n, shape in enumerate(shapes):
+        part = ticks.where(F.col("turn") == n).withColumn("venue", F.lit("X")).withColumn("at", F.col("t")).select(*shape, "at")
+        write_daily_csv(part, f"{root}/{n}", "at", drop=["at"])
+    return f"{root}/*/day=*/*.csv.gz"
+
+
+@query("flatfile_mixed", ["ticks_like"], """
+select contract, t, price, size, event_id, cast(t as date) as file_date from ticks_like where day(t) % 4 < 2
+""")
+def q_flatfile_mixed(spark, sf_dir):
+    """Files whose headers differ, columns mapped by name; files with unknown or missing columns are kept out."""
+    from optlake.sources.flatfiles import read_reconciled_csv
+
+    schema = fx.ticks_like(spark, sf_dir).schema
+    return read_reconciled_csv(spark, _mixed_files(spark, sf_dir), schema)[0].select("contract", "t", "price", "size", "event_id", "file_date")
+
+
+@query("flatfile_quarantine", ["ticks_like"], """
+select distinct cast(t as date) as file_date,
+       case day(t) % 4 when 2 then 'unknown column venue' else 'missing column event_id' end as reason
+from ticks_like where day(t) % 4 >= 2
+""")
+def q_flatfile_quarantine(spark, sf_dir):
+    """The days whose files were kept out, and why."""
+    from optlake.sources.flatfiles import read_reconciled_csv
+
+    schema = fx.ticks_like(spark, sf_dir).schema
+    bad = read_reconciled_csv(spark, _mixed_files(spark, sf_dir), schema)[1]
+    return bad.select("file_date", F.concat_ws(", ", "reasons").alias("reason")).distinct()
+
+
 @query("file_inventory", ["ticks_like"], """
 select cast(cast(t as date) as varchar) as day, true as listed from ticks_like group by 1
 """)

@@ -169,6 +169,35 @@ def q_store_eod_slice(spark, sf_dir):
     return out.withColumn("tradetime", F.to_date("tradetime"))
 
 
+@query("store_eod_clustered", ["eod_raw_like", "contracts_like"], _EOD_ROWS_SQL + """
+, f as (select contract, tradetime, exp_date, strike from (
+          select *, row_number() over (partition by contract, tradetime order by seq) as rn from rows_) x where rn = 1),
+l as (select contract, tradetime, bid from (
+          select *, row_number() over (partition by contract, tradetime order by seq desc) as rn from rows_) x where rn = 1),
+t as (select f.*, l.bid from f join l on l.contract = f.contract and l.tradetime = f.tradetime)
+select 'strikes' as asked, contract, tradetime, exp_date, strike, bid from t where strike >= 930 and strike <= 970
+union all select 'history', contract, tradetime, exp_date, strike, bid from t where contract >= 'O:00000100' and contract < 'O:00000120'
+union all select 'expiry', contract, tradetime, exp_date, strike, bid from t where exp_date = date '2002-04-18' and tradetime < date '1994-01-01'
+""")
+def q_store_eod_clustered(spark, sf_dir):
+    """The end-of-day table rewritten along a curve over contract, expiry, strike and trade date; a chain slice,
+    a contract history and an expiry read each prune files and give the same rows."""
+    from optlake.session import list_folders, scratch_path
+    from optlake.sources.store import TableStore
+
+    store = TableStore(spark, scratch_path(spark, "store"))
+    store.upsert_eod(_eod_rows(spark, sf_dir).drop("load_side", "src_id"))
+    months = [f.split("=", 1)[1] for f in list_folders(spark, store.path("option_eod")) if f.startswith("trade_month=")]
+    store.cluster("option_eod", months, ["contract", "exp_date", "strike", "tradetime"], files=2 * len(months))
+    t = store.read("option_eod")
+    asked = {"strikes": (F.col("strike") >= 930) & (F.col("strike") <= 970),
+             "history": (F.col("contract") >= "O:00000100") & (F.col("contract") < "O:00000120"),
+             "expiry": (F.col("exp_date") == F.lit("2002-04-18").cast("date")) & (F.col("tradetime") < F.lit("1994-01-01").cast("date"))}
+    out = [t.where(how).select(F.lit(name).alias("asked"), "contract", F.to_date("tradetime").alias("tradetime"), "exp_date", "strike", "bid")
+           for name, how in asked.items()]
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
 def _snapshots(spark, sf_dir):
     """Quote snapshots at times of day, several a day for one contract."""
     c = fx.contracts_like(spark, sf_dir, with_part_key=True).select(

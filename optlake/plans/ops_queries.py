@@ -442,3 +442,30 @@ def q_job_status(spark, sf_dir):
         F.when(F.col("o_orderstatus") == "F", "completed").when(F.col("o_orderstatus") == "O", "running")
         .otherwise("paused").alias("status"))
     return T.job_status(o)
+
+
+SKETCH_SHARES = [0.5, 0.95, 0.99]
+
+
+@query("latency_sketch", ["request_log_like"], """
+select endpoint, cast(unnest([0.5, 0.95, 0.99]) as double) as share, count(*) as requests,
+       cast(max(elapsed_ms) as bigint) as max_ms, true as within
+from request_log_like group by endpoint
+""")
+def q_latency_sketch(spark, sf_dir):
+    """L3 as stored state: a sketch per endpoint and day, kept in two loads, merged over all days; ``within``: the
+    merged percentile's exact rank is within the stated error of its share."""
+    from optlake.session import materialize, scratch_path
+    from optlake.sources.keyed import KeyedTable
+
+    log = fx.request_log_like(spark, sf_dir).withColumn("day", F.to_date("created_at"))
+    key = ["endpoint", "day"]
+    table = KeyedTable(spark, scratch_path(spark, "latency"), key, fold=L.merge_latency)
+    for n in range(2):
+        table.apply(L.latency_sketches(log.where(F.pmod("request_id", F.lit(2)) == n), key), n)
+    found = materialize(L.sketch_percentiles(L.merge_latency(table.read(), ["endpoint"]), SKETCH_SHARES), "latency-shares")
+    ms = F.col("elapsed_ms")
+    ranks = log.select("endpoint", ms).join(found.select("endpoint", "share", "ms"), "endpoint").groupBy("endpoint", "share").agg(
+        (F.count_if(ms < F.col("ms")) / F.count(ms)).alias("below"), (F.count_if(ms <= F.col("ms")) / F.count(ms)).alias("upto"))
+    within = (F.col("below") <= F.col("share") + L.SKETCH_ERROR) & (F.col("upto") >= F.col("share") - L.SKETCH_ERROR)
+    return found.join(ranks, ["endpoint", "share"]).select("endpoint", "share", "requests", "max_ms", within.alias("within"))

@@ -9,11 +9,12 @@ never inferred (the column names of the vendor files are an argument).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType, _parse_datatype_string
 
 from optlake.functions.dates import epoch_ms_to_ts, epoch_ns_to_ts
+from optlake.session import materialize
 
 DATE_IN_PATH = r"(\d{4}-\d{2}-\d{2})"
 # microsecond timestamps in text (the default CSV pattern keeps milliseconds)
@@ -45,6 +46,56 @@ def read_daily_csv(spark: SparkSession, path: str, schema: StructType, date_col:
     return rows.repartition(spark.sparkContext.defaultParallelism) if few else rows
 
 
+# Different headers a folder may have: they are worked off one by one at the driver.
+MOST_HEADERS = 1000
+
+
+def file_headers(spark: SparkSession, path: str) -> DataFrame:
+    """(file, header, names): the first line of every CSV file and its column names, trimmed and lower-cased.
+
+    The line is taken in order within the file's first split; the file's other lines are read, but not shuffled."""
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), "value")
+    first = lines.where("at = 0").withColumn("n", F.monotonically_increasing_id()).groupBy("file").agg(F.min_by("value", "n").alias("header"))
+    return first.withColumn("names", F.transform(F.split("header", ","), lambda c: F.lower(F.trim(F.regexp_replace(c, '"', "")))))
+
+
+def header_reasons(names: Column, schema: StructType, required: list[str]) -> Column:
+    """Why a header does not fit: columns the schema does not know, required ones it lacks, names it holds twice."""
+    known = F.array(*[F.lit(f.name.lower()) for f in schema.fields])
+    unknown = F.transform(F.array_except(names, known), lambda c: F.concat(F.lit("unknown column "), c))
+    missing = F.transform(F.array_except(F.array(*[F.lit(c.lower()) for c in required]).cast("array<string>"), names),
+                          lambda c: F.concat(F.lit("missing column "), c))
+    twice = F.when(F.size(F.array_distinct(names)) < F.size(names), F.array(F.lit("repeated column"))).otherwise(F.array().cast("array<string>"))
+    return F.sort_array(F.concat(unknown, missing, twice))
+
+
+def read_reconciled_csv(spark: SparkSession, path: str, schema: StructType, required: list[str] | None = None,
+                        date_col: str = "file_date") -> tuple[DataFrame, DataFrame]:
+    """CSV files whose headers differ: (rows, quarantine).
+
+    Columns are mapped by name, per file: reordered columns are put right and columns that are not ``required`` (all, by
+    default) may be left out (NULL).  Files with an unknown, missing or repeated column are not read; they come back in
+    ``quarantine`` (file, header, reasons, file_date).  Values that do not fit their type are NULL.  All files of one
+    header are one group: a row finds its columns through the places its file's header gives them.
+    """
+    required = [f.name for f in schema.fields] if required is None else required
+    found = materialize(file_headers(spark, path).withColumn("reasons", header_reasons(F.col("names"), schema, required)), "headers")
+    dated = F.to_date(F.regexp_extract("file", DATE_IN_PATH, 1)).alias(date_col)
+    bad = found.where(F.size("reasons") > 0).select("file", "header", "reasons", dated)
+    good = found.where(F.size("reasons") == 0)
+    groups = [r.names for r in good.select("names").distinct().limit(MOST_HEADERS + 1).collect()]
+    if len(groups) > MOST_HEADERS:
+        raise ValueError(f"more than {MOST_HEADERS} different headers under {path}")
+    width = max(map(len, groups), default=1)
+    raw = spark.read.schema(", ".join(f"c{i} string" for i in range(width))).option("header", False).csv(path)
+    cells = raw.select(F.col("_metadata.file_path").alias("file"), F.array(*raw.columns).alias("cells")).join(good.select("file", "names"), "file")
+    own = F.transform(F.slice("cells", 1, F.size("names")), lambda c: F.lower(F.trim(c)))
+    rows = cells.where(~own.eqNullSafe(F.col("names")))  # the header lines themselves
+    place = {f.name: F.array_position("names", f.name.lower()).cast("int") - 1 for f in schema.fields}
+    return rows.select(*[F.when(place[f.name] >= 0, F.get("cells", place[f.name])).try_cast(f.dataType).alias(f.name) for f in schema.fields],
+                       dated), bad
+
+
 # The columns of the vendor's minute-aggregate files.
 MINUTE_AGGREGATES = "ticker string, volume double, open double, close double, high double, low double, window_start long, transactions long"
 

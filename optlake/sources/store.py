@@ -24,6 +24,7 @@ from pyspark.sql.types import StructType
 
 from optlake import schemas
 from optlake.operators.checks import reasons
+from optlake.operators.layout import along_curve, with_curve
 from optlake.operators.merge import contracts_seen, keep_last, merge_keep_last, symbol_universe, upsert_eod, write_order
 from optlake.session import delete_path, list_folders, scratch_path
 
@@ -131,6 +132,18 @@ class TableStore:
         if staging:
             delete_path(self.spark, staging)
 
+    def cluster(self, name: str, values: list[str], columns: list[str], files: int) -> None:
+        """Rewrites the given partitions (``values`` of the partition column) in the order of a space-filling curve over
+        ``columns``, in about ``files`` files in all: filters on any of the columns then skip files and row groups.  The
+        rows stay the same; a later merge writes the partitions it touches in the table's plain order again."""
+        part, schema = PARTITIONING[name][0], _partitioned_schema(name)
+        held = self.with_partition(name, self._held(name, values)).select(*[f.name for f in schema.fields])
+        staging = scratch_path(self.spark, f"cluster-{name}")
+        with_curve(held, columns).write.parquet(staging)  # sampled, then read, and no longer the files that are replaced
+        laid = along_curve(self.spark.read.parquet(staging), columns, files, within=[part])
+        laid.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(self.path(name))
+        delete_path(self.spark, staging)
+
     def replace(self, name: str, rows: DataFrame) -> None:
         """Write an unpartitioned table (contracts, symbols) whole from
         ``rows``, staged first.  A partitioned table is refused: use its merge,
