@@ -1,25 +1,16 @@
 """Language-model scores by cross-entropy difference.
 
 A target model (documents labelled as wanted) and a background model (all
-documents) are character n-gram models of order ``ORDER``.  They are matched:
-one vocabulary, one order, one smoothing.  The vocabulary is the ``SYMBOLS`` - 1
-most frequent lower-cased characters of the corpus and one symbol for the rest.
-A text's score is the mean, over its characters, of background loss minus
-target loss in bits: the higher, the more it looks like the target.
-
-Characters and n-grams are counted over every document.  A task counts into a
-table of SYMBOLS ** ORDER cells and sends on the cells in use, so the shuffle
-carries at most one row per cell and task; the summed table and the two loss
-tables are bounded by SYMBOLS ** ORDER cells, which bounds what is broadcast
-(2 x 21 MB).  Scoring is a map over the corpus.
-
-Defined results: null and empty texts have no characters, losses and score 0.
-Without target documents the target model is uniform.  A document that is
-labelled several times is a target if any label says so; a repeated row is
-counted and scored again.  Columns other than id and text are ignored.
-
-``score_by_words`` is the registered query: the same two models and score over
-word bigrams, in an n-gram table that grows with the corpus (see there).
+documents) are word-bigram models.  They are matched: one vocabulary, one order,
+one smoothing; the vocabulary is every word of the corpus.  A text's score is
+the mean, over its tokens, of background loss minus target loss in bits: the
+higher, the more it looks like the target.
+
+Defined results: null and empty texts have no tokens, losses and score 0; very
+long texts are read whole.  Without target documents the target model is
+uniform.  A document that is labelled several times is a target if any label
+says so; a repeated row is counted and scored again.  An empty table gives no
+rows.  Columns other than id and text are ignored.
 """
 
 from __future__ import annotations
@@ -35,140 +26,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import _parse_datatype_string
 
-from optlake.llm.common import Scratch, broadcast_if_few, fold_partition, map_columns, map_stream, words_of
-
-#: Symbols of the vocabulary, characters of an n-gram, pseudo-counts of the lower order.
-SYMBOLS, ORDER, BACKOFF = 48, 4, 20.0
-#: Characters that are counted at once.
-CHUNK = 2_000_000
-_CODES = 0x110000
-
-
-def codes_of(text: str | None) -> np.ndarray:
-    return np.frombuffer((text or "").lower().encode("utf-32-le"), "<u4")
-
-
-def learn_vocabulary(docs: DataFrame, text_col: str = "text") -> list[int]:
-    """The most frequent code points of the corpus, ties to the smaller one."""
-    def count(batches):
-        total = np.zeros(_CODES, np.int64)
-        for (texts,) in batches:
-            code, n = np.unique(codes_of("".join(t for t in texts if t)), return_counts=True)
-            total[code] += n
-        seen = np.flatnonzero(total)
-        return [seen, total[seen]]
-
-    top = (fold_partition(docs, [text_col], "code int, n long", count).groupBy("code").agg(F.sum("n").alias("n"))
-           .orderBy(F.desc("n"), "code").limit(SYMBOLS - 1).collect())
-    return [r.code for r in top]
-
-
-def symbol_table(vocabulary: list[int]) -> np.ndarray:
-    """Symbol of every code point; 0 stands for those outside the vocabulary."""
-    table = np.zeros(_CODES, np.uint8)
-    table[np.array(vocabulary, dtype=np.int64)] = np.arange(1, len(vocabulary) + 1)
-    return table
-
-
-def cells(texts: list, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """n-gram cells of all characters of some texts, and each text's number of characters.
-
-    A text starts in the context of ORDER - 1 symbols 0.
-    """
-    parts, sizes = [], []
-    pad = np.zeros(ORDER - 1, np.int64)
-    for t in texts:
-        s = table[codes_of(t)]
-        sizes.append(len(s))
-        parts += [pad, s]
-    s = np.concatenate([*parts, pad[:0]]).astype(np.int64)
-    n = len(s) - ORDER + 1
-    sizes = np.array(sizes, np.int64)
-    if n <= 0:
-        return np.zeros(0, np.int64), sizes
-    cell = np.zeros(n, np.int64)
-    for j in range(ORDER):
-        cell = cell * SYMBOLS + s[j:j + n]
-    # text k's characters end the n-grams at the places after its own padding
-    start = np.cumsum(sizes + ORDER - 1) - sizes - (ORDER - 1)
-    keep = np.arange(int(sizes.sum())) + np.repeat(start - (np.cumsum(sizes) - sizes), sizes)
-    return cell[keep], sizes
-
-
-def count_cells(docs: DataFrame, vocabulary: list[int], target: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(cell, target, background) counts over all documents."""
-    flagged = docs.join(broadcast_if_few(target.select(id_col).distinct()).withColumn("__t", F.lit(True)), id_col, "left")
-
-    def count(batches):
-        table = symbol_table(vocabulary)
-        total = np.zeros((2, SYMBOLS ** ORDER), np.int64)
-
-        def add(texts, wanted):
-            for k in (0, 1):
-                cell, _ = cells([t for t, w in zip(texts, wanted) if w == k], table)
-                total[k] += np.bincount(cell, minlength=SYMBOLS ** ORDER)
-
-        held, flags, size = [], [], 0
-        for texts, wanted in batches:
-            for t, w in zip(texts, wanted):
-                held.append(t)
-                flags.append(int(bool(w)))
-                size += len(t or "")
-                if size >= CHUNK:
-                    add(held, flags)
-                    held, flags, size = [], [], 0
-        add(held, flags)
-        seen = np.flatnonzero(total.any(0))
-        return [seen, total[1, seen], total[:, seen].sum(0)]
-
-    return (fold_partition(flagged, [text_col, "__t"], "cell int, target long, background long", count)
-            .groupBy("cell").agg(F.sum("target").alias("target"), F.sum("background").alias("background")))
-
-
-def losses(counts: np.ndarray) -> np.ndarray:
-    """Loss in bits of every cell: each order interpolated with the one below, down to uniform."""
-    tables = [counts.reshape((SYMBOLS,) * ORDER).astype(np.float32)]
-    for _ in range(ORDER - 1):
-        tables.append(tables[-1].sum(0))  # without the oldest symbol
-    p = np.full(SYMBOLS, 1 / SYMBOLS, np.float32)
-    for t in reversed(tables):
-        p = (t + BACKOFF * p) / (t.sum(-1, keepdims=True) + BACKOFF)
-    return -np.log2(p, out=p).ravel()
-
-
-def score_documents(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_tokens, target_loss, background_loss, score); ``target``: ids of the wanted documents."""
-    vocabulary = learn_vocabulary(docs, text_col)
-    got = count_cells(docs, vocabulary, target.where(F.col(id_col).isNotNull()), id_col, text_col).toPandas()  # SYMBOLS ** ORDER rows at most
-    tables = []
-    for name in ("target", "background"):
-        counts = np.zeros(SYMBOLS ** ORDER, np.int64)
-        counts[got["cell"].to_numpy(np.int64)] = got[name].to_numpy(np.int64)
-        tables.append(losses(counts))
-    shared = docs.sparkSession.sparkContext.broadcast(tuple(tables))
-
-    def start():
-        table = symbol_table(vocabulary)
-        wanted, usual = shared.value
-
-        def step(ids, texts):
-            t_loss, b_loss, n = np.zeros(len(texts)), np.zeros(len(texts)), np.zeros(len(texts), np.int64)
-            for i, t in enumerate(texts):
-                cell, size = cells([t], table)
-                n[i] = size[0]
-                if n[i]:
-                    t_loss[i] = wanted[cell].mean(dtype=np.float64)
-                    b_loss[i] = usual[cell].mean(dtype=np.float64)
-            return [ids, n, t_loss, b_loss, b_loss - t_loss]
-
-        return step
-
-    return map_columns(docs, [id_col, text_col],
-                       f"`{id_col}` long, n_tokens long, target_loss double, background_loss double, score double", start)
-
-
-# --------------------------------------------------- word n-grams, uncapped
+from optlake.llm.common import Scratch, broadcast_if_few, map_stream, words_of
 
+#: Pseudo-counts of the lower order.
+BACKOFF = 20.0
 #: Least parts the n-grams are dealt into (a power of two), n-grams of a part, tokens and documents of a block.
 PARTS, PART_GRAMS, BLOCK_TOKENS, BLOCK_DOCS = 256, 1 << 22, 1 << 20, 20_000
 #: Characters of scripts without blanks are words of their own.

@@ -8,53 +8,6 @@ import pytest
 from optlake.llm import lm as M
 
 
-def brute(rows, target, symbols=M.SYMBOLS, order=M.ORDER):
-    texts = [(i, (t or "").lower()) for i, t in rows]
-    seen = Counter(c for _, t in texts for c in t)
-    vocab = {c: k + 1 for k, (c, _) in enumerate(sorted(seen.items(), key=lambda x: (-x[1], ord(x[0])))[:symbols - 1])}
-    grams = lambda t: [tuple(s[k:k + order]) for s in [[0] * (order - 1) + [vocab.get(c, 0) for c in t]] for k in range(len(t))]
-    models = []
-    for wanted in (lambda i: i in target, lambda i: True):
-        counts = Counter(g[k:] for i, t in texts if wanted(i) for g in grams(t) for k in range(order))
-        context = Counter()
-        for g, n in counts.items():
-            context[g[:-1]] += n
-
-        models.append((counts, context))
-
-    def p(model, g):
-        counts, context = model
-        below = p(model, g[1:]) if len(g) > 1 else 1 / symbols
-        return (counts[g] + M.BACKOFF * below) / (context[g[:-1]] + M.BACKOFF)
-
-    out = []
-    for i, t in texts:
-        g = grams(t)
-        losses = [sum(-math.log2(p(m, x)) for x in g) / max(1, len(g)) for m in models]
-        out.append((i, len(g), *losses, losses[1] - losses[0]))
-    return out
-
-
-@pytest.mark.parametrize("symbols", [M.SYMBOLS, 6])
-def test_against_dictionary(docs, llm, monkeypatch, symbols):
-    monkeypatch.setattr(M, "SYMBOLS", symbols)
-    monkeypatch.setattr(M, "CHUNK", 50)
-    rows = [(0, "The cat sat on the mat."), (1, "ÉÉ the dog\n"), (2, None), (3, ""), (4, "zzzz zzz"), (5, "the cat"), (5, "the cat"),
-            (6, "The cat sat. " * 800), (None, "no id")]
-    target = llm.createDataFrame([(0, 1), (5, 1), (5, 0), (None, 1), (99, 1)], "doc_id long, text int")
-    got = sorted(map(tuple, M.score_documents(docs(rows), target).collect()), key=lambda r: (r[0] is None, r[0] or 0))
-    want = sorted(brute(rows, {0, 5}, symbols), key=lambda r: (r[0] is None, r[0] or 0))
-    assert len(got) == len(want)
-    for g, w in zip(got, want):
-        assert g[:2] == w[:2] and all(abs(a - b) < 2e-4 for a, b in zip(g[2:], w[2:])), (g, w)
-
-
-def test_empty(docs, llm):
-    none = llm.createDataFrame([], "doc_id long")
-    assert M.score_documents(docs([]), none).count() == 0
-    assert all(r.target_loss > 0 for r in M.score_documents(docs(["abc"]), none).collect())
-
-
 def test_target_like_texts_score_higher(llm):
     from optlake.llm.queries import QUERIES
 
