@@ -18,8 +18,11 @@ A span counts only if it holds an anchor, a digit, ``@`` or a spelled address
 without an anchor are not decoded: their result is known to be empty.
 
 Scanning is a map over the corpus; the model is a few kilobytes.  Defined
-results: null and empty texts have no spans; long texts are windowed whole;
-repeated rows give repeated results; other columns are ignored.
+results: null and empty texts have no spans; long texts are windowed whole, and
+the rules take time in proportion to their length; repeated rows give repeated
+results; an empty table gives no rows and no model; other columns are ignored.
+The training sample is ordered by a hash of id and text, so it does not depend on
+partitioning even where ids repeat or are null.
 """
 
 from __future__ import annotations
@@ -30,16 +33,20 @@ import itertools
 import re
 
 import numpy as np
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from optlake.llm.common import Scratch, map_columns
 
 KINDS = ("email", "ip", "card", "phone")
-# The base patterns of the contract.
-EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
-CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+# The base patterns of the contract, in parts that are read once from left to right.  An address is
+# found from its "@", whose name is the run of name characters before it; four parts of an ip are taken at a time
+# from a chain of numbers and dots; cards and phones read on to the end of their run in any case.
+_NAME = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+CHAIN = re.compile(r"[0-9]+(?:\.[0-9]+)*")
+CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _ANCHOR = re.compile(r"[0-9@]")
 _SPELLED = re.compile(r"(?<=[A-Za-z0-9._%+-]) at [A-Za-z0-9-]+(\.[A-Za-z0-9-]+)* dot [A-Za-z0-9-]", re.I)
@@ -68,19 +75,49 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
-def base_spans(text: str) -> list[tuple[int, int, int]]:
-    """(kind, start, end) of the fixed rules, by kind then start."""
+def email_spans(text: str) -> list[tuple[int, int]]:
+    """Leftmost addresses that do not overlap.  A name holds no "@", so each is looked at from its "@" to both sides."""
+    out, free = [], 0  # free: where the last address ended
+    at = text.find("@")
+    while at >= 0:
+        a = at
+        while a > free and text[a - 1] in _NAME:
+            a -= 1
+        domain = DOMAIN.match(text, at + 1) if a < at else None
+        if domain:
+            out.append((a, domain.end()))
+            free = domain.end()
+        at = text.find("@", at + 1)
+    return out
+
+
+def ip_spans(text: str) -> list[tuple[int, int]]:
+    """Leftmost groups of four numbers joined by dots, parts at most 255: every four parts of a chain, what is left is none."""
     out = []
-    if "@" in text:
-        out += [(0, m.start(), m.end()) for m in EMAIL.finditer(text)]
+    for m in CHAIN.finditer(text):
+        if m[0].count(".") < 3:
+            continue
+        parts, a = m[0].split("."), m.start()
+        for i in range(0, len(parts) - 3, 4):
+            four = parts[i:i + 4]
+            b = a + sum(map(len, four)) + 3
+            if all(len(p.lstrip("0")) <= 3 and int(p[-4:]) <= 255 for p in four):
+                out.append((a, b))
+            a = b + 1
+    return out
+
+
+def base_spans(text: str) -> list[tuple[int, int, int]]:
+    """(kind, start, end) of the fixed rules, by kind then start; the time is linear in the text."""
+    out = [(0, a, b) for a, b in email_spans(text)]
     if not re.search("[0-9]", text):
         return out
-    out += [(1, m.start(), m.end()) for m in IP.finditer(text)
-            if all(len(p.lstrip("0")) <= 3 and int(p[-4:]) <= 255 for p in m[0].split("."))]
+    out += [(1, a, b) for a, b in ip_spans(text)]
     for m in CARD.finditer(text):
-        d = re.sub("[^0-9]", "", m[0])
-        if 16 <= len(d) <= 19 and luhn(d):
-            out.append((2, m.start(), m.end()))
+        if m.end() - m.start() <= 37:  # 19 digits and as many separators
+            d = re.sub("[^0-9]", "", m[0])
+            if 16 <= len(d) <= 19 and luhn(d):
+                out.append((2, m.start(), m.end()))
     if "+" in text:
         out += [(3, m.start(), m.end()) for m in PHONE.finditer(text) if 8 <= sum("0" <= c <= "9" for c in m[0]) <= 15]
     return out
@@ -336,14 +373,15 @@ def train_tagger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def start():
         def step(ids, texts):
             got = [training_windows(t or "", (i or 0) & 0xFFFFFFFF) for i, t in zip(ids, texts)]
-            return [ids, [[w for w, _ in g] for g in got], [[[v for s in spans for v in s] for _, spans in g] for g in got]]
+            return [ids, [xxhash.xxh3_64_intdigest((t or "").encode()) >> 1 for t in texts], [[w for w, _ in g] for g in got],
+                    [[[v for s in spans for v in s] for _, spans in g] for g in got]]
 
         return step
 
     def pick(frame: DataFrame, keep, most: int) -> list:
-        return (map_columns(frame, [id_col, text_col], "id long, windows array<string>, spans array<array<int>>", start)
-                .select("id", F.posexplode(F.arrays_zip("windows", "spans")).alias("k", "w")).where(keep)
-                .orderBy(F.xxhash64("id", "k"), "id", "k").limit(most).collect())
+        return (map_columns(frame, [id_col, text_col], "id long, text_hash long, windows array<string>, spans array<array<int>>", start)
+                .select("id", "text_hash", F.posexplode(F.arrays_zip("windows", "spans")).alias("k", "w")).where(keep)
+                .orderBy(F.xxhash64("id", "k"), "id", "k", "text_hash").limit(most).collect())
 
     rows = pick(sample, F.lit(True), TRAIN_WINDOWS)
     if sum(bool(r.w.spans) for r in rows) < LEAST_LABELLED:
@@ -369,19 +407,31 @@ def _plausible(kind: int, piece: str) -> bool:
     return 8 <= digits <= 15 and len(re.findall("[0-9]+", piece)) >= 3
 
 
-_LOCAL = re.compile(r"[A-Za-z0-9._%+-]+(?: dot [A-Za-z0-9_%+-]+)*$", re.I)
 _HOST = re.compile(r" at [A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*(?: dot [A-Za-z0-9-]+)+", re.I)
 
 
+def _name_start(text: str, end: int) -> int:
+    """Where a spelled name that ends at ``end`` starts: runs of name characters joined by " dot ", of any length."""
+    a = end
+    while True:
+        while a and text[a - 1] in _NAME and text[a - 1] != ".":
+            a -= 1
+        if a < end and a > 5 and text[a - 5:a].lower() == " dot " and text[a - 6] in _NAME:
+            a = end = a - 5
+            continue
+        while a and text[a - 1] in _NAME:  # the first run may hold dots
+            a -= 1
+        return a
+
+
 def spelled_spans(text: str) -> list[tuple[int, int, int, float]]:
-    """Candidates of spelled addresses, "name at host dot org"; names of up to SPAN characters.
+    """Candidates of spelled addresses, "name at host dot org".
 
     The tagger has seen few without a digit, so they do not depend on it; what it tags around them is united with them.
     """
     out = []
     for at in _spelled(text):
-        a = at - len(_LOCAL.search(text[max(0, at - SPAN):at])[0])
-        b = _HOST.match(text, at).end()
+        a, b = _name_start(text, at), _HOST.match(text, at).end()
         out.append((0, a, b, 2 * MIN_MARGIN * (b - a)))
     return out
 
