@@ -4,16 +4,16 @@ ORACLES: dict[str, str] = {}
 
 ORACLES["op9_top_k"] = """
 with whole as (
-  select vec_id, list_transform(embedding, lambda e: cast(floor(cast(e as double) * 1024) as bigint)) as v
+  select row_number() over () as row, vec_id, list_transform(embedding, lambda e: cast(floor(cast(e as double) * 1024) as bigint)) as v
   from embeddings
   where embedding is not null and len(embedding) = len(list_filter(embedding, lambda e: e is not null and isfinite(e)))
 ), pairs as (
-  select q.vec_id as query_id, c.vec_id,
+  select q.row, q.vec_id as query_id, c.vec_id,
          cast(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) as bigint) as score
-  from whole q join whole c on q.vec_id <> c.vec_id
+  from whole q join whole c on q.row <> c.row
   where q.vec_id % 100 = 0
 ), ranked as (
-  select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from pairs
+  select *, row_number() over (partition by row order by score desc, vec_id) as rank from pairs
 )
 select query_id, cast(rank as int) as rank, vec_id, score from ranked where rank <= 10
 """

@@ -1,46 +1,49 @@
 """Exact top-k inner products by no-random-access aggregation, in blocks.
 
-Candidates are dealt into blocks by id hash, queries into groups; every block
-meets every group once as a tile.  Within a block each component is a sorted
-list.  The lists are read sequentially, from the top for a query's positive
-weights and from the bottom for negative ones, all to the same depth.  The part
-of a score that has been read plus the worst and the best value the unread
-entries can still have bound every candidate's score.  A query stops reading
-once its k-th best lower bound is above the upper bound of all but a few
-candidates; those are resolved to final scores.  Bounds for all queries of a
-tile are matrix products over the read entries, so a depth costs two of them.
-
-Each tile gives at most k rows per query; the final k are ranked from those.
-Ties go to the smaller id, so a candidate is only given up when its upper bound
-is strictly below the k-th lower bound.
+Vectors are packed into blocks, written once and read in place.  Within a block
+each component is a sorted list.  The lists are read sequentially, from the top
+for a query's positive weights and from the bottom for negative ones, all to the
+same depth.  The part of a score that has been read plus the worst and the best
+value the unread entries can still have bound every candidate's score.  A query
+stops reading once the upper bounds of all but a few candidates are below its
+k-th score: the k-th best lower bound of the block, or the k-th final score of
+the blocks that its task has read before, which is carried along.  The few that
+are left are resolved to final scores.  At the last depth the lists are read to
+their ends, where both bounds are the score.  Bounds for many queries are matrix
+products over the read entries.
+
+Queries come in groups of about GROUP_ROWS, which are broadcast one by one; each
+is a pass over the blocks, which are never copied or shuffled.  A task gives at
+most k rows per query; the final k are ranked from those.  Ties go to the
+smaller id, so a candidate is only given up when its upper bound is strictly
+below the k-th score.
 
 Defined results: vectors that are null, empty, of another length than most
 (the smallest of the most frequent lengths), or hold null or non-finite
-components take no part.  Rows that repeat an id are candidates of their own;
-the row's own id is never its partner.  Fewer than k candidates: all of them.
-Components are floor(scale * x); products are exact while
-dim * (scale * max|x|)^2 < 2^53.  An empty table gives no rows.
+components take no part.  Every row is a vector of its own: rows that repeat a
+query's id are candidates for it, and a repeated query id asks once per row.
+Fewer than k candidates: all of them.  Components are floor(scale * x); products
+are exact while dim * (scale * max|x|)^2 < 2^53.  Null ids take no part.  An empty
+table gives no rows.  Columns other than id and vector are ignored.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import _parse_datatype_string
 
-from optlake.llm.common import Scratch
+from optlake.llm.common import Scratch, map_stream
 
 SCALE = 1024
-#: Candidates of a block, queries of a group.
-BLOCK_ROWS, GROUP_ROWS = 8192, 1024
+#: Vectors of a block, queries of a group (about), queries whose bounds are held at once.
+BLOCK_ROWS, GROUP_ROWS, CHUNK_ROWS = 8192, 16384, 256
 #: Depths at which bounds are compared, as shares of a list.
-DEPTHS = (1 / 32, 1 / 8, 1 / 4, 1 / 2, 3 / 4)
+DEPTHS = (1 / 32, 1 / 8, 1 / 4, 1 / 2, 3 / 4, 0.9, 0.97, 1)
 #: A query stops reading when at most this share of the block is still open.
 OPEN_SHARE = 0.02
-OUT = "query_id long, vec_id long, score long"
 
 
 def valid_vectors(vectors: DataFrame, id_col: str, vec_col: str, scale: int = SCALE) -> DataFrame:
@@ -55,101 +58,130 @@ def valid_vectors(vectors: DataFrame, id_col: str, vec_col: str, scale: int = SC
     return rows.where(F.size("v") == (usual.d if usual else 0))
 
 
-def nra_tile(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray, k: int):
-    """Top k of a block for every query: (query index, candidate index, score) arrays.
-
-    x: [n, d] candidates, q: [m, d] queries, integers as float64.
-    """
-    n, d = x.shape
-    m = len(q)
-    order = np.argsort(-x, axis=0, kind="stable")  # the lists, best first
-    place = np.empty_like(order)
-    np.put_along_axis(place, order, np.arange(n)[:, None].repeat(d, 1), 0)
-    lists = np.take_along_axis(x, order, 0)
+def blocks_of(rows: DataFrame) -> DataFrame:
+    """(block, ids, v): up to BLOCK_ROWS vectors packed as 64-bit integers.  A row is known by its block and place."""
+    def start(got: Iterator[tuple]) -> Iterator[tuple]:
+        from pyspark import TaskContext
+
+        block, ids, held = TaskContext.get().partitionId() << 16, [], []
+        for i, v in got:
+            ids.append(i)
+            held.append(v)
+            if len(held) == BLOCK_ROWS:
+                yield block, ids, np.array(held, "<i8").tobytes()
+                block, ids, held = block + 1, [], []
+        if held:
+            yield block, ids, np.array(held, "<i8").tobytes()
+
+    return map_stream(rows, ["id", "v"], "block long, ids array<long>, v binary", start, rows=1)
+
+
+class Lists:
+    """The sorted lists of a block."""
+
+    def __init__(self, x: np.ndarray):
+        n = len(x)
+        order = np.argsort(-x, axis=0, kind="stable")  # best first
+        self.x, self.place = x, np.empty_like(order)
+        np.put_along_axis(self.place, order, np.arange(n)[:, None].repeat(x.shape[1], 1), 0)
+        self.lists = np.take_along_axis(x, order, 0)
+
+    def bounds(self, up: np.ndarray, down: np.ndarray, t: int) -> tuple[np.ndarray, np.ndarray]:
+        """Lower and upper bounds of all candidates when t entries of every list are read; ``up``, ``down``: the
+        positive and the negative weights of the queries."""
+        n, best, worst = len(self.x), self.lists[0], self.lists[-1]
+        head, tail = self.place < t, self.place >= n - t  # read from the top, from the bottom
+        low = (up @ worst + down @ best)[:, None] + up @ np.where(head, self.x - worst, 0).T + down @ np.where(tail, self.x - best, 0).T
+        if t >= n:
+            return low, low
+        # an unread entry is between the worst value and the one at the current depth
+        room_up, room_down = up * (self.lists[t] - worst), down * (self.lists[n - t - 1] - best)
+        return low, low + room_up @ (~head).T.astype(float) + room_down @ (~tail).T.astype(float)
+
+
+def nra_block(lists: Lists, own: np.ndarray, q: np.ndarray, floor: np.ndarray, k: int, ids: np.ndarray):
+    """Top k of a block for every query: a list of (candidates, scores), and the depth at which each stopped reading.
+
+    q: [m, d] queries; own: each query's own place in the block, or -1; floor: the k-th score it has already."""
+    n, m = len(lists.x), len(q)
     up, down = np.maximum(q, 0), np.minimum(q, 0)
-    worst = up @ lists[-1] + down @ lists[0]  # of a candidate of which nothing has been read
-    alive = np.arange(m)
-    out_q, out_c, out_s = [], [], []
-
-    def resolve(rows: np.ndarray, cols: np.ndarray, row: int):
-        """Final scores of one query's open candidates."""
-        s = x[cols] @ q[row]
-        own = ids[cols] != query_ids[row]
-        cols, s = cols[own], s[own]
-        top = np.lexsort((ids[cols], -s))[:k]
-        out_q.append(np.full(len(top), row))
-        out_c.append(cols[top])
-        out_s.append(s[top])
-
+    alive, found, stopped = np.arange(m), [None] * m, np.ones(m)
     for share in DEPTHS:
-        t = int(n * share)
-        if not len(alive) or t < k + 1:
+        t = n if share == 1 else int(n * share)
+        if not len(alive):
+            break
+        if t < n and t <= k:
             continue
-        head, tail = place < t, place >= n - t  # read from the top, from the bottom
-        qu, qd = up[alive], down[alive]
-        # read parts minus the worst value, then bounds of what is unread: the value at the current depth
-        gain = qu @ np.where(head, x - lists[-1], 0).T + qd @ np.where(tail, x - lists[0], 0).T
-        low = worst[alive, None] + gain
-        room_up, room_down = qu * (lists[t] - lists[-1]), qd * (lists[n - t - 1] - lists[0])
-        high = low + room_up @ (~head).T.astype(x.dtype) + room_down @ (~tail).T.astype(x.dtype)
-        low[ids[None, :] == query_ids[alive, None]] = -np.inf
+        low, high = lists.bounds(up[alive], down[alive], t)
+        mine = own[alive]
+        at = np.flatnonzero(mine >= 0)
+        low[at, mine[at]] = high[at, mine[at]] = -np.inf
         kth = np.partition(low, n - k, axis=1)[:, n - k] if n > k else np.full(len(alive), -np.inf)
-        open_ = high >= kth[:, None]
-        done = open_.sum(1) <= max(4 * k, OPEN_SHARE * n)
+        open_ = (high >= np.maximum(kth, floor[alive])[:, None]) & (high > -np.inf)
+        done = (open_.sum(1) <= max(4 * k, OPEN_SHARE * n)) | (t >= n)
         for i in np.flatnonzero(done):
-            resolve(alive, np.flatnonzero(open_[i]), alive[i])
+            cols = np.flatnonzero(open_[i])
+            s = lists.x[cols] @ q[alive[i]]  # final scores of what is left
+            top = np.lexsort((ids[cols], -s))[:k]
+            found[alive[i]], stopped[alive[i]] = (cols[top], s[top]), share
         alive = alive[~done]
-    if len(alive):  # the lists are read to the end: every score is final
-        scores = q[alive] @ x.T
-        scores[ids[None, :] == query_ids[alive, None]] = -np.inf
-        for i, row in enumerate(alive):
-            s = scores[i]
-            cut = np.partition(s, n - k)[n - k] if n > k else -np.inf
-            resolve(alive, np.flatnonzero((s >= cut) & (s > -np.inf)), row)
-    return (np.concatenate(out_q or [np.zeros(0, int)]), np.concatenate(out_c or [np.zeros(0, int)]),
-            np.concatenate(out_s or [np.zeros(0)]))
+    return found, stopped
+
+
+def _scan(blocks: DataFrame, group: dict, k: int) -> DataFrame:
+    """(asked, query_id, vec_id, score): each task's k best of one group of queries over its blocks."""
+    shared = blocks.sparkSession.sparkContext.broadcast(group)
+
+    def start(rows: Iterator[tuple]) -> Iterator[tuple]:
+        asked = shared.value
+        m = len(asked["id"])
+        best = [(np.zeros(0, np.int64), np.zeros(0))] * m  # (ids, scores) of every query so far
+        floor = np.full(m, -np.inf)
+        for block, ids, packed in rows:
+            ids = np.array(ids, np.int64)
+            lists = Lists(np.frombuffer(packed, "<i8").reshape(len(ids), -1).astype(np.float64))
+            place = np.where(asked["block"] == block, asked["place"], -1)
+            for a in range(0, m, CHUNK_ROWS):
+                part = slice(a, a + CHUNK_ROWS)
+                found, _ = nra_block(lists, place[part], asked["v"][part], floor[part], k, ids)
+                for j, (cols, s) in enumerate(found, a):
+                    if len(cols):
+                        i, s = np.concatenate([best[j][0], ids[cols]]), np.concatenate([best[j][1], s])
+                        top = np.lexsort((i, -s))[:k]
+                        best[j] = i[top], s[top]
+                        if len(top) == k:
+                            floor[j] = s[top[-1]]
+        for j, (i, s) in enumerate(best):
+            for vec, score in zip(i.tolist(), s.tolist()):
+                yield int(asked["row"][j]), int(asked["id"][j]), vec, int(score)
+
+    return map_stream(blocks, ["block", "ids", "v"], "asked long, query_id long, vec_id long, score long", start)
 
 
 def top_k(vectors: DataFrame, scratch: Scratch, k: int = 10, every: int = 100, id_col: str = "vec_id",
           vec_col: str = "embedding", scale: int = SCALE) -> DataFrame:
     """(query_id, rank, vec_id, score) for the queries whose id is divisible by ``every``."""
-    rows = scratch.keep(valid_vectors(vectors, id_col, vec_col, scale), "topk-vectors")
-    is_query = F.col("id") % every == 0
-    sizes = rows.agg(F.count("*").alias("n"), F.count(F.when(is_query, 1)).alias("m")).first()
-    blocks = max(1, -(-sizes.n // BLOCK_ROWS))
-    groups = max(1, -(-sizes.m // GROUP_ROWS))
-
-    def dealt(n: int):
-        return F.pmod(F.xxhash64("id", "v"), F.lit(n)).cast("int")
-
-    every_block = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    every_group = F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))
-    left = rows.select(dealt(blocks).alias("block"), every_group.alias("grp"), "id", "v")
-    right = rows.where(is_query).select(every_block.alias("block"), F.pmod(F.xxhash64(F.lit("group"), F.col("id")), F.lit(groups)).cast("int").alias("grp"), "id", "v")
-    struct = _parse_datatype_string(OUT)
-    schema = to_arrow_schema(struct)
-
-    def matrix(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        flat = table["v"].combine_chunks()
-        values = np.concatenate([c.flatten().to_numpy(zero_copy_only=False) for c in flat.chunks]) \
-            if isinstance(flat, pa.ChunkedArray) else flat.flatten().to_numpy(zero_copy_only=False)
-        return table["id"].to_numpy(), values.reshape(table.num_rows, -1).astype(np.float64)
-
-    def tile(key, cands: pa.Table, asks: pa.Table) -> pa.Table:
-        if not cands.num_rows or not asks.num_rows:
-            return schema.empty_table()
-        ids, x = matrix(cands)
-        query_ids, q = matrix(asks)
-        _, once = np.unique(query_ids, return_index=True)  # a repeated id asks once, with its smallest vector
-        if len(once) < len(query_ids):
-            once = np.lexsort((*q.T[::-1], query_ids))
-            once = once[np.concatenate(([True], np.diff(query_ids[once]) > 0))]
-        query_ids, q = query_ids[once], q[once]
-        a, b, s = nra_tile(ids, x, query_ids, q, k)
-        return pa.table([pa.array(query_ids[a], pa.int64()), pa.array(ids[b], pa.int64()),
-                         pa.array(s.astype(np.int64), pa.int64())], schema=schema)
-
-    found = left.groupBy("block", "grp").cogroup(right.groupBy("block", "grp")).applyInArrow(tile, struct)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    blocks = scratch.keep(blocks_of(valid_vectors(vectors, id_col, vec_col, scale)), "topk-blocks")
+    places = F.filter(F.sequence(F.lit(0), F.size("ids") - 1), lambda i: F.get("ids", i) % every == 0)
+    sizes = blocks.agg(F.sum(F.size(places)).alias("m")).first()
+    groups = max(1, -(-(sizes.m or 0) // GROUP_ROWS))
+    asked = blocks.select("block", "v", "ids", F.explode(places).alias("place"))
+    width = F.octet_length("v") / F.size("ids")
+    asked = asked.select("block", "place", F.get("ids", F.col("place")).alias("id"),
+                         F.substring(F.col("v"), (F.col("place") * width + 1).cast("int"), width.cast("int")).alias("v"))
+    asked = scratch.keep(asked.withColumn("grp", F.pmod(F.xxhash64("block", "place"), F.lit(groups))), "topk-queries")
+    out = None
+    for g in range(groups):
+        got = asked.where(F.col("grp") == g).select("block", "place", "id", "v").toArrow()  # about GROUP_ROWS rows
+        if not got.num_rows:
+            continue
+        block, place = got["block"].to_numpy(), got["place"].to_numpy()
+        group = {"block": block, "place": place, "id": got["id"].to_numpy(), "row": block << 13 | place,  # a block has at most 2^13 rows
+                 "v": np.frombuffer(b"".join(got["v"].to_pylist()), "<i8").reshape(got.num_rows, -1).astype(np.float64)}
+        found = _scan(blocks, group, k)
+        out = found if out is None else out.unionByName(found)
+    if out is None:
+        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    order = Window.partitionBy("asked").orderBy(F.desc("score"), "vec_id")
+    return (out.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
