@@ -15,10 +15,11 @@
 
 Text is read once and never shuffled; the passages are written to the shared
 scratch folder, so lost executors re-read them.  Defined results: null and
-empty texts, and items of fewer than ``SEED`` words, have no leaks; an empty
-table gives no rows; repeated items and repeated rows are found alike; a
-document that holds an item several times has its best passage reported, the
-first of equals.
+empty texts, and items of fewer than ``SEED`` words, have no leaks; very long
+texts are read whole; an empty table gives no rows; repeated items and rows that
+share an id are one, rows without an id stay apart; a document that holds an item
+several times has its best passage reported, the first of equals.  Columns other
+than id and text are ignored.
 """
 
 from __future__ import annotations
@@ -171,24 +172,27 @@ def _leaks_of(docs: DataFrame, rows: list, scratch: Scratch, id_col: str, text_c
     shared = spark.sparkContext.broadcast(rows)
 
     def scan(stream: Iterator[tuple]) -> Iterator[tuple]:
-        items = Items(shared.value)
+        from pyspark import TaskContext
+
+        items, task = Items(shared.value), TaskContext.get().partitionId() << 32
         get = items.vocab.get
-        for doc, text in stream:
+        for row, (doc, text) in enumerate(stream):
+            apart = task + row + 1 if doc is None else 0  # tells rows without an id from each other
             ids = np.array([get(w, 0) for w in words_of((text or "").lower())], dtype=np.int64)
             at, grams = items.hits(ids)
             for k, a, z in items.passages(at, grams, len(ids)) if len(at) else ():
                 words = ids[a:z].tolist()
                 if reaches(items.common(k, words), len(items.words[k]), min_score):
-                    yield doc, k, a, z, words
+                    yield doc, apart, k, a, z, words
 
-    found = scratch.keep(map_stream(docs, [id_col, text_col], f"`{id_col}` long, item int, start int, stop int, words array<int>", scan),
+    found = scratch.keep(map_stream(docs, [id_col, text_col], f"`{id_col}` long, apart long, item int, start int, stop int, words array<int>", scan),
                          "leak-passages")
 
     def score():
         known = Items(shared.value)
 
-        def step(ids, item, start, stop, words):
-            out = [[], [], [], [], []]
+        def step(ids, apart, item, start, stop, words):
+            out = [[], [], [], [], [], []]
             # pairs of like size are aligned together
             pick = sorted(range(len(ids)), key=lambda i: (len(known.words[item[i]]), len(words[i])))
             for j in range(0, len(pick), 256):
@@ -198,16 +202,16 @@ def _leaks_of(docs: DataFrame, rows: list, scratch: Scratch, id_col: str, text_c
                 for i, t, s, m, e in zip(some, targets, best, bound, end):
                     if reaches(float(m), len(t), min_score):
                         last = start[i] + int(e)
-                        row = (ids[i], known.item_ids[item[i]], float(s) / (MATCH * len(t)), max(start[i], last - len(t)), last)
+                        row = (ids[i], apart[i], known.item_ids[item[i]], float(s) / (MATCH * len(t)), max(start[i], last - len(t)), last)
                         for c, v in zip(out, row):
                             c.append(v)
             return out
 
         return step
 
-    cols = [id_col, "item", "start", "stop", "words"]
+    cols = [id_col, "apart", "item", "start", "stop", "words"]
     scored = map_columns(found, cols,
-                         f"`{id_col}` long, item_id long, score double, start_word long, end_word long", score)
+                         f"`{id_col}` long, apart long, item_id long, score double, start_word long, end_word long", score)
     best = F.max(F.struct("score", (-F.col("start_word")).alias("s"), (-F.col("end_word")).alias("e"))).alias("best")
-    return scored.groupBy(id_col, "item_id").agg(best).select(
+    return scored.groupBy(id_col, "apart", "item_id").agg(best).select(
         id_col, "item_id", "best.score", (-F.col("best.s")).alias("start_word"), (-F.col("best.e")).alias("end_word"))
