@@ -68,8 +68,8 @@ from escaped group by conv_id
 """
 
 
-def _url_sql(depth: int = 7) -> str:
-    """Rules and template tree; a level past the deepest path changes nothing."""
+def _url_sql(depth: int = 10) -> str:
+    """Rules and template tree over all segments of paths of up to ``depth``; a level past the deepest path changes nothing."""
     seg = "segs[{0} + 1]"
     put = "list_concat(list_concat(segs[1:{0}], ['*']), segs[{0} + 2:])"
     parts = [r"""
@@ -82,12 +82,11 @@ pages_ as (
   select *, list_filter(string_split(path, '/'), lambda s: s <> '') as all_parts from pages_
 ), rows_ as (
   select page_id, host, path,
-         list_concat(list_transform(all_parts[1:6], lambda s:
+         list_transform(all_parts, lambda s:
            case when regexp_matches(s, '^[0-9]+(\.[A-Za-z]{1,5})?$') then '{n}' || regexp_extract(s, '(\.[A-Za-z]{1,5})?$', 1)
                 when regexp_matches(s, '^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$') then '{uuid}'
                 when regexp_matches(s, '^[0-9a-fA-F]{12,}(\.[A-Za-z]{1,5})?$') then '{x}' || regexp_extract(s, '(\.[A-Za-z]{1,5})?$', 1)
-                else s end),
-           case when len(all_parts) > 6 then ['**'] else [] end) as typed
+                else s end) as typed
   from cut
 ), labels_ as (
   select doc_id as id, 1 - max(case when coalesce(quality, 1) = 0 or coalesce(toxic, 0) = 1 then 1 else 0 end) as good
@@ -113,17 +112,25 @@ level_{d} as (
         parts.append(f"""
 shape_{d} as (
   select *, case when {s} is null then array_to_string(segs, chr(31)) else array_to_string({p}, chr(31)) end as shape, {s} as seg from {now}),
+rate_{d} as (
+  select host, shape, seg, cast(sum(lab) as double) as lab, cast(sum(good) as double) as good
+  from shape_{d} where seg is not null group by all having sum(lab) > 0),
+usual_{d} as (
+  select host, shape, sum(least(lab, 10) * good / lab) / sum(least(lab, 10)) as usual from rate_{d} group by all),
+odd_{d} as (
+  select r.*, power(greatest(abs(r.good - r.lab * u.usual) - 0.5, 0), 2) > 16 * r.lab * u.usual * (1 - u.usual) as odd
+  from rate_{d} r join usual_{d} u on u.host = r.host and u.shape = r.shape),
 sum_{d} as (
-  select host, shape, count(*) as k, sum(lab) as l, sum(good) as g, sum(good * good / lab) as gg from (
-    select host, shape, seg, cast(sum(lab) as double) as lab, cast(sum(good) as double) as good from shape_{d} where seg is not null group by all) b
-  where lab > 0 group by all),
+  select host, shape, count(*) as k, sum(lab) as l, sum(good) as g, sum(good * good / lab) as gg from odd_{d} where not odd group by all),
 alike_{d} as (
   select host, shape from sum_{d}
   where k >= 2 and case when g / l > 0 and g / l < 1 then (gg - l * (g / l) * (g / l)) / ((g / l) * (1 - g / l)) else 0 end
                    <= k - 1 + 2 * sqrt(2.0 * (k - 1))),
 branch_{d} as (
-  select t.host, t.typed, t.n, t.lab, t.good, case when a.host is not null and seg is not null then {p} else segs end as segs
-  from shape_{d} t left join alike_{d} a on a.host = t.host and a.shape = t.shape)""")
+  select t.host, t.typed, t.n, t.lab, t.good,
+         case when a.host is not null and t.seg is not null and not coalesce(o.odd, false) then {p} else t.segs end as segs
+  from shape_{d} t left join alike_{d} a on a.host = t.host and a.shape = t.shape
+  left join odd_{d} o on o.host = t.host and o.shape = t.shape and o.seg = t.seg)""")
         now = f"branch_{d}"
     parts.append(f"""
 leaves as (select *, '/' || array_to_string(segs, '/') as template from {now}),

@@ -11,17 +11,17 @@ pages costs a few rows per task.
    chi-square test finds no difference between their labelled rates.  Each
    branch is first tested alone against the rate of its siblings, so one that
    differs stays a template of its own however many siblings there are, and
-   does not stop the others from merging.  (The SQL twin has the pooled test
-   only: it agrees where no branch differs.)
+   does not stop the others from merging.
 4. Purity: (good + a * prior) / (labelled + a), the prior being the host's own
    smoothed rate; templates below ``min_purity`` are blocked.
 
 Defined results: a null URL, or one without ``://``, has an empty host and
 path and no rule; it is judged by the template of the empty host.  All segments
 of a path count; rounds end at the depth below which no two templates share a
-prefix, so a long path of its own costs none.  (The SQL twin cuts at six
-segments: it agrees on paths up to that.)  Unlabelled templates take the host's prior.  Equal rules: one of them
-decides, the longest text wins otherwise.  Repeated rows are judged alike.
+prefix, so a long path of its own costs none.  Unlabelled templates take the
+host's prior.  Equal rules: one of them decides, the longest text wins otherwise.
+Repeated rows are judged alike.  An empty table gives no rows.  (The SQL twin is
+the same tree, unrolled for paths of up to ten segments.)
 """
 
 from __future__ import annotations

@@ -112,3 +112,32 @@ def test_query_against_brute_force(llm):
 def test_label_join(llm):
     df = llm.createDataFrame([(1, 1, 0), (1, 0, 0), (2, 1, None), (3, None, 1), (None, 0, 0)], "doc_id long, quality int, toxic int")
     assert sorted(tuple(r) for r in U.page_labels(df).collect()) == [(1, 0), (2, 1), (3, 0)]
+
+
+def test_twin_on_deep_paths_and_odd_branches(llm, scratch, tmp_path):
+    """The SQL twin and the operator on hosts with paths of up to eight segments and branches of other rates."""
+    import random
+
+    import duckdb
+
+    from oracle_check import digest
+    from optlake.llm.oracles import ORACLES
+    from optlake.llm.queries import QUERIES
+
+    r = random.Random(3)
+    pages, labels = [], []
+    for i in range(1500):
+        segs = [r.choice(["a", "b", "news", "spam", str(r.randrange(99)), "deadbeef0123", f"x{r.randrange(300)}"]) for _ in range(r.randrange(9))]
+        pages.append((i, f"http://h{r.randrange(3)}.net/" + "/".join(segs), "x"))
+        if r.random() < 0.7:
+            labels.append((i, 0 if "spam" in segs[:2] or r.random() < 0.1 else 1, 0))
+    con = duckdb.connect()
+    for name, rows, schema in (("pages", pages, "page_id long, url string, html string"), ("labels", labels, "doc_id long, quality int, toxic int")):
+        llm.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / f"{name}.parquet"))
+        con.execute(f"create view {name} as select * from read_parquet('{tmp_path}/{name}.parquet/*.parquet')")
+    df = QUERIES["op5_url_templates"](llm, str(tmp_path))
+    got = [tuple(x) for x in df.collect()]
+    want = con.execute(ORACLES["op5_url_templates"])
+    columns = [c[0] for c in want.description]
+    assert digest(df.columns, got) == digest(columns, want.fetchall())
+    assert len({x[df.columns.index("template")] for x in got}) > 50
