@@ -17,8 +17,9 @@ pages costs a few rows per task.
 
 Defined results: a null URL, or one without ``://``, has an empty host and
 path and no rule; it is judged by the template of the empty host.  All segments
-of a path count; rounds end at the depth below which no two templates share a
-prefix, so a long path of its own costs none.  Unlabelled templates take the
+of a path count; there is a round for each place at which nodes fan out or
+templates differ in that segment alone, none for runs of segments that do not
+branch, so long equal paths cost none.  Unlabelled templates take the
 host's prior.  Equal rules: one of them decides, the longest text wins otherwise.
 Repeated rows are judged alike.  An empty table gives no rows.  (The SQL twin is
 the same tree, unrolled for paths of up to ten segments.)
@@ -81,12 +82,24 @@ def _put(segs: str, d: int, value: Column) -> Column:
     return F.transform(segs, lambda s, i: F.when(i == d, value).otherwise(s))
 
 
-def _divides(tree: DataFrame, d: int) -> bool:
-    """Whether two templates share their first ``d`` segments and one of them goes on."""
-    whole = F.array_join("segs", GLUE)
-    below = (tree.groupBy("host", F.array_join(F.slice("segs", 1, d), GLUE).alias("node"), F.least(F.size("segs"), F.lit(d)))
-             .agg(F.min(whole).alias("a"), F.max(whole).alias("b")))
-    return bool(below.where("a <> b").limit(1).count())
+def _places(tree: DataFrame, d: int) -> DataFrame:
+    """A row for each segment at place ``d`` or later (column at) of the templates."""
+    rest = F.sequence(F.lit(d), F.size("segs") - 1)
+    return tree.where(F.size("segs") > d).select("host", "segs", F.explode(rest).alias("at"), "lab").withColumn("seg", F.get("segs", F.col("at")))
+
+
+def _next_fan(tree: DataFrame, d: int) -> int | None:
+    """The first place from ``d`` on at which some node has MIN_FAN_OUT children; elsewhere no segment is variable."""
+    node = F.xxhash64(F.slice("segs", F.lit(1), F.col("at")))
+    child = _places(tree, d).where("seg not like '{%'").select("host", "at", node.alias("node"), "seg").distinct()
+    return child.groupBy("host", "at", "node").count().where(F.col("count") >= MIN_FAN_OUT).agg(F.min("at")).first()[0]
+
+
+def _next_branch(tree: DataFrame, d: int) -> int | None:
+    """The first place from ``d`` on at which some templates differ in that segment alone and have labels; elsewhere none merge."""
+    shape = F.xxhash64(F.transform("segs", lambda s, i: F.when(i == F.col("at"), F.lit("*")).otherwise(s)))
+    some = _places(tree.where("lab > 0"), d).select("host", "at", shape.alias("shape"), "seg").distinct()
+    return some.groupBy("host", "at", "shape").count().where("count > 1").agg(F.min("at")).first()[0]
 
 
 def learn_templates(labelled: DataFrame, scratch: Scratch, min_purity: float = MIN_PURITY) -> DataFrame:
@@ -98,10 +111,8 @@ def learn_templates(labelled: DataFrame, scratch: Scratch, min_purity: float = M
         labelled.groupBy("host", "typed").agg(F.count("*").alias("n"), F.count("good").alias("lab"),
                                               F.sum(F.coalesce("good", F.lit(0))).alias("good"))
         .withColumn("segs", F.col("typed")), "url-paths")
-    deepest = tree.agg(F.max(F.size("segs"))).first()[0] or 0
-    for d in range(deepest):  # 2: a node's rare children become one wildcard
-        if not _divides(tree, d):
-            break
+    d = -1
+    while (d := _next_fan(tree, d + 1)) is not None:  # 2: a node's rare children become one wildcard
         before = tree
         here = F.get("segs", F.lit(d))
         tree = tree.withColumn("node", F.array_join(F.slice("segs", 1, d), GLUE)).withColumn("seg", here)
@@ -116,9 +127,8 @@ def learn_templates(labelled: DataFrame, scratch: Scratch, min_purity: float = M
             .withColumn("segs", F.when(F.col("rare"), _put("segs", d, F.lit("*"))).otherwise(F.col("segs")))
             .drop("node", "seg", "rare"), f"url-level-{d}")
         scratch.drop(before)
-    for d in range(deepest):  # 3: merge branches whose labelled rates do not differ
-        if not _divides(tree, d):
-            break
+    d = -1
+    while (d := _next_branch(tree, d + 1)) is not None:  # 3: merge branches whose labelled rates do not differ
         before = tree
         key = F.array_join(_put("segs", d, F.lit("*")), GLUE)
         tree = tree.withColumn("shape", key).withColumn("seg", F.get("segs", F.lit(d)))

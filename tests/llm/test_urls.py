@@ -141,3 +141,27 @@ def test_twin_on_deep_paths_and_odd_branches(llm, scratch, tmp_path):
     columns = [c[0] for c in want.description]
     assert digest(df.columns, got) == digest(columns, want.fetchall())
     assert len({x[df.columns.index("template")] for x in got}) > 50
+
+
+def test_long_equal_paths_cost_no_rounds(llm, scratch):
+    """Two urls of 300 equal segments and a last one of their own take no more rounds than two of two segments."""
+    import time
+
+    from pyspark.sql import functions as F
+
+    def judged(depth):
+        head = "/".join(f"d{k}" for k in range(depth))
+        rows = [(i, f"http://deep.net/{head}/{'spam' if i % 2 else 'news'}/{i}") for i in range(60)]
+        pages = llm.createDataFrame(rows, "page_id long, url string")
+        labels = llm.createDataFrame([(i, 0 if i % 2 else 1) for i in range(60)], "id long, good int")
+        t0 = time.time()
+        got = {r.page_id: r.verdict for r in U.judge_urls(pages, labels, scratch).collect()}
+        return got, time.time() - t0
+
+    short, s = judged(2)
+    deep, t = judged(300)
+    assert deep == short and short[0] == "allow" and short[1] == "block"
+    assert t < s + 60
+    tree = llm.createDataFrame([("h", ["a"] * 300 + [x], 5) for x in "pq"], "host string, segs array<string>, lab long")
+    assert U._next_branch(tree, 0) == 300 and U._next_branch(tree, 301) is None and U._next_fan(tree, 0) is None
+    assert U._next_branch(tree.withColumn("lab", F.lit(0)), 0) is None
