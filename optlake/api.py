@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from optlake.operators import bars as B
-from optlake.operators.coverage import coverage_status
+from optlake.operators.coverage import cached_rows, coverage_status, minimal_requests
 from optlake.operators.filters import (
     FilterSet,
     apply_filter_set,
@@ -79,3 +79,15 @@ def bars(store: TableStore, contract: str, start, end, multiplier: int = B.DEFAU
 def coverage(store: TableStore, requests: DataFrame, tolerance_days: int = 0) -> DataFrame:
     """hit / partial / miss for many (contract, start_date, end_date) requests."""
     return coverage_status(requests, store.read("option_eod"), ["contract"], tolerance=tolerance_days)
+
+
+def cached(store: TableStore, requests: DataFrame, tolerance_days: int = 0, calendar: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Answers (request_id, contract, start_date, end_date) requests from what is held: (rows, to_fetch).
+
+    ``rows``: held rows of the requests that are covered within the tolerance, with their request_id.  ``to_fetch``:
+    for the others, the windows of missing trade days (gap_from, gap_to) of each, less those that lie within another
+    window of the same contract, so that nothing is asked for twice."""
+    held = store.read("option_eod").drop("trade_month")
+    rows, missing = cached_rows(requests, held, ["contract"], tolerance_days, calendar=calendar)
+    asked = missing.select("request_id", "contract", "gap_from", "gap_to", "gap_days")
+    return rows, minimal_requests(asked, "contract", "gap_from", "gap_to")

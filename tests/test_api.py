@@ -122,3 +122,21 @@ def test_calendar_and_fine_bars(spark, tmp_path):
     import pytest
     with pytest.raises(ValueError):
         api.bars(store, "C1", "2025-01-03", "2025-01-03", 30, "second")
+
+
+def test_cached_answers_or_tells_what_to_fetch(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "cache"))
+    days = [dt.date(2025, 1, d) for d in (2, 3, 6, 7, 8, 9)]
+    schema = ("contract string, tradetime timestamp, underlying_symbol string, option_type string, strike double, bid double, "
+              "fetched_at timestamp, seq int")
+    held = [("C1", d) for d in days] + [("C2", d) for d in (days[0], days[3])]
+    store.upsert_eod(spark.createDataFrame([(c, dt.datetime(d.year, d.month, d.day, 15), "SPY", "put", 1.0, 2.0, dt.datetime(2025, 1, 10), i)
+                                            for i, (c, d) in enumerate(held)], schema))
+    asked = spark.createDataFrame([(1, "C1", days[1], days[4]), (2, "C2", days[0], days[5]), (3, "C2", days[0], days[4]), (4, "C9", days[0], days[5]),
+                                   (5, "C9", days[1], days[3])], "request_id long, contract string, start_date date, end_date date")
+    rows, fetch = api.cached(store, asked)
+    assert sorted((r.request_id, r.tradetime) for r in rows.collect()) == [(1, d) for d in days[1:5]]
+    assert sorted((r.contract, r.gap_from, r.gap_to, r.gap_days) for r in fetch.collect()) == [
+        ("C2", days[1], days[2], 2), ("C2", days[4], days[5], 2), ("C9", days[0], days[5], 6)]
+    rows, _ = api.cached(store, asked, tolerance_days=3)
+    assert {r.request_id for r in rows.collect()} == {1, 2, 3}
