@@ -7,15 +7,18 @@ share: a word's first letters, split between the classes as all words that
 start so are, and at last the classes' sizes.  A rare expression so falls back
 on its stem, and one without a known stem says nothing.
 
-A text's evidence is the length-normalised difference of the log-likelihoods
-over the whole text and over its most toxic ``WINDOW`` words, and the sum of
-what single words say beyond ``STRONG``.  A logistic curve, fitted on the part
-of the sample kept out of the counts, makes a score of the three.
+A text's evidence is the difference of its log-likelihoods under both models,
+normalised by length three times: over the whole text, over its most toxic
+``WINDOW`` words, and, of the words' own differences, over the most telling ones
+(the square root of the text's length in number).  A logistic curve, fitted on
+the part of the sample kept out of the counts, makes a score of the three.
 
 Scoring is a map over the corpus with the model broadcast; the model's size is
 bounded by the sample.  Defined results: null and empty texts have no evidence
 and get the curve's base score.  A sample without both classes scores every
-text 0.  Repeated rows score alike; columns other than id and text are ignored.
+text 0.  Very long texts are read whole.  Repeated rows score alike; rows without
+an id are scored, and ``held_out`` is null for them.  An empty table gives no
+rows.  Columns other than id and text are ignored.
 """
 
 from __future__ import annotations
@@ -32,8 +35,8 @@ SAMPLE_DOCS = 3000
 MIN_DOCS = 3
 #: Kneser-Ney discount; pseudo-counts of the shared backoff for a word and for a bigram's context.
 DISCOUNT, BACKOFF, CONTEXT_BACKOFF = 0.75, 10.0, 1000.0
-#: Bytes of a word's start; words of a window; a strong difference; folds of the held-out split.
-START, WINDOW, STRONG, FOLDS = 5, 32, 1.5, 5
+#: Bytes of a word's start; words of a window; folds of the held-out split.
+START, WINDOW, FOLDS = 5, 32, 5
 #: One in so many sampled documents fits the curve instead of the counts.
 CURVE_SHARE = 4
 UNKNOWN, BEGIN = 0, 1
@@ -64,7 +67,7 @@ class Model:
         return self.vocab, self.word, self.context, self.keys, self.extra, self.curve
 
     def evidence(self, texts: list) -> np.ndarray:
-        """(mean difference of the whole text, largest mean of a window, strong evidence) for each text."""
+        """(mean difference of the whole text, largest mean of a window, mean of the most telling words) for each text."""
         n = len(self.word)
         out = np.zeros((len(texts), 3))
         for i, text in enumerate(texts):
@@ -81,9 +84,9 @@ class Model:
                 hit = self.keys[at] == want
                 diff[known[hit]] += self.extra[at[hit]]
             total = np.concatenate(([0.0], np.cumsum(diff)))
-            w = min(WINDOW, len(ids))
+            w, telling = min(WINDOW, len(ids)), int(len(ids) ** 0.5)
             out[i] = (total[-1] / len(ids), (total[w:] - total[:-w]).max() / w,
-                      np.log1p(np.maximum(alone - STRONG, 0).sum()))
+                      np.partition(alone, len(ids) - telling)[len(ids) - telling:].mean())
         return out
 
     def score(self, texts: list) -> np.ndarray:
@@ -205,10 +208,10 @@ def fit(docs: DataFrame, labels: DataFrame, scratch: Scratch, id_col: str = "doc
 
         return step
 
-    held = map_columns(sample.where("curve"), ["toxic", text_col], "toxic int, mean double, peak double, strong double", evidence).toPandas()
+    held = map_columns(sample.where("curve"), ["toxic", text_col], "toxic int, mean double, peak double, telling double", evidence).toPandas()
     y = held["toxic"].to_numpy(float)
     if 0 < y.sum() < len(y):
-        model.curve = fit_curve(held[["mean", "peak", "strong"]].to_numpy(), y, np.where(y == 1, weight[1], weight[0]))
+        model.curve = fit_curve(held[["mean", "peak", "telling"]].to_numpy(), y, np.where(y == 1, weight[1], weight[0]))
     else:  # too few documents for a curve: the sign of the evidence decides
         model.curve = (1.0, 1.0, 1.0, -1.0)
     scratch.drop(sample)
