@@ -4,11 +4,10 @@ rewrite only the partitions a fold touched.
 No MERGE on plain Parquet, so a merge is: write the staged rows once to the
 shared scratch folder, partitioned like the table; take the touched partitions
 from the folder names; read exactly those of the held table (literal partition
-filters); fold; write the result to a second scratch folder (so the overwrite
-never reads the files it replaces); overwrite exactly those partitions with
-dynamic partition overwrite; delete both scratch copies.  A failed job leaves
-the table as it was up to the final rename of each partition folder.  One
-writer per table at a time.
+filters); fold; overwrite exactly those partitions with dynamic partition
+overwrite, which replaces folders only when all of its tasks are done with the
+old ones; delete the scratch copy.  A failed job leaves the table as it was up to
+the final rename of each partition folder.  One writer per table at a time.
 
 Rows that break the table's key or NOT NULL rules never reach a fold: they are
 appended with their reasons to the table's quarantine folder.
@@ -108,8 +107,8 @@ class TableStore:
         """Replace exactly the partitions present in ``rows`` (S5); an
         unpartitioned table is replaced whole.
 
-        ``rows`` must not be a lazy read of this table: it is written to a
-        staging folder first, and the table is overwritten from that copy.
+        With ``staged_copy`` the rows are written to a staging folder first, and the table is overwritten from that
+        copy: an unpartitioned table needs it where ``rows`` read the table itself.
         """
         part = PARTITIONING.get(name)
         schema = _partitioned_schema(name)
@@ -186,10 +185,10 @@ class TableStore:
         """Fold staged rows with the held rows of the partitions they touch; ``fold(held or None, staged)``."""
         good, path, values = self._stage(name, staged)
         if values:
-            # the first load reads nothing from the target, so it is written straight into it
-            first = not self.has_partitions(name)
-            folded = fold(None if first else self._held(name, values), good)
-            self.overwrite_partitions(name, folded, staged_copy=not first)
+            # dynamic overwrite writes beside the table and moves the new folders in once all tasks are done: until
+            # then the held files are read as they are, so no copy of the folded rows is needed
+            folded = fold(self._held(name, values) if self.has_partitions(name) else None, good)
+            self.overwrite_partitions(name, folded, staged_copy=False)
         delete_path(self.spark, path)
         return self.read(name)
 
