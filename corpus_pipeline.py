@@ -8,7 +8,10 @@ copies the document with the smallest id stays; documents that hold a test item
 go; personal data becomes its kind in brackets; the last stage returns token
 ids.  A stage's models are fitted on its own input.  Rows without an id cannot
 be named as copies or leaks, so those two stages keep them; rows that share an
-id go or stay together.
+id go or stay together.  Null and empty texts, very long texts and repeated rows
+pass as in the operators; an empty table passes every stage as an empty table.
+Stages read and return the columns of ``documents`` alone: others, whatever their
+names, are left out.
 """
 
 from __future__ import annotations
@@ -35,15 +38,17 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one with the smallest id."""
     prepare(spark)
-    found = neardup.near_duplicates(docs, Scratch(spark), size=SHINGLE, percent=SIMILAR)
-    gone = found.where(~F.col("kept")).select("doc_id").distinct()
+    scratch = Scratch(spark)
+    found = neardup.near_duplicates(docs, scratch, size=SHINGLE, percent=SIMILAR)
+    gone = scratch.keep(found.where(~F.col("kept")).select("doc_id").distinct(), "copies")  # counted, then joined
     return docs.select(COLUMNS).join(broadcast_if_few(gone), "doc_id", "left_anti").select(COLUMNS)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no test item."""
     prepare(spark)
-    leaks = decontam.find_leaks(docs, table(spark, sf_dir, "benchmark"), Scratch(spark)).select("doc_id").distinct()
+    scratch = Scratch(spark)
+    leaks = scratch.keep(decontam.find_leaks(docs, table(spark, sf_dir, "benchmark"), scratch).select("doc_id").distinct(), "leaks")
     return docs.select(COLUMNS).join(broadcast_if_few(leaks), "doc_id", "left_anti").select(COLUMNS)
 
 
@@ -60,7 +65,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     prepare(spark)
     ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    return bpe.encode_decode(docs, ranks, public_tokenizers.PATTERN, Scratch(spark), keep=["doc_id", "lang", "source"]) \
+    return bpe.encode_decode(docs, ranks, public_tokenizers.PATTERN, Scratch(spark), keep=["doc_id", "lang", "source"], with_decoded=False) \
         .select("doc_id", "lang", "source", "n_tokens", "ids_sha256", "decoded_sha256", "ids")
 
 

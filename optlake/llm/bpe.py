@@ -16,7 +16,8 @@ The exploded form is written to the shared scratch folder once, bucketed by
 block: both the word shuffle and the reassembly read it, the positions are never
 shuffled, and a lost executor re-reads it.  A task holds one block at a time.  Defined results: null and empty texts have no ids
 and decode to no bytes; very long texts stay whole (a block holds at least one
-text); repeated rows give repeated results.
+text); repeated rows give repeated results; an empty table gives no rows.  Columns
+other than the text and those kept are ignored.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import _parse_datatype_string
 
-from optlake.llm.common import Scratch, map_stream
+from optlake.llm.common import Scratch, give_back, map_stream
 
 #: A block closes at this many distinct words or pre-tokens.
 BLOCK_WORDS, BLOCK_TOKENS = 250_000, 3_000_000
@@ -195,11 +196,12 @@ class TokenBytes:
 
 
 def encode_decode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, scratch: Scratch, keep: list[str] | None = None,
-                  text_col: str = "text", with_ids: bool = True) -> DataFrame:
+                  text_col: str = "text", with_ids: bool = True, with_decoded: bool = True) -> DataFrame:
     """Ids and decoded bytes of every text.
 
     Columns: those of ``keep`` (doc_id by default), n_tokens, ids_sha256 and
-    decoded_sha256, and with ``with_ids`` ids (array) and decoded (binary).
+    decoded_sha256, and with ``with_ids`` ids (array), with ``with_decoded`` decoded
+    (binary).  A text is decoded in any case; its bytes leave the task only where they are asked for.
     """
     keep = keep or ["doc_id"]
     types = dict(docs.dtypes)
@@ -209,7 +211,7 @@ def encode_decode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, scratc
     texts = exploded.where("part < 0").select("block", *keep, "numbers", "data")
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
     fields = "".join(f"`{c}` {types[c]}, " for c in keep)
-    more = ", ids array<int>, decoded binary" if with_ids else ""
+    more = ", ids array<int>" * with_ids + ", decoded binary" * with_decoded
     table: list[TokenBytes] = []
 
     struct = _parse_datatype_string(f"{fields}n_tokens long, ids_sha256 string, decoded_sha256 string{more}")
@@ -226,20 +228,33 @@ def encode_decode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, scratc
         first = np.concatenate(([0], np.cumsum(counts)))
         slot = np.empty(len(numbers), np.int64)  # place of a word number's ids
         slot[numbers] = np.arange(len(numbers))
-        made: list[tuple] = []
-        for sizes, data in zip(left["numbers"].to_pylist(), left["data"].to_pylist()):
-            cut = np.cumsum(_spread(sizes), dtype=np.int64)[:-1]
-            for at in np.split(slot[unpack_numbers(data)], cut):
+        made: list[pa.RecordBatch] = []
+        for row in range(left.num_rows):  # TEXTS_PER_ROW texts at a time become Arrow columns
+            cut = np.cumsum(_spread(left["numbers"][row].as_py()), dtype=np.int64)[:-1]
+            kept = [left[c][row].values for c in keep]
+            n_tokens, ids_hash, plain_hash, some, plains = [], [], [], [], []
+            for at in np.split(slot[unpack_numbers(left["data"][row].as_py())], cut):
                 n = counts[at]
                 # the ids of a word stand at first[k] ... first[k] + counts[k]; position j of the text starts at begin[j]
                 begin = np.concatenate(([0], np.cumsum(n)))
                 got = flat[np.arange(begin[-1]) + np.repeat(first[at] - begin[:-1], n)]
                 plain = table[0].decode(got.tolist())
-                row = len(got), hashlib.sha256(got.astype("<u4").tobytes()).hexdigest(), hashlib.sha256(plain).hexdigest()
-                made.append(row + ((got.astype(np.int32), plain) if with_ids else ()))
-        new = zip(*made) if made else [[]] * (len(out) - len(keep))
-        cols = [left[c].combine_chunks().flatten() for c in keep] + list(new)
-        return pa.Table.from_arrays([c.cast(f.type) if isinstance(c, (pa.Array, pa.ChunkedArray)) else pa.array(c, f.type)
-                                     for c, f in zip(cols, out)], schema=out)
+                n_tokens.append(len(got))
+                ids_hash.append(hashlib.sha256(got.astype("<u4").tobytes()).hexdigest())
+                plain_hash.append(hashlib.sha256(plain).hexdigest())
+                if with_ids:
+                    some.append(got.astype(np.int32))
+                if with_decoded:
+                    plains.append(plain)
+            columns = [*kept, n_tokens, ids_hash, plain_hash]
+            if with_ids:
+                ends = np.concatenate(([0], np.cumsum(n_tokens))).astype(np.int32)
+                columns.append(pa.ListArray.from_arrays(ends, np.concatenate(some)))
+            if with_decoded:
+                columns.append(plains)
+            made.append(pa.RecordBatch.from_arrays([c.cast(f.type) if isinstance(c, pa.Array) else pa.array(c, f.type)
+                                                    for c, f in zip(columns, out)], schema=out))
+        give_back()
+        return pa.Table.from_batches(made, schema=out)
 
     return texts.groupBy("block").cogroup(ids.groupBy("block")).applyInArrow(reassemble, struct)

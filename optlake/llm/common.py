@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -33,6 +34,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def give_back() -> None:
+    """Hands memory that a finished task has freed back to the system.
+
+    Python workers are reused: without this, each keeps the most that any of its tasks has taken."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def map_columns(df: DataFrame, cols: list, schema: str,
                 start: Callable[[], Callable[..., list[list]]]) -> DataFrame:
     """Column-wise Arrow map without a shuffle.
@@ -45,10 +56,12 @@ def map_columns(df: DataFrame, cols: list, schema: str,
     out = to_arrow_schema(struct)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        step = start()
+        step, got, batch = start(), None, None
         for batch in batches:
             got = step(*[c.to_pylist() for c in batch.columns])
             yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(got, out)], schema=out)
+        del step, got, batch
+        give_back()
 
     return df.select(*cols).mapInArrow(run, struct)
 
@@ -75,6 +88,8 @@ def map_stream(df: DataFrame, cols: list, schema: str,
                 held = []
         if held:
             yield pack(held)
+        del held
+        give_back()
 
     def pack(held: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
@@ -93,6 +108,8 @@ def fold_partition(df: DataFrame, cols: list, schema: str, fold: Callable[[Itera
         got = fold([c.to_pylist() for c in b.columns] for b in batches)
         for a in range(0, len(got[0]), rows):
             yield pa.RecordBatch.from_arrays([pa.array(c[a:a + rows], f.type) for c, f in zip(got, out)], schema=out)
+        del got
+        give_back()
 
     return df.select(*cols).mapInArrow(run, struct)
 

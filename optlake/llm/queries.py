@@ -78,7 +78,8 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from optlake.llm.bpe import encode_decode, load_ranks
 
     ranks = load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    return encode_decode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, Scratch(spark), with_ids=False)
+    return encode_decode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, Scratch(spark),
+                         with_ids=False, with_decoded=False)
 
 
 @query("op7_licenses")
