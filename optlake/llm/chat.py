@@ -11,7 +11,8 @@ Defined results: null text is empty, a null role is the empty role, a null
 conversation id is a conversation of its own, null turns come first.  Events
 with equal sequence numbers are ordered by kind (start, edit, regenerate,
 delta) and payload.  A message that never got a ``start`` keeps the last
-non-null role of its events, or the empty one.  An empty log gives no rows.
+non-null role of its events, or the empty one.  Very long turns are read whole,
+one at a time.  An empty log gives no rows.
 Columns other than those named are ignored.
 """
 

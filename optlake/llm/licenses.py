@@ -10,8 +10,9 @@ licence labels and to a permissiveness score: ``or`` takes the best branch,
 
 Defined results: null and empty texts have no words and no labels (score 1.0,
 since nothing restricts them).  An expression that does not parse gives the
-labels of its longest well-formed start.  Repeated rows give repeated
-results.  Other columns are ignored.
+labels of its longest well-formed start.  Very long texts are read whole.
+Repeated rows give repeated results; an empty table gives no rows.  Other columns
+are ignored.
 """
 
 from __future__ import annotations

@@ -32,8 +32,10 @@ large-star and small-star steps, each written to the shared scratch folder.
 
 Defined results: null and empty texts, and texts without words, have the empty
 set, and no links; a text with fewer words than a shingle is one shingle of all
-its words.  A repeated id with different texts is one node per text, and all of
-them carry that id.  Null ids take no part in links (component null, kept).
+its words.  Very long texts are read whole.  A repeated id with different texts
+is one node per text, and all of them carry that id.  Null ids take no part in
+links (component null, kept).  An empty table gives no rows.  Columns other than
+id and text are ignored, whatever their names.
 """
 
 from __future__ import annotations

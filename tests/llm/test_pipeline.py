@@ -63,3 +63,16 @@ def test_nulls_and_repeats(docs, llm, tmp_path):
         df = llm.read.parquet(str(tmp_path / name))
         assert df.count() == len(rows), name
     assert neardup.near_duplicates(docs(rows), C.Scratch(llm)).count() == len(rows)
+
+
+def test_empty_documents(docs, llm, tmp_path):
+    """An empty table, with columns whose names clash with the operators' own, passes every stage."""
+    items_frame(llm, [(1, "one two three four five six seven eight nine ten")]).write.parquet(str(tmp_path / "benchmark.parquet"))
+    llm.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    df = docs([])
+    for name, stage in C.STAGES:
+        out = stage(llm, df, str(tmp_path))
+        assert name == C.STAGES[-1][0] or out.columns == C.COLUMNS
+        out.write.parquet(str(tmp_path / name))
+        df = llm.read.schema(out.schema).parquet(str(tmp_path / name))
+        assert df.count() == 0, name
