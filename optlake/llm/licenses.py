@@ -106,8 +106,14 @@ def to_postfix(tokens: list[str]) -> list[str]:
 
 def evaluate(expression: str) -> tuple[set[str], float]:
     """Labels and openness of an expression, or of its longest well-formed start."""
+    lower = expression.lower()
+    return evaluate_at(lower, 0, len(lower))
+
+
+def evaluate_at(text: str, start: int, stop: int) -> tuple[set[str], float]:
+    """``evaluate`` for a part of a lower-cased text; what follows the first fault is not read."""
     stack: list[tuple[set[str], float]] = []
-    for t in to_postfix(well_formed_start(m[0] for m in _TOKEN.finditer(expression.lower()))):
+    for t in to_postfix(well_formed_start(m[0] for m in _TOKEN.finditer(text, start, stop))):
         if t not in _BINDS:
             label = identifier_label(t)
             stack.append(({label}, OPENNESS[label]))
@@ -140,11 +146,12 @@ def scanner():
         found = base_labels | {NOTICE_PHRASES[p] for p in places if p in NOTICE_PHRASES}
         score = min((OPENNESS[x] for x in found), default=1.0)
         if text and ":" in text:
-            lower = text.lower()
+            lower, stop = text.lower(), -1
             for end, _ in tags.iter(lower):
-                stop = lower.find("\n", end)
-                line = lower[end + 1:stop if stop >= 0 else None]
-                labels, open_ = evaluate(line)
+                if stop < end:  # the line's end is looked for once
+                    stop = lower.find("\n", end)
+                    stop = stop if stop >= 0 else len(lower)
+                labels, open_ = evaluate_at(lower, end + 1, stop)
                 found |= labels
                 score = min(score, open_)
         return len(words), base, base_labels, found, score

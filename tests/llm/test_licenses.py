@@ -51,3 +51,18 @@ def test_tags():
     assert scan("x\n# SPDX-License-Identifier: (MIT OR Apache-2.0)\ncode")[3] == {"mit", "apache"}
     assert scan("SPDX-License-Identifier:")[3] == set()
     assert scan("under the MIT License.")[3] == {"mit"} and scan("permit license")[3] == set()
+
+
+def test_many_tags_in_one_line():
+    """Each tag reads its own expression only: the time is linear in the line."""
+    import time
+
+    tag = next(iter(L.TAGS))
+    scan, took = L.scanner(), []
+    for n in (10_000, 40_000):
+        line = f"{tag} mit or gpl-3.0; x; " * n
+        t0 = time.time()
+        found = scan(line)
+        took.append(time.time() - t0)
+        assert {"mit", "gpl"} <= found[3]
+    assert took[1] < 10 * took[0] + 1 and took[1] < 15
