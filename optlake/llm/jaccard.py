@@ -10,9 +10,10 @@ A document is the set of its distinct word shingles, held as a sorted array of
 2. Keys: sets of similarity ``percent`` share one of their first
    n - ceil(percent * n / 100) + 1 shingles in any common order.  Those are a
    set's keys.  Equal sets (128-bit digest) are one class, named by its least id.
-3. Neighbours: in a key's group, ordered by size, each member meets its
-   predecessor, and the member with the least id.  Their links give components.
-   Large groups are ordered in parts of about GROUP_ROWS.
+3. Neighbours: of the least members of its keys' groups, each set first meets the
+   one it shares most keys with.  Then it meets the others, and its predecessors
+   in the groups by size, as far as they are in other components (large groups
+   are ordered in parts of about GROUP_ROWS).
 4. Tiles: a group whose members lie in several components is not finished.  The
    members of all unfinished groups with the same largest component are
    gathered; those outside it (outsiders) meet the members of other components in
@@ -24,6 +25,10 @@ A document is the set of its distinct word shingles, held as a sorted array of
    the overlap they need are dropped by bit counts alone; the others are settled
    by intersecting their sorted arrays.
 
+Of the pairs that the bound lets through, those with the most room are settled
+first, a few for each two components (``settle``): as soon as two components are
+joined, their other pairs need no sets.
+
 No pair at or above the similarity is lost: keys are complete, the bound is from
 above, sizes a band apart cannot link.  A group of near copies costs its
 neighbours, plus outsiders times members bit counts; it never becomes rows for
@@ -204,25 +209,29 @@ def features(docs: DataFrame, listed: np.ndarray, size: int, percent: int, id_co
 
 
 def within_bound(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sizes and bitmaps allow the similarity.  ``nodes``: rep, n, bits."""
+    """(a, b, room): the pairs whose sizes and bitmaps allow the similarity, and the bound's thousandths of the overlap
+    they need.  ``nodes``: rep, n, bits."""
     left = nodes.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("bits").alias("ma"))
     right = nodes.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("mb"))
     both = pairs.join(left, "a").join(right, "b").where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
 
     def start():
         def step(a, b, na, nb, ma, mb):
-            keep = []
+            out = [], [], []
             for i in range(len(a)):
                 x, y = (np.frombuffer(m[i], np.uint64)[None, :] for m in (ma, mb))
                 width = min(x.shape[1], y.shape[1])
                 m, n = np.array([na[i]]), np.array([nb[i]])
-                if overlap_bound(fold_to(x, width), fold_to(y, width), m, n)[0, 0] >= needed(m, n, percent)[0]:
-                    keep.append(i)
-            return [[a[i] for i in keep], [b[i] for i in keep]]
+                bound, need = overlap_bound(fold_to(x, width), fold_to(y, width), m, n)[0, 0], needed(m, n, percent)[0]
+                if bound >= need:
+                    for column, v in zip(out, (a[i], b[i], 1000 * bound // need)):
+                        column.append(v)
+            return list(out)
 
         return step
 
-    return map_columns(both, ["a", "b", "na", "nb", "ma", "mb"], "a long, b long", start).distinct()
+    return map_columns(both, ["a", "b", "na", "nb", "ma", "mb"], "a long, b long, room long", start) \
+        .groupBy("a", "b").agg(F.max("room").alias("room"))
 
 
 def intersect(pairs: DataFrame, docs: DataFrame, scratch: Scratch, size: int, percent: int, id_col: str, text_col: str) -> DataFrame:
@@ -247,13 +256,54 @@ def intersect(pairs: DataFrame, docs: DataFrame, scratch: Scratch, size: int, pe
 
         return step
 
-    met = pairs.join(sets.select(F.col("rep").alias("a"), F.col("s").alias("sa")), "a") \
-        .join(sets.select(F.col("rep").alias("b"), F.col("s").alias("sb")), "b")
+    # b, the greater id, is in few pairs: its set travels with the pair, to that of a
+    met = pairs.join(sets.select(F.col("rep").alias("b"), F.col("s").alias("sb")), "b") \
+        .join(sets.select(F.col("rep").alias("a"), F.col("s").alias("sa")), "a")
     links = scratch.keep(map_columns(met, ["a", "b", "sa", "sb"], "a long, b long", start).distinct(), "jaccard-links")
     scratch.drop(sets)
     return links
 
 
+def apart(pairs: DataFrame, comp: DataFrame) -> DataFrame:
+    """The pairs whose ends are in different components, with them (ca, cb).  ``comp``: rep, component of linked ends."""
+    of_a, of_b = (comp.select(F.col("rep").alias(x), F.col("component").alias(f"c{x}")) for x in "ab")
+    named = pairs.join(of_a, "a", "left").join(of_b, "b", "left")
+    return named.withColumn("ca", F.coalesce("ca", "a")).withColumn("cb", F.coalesce("cb", "b")).where("ca <> cb")
+
+
+def merged(comp: DataFrame, joins: DataFrame, scratch: Scratch) -> DataFrame:
+    """Components after joins (a, b) of whole components."""
+    new = scratch.keep(components(joins, scratch), "jaccard-joined").select(F.col("rep").alias("component"), F.col("component").alias("root"))
+    known = comp.join(new, "component", "left").select("rep", F.coalesce("root", "component").alias("component"))
+    # ends that had no link before are components of their own, named by themselves
+    alone = new.select(F.col("component").alias("rep"), F.col("root").alias("component")).join(comp.select("rep"), "rep", "left_anti")
+    return scratch.keep(known.unionByName(alone), "jaccard-components")
+
+
+def settle(pairs: DataFrame, comp: DataFrame, docs: DataFrame, scratch: Scratch, size: int, percent: int, id_col: str,
+           text_col: str) -> DataFrame:
+    """Components after all links among the candidate pairs (a, b, room).
+
+    In rounds: of the pairs between each two components those with the most room are intersected, eight times as many
+    as in the round before; pairs whose ends have come together are left out."""
+    take = 1
+    while True:
+        between = apart(pairs, comp)
+        two = Window.partitionBy(F.least("ca", "cb"), F.greatest("ca", "cb")).orderBy(F.desc("room"), "a", "b")
+        chosen = scratch.keep(between.withColumn("place", F.row_number().over(two)).where(F.col("place") <= take).drop("place"), "jaccard-chosen")
+        if not chosen.limit(1).count():
+            return comp
+        links = intersect(chosen.select("a", "b"), docs, scratch, size, percent, id_col, text_col)
+        rest = scratch.keep(pairs.join(chosen.select("a", "b"), ["a", "b"], "left_anti"), "jaccard-pairs")
+        if links.limit(1).count():
+            joins = chosen.join(links, ["a", "b"]).select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct()
+            new = merged(comp, joins, scratch)
+            scratch.drop(comp)
+            comp = new
+        scratch.drop(pairs, chosen, links)
+        pairs, take = rest, 8 * take
+
+
 def unfinished(members: DataFrame) -> DataFrame:
     """(main, rep, n, component): members of groups in several components, gathered by the group's largest component."""
     parts = members.groupBy("key", "component").agg(F.count("*").alias("n"))
@@ -263,7 +313,7 @@ def unfinished(members: DataFrame) -> DataFrame:
 
 
 def tile_pairs(rows: DataFrame, nodes: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
-    """(a, b): pairs of outsiders and members of other components that the bound lets through."""
+    """(a, b, room): pairs of outsiders and members of other components that the bound lets through."""
     rows = scratch.keep(rows.withColumn("band", band_of(F.col("n"), percent))
                         .join(nodes.select("rep", "n", "bits"), ["rep", "n"]), "jaccard-tiles")
     outside = rows.where("component <> main")
@@ -286,7 +336,7 @@ def tile_pairs(rows: DataFrame, nodes: DataFrame, scratch: Scratch, percent: int
     columns = ["rep", "n", "component", "bits"]
     xs = outside.join(cut, ["main", "band"]).select("main", "band", own("nx").alias("bx"), spread("ny").alias("by"), *columns)
     ys = near.join(cut, ["main", "band"]).select("main", "band", spread("nx").alias("bx"), own("ny").alias("by"), *columns)
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("room", pa.int64())])
 
     def tile(left: pa.Table, right: pa.Table) -> pa.Table:
         found = []
@@ -298,15 +348,17 @@ def tile_pairs(rows: DataFrame, nodes: DataFrame, scratch: Scratch, percent: int
             for a in range(0, len(y), 256):
                 near = slice(a, a + 256)
                 need = needed(nx[:, None], ny[None, near], percent)
-                good = (overlap_bound(mx, my[near], nx, ny[near]) >= need) & (cx[:, None] != cy[None, near])
+                bound = overlap_bound(mx, my[near], nx, ny[near])
+                good = (bound >= need) & (cx[:, None] != cy[None, near])
                 good &= 100 * np.minimum(nx[:, None], ny[None, near]) >= percent * np.maximum(nx[:, None], ny[None, near])
                 i, j = np.nonzero(good)
-                found.append(np.stack([np.minimum(x[i], y[near][j]), np.maximum(x[i], y[near][j])]))
-        a, b = np.unique(np.concatenate(found, axis=1), axis=1) if found else np.zeros((2, 0), np.int64)
-        return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], schema=schema)
+                found.append(np.stack([np.minimum(x[i], y[near][j]), np.maximum(x[i], y[near][j]), 1000 * bound[i, j] // need[i, j]]))
+        rows = np.unique(np.concatenate(found, axis=1), axis=1) if found else np.zeros((3, 0), np.int64)
+        return pa.table([pa.array(r, pa.int64()) for r in rows], schema=schema)
 
     key = ["main", "band", "bx", "by"]
-    return xs.groupBy(*key).cogroup(ys.groupBy(*key)).applyInArrow(tile, "a long, b long").distinct()
+    return xs.groupBy(*key).cogroup(ys.groupBy(*key)).applyInArrow(tile, "a long, b long, room long") \
+        .groupBy("a", "b").agg(F.max("room").alias("room"))
 
 
 def jaccard_join(docs: DataFrame, scratch: Scratch, size: int = SIZE, percent: int = PERCENT, id_col: str = "doc_id",
@@ -324,29 +376,29 @@ def jaccard_join(docs: DataFrame, scratch: Scratch, size: int = SIZE, percent: i
     nodes = scratch.keep(named.select("rep", "n", "bits").join(groups.select("rep").distinct(), "rep", "left_semi").distinct(), "jaccard-nodes")
     scratch.drop(named)
 
+    def ordered(x, y) -> list[Column]:
+        return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
+
+    how = (docs, scratch, size, percent, id_col, text_col)
+    none = nodes.select("rep", F.col("rep").alias("component")).limit(0)
+    most = groups.where("head <> rep").groupBy("rep", "head").agg(F.count("*").alias("keys")).groupBy("rep").agg(
+        F.max_by("head", F.struct("keys", -F.col("head"))).alias("head"))
+    first = scratch.keep(within_bound(most.select(*ordered("head", "rep")).distinct(), nodes, percent), "jaccard-pairs")
+    comp = settle(first, none, *how)
+
     # a hot group's neighbours are taken in parts; what that leaves apart is left to the tiles
     part = F.pmod(F.xxhash64("rep"), F.ceil(F.col("size") / GROUP_ROWS))
     order = Window.partitionBy("key", "part").orderBy("n", "rep")
     near = groups.withColumn("part", part).select("rep", "head", F.lag("rep").over(order).alias("before"))
-    first = near.select(F.explode(F.array("before", "head")).alias("x"), "rep").where("x <> rep").select(
-        F.least("x", "rep").alias("a"), F.greatest("x", "rep").alias("b")).distinct()
-    first = scratch.keep(within_bound(first, nodes, percent), "jaccard-first")
-    links = intersect(first, docs, scratch, size, percent, id_col, text_col)
-    comp = scratch.keep(components(links, scratch), "jaccard-components")
+    near = near.select(F.explode(F.array("before", "head")).alias("x"), "rep").where("x <> rep").select(*ordered("x", "rep")).distinct()
+    near = within_bound(apart(near, comp).select("a", "b"), nodes, percent)
+    comp = settle(scratch.keep(near, "jaccard-pairs"), comp, *how)
 
     members = groups.select("key", "rep", "n").join(comp, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     open_ = scratch.keep(unfinished(members), "jaccard-open")
     if open_.limit(1).count():
-        more = scratch.keep(tile_pairs(open_, nodes, scratch, percent).join(first, ["a", "b"], "left_anti"), "jaccard-rest")
-        if more.limit(1).count():
-            rest = intersect(more, docs, scratch, size, percent, id_col, text_col)
-            if rest.limit(1).count():
-                both = scratch.keep(components(links.unionByName(rest), scratch), "jaccard-components")
-                scratch.drop(comp)
-                comp = both
-            scratch.drop(rest)
-        scratch.drop(more)
-    scratch.drop(groups, nodes, first, links, open_)
+        comp = settle(scratch.keep(tile_pairs(open_, nodes, scratch, percent), "jaccard-pairs"), comp, *how)
+    scratch.drop(groups, nodes, open_)
     found = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id"))
     return (feats.select("doc_id", "n_shingles", "set_a", "set_b").join(classes, ["set_a", "set_b"], "left").join(comp, "rep", "left")
             .select("doc_id", "n_shingles", found.alias("component_id")))
