@@ -3,10 +3,10 @@
 A document is the set of its distinct word shingles, held as a sorted array of
 64-bit hashes.  Documents are linked when 100 * intersection >= percent * union.
 
-1. Common shingles: each task reports the shingles it met in several documents of
-   a chunk; the most frequent of all (at most LISTED) are put at the end of one
-   global order, all others stand before them by hash.  Any order is right; this
-   one keeps passages that many documents share out of the keys.
+1. Common shingles: each task reports the shingles it met in several different
+   texts of a chunk; the most frequent of all (at most LISTED) are put at the end
+   of one global order, all others stand before them by hash.  Any order is right;
+   this one keeps passages that many documents share out of the keys.
 2. Keys: sets of similarity ``percent`` share one of their first
    n - ceil(percent * n / 100) + 1 shingles in any common order.  Those are a
    set's keys.  Equal sets (128-bit digest) are one class, named by its least id.
@@ -55,8 +55,8 @@ from optlake.llm.common import Scratch, broadcast_if_few, map_columns, map_strea
 from optlake.llm.neardup import components
 
 SIZE, PERCENT = 5, 80
-#: Shingles of a chunk, documents of it that make a shingle common, and the most that are listed (8 bytes each).
-CHUNK, MET, LISTED = 1 << 22, 4, 1 << 18
+#: Shingles of a chunk, different texts of it that make a shingle common, and the most that are listed (8 bytes each).
+CHUNK, MET, LISTED = 1 << 22, 2, 1 << 20
 #: Members of a part of a group in which neighbours are taken.
 GROUP_ROWS = 8192
 #: Outsiders or members of a tile, and bytes of their bitmaps.
@@ -138,20 +138,22 @@ def band_of(n: Column, percent: int) -> Column:
 def common_shingles(docs: DataFrame, size: int, text_col: str) -> np.ndarray:
     """The shingles met most often, rarest first."""
     def start(rows: Iterator[tuple]) -> Iterator[tuple]:
-        of, held, total = Shingles(size), [], 0
+        of, held, total = Shingles(size), {}, 0
 
         def report():
-            found, often = np.unique(np.concatenate(held), return_counts=True)
+            found, often = np.unique(np.concatenate(list(held.values())), return_counts=True)
             some = np.flatnonzero(often >= MET)
             return zip(found[some].view(np.int64).tolist(), often[some].tolist())
 
         for (text,) in rows:
             s = of(text)
-            held.append(s)
-            total += len(s)
+            digest = xxhash.xxh3_128_digest(s.tobytes())
+            if len(s) and digest not in held:  # copies of a text count once
+                held[digest] = s
+                total += len(s)
             if total >= CHUNK:
                 yield from report()
-                held, total = [], 0
+                held, total = {}, 0
         if held:
             yield from report()
 
