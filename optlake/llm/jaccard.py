@@ -46,7 +46,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -130,6 +129,18 @@ def overlap_bound(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray)
     return (na[:, None] + nb[None, :] - differ) // 2
 
 
+def pair_bound(x: bytes, y: bytes, m: int, n: int) -> int:
+    """``overlap_bound`` of one pair, whatever its widths."""
+    a, b = int.from_bytes(x, "little"), int.from_bytes(y, "little")
+    wide, narrow = max(len(x), len(y)), min(len(x), len(y))
+    if len(x) < len(y):
+        a, b = b, a
+    while wide > narrow:
+        wide //= 2
+        a = a >> 8 * wide ^ a & (1 << 8 * wide) - 1
+    return (m + n - (a ^ b).bit_count()) // 2
+
+
 def band_of(n: Column, percent: int) -> Column:
     """Size band: sizes more than one band apart cannot reach the similarity."""
     return F.floor(F.log(n.cast("double")) / float(-np.log(percent / 100)) + 1e-9).cast("int")
@@ -221,10 +232,7 @@ def within_bound(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
         def step(a, b, na, nb, ma, mb):
             out = [], [], []
             for i in range(len(a)):
-                x, y = (np.frombuffer(m[i], np.uint64)[None, :] for m in (ma, mb))
-                width = min(x.shape[1], y.shape[1])
-                m, n = np.array([na[i]]), np.array([nb[i]])
-                bound, need = overlap_bound(fold_to(x, width), fold_to(y, width), m, n)[0, 0], needed(m, n, percent)[0]
+                bound, need = pair_bound(ma[i], mb[i], na[i], nb[i]), needed(na[i], nb[i], percent)
                 if bound >= need:
                     for column, v in zip(out, (a[i], b[i], 1000 * bound // need)):
                         column.append(v)
@@ -316,15 +324,15 @@ def unfinished(members: DataFrame) -> DataFrame:
 
 def tile_pairs(rows: DataFrame, nodes: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
     """(a, b, room): pairs of outsiders and members of other components that the bound lets through."""
-    rows = scratch.keep(rows.withColumn("band", band_of(F.col("n"), percent))
-                        .join(nodes.select("rep", "n", "bits"), ["rep", "n"]), "jaccard-tiles")
+    sized = rows.withColumn("band", band_of(F.col("n"), percent)).join(nodes.select("rep", "n", F.octet_length("bits").alias("bytes")), ["rep", "n"])
+    rows = scratch.keep(sized, "jaccard-tiles")
     outside = rows.where("component <> main")
     # columns of their own, so that both sides of the tiles can be told apart
     near = rows.select(F.explode(F.sequence(F.col("band") - 1, F.col("band") + 1)).alias("band"),
-                       *[F.col(c).alias(c) for c in ("main", "rep", "n", "component", "bits")])
+                       *[F.col(c).alias(c) for c in ("main", "rep", "n", "component", "bytes")])
 
     def parts(some: DataFrame, name: str) -> DataFrame:
-        count = F.greatest(F.ceil(F.count("*") / TILE_ROWS), F.ceil(F.sum(F.octet_length("bits")) / TILE_BYTES))
+        count = F.greatest(F.ceil(F.count("*") / TILE_ROWS), F.ceil(F.sum("bytes") / TILE_BYTES))
         return some.groupBy("main", "band").agg(count.cast("int").alias(name))
 
     cut = parts(outside, "nx").join(parts(near, "ny"), ["main", "band"])
@@ -335,34 +343,51 @@ def tile_pairs(rows: DataFrame, nodes: DataFrame, scratch: Scratch, percent: int
     def own(n):
         return F.pmod(F.xxhash64("rep"), F.col(n)).cast("int")
 
-    columns = ["rep", "n", "component", "bits"]
-    xs = outside.join(cut, ["main", "band"]).select("main", "band", own("nx").alias("bx"), spread("ny").alias("by"), *columns)
-    ys = near.join(cut, ["main", "band"]).select("main", "band", spread("nx").alias("bx"), own("ny").alias("by"), *columns)
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("room", pa.int64())])
-
-    def tile(left: pa.Table, right: pa.Table) -> pa.Table:
-        found = []
-        if left.num_rows and right.num_rows:
-            (x, nx, cx, mx), (y, ny, cy, my) = ((t["rep"].to_numpy(), t["n"].to_numpy(), t["component"].to_numpy(),
-                                                 t["bits"].to_pylist()) for t in (left, right))
-            width = min(map(len, mx + my)) // 8
-            mx, my = (np.concatenate([fold_to(np.frombuffer(m, np.uint64)[None, :], width) for m in maps]) for maps in (mx, my))
-            for a in range(0, len(y), 256):
-                near = slice(a, a + 256)
-                need = needed(nx[:, None], ny[None, near], percent)
-                bound = overlap_bound(mx, my[near], nx, ny[near])
-                good = (bound >= need) & (cx[:, None] != cy[None, near])
-                good &= 100 * np.minimum(nx[:, None], ny[None, near]) >= percent * np.maximum(nx[:, None], ny[None, near])
-                i, j = np.nonzero(good)
-                found.append(np.stack([np.minimum(x[i], y[near][j]), np.maximum(x[i], y[near][j]), 1000 * bound[i, j] // need[i, j]]))
-        rows = np.unique(np.concatenate(found, axis=1), axis=1) if found else np.zeros((3, 0), np.int64)
-        return pa.table([pa.array(r, pa.int64()) for r in rows], schema=schema)
-
-    key = ["main", "band", "bx", "by"]
-    return xs.groupBy(*key).cogroup(ys.groupBy(*key)).applyInArrow(tile, "a long, b long, room long") \
+    key, columns = ["main", "band", "bx", "by"], ["rep", "n", "component", "bits"]
+    xs = outside.join(cut, ["main", "band"]).select("main", "band", own("nx").alias("bx"), spread("ny").alias("by"), F.lit(0).alias("side"), *columns[:3])
+    ys = near.join(cut, ["main", "band"]).select("main", "band", spread("nx").alias("bx"), own("ny").alias("by"), F.lit(1).alias("side"), *columns[:3])
+    placed = scratch.keep(xs.unionByName(ys), "jaccard-places")  # bitmaps come to the rows that have a place in a tile
+    dealt = placed.join(nodes.select("rep", "n", "bits"), ["rep", "n"])
+    # most tiles are small: a task reads its tiles as one sorted stream and holds one of them at a time
+    dealt = dealt.repartition(*key).sortWithinPartitions(*key, "side")
+
+    def start(got: Iterator[tuple]) -> Iterator[tuple]:
+        now, sides = None, ([], [])
+        for main, band, bx, by, side, *row in got:
+            if (main, band, bx, by) != now:
+                yield from tile(*sides, percent)
+                now, sides = (main, band, bx, by), ([], [])
+            sides[side].append(row)
+        yield from tile(*sides, percent)
+
+    return map_stream(dealt, [*key, "side", *columns], "a long, b long, room long", start, rows=10_000) \
         .groupBy("a", "b").agg(F.max("room").alias("room"))
 
 
+def tile(left: list, right: list, percent: int) -> Iterator[tuple]:
+    """(a, b, room) of the pairs of a tile's outsiders and members (rep, n, component, bits) that the bound lets through."""
+    if not left or not right:
+        return
+    if len(left) * len(right) <= 64:
+        for x, nx, cx, mx in left:
+            for y, ny, cy, my in right:
+                if cx != cy and 100 * min(nx, ny) >= percent * max(nx, ny):
+                    need, bound = needed(nx, ny, percent), pair_bound(mx, my, nx, ny)
+                    if bound >= need:
+                        yield min(x, y), max(x, y), 1000 * bound // need
+        return
+    (x, nx, cx, mx), (y, ny, cy, my) = ([np.array(c, np.int64) if k < 3 else c for k, c in enumerate(zip(*rows))] for rows in (left, right))
+    width = min(map(len, mx + my)) // 8
+    mx, my = (np.concatenate([fold_to(np.frombuffer(m, np.uint64)[None, :], width) for m in maps]) for maps in (mx, my))
+    for a in range(0, len(y), 256):
+        near = slice(a, a + 256)
+        need, bound = needed(nx[:, None], ny[None, near], percent), overlap_bound(mx, my[near], nx, ny[near])
+        good = (bound >= need) & (cx[:, None] != cy[None, near])
+        good &= 100 * np.minimum(nx[:, None], ny[None, near]) >= percent * np.maximum(nx[:, None], ny[None, near])
+        i, j = np.nonzero(good)
+        yield from zip(np.minimum(x[i], y[near][j]).tolist(), np.maximum(x[i], y[near][j]).tolist(), (1000 * bound[i, j] // need[i, j]).tolist())
+
+
 def jaccard_join(docs: DataFrame, scratch: Scratch, size: int = SIZE, percent: int = PERCENT, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id), one row per input row."""

@@ -100,7 +100,8 @@ def test_bound_is_from_above():
             a, b = (np.frombuffer(J.bitmap(s), np.uint64)[None, :] for s in (x, y))
             width = min(a.shape[1], b.shape[1])
             m, n = np.array([len(x)]), np.array([len(y)])
-            assert J.overlap_bound(J.fold_to(a, width), J.fold_to(b, width), m, n)[0, 0] >= len(np.intersect1d(x, y))
+            bound = J.overlap_bound(J.fold_to(a, width), J.fold_to(b, width), m, n)[0, 0]
+            assert bound >= len(np.intersect1d(x, y)) and bound == J.pair_bound(J.bitmap(x), J.bitmap(y), len(x), len(y))
     alike = np.concatenate([sets[6][:-1], [np.uint64(7)]])
     far = np.unique(rng.integers(0, 2**63, 100).astype(np.uint64))
     need = J.needed(np.array([100]), np.array([100]), 80)[0]
