@@ -1,9 +1,5 @@
 """Toxicity: held-out accuracy, planted words, edges."""
 
-import math
-import random
-
-import numpy as np
 from pyspark.sql import functions as F
 
 from optlake.llm import toxicity as T
@@ -58,62 +54,3 @@ def test_one_class_only(docs, llm, scratch):
         model = T.fit(df, some, scratch)
         assert all(r.score < 1e-9 for r in T.score_toxicity(df, model).collect())
     assert T.fit(docs([]), labels, scratch).word.size == 2
-
-
-def test_kneser_ney_against_dictionaries(llm):
-    """Words' and bigrams' log-likelihood differences of both models, by plain loops over a small corpus."""
-    r = random.Random(4)
-    stems = ["vile", "vilest", "vileness", "quiet", "quietly", "house", "garden", "road", "x"]
-    texts = [(k, [r.choice(stems[:4] + stems[6:] if k else stems[2:]) for _ in range(r.randrange(1, 30))]) for k in (0, 1, 0, 1, 0, 0, 1)]
-    words = sorted({w for _, t in texts for w in t})
-    starts = sorted({T._start(w.encode()) for w in words})
-    vocab = {x: i + 2 for i, x in enumerate([*starts, *(w.encode() for w in words)])}
-    number = {w: vocab[w.encode()] for w in words}
-    pairs = {0: {}, 1: {}}
-    for k, t in texts:
-        for u, w in zip([T.BEGIN, *(number[x] for x in t)], (number[x] for x in t)):
-            pairs[k][u, w] = pairs[k].get((u, w), 0) + 1
-    rows = [(k, u, w, n) for k in pairs for (u, w), n in pairs[k].items()]
-    model = T._tables(llm.createDataFrame(rows, "toxic int, u int, w int, n long"), vocab)
-
-    every = range(len(vocab) + 2)
-    cont = {k: {w: sum(1 for _, x in pairs[k] if x == w) for w in every} for k in pairs}
-    total = {k: sum(cont[k].values()) for k in pairs}
-    stem = {number[w]: vocab[T._start(w.encode())] for w in words}
-    of_stem = {k: {s: sum(cont[k][w] for w in every if stem.get(w, w) == s) for s in every} for k in pairs}
-
-    def share(k, s):
-        return (of_stem[k][s] + T.BACKOFF * total[k] / (total[0] + total[1])) / (of_stem[0][s] + of_stem[1][s] + T.BACKOFF)
-
-    def mass(k, w):
-        return max(cont[k][w] - T.DISCOUNT, 0) + (T.BACKOFF + T.DISCOUNT) * share(k, stem.get(w, w))
-
-    def p(k, u, w):
-        after = {x: n for (v, x), n in pairs[k].items() if v == u}
-        size = sum(after.values()) + T.CONTEXT_BACKOFF
-        lower = mass(k, w) / sum(mass(k, x) for x in every)
-        return max(after.get(w, 0) - T.DISCOUNT, 0) / size + (T.DISCOUNT * len(after) + T.CONTEXT_BACKOFF) / size * lower
-
-    for w in every:
-        assert math.isclose(model.word[w], math.log(mass(1, w) / mass(0, w) * total[0] / total[1]), rel_tol=1e-9, abs_tol=1e-12)
-    seen = {(u, w) for k in pairs for u, w in pairs[k] if u > T.UNKNOWN and w > T.BEGIN and sum(pairs[c].get((u, w), 0) for c in pairs) >= 2}
-    keys = dict(zip(model.keys.tolist(), model.extra.tolist()))
-    assert set(keys) == {u * len(every) + w for u, w in seen} and seen
-    for u, w in seen:
-        got = model.word[w] + model.context[u] + keys[u * len(every) + w]
-        assert math.isclose(got, math.log(p(1, u, w) / p(0, u, w)), rel_tol=1e-9, abs_tol=1e-12)
-
-    text = [r.choice(words) for _ in range(90)]
-    ids = [number[w] for w in text]
-    diff = [model.word[w] + model.context[u] + keys.get(u * len(every) + w, 0.0) for u, w in zip([T.BEGIN, *ids], ids)]
-    alone = sorted((model.word[w] for w in ids), reverse=True)[:9]
-    want = [sum(diff) / 90, max(sum(diff[i:i + T.WINDOW]) / T.WINDOW for i in range(90 - T.WINDOW + 1)), sum(alone) / 9]
-    assert np.allclose(model.evidence([" ".join(text), "", None])[0], want) and not model.evidence(["", None]).any()
-
-
-def test_length_does_not_make_a_text_toxic(docs, llm, scratch):
-    """Evidence is normalised: a clean text repeated a thousand times keeps its verdict, and so does a toxic one."""
-    df, labels = make(docs, llm)
-    model = T.fit(df, labels, scratch)
-    clean, bad = "the quiet stone of a stoneing house", "you vilest vile scoundrel"
-    assert all((s >= 0.5) == toxic for t, toxic in ((clean, False), (bad, True)) for s in model.score([t, " ".join([t] * 1000)]))
