@@ -185,8 +185,8 @@ def q_page_files(spark, sf_dir):
     from optlake.sources.pages import read_page_files
 
     root = scratch_path(spark, "page-files")
-    landing.contract_pages(spark, sf_dir).select("page_text").write.option("maxRecordsPerFile", 1).text(root)
-    recs = page_records(parse_pages(read_page_files(spark, f"{root}/part-*")))
+    landing.land_page_files(landing.contract_pages(spark, sf_dir), root)
+    recs = page_records(parse_pages(read_page_files(spark, root)))
     return normalize_contracts(recs).select("contract", "underlying_symbol", "exp_date", "option_type", "strike", "exchange")
 
 

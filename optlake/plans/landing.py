@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from optlake.plans import fixtures as fx
 
 RECORDS_PER_PAGE_KEYS = 300
+# Folders that landed page files are spread over.
+PAGE_FOLDERS = 128
 
 
 def _ns(ts: Column) -> Column:
@@ -141,3 +143,13 @@ def linked_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.to_json(F.struct("results", next_url.alias("next_url")))
     gone = sym.startswith("PROMO") & (F.col("k") % 11 == 5)
     return linked.where(~gone).select("url", text.alias("page_text"))
+
+
+def land_page_files(pages: DataFrame, root: str) -> None:
+    """Every page as one JSON file, spread over folders by its id.
+
+    The pages are dealt out by folder first, by a fixed number: all cores write files, where the few MB of a small table
+    would come from one task, and a commit moves whole folders instead of single files."""
+    folder = F.pmod(F.xxhash64("page_id"), F.lit(PAGE_FOLDERS)).alias("folder")
+    (pages.select("page_text", folder).repartition(PAGE_FOLDERS, "folder")
+     .write.partitionBy("folder").option("maxRecordsPerFile", 1).text(root))

@@ -18,7 +18,10 @@ from pyspark.sql import functions as F
 
 
 def read_page_files(spark: SparkSession, path: str) -> DataFrame:
-    """One row per landed file: page_id (file path) and its text."""
+    """One row per landed file: page_id (file path) and its text.
+
+    ``path`` may be a folder, a folder of ``name=value`` folders, or a glob.  Folders are listed by tasks; a glob of many
+    files is expanded on the driver and each file looked up by itself."""
     return (spark.read.text(path, wholetext=True)
             .select(F.col("_metadata.file_path").alias("page_id"), F.col("value").alias("page_text")))
 

@@ -152,6 +152,22 @@ def test_page_files(spark, tmp_path):
     assert sorted(r.contract for r in normalize_contracts(recs).collect()) == ["LEFT", "RIGHT"]
 
 
+def test_page_files_are_written_by_many_tasks(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from optlake.plans.landing import land_page_files
+    from optlake.sources.pages import read_page_files
+
+    pages = spark.range(0, 400, 1, 1).select(F.col("id").cast("string").alias("page_id"), F.concat(F.lit('{"n":'), "id", F.lit("}")).alias("page_text"))
+    land_page_files(pages, str(tmp_path / "land"))
+    files = list((tmp_path / "land").glob("folder=*/part-*.txt"))
+    assert len(files) == 400 and not list((tmp_path / "land").glob("part-*"))
+    assert len({f.name.split("-")[1] for f in files}) > 40  # the tasks that wrote them
+    back = read_page_files(spark, str(tmp_path / "land"))
+    assert sorted(json.loads(r.page_text)["n"] for r in back.collect()) == list(range(400))
+    assert back.columns == ["page_id", "page_text"]
+
+
 def test_config_to_job_and_result(spark):
     from optlake.config import BackfillConfig, configs_frame
     from optlake.operators.tasks import create_jobs, job_result
