@@ -6,7 +6,9 @@ Every fold here is one grouped aggregation of mergeable aggregates
 and there is one shuffle on the key, so a key that holds a large share of the
 rows costs no more than its partial states.  Folds over structs plan as
 sort-based aggregations: each task sorts its rows by key (spilling if it must)
-before it folds them.
+before it folds them.  A fold given ``within`` (columns that are functions of the
+key) deals the rows out by those alone before it folds, so a writer that lays
+files out by them needs no second shuffle; a key's rows then meet in one task.
 
 ``seq`` orders the rows of a key (later wins).  It may be any orderable type
 (a long, or a struct such as (load id, file, position)) and must be unique
@@ -25,6 +27,7 @@ from optlake.schemas import EOD_IDENTITY_COLUMNS, EOD_KEY, EOD_QUOTE_COLUMNS
 
 _ORDER = "__order"
 _HELD = "__held"
+_HASH = "__hash"
 
 
 def union_by_name(*frames: DataFrame) -> DataFrame:
@@ -36,28 +39,38 @@ def _expand(df: DataFrame, struct_col: str, names: list[str]) -> list[Column]:
     return [F.col(f"{struct_col}.{n}").alias(n) for n in names]
 
 
-def keep_last(df: DataFrame, key: list[str] | None, seq: str = "seq", keep_seq: bool = False) -> DataFrame:
+def _by_key(rows: DataFrame, key: list[str], within: list[str]):
+    """Rows grouped by key.  With ``within`` they are dealt out by those columns first; a hash of the key then stands
+    first in the grouping, so the sort before the fold compares numbers and seldom texts."""
+    if not within:
+        return rows.groupBy(*key)
+    return rows.repartition(*within).withColumn(_HASH, F.xxhash64(*key)).groupBy(_HASH, *within, *key)
+
+
+def keep_last(df: DataFrame, key: list[str] | None, seq: str = "seq", keep_seq: bool = False, within: list[str] = ()) -> DataFrame:
     """One row per key: the row with the highest ``seq``.
 
-    Without a key, exact duplicate rows are dropped instead.
+    Without a key, exact duplicate rows are dropped instead.  With ``within`` the rows are dealt out by these columns,
+    which stay in the result.
     """
     if not key:
         return df.dropDuplicates()
+    groups, key = _by_key(df, key, within), [*within, *key]
     rest = [c for c in df.columns if c not in key and (keep_seq or c != seq)]
-    picked = df.groupBy(*key).agg(F.max_by(F.struct(*rest), F.col(seq)).alias("__row"))
+    picked = groups.agg(F.max_by(F.struct(*rest), F.col(seq)).alias("__row"))
     return picked.select(*key, *_expand(picked, "__row", rest))
 
 
-def merge_keep_last(held: DataFrame, fresh: DataFrame, key: list[str], seq: str = "seq") -> DataFrame:
+def merge_keep_last(held: DataFrame, fresh: DataFrame, key: list[str], seq: str = "seq", within: list[str] = ()) -> DataFrame:
     """Held rows then fresh rows, aligned by name, last row per key wins (U1+U2).
 
     Fresh rows beat held rows whatever their ``seq``: the merge order is
-    (side, seq), held side first.
+    (side, seq), held side first.  Rows are dealt out by ``within``, if given.
     """
     h = held.withColumn(_HELD, F.lit(0))
     f = fresh.withColumn(_HELD, F.lit(1))
     both = union_by_name(h, f).withColumn(_ORDER, F.struct(F.col(_HELD), F.col(seq)))
-    out = keep_last(both.drop(_HELD), key, seq=_ORDER)
+    out = keep_last(both.drop(_HELD), key, seq=_ORDER, within=within)
     return out.drop(seq) if seq in out.columns else out
 
 
@@ -76,6 +89,7 @@ def upsert_eod(
     quotes: list[str] = EOD_QUOTE_COLUMNS,
     stamp: str | None = "fetched_at",
     raw: str | None = "raw_json",
+    within: list[str] = (),
 ) -> DataFrame:
     """Field-wise upsert of end-of-day rows on (contract, tradetime).
 
@@ -90,6 +104,7 @@ def upsert_eod(
     provided the staged rows carry their own ``fetched_at``.
     Columns of the staged rows that the upsert does not write are filled in on
     insert (our ingest computes them); the reference insert left them NULL.
+    Rows are dealt out by ``within``, if given; these columns stay in the result.
     """
     parts = []
     if held is not None:
@@ -98,6 +113,7 @@ def upsert_eod(
     rows = union_by_name(*parts)
     if seq in rows.columns:
         rows = rows.drop(seq)
+    given, key = key, [*within, *key]
     cols = [c for c in rows.columns if c != _ORDER]
     last_cols = [c for c in quotes + ([stamp] if stamp else []) if c in cols]
     first_cols = [c for c in cols if c not in key and c not in last_cols and c != raw]
@@ -106,7 +122,7 @@ def upsert_eod(
         aggs.append(F.min_by(F.struct(*first_cols), F.col(_ORDER)).alias("__first"))
     if raw and raw in cols:
         aggs.append(F.max_by(F.col(raw), F.when(F.col(raw).isNotNull(), F.col(_ORDER))).alias(raw))
-    folded = rows.groupBy(*key).agg(*aggs)
+    folded = _by_key(rows, given, within).agg(*aggs)
     out_cols = []
     for c in cols:
         if c in key:

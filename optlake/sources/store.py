@@ -2,12 +2,13 @@
 rewrite only the partitions a fold touched.
 
 No MERGE on plain Parquet, so a merge is: write the staged rows once to the
-shared scratch folder, partitioned like the table; take the touched partitions
-from the folder names; read exactly those of the held table (literal partition
-filters); fold; overwrite exactly those partitions with dynamic partition
-overwrite, which replaces folders only when all of its tasks are done with the
-old ones; delete the scratch copy.  A failed job leaves the table as it was up to
-the final rename of each partition folder.  One writer per table at a time.
+shared scratch folder; take the touched partitions from the copy (one column is
+read); read exactly those of the held table (literal partition filters); deal
+staged and held rows out by partition and key bucket, the one shuffle of a merge;
+fold; overwrite exactly those partitions with dynamic partition overwrite, which
+replaces folders only when all of its tasks are done with the old ones; delete
+the scratch copy.  A failed job leaves the table as it was up to the final rename
+of each partition folder.  One writer per table at a time.
 
 Rows that break the table's key or NOT NULL rules never reach a fold: they are
 appended with their reasons to the table's quarantine folder.
@@ -36,6 +37,12 @@ PARTITIONING = {
 # month stay together, a month larger than the advisory partition size is
 # split over several write tasks, small months are coalesced, and there is
 # no sampling pass over the (possibly expensive) input.
+#
+# A merge's rows are dealt by the partition column and a bucket of the key
+# before the fold, and written from where they are folded: a key's rows all lie
+# in one task, a large month's in several, as many as give BUCKET_ROWS rows each.
+BUCKET_ROWS = 250_000
+_BUCKET = "__bucket"
 SORT_WITHIN = {
     "option_eod": ["underlying_symbol", "tradetime", "exp_date", "option_type", "strike"],
     "bars": ["contract", "tradetime"],
@@ -103,21 +110,21 @@ class TableStore:
         part = PARTITIONING.get(name)
         return df.withColumn(part[0], part[1](df)) if part else df
 
-    def overwrite_partitions(self, name: str, rows: DataFrame, staged_copy: bool = True) -> None:
+    def overwrite_partitions(self, name: str, rows: DataFrame, staged_copy: bool = True, dealt: bool = False) -> None:
         """Replace exactly the partitions present in ``rows`` (S5); an
         unpartitioned table is replaced whole.
 
-        With ``staged_copy`` the rows are written to a staging folder first, and the table is overwritten from that
+        ``dealt`` rows already lie together by partition and are written from there.  With ``staged_copy`` the rows are written to a staging folder first, and the table is overwritten from that
         copy: an unpartitioned table needs it where ``rows`` read the table itself.
         """
         part = PARTITIONING.get(name)
         schema = _partitioned_schema(name)
         cols = [f.name for f in schema.fields]
-        rows = self.with_partition(name, rows)
+        rows = rows if dealt else self.with_partition(name, rows)
         # columns the rows lack are written as typed NULLs; the rest are cast
         staged = rows.select(*[(F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name)
                                for f in schema.fields])
-        if part:
+        if part and not dealt:
             staged = staged.hint("rebalance", part[0])
         staged = write_order(staged, part[0] if part else cols[0], SORT_WITHIN.get(name, []))
         staging = scratch_path(self.spark, f"stage-{name}") if staged_copy else None
@@ -156,9 +163,9 @@ class TableStore:
         path = f"{self.root.rstrip('/')}/_quarantine/{name}"
         return self.spark.read.option("mergeSchema", "true").parquet(path) if list_folders(self.spark, path) else None
 
-    def _stage(self, name: str, staged: DataFrame) -> tuple[DataFrame, str, list[str]]:
-        """Write staged rows once, partitioned like the table: (good rows,
-        scratch folder, touched partition values).  Bad rows go to quarantine."""
+    def _stage(self, name: str, staged: DataFrame) -> tuple[DataFrame, str, dict[str, int]]:
+        """Write staged rows once: (good rows with their partition column,
+        scratch folder, rows by touched partition).  Bad rows go to quarantine."""
         part = PARTITIONING[name][0]
         path = scratch_path(self.spark, f"staged-{name}")
         must = [c for c in schemas.TABLE_KEYS[name] if c in staged.columns]
@@ -166,29 +173,35 @@ class TableStore:
         tagged = self.with_partition(name, staged).withColumn("__bad", reasons(must))
         ok = F.size("__bad") == 0
         tagged = tagged.withColumn(part, F.when(ok, F.col(part)))
-        tagged.write.partitionBy(part).parquet(path)
+        tagged.write.parquet(path)
         copy = self.spark.read.schema(tagged.schema).parquet(path)
-        folders = list_folders(self.spark, path)
-        values = sorted(f.split("=", 1)[1] for f in folders if f.startswith(f"{part}=") and "__HIVE_DEFAULT" not in f)
-        if any("__HIVE_DEFAULT" in f for f in folders):
+        found = dict(copy.groupBy(part).count().collect())  # one row per partition
+        if None in found:
             bad = copy.where(F.col(part).isNull()).drop(part).withColumnRenamed("__bad", "reasons")
             load = path.rstrip("/").rsplit("/", 1)[1]
             bad.write.parquet(f"{self.root.rstrip('/')}/_quarantine/{name}/load={load}")
-        return copy.where(F.col(part).isNotNull()).drop("__bad", part), path, values
+        return copy.where(F.col(part).isNotNull()).drop("__bad"), path, {str(v): n for v, n in found.items() if v is not None}
 
     def _held(self, name: str, values: list[str]) -> DataFrame:
         """Held rows of the given partitions: a literal partition filter, so no other folder is read."""
         part = PARTITIONING[name][0]
-        return self.read(name).where(F.col(part).isin(*[F.lit(v).cast("date") for v in values])).drop(part)
+        return self.read(name).where(F.col(part).isin(*[F.lit(v).cast("date") for v in values]))
 
     def _merge(self, name: str, staged: DataFrame, fold) -> DataFrame:
-        """Fold staged rows with the held rows of the partitions they touch; ``fold(held or None, staged)``."""
-        good, path, values = self._stage(name, staged)
-        if values:
+        """Fold staged rows with the held rows of the partitions they touch: ``fold(held or None, staged, within)``, where
+        ``within`` are the columns by which the fold deals its rows out."""
+        part = PARTITIONING[name][0]
+        good, path, rows = self._stage(name, staged)
+        if rows:
             # dynamic overwrite writes beside the table and moves the new folders in once all tasks are done: until
             # then the held files are read as they are, so no copy of the folded rows is needed
-            folded = fold(self._held(name, values) if self.has_partitions(name) else None, good)
-            self.overwrite_partitions(name, folded, staged_copy=False)
+            held = self._held(name, list(rows)) if self.has_partitions(name) else None
+            before = {} if held is None else dict(held.groupBy(part).count().collect())  # from the file footers
+            before = {str(v): n for v, n in before.items()}
+            most = max(n + before.get(v, 0) for v, n in rows.items())
+            bucket = F.pmod(F.xxhash64(*schemas.TABLE_KEYS[name]), F.lit(-(-most // BUCKET_ROWS)))
+            folded = fold(None if held is None else held.withColumn(_BUCKET, bucket), good.withColumn(_BUCKET, bucket), [part, _BUCKET])
+            self.overwrite_partitions(name, folded, staged_copy=False, dealt=True)
         delete_path(self.spark, path)
         return self.read(name)
 
@@ -203,14 +216,16 @@ class TableStore:
             at = F.col("tradetime").cast("timestamp")
             staged = staged.withColumn("bid_date", F.coalesce(F.col("bid_date"), at) if "bid_date" in staged.columns else at)
             staged = staged.withColumn("tradetime", F.to_date("tradetime"))
-        return self._merge("option_eod", staged, lambda held, rows: upsert_eod(held, rows, seq=seq))
+        return self._merge("option_eod", staged, lambda held, rows, within: upsert_eod(held, rows, seq=seq, within=within))
 
     def upsert_bars(self, staged: DataFrame, seq: str = "seq") -> DataFrame:
         """Bars merged by (contract, tradetime), the last row wins; held bars of the touched days stay."""
         key = schemas.TABLE_KEYS["bars"]
 
-        def fold(held, rows):
-            return keep_last(rows, key, seq) if held is None else merge_keep_last(held, rows, key, seq)
+        def fold(held, rows, within):
+            if held is None:
+                return keep_last(rows, key, seq, within=within)
+            return merge_keep_last(held, rows, key, seq, within=within)
 
         return self._merge("bars", staged, fold)
 

@@ -123,3 +123,24 @@ def test_pushdown_in_plan(spark, tmp_path):
     pushed = scan.split("PushedFilters: [")[1]
     assert "IsNotNull(contract)" in pushed and "IsNotNull(tradetime)" in pushed
     assert scan.split("ReadSchema: ")[1].startswith("struct<contract:string,tradetime:date,bid:double")
+
+
+def test_a_merge_shuffles_its_rows_once(spark, tmp_path, monkeypatch):
+    store, seen = TableStore(spark, str(tmp_path / "once")), []
+    write = store.overwrite_partitions
+    monkeypatch.setattr(store, "overwrite_partitions", lambda name, rows, **how: (seen.append((rows, how)), write(name, rows, **how))[1])
+    for load in range(2):  # the second meets held rows
+        store.upsert_eod(_staged(spark, [_row(f"C{n % 40}", dt.datetime(2026, 1 + n % 5, 9), bid=float(load), seq=n) for n in range(400)]))
+        rows_, how = seen.pop()
+        assert _plan(rows_).count("Exchange ") == 1 and how["dealt"]
+    assert {(r.contract, str(r.tradetime)[:7]) for r in store.read("option_eod").collect()} == {(f"C{n % 40}", f"2026-0{1 + n % 5}") for n in range(400)}
+    assert store.read("option_eod").count() == 40 and store.read("option_eod").where("bid = 1").count() == 40
+
+
+def test_large_months_are_dealt_to_several_buckets(spark, tmp_path, monkeypatch):
+    import optlake.sources.store as S
+
+    monkeypatch.setattr(S, "BUCKET_ROWS", 10)
+    store = TableStore(spark, str(tmp_path / "large"))
+    store.upsert_eod(_staged(spark, [_row(f"C{n}", dt.datetime(2026, 3, 9), seq=n) for n in range(300)]))
+    assert store.read("option_eod").count() == 300 and store.read("option_eod").select("contract").distinct().count() == 300
