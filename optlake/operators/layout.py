@@ -33,15 +33,31 @@ def interleave(steps: list[Column], bits: int) -> Column:
     return curve
 
 
+def step_bounds(df: DataFrame, column: str, bits: int) -> list[tuple]:
+    """(least value, step) of every step of ``scaled_ranks`` in order: 2^bits rows at most, whatever the column holds."""
+    ranks = scaled_ranks(df, column, bits).groupBy("step").agg(F.min("value").alias("value"))
+    return [(r.value, r.step) for r in ranks.orderBy("step").collect()]
+
+
+def step_of(value: Column, bounds: list[tuple], type_) -> Column:
+    """The step whose range of values holds ``value``: halving the bounds, without a join (NULLs stand at step 0)."""
+    if not bounds:
+        return F.lit(0)
+    if len(bounds) == 1:
+        return F.lit(bounds[0][1])
+    half = len(bounds) // 2
+    low, high = step_of(value, bounds[:half], type_), step_of(value, bounds[half:], type_)
+    return F.when(value >= F.lit(bounds[half][0]).cast(type_), high).otherwise(low)
+
+
 def with_curve(df: DataFrame, columns: list[str], bits: int = 8, name: str = "__curve") -> DataFrame:
     """The rows with their place on the curve over ``columns`` (NULLs stand at step 0).
 
-    Ranks come back by equi-joins on the values, broadcast by AQE where the column has few."""
-    for n, c in enumerate(columns):
-        ranks = scaled_ranks(df, c, bits).select(F.col("value").alias(f"__v{n}"), F.col("step").alias(f"__s{n}"))
-        df = df.join(ranks, F.col(c) == F.col(f"__v{n}"), "left").drop(f"__v{n}")
-    steps = [F.coalesce(f"__s{n}", F.lit(0)) for n in range(len(columns))]
-    return df.withColumn(name, interleave(steps, bits)).drop(*[f"__s{n}" for n in range(len(columns))])
+    A row's steps are found by comparing its values with the bounds of the steps, so the rows are not shuffled."""
+    steps = [step_of(F.col(c), step_bounds(df, c, bits), df.schema[c].dataType) for c in columns]
+    stepped = df.select("*", *[s.alias(f"__s{n}") for n, s in enumerate(steps)])
+    curve = interleave([F.col(f"__s{n}") for n in range(len(columns))], bits)
+    return stepped.withColumn(name, curve).drop(*[f"__s{n}" for n in range(len(columns))])
 
 
 def along_curve(curved: DataFrame, columns: list[str], files: int, within: list[str] = ()) -> DataFrame:

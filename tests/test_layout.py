@@ -104,3 +104,16 @@ def test_sketches_merge_within_their_error(spark):
             assert below <= row.share + L.SKETCH_ERROR and upto >= row.share - L.SKETCH_ERROR, (row, below, upto)
             assert row.max_ms == max(values)
     assert {r.endpoint for r in L.sketch_percentiles(merged, shares).collect()} == {"x", "y"}
+
+
+def test_curve_steps_need_no_shuffle_of_the_rows(spark):
+    from optlake.operators.layout import scaled_ranks, step_bounds, step_of, with_curve
+
+    df = spark.range(0, 900, 1, 3).select(F.concat(F.lit("O:"), (F.col("id") * 7 % 500).cast("string")).alias("c"),
+                                          F.when(F.col("id") % 9 != 0, (F.col("id") % 31) / 4).alias("x"),
+                                          F.date_add(F.lit("2026-01-01").cast("date"), (F.col("id") % 40).cast("int")).alias("d"))
+    assert "Exchange" not in with_curve(df, ["c", "x", "d"], bits=4)._jdf.queryExecution().executedPlan().toString()
+    for c in df.columns:
+        step = step_of(F.col(c), step_bounds(df, c, 4), df.schema[c].dataType)
+        exact = {r.value: r.step for r in scaled_ranks(df, c, 4).collect()} | {None: 0}
+        assert all(exact[r.v] == r.s for r in df.select(F.col(c).alias("v"), step.alias("s")).collect())
