@@ -8,7 +8,8 @@ Reading folds the deltas and the base rows they touch; base rows of other keys
 pass through as they are, without a shuffle when the deltas' keys are few
 (AQE broadcasts them from their measured size).
 
-``fold(rows, key, seq)`` merges the rows of a key in ``seq`` order.  It must be
+``fold(rows, key, seq)`` merges the rows of a key in ``seq`` order; it groups by the
+key columns it is given, which may be more than the table's.  It must be
 associative: folding folded rows gives the same as folding all.  Every batch
 has a version (a stream's batch id).  A delta counts from the moment its job
 commits (``_SUCCESS``); a version that is committed, or that the base includes,
@@ -30,6 +31,8 @@ from optlake.operators.merge import keep_last, union_by_name
 from optlake.session import delete_path, list_folders, path_exists
 
 BUCKET, VERSION = "__bucket", "__version"
+# Tasks fold parts of a bucket.
+PART, PARTS = "__part", 16
 
 
 @dataclass
@@ -60,8 +63,14 @@ class KeyedTable:
     def _bucket(self) -> Column:
         return F.pmod(F.xxhash64(*self.key), F.lit(self.buckets)).cast("int")
 
+    def _folded(self, rows: DataFrame, seq: str) -> DataFrame:
+        """Rows folded by key, with their bucket: they are dealt out once, by parts of buckets, and can be written from there."""
+        part = F.pmod(F.shiftright(F.xxhash64(*self.key), 32), F.lit(PARTS)).cast("int")
+        dealt = rows.withColumn(BUCKET, self._bucket()).withColumn(PART, part).repartition(BUCKET, PART)
+        return self.fold(dealt, [*self.key, BUCKET, PART], seq).drop(PART)
+
     def _write(self, rows: DataFrame, kind: str, version: int) -> None:
-        dealt = rows.withColumn(BUCKET, self._bucket()).hint("rebalance", BUCKET)
+        dealt = rows if BUCKET in rows.columns else rows.withColumn(BUCKET, self._bucket()).hint("rebalance", BUCKET)
         dealt.write.mode("overwrite").partitionBy(BUCKET).parquet(self._path(kind, version))
 
     def _read(self, kind: str, version: int, buckets: list[int] | None = None) -> DataFrame | None:
@@ -80,7 +89,7 @@ class KeyedTable:
         base, deltas = self.versions()
         if version in deltas or (base is not None and version <= base):
             return False
-        self._write(self.fold(rows, self.key, seq) if seq else rows, "delta", version)
+        self._write(self._folded(rows, seq) if seq else rows, "delta", version)
         if compact:
             self.compact_if_due()
         return True
@@ -157,7 +166,8 @@ class KeyedTable:
         if not deltas:
             return
         bases, old = self._committed("base"), self._committed("delta")
-        self._write(self.read(), "base", deltas[-1])
+        fresh = [d for d in (self._read("delta", v) for v in deltas) if d is not None] if base is None else []
+        self._write(self._folded(union_by_name(*fresh), VERSION) if fresh else self.read(), "base", deltas[-1])
         for v in bases:
             if v != base:
                 delete_path(self.spark, self._path("base", v))

@@ -137,3 +137,15 @@ def test_task_stream_writes_changed_tasks_only(spark, tmp_path):
     assert sizes in ([2, 100], [2]) and (sizes != [2] or held == 100)
     got = {r.task_id: r.status for r in table.read().collect()}
     assert len(got) == 100 and got[3] == got[4] == "completed" and got[5] == "running"
+
+
+def test_deltas_and_compaction_shuffle_their_rows_once(spark, tmp_path, monkeypatch):
+    table, plans = KeyedTable(spark, str(tmp_path / "once"), ["task_id"], share=1e9), []
+    write = KeyedTable._write
+    monkeypatch.setattr(KeyedTable, "_write", lambda self, rows, kind, v: (plans.append(rows._jdf.queryExecution().executedPlan().toString()), write(self, rows, kind, v))[1])
+    for v in range(2):
+        table.apply(spark.createDataFrame([(n % 30, v, n) for n in range(90)], "task_id long, load int, seq int"), v, seq="seq")
+    table.compact()
+    assert [p.count("Exchange ") for p in plans] == [1, 1, 1] and not any("rebalance" in p.lower() for p in plans)
+    assert table.versions() == (1, []) and sorted((r.task_id, r.load) for r in table.read().collect()) == [(n, 1) for n in range(30)]
+    assert table.read().columns == ["task_id", "load"]
