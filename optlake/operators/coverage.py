@@ -90,11 +90,15 @@ def numbered_calendar(days: DataFrame) -> DataFrame:
 def held_islands(held: DataFrame, key: list[str], calendar: DataFrame, date_col: str = "tradetime") -> DataFrame:
     """(key, lo, hi): runs of consecutive held trade days, as calendar places.
 
-    A held day starts an island when the day before it is not held; an island ends where the next one starts."""
+    A held day starts an island when the day before it is not held, and ends one when the day after it is not.  Only the
+    edges are kept, in the order they are sorted in: the edge after a start is the end of its island."""
     days = held.select(*key, F.to_date(F.col(date_col)).alias("day")).distinct().join(calendar, "day")
-    run = F.row_number().over(Window.partitionBy(*key).orderBy("at"))
-    return days.withColumn("__run", F.col("at") - run).groupBy(*key, "__run").agg(
-        F.min("at").alias("lo"), F.max("at").alias("hi")).drop("__run")
+    line = Window.partitionBy(*key).orderBy("at")
+    starts = F.coalesce(F.col("at") - F.lag("at").over(line) > 1, F.lit(True))
+    ends = F.coalesce(F.lead("at").over(line) - F.col("at") > 1, F.lit(True))
+    edges = days.withColumn("__starts", starts).withColumn("__ends", ends).where("__starts or __ends")
+    hi = F.when(F.col("__ends"), F.col("at")).otherwise(F.lead("at").over(line))
+    return edges.withColumn("hi", hi).where("__starts").select(*key, F.col("at").alias("lo"), "hi")
 
 
 def _places(requests: DataFrame, calendar: DataFrame, start: str, end: str, request: str) -> DataFrame:

@@ -155,3 +155,18 @@ def test_pages_are_those_of_the_cursor(spark):
         assert {r.contract for r in page} == {c for c, p in got.items() if p == n}
         after = page[-1].asDict()
     assert df.where(after_cursor("-strike", df.columns, ["contract"], after)).count() == 0
+
+
+def test_islands_are_found_without_an_aggregate_over_them(spark):
+    from optlake.operators.coverage import held_islands, numbered_calendar
+    from optlake.session import materialize
+
+    day = lambda n: dt.date(2026, 3, 1) + dt.timedelta(days=n)
+    cal = materialize(numbered_calendar(spark.createDataFrame([(day(n),) for n in range(12)], "day date")), "calendar")
+    places = {"A": [0, 1, 2, 5, 7, 8, 11], "B": [3], None: [1, 2]}
+    held = spark.createDataFrame([(k, day(n)) for k, at in places.items() for n in at + at[:1]], "contract string, tradetime date")
+    found = held_islands(held, ["contract"], cal)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    got = sorted(((r.contract or "", r.lo, r.hi) for r in found.collect()))
+    assert got == [("", 1, 2), ("A", 0, 2), ("A", 5, 5), ("A", 7, 8), ("A", 11, 11), ("B", 3, 3)]
+    assert plan.count("HashAggregate") == 2  # both halves of the distinct days
