@@ -79,6 +79,12 @@ def epoch_ns_to_ts(col: Column | str) -> Column:
     return _micros(F.floor(c.cast("decimal(38,0)") / F.lit(1000)))
 
 
+def long_ns_to_ts(col: Column) -> Column:
+    """Epoch nanoseconds in a BIGINT -> TIMESTAMP, without decimals: its whole range lies in the years 1677 to 2262."""
+    down = F.when(col % F.lit(1000) < 0, F.lit(1)).otherwise(F.lit(0))
+    return F.timestamp_micros(F.call_function("div", col, F.lit(1000)) - down)
+
+
 def epoch_ms_to_ts(col: Column | str) -> Column:
     c = F.col(col) if isinstance(col, str) else col
     return _micros(c.cast("decimal(38,0)") * F.lit(1000))

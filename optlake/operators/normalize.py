@@ -19,10 +19,12 @@ numbers); unparsable values become NULL.
 
 from __future__ import annotations
 
+from itertools import groupby
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from optlake.functions.dates import coerce_timestamp, epoch_ms_to_ts, epoch_ns_to_ts
+from optlake.functions.dates import coerce_timestamp, epoch_ms_to_ts, long_ns_to_ts
 from optlake.functions.keys import first_non_empty, row_hash
 from optlake.schemas import OPTION_EOD
 
@@ -35,7 +37,7 @@ def _v(v: Column, t: str) -> Column:
 
 def _when_ts(v: Column, numeric_unit: str = "ns") -> Column:
     """Timestamp from text (any accepted form) or from an epoch number."""
-    num = epoch_ns_to_ts(_v(v, "bigint")) if numeric_unit == "ns" else epoch_ms_to_ts(_v(v, "bigint"))
+    num = long_ns_to_ts(_v(v, "bigint")) if numeric_unit == "ns" else epoch_ms_to_ts(_v(v, "bigint"))
     return F.when(F.schema_of_variant(v).rlike(_NUMERIC), num).otherwise(coerce_timestamp(_v(v, "string")))
 
 
@@ -44,7 +46,7 @@ _CONV = {
     "string": lambda v: _v(v, "string"),
     "double": lambda v: _v(v, "double"),
     "long": lambda v: _v(v, "bigint"),
-    "ns": lambda v: epoch_ns_to_ts(_v(v, "bigint")),
+    "ns": lambda v: long_ns_to_ts(_v(v, "bigint")),
     "ms": lambda v: epoch_ms_to_ts(_v(v, "bigint")),
     "ts": lambda v: _when_ts(v, "ns"),
     "date": lambda v: F.to_date(_when_ts(v, "ns")),
@@ -53,16 +55,21 @@ _TYPES = {"boolean": "boolean", "string": "string", "double": "double", "ns": "t
           "date": "date", "long": "bigint"}
 
 
+_REC, _VALUES = "__m_rec", "__m_values"
+
+
 def _obj(name: str) -> Column:
     return F.col(f"__m_{name}")
 
 
 class Keys:
-    """Keys read from each (sub-)object, collected while column expressions
-    are built, so each object is cast once to a struct of just those keys."""
+    """Keys read from each (sub-)object and values settled from them, collected
+    while column expressions are built: each object is cast once to a struct of
+    just those keys, each value is settled once before it is converted."""
 
     def __init__(self) -> None:
         self.used: dict[str, list[str]] = {}
+        self.settled: list[tuple[Column, Column]] = []
 
     def field(self, obj: str, key: str) -> Column:
         keys = self.used.setdefault(obj, [])
@@ -74,37 +81,72 @@ class Keys:
         self.used.setdefault(obj, [])
         return _obj(obj)
 
+    def settle(self, value: Column, legacy: Column | None = None) -> Column:
+        """A value, another one in legacy records."""
+        name = f"v{len(self.settled)}"
+        self.settled.append((value.alias(name), value.alias(name) if legacy is None else legacy.alias(name)))
+        return F.col(_VALUES).getField(name)
+
+
+def _ddl(fields: list[str]) -> str:
+    return "struct<" + ",".join(fields or ["`__none`:variant"]) + ">"
+
+
+def _member(key: str, t: str) -> str:
+    return f"`{key.replace('`', '``')}`:{t}"
+
 
 def with_objects(records: DataFrame, record: str, objects: dict[str, str], keys: Keys) -> DataFrame:
-    """Add each (sub-)object the columns read, cast once to a struct of
-    variants holding only the keys read.
+    """Add the (sub-)objects the columns read, the record cast once to a struct
+    of variants holding only the keys read, and the values settled from them.
 
     A JSON null member stays a (non-SQL-NULL) variant null in the struct and
     an absent key is SQL NULL, so presence is a field test; a member that is
     not an object gives a NULL struct.  Later column picks read struct fields
     instead of walking the record again for every path.
     """
-    rec = F.col(record)
-    cols = []
-    for name, path in objects.items():
-        if name not in keys.used:
-            continue
-        fields = keys.used[name] or ["__none"]
-        ddl = "struct<" + ",".join(f"`{k.replace('`', '``')}`:variant" for k in fields) + ">"
-        cols.append(F.try_variant_get(rec, path, ddl).alias(f"__m_{name}"))
-    return records.select("*", *cols)
+    own = keys.used.get("rec", [])
+    subs = {name: path[2:] for name, path in objects.items() if name != "rec" and name in keys.used}
+    members = {name: _ddl([_member(k, "variant") for k in keys.used[name]]) for name in subs}
+    # a member that is read as a value as well is cast apart: a struct has each name once
+    inner = [name for name, key in subs.items() if key not in own]
+    whole = _ddl([_member(k, "variant") for k in own] + [_member(subs[name], members[name]) for name in inner])
+    staged = records.select("*", F.try_variant_get(F.col(record), "$", whole).alias(_REC))
+    cols = [F.col(_REC).getField(subs[name]) if name in inner else F.try_variant_get(F.col(record), objects[name], members[name])
+            for name in subs]
+    staged = staged.select("*", *[c.alias(f"__m_{name}") for name, c in zip(subs, cols)])
+    if not keys.settled:
+        return staged
+    values, old = (F.struct(*side) for side in zip(*keys.settled))
+    if "attributes" in subs:
+        # one column of another stage, read by every conversion: a generated method each for casting, settling and converting
+        values = F.when(_obj("attributes").isNotNull(), old).otherwise(values)
+    return staged.select("*", values.alias(_VALUES))
 
 
 def drop_objects(df: DataFrame) -> DataFrame:
     return df.drop(*[c for c in df.columns if c.startswith("__m_")])
 
 
-def pick(keys: Keys, candidates: list[tuple[str, str, str]], out_type: str) -> Column:
-    """First present candidate wins; ``candidates`` = [(object, key, converter)]."""
-    expr: Column = F.lit(None).cast(out_type)
-    for obj, key, conv in reversed(candidates):
-        v = keys.field(obj, key)
-        expr = F.when(v.isNotNull(), _CONV[conv](v).cast(out_type)).otherwise(expr)
+def pick(keys: Keys, candidates: list[tuple[str, str, str]], out_type: str, legacy: tuple[str, str, str] | None = None) -> Column:
+    """First present candidate wins; ``candidates`` = [(object, key, converter)].
+
+    Neighbours of one converter are settled first and converted once: a
+    conversion for each makes the generated method longer than the JVM
+    compiles, and every record then runs through its interpreter.  Legacy
+    records take the candidate ``legacy`` only, if given; its converter is
+    that of the last candidate."""
+    runs = [list(run) for _, run in groupby(candidates, key=lambda c: c[2])]
+    if legacy is not None and legacy[2] != candidates[-1][2]:
+        raise ValueError(f"{legacy} needs the converter of {candidates[-1]}")
+    expr = None
+    for run in reversed(runs):
+        old = None
+        if legacy is not None:
+            old = keys.field(*legacy[:2]) if expr is None else F.lit(None).cast("variant")
+        v = keys.settle(F.coalesce(*[keys.field(obj, key) for obj, key, _ in run]), old)
+        value = _CONV[run[0][2]](v).cast(out_type)
+        expr = value if expr is None else F.when(v.isNotNull(), value).otherwise(expr)
     return expr
 
 
@@ -160,11 +202,11 @@ BAR_FIELDS = {"open": "o", "high": "h", "low": "l", "last": "c", "volume": "v",
 
 
 def _is_legacy(keys: Keys) -> Column:
-    return keys.object("attributes").isNotNull()
+    keys.object("attributes")
+    return keys.settle(F.lit(False), F.lit(True))
 
 
-def _legacy_ids(keys: Keys) -> list[Column]:
-    legacy = _is_legacy(keys)
+def _legacy_ids(keys: Keys, legacy: Column) -> list[Column]:
     return [F.when(legacy, pick(keys, [("rec", "id", "string")], "string")).alias("response_id"),
             F.when(legacy, pick(keys, [("rec", "type", "string")], "string")).alias("response_type")]
 
@@ -174,6 +216,13 @@ def _legacy_option_type(keys: Keys) -> Column:
                            pick(keys, [("attributes", "type", "string")], "string"))
 
 
+def _either(keys: Keys, legacy: Column, name: str, candidates: list[tuple[str, str, str]], kind: str, out_type: str) -> Column:
+    """The column from ``attributes`` in legacy records, else from its candidates."""
+    if name == "option_type":
+        return F.when(legacy, _legacy_option_type(keys)).otherwise(pick(keys, candidates, out_type))
+    return pick(keys, candidates, out_type, ("attributes", name, kind))
+
+
 def normalize_eod(records: DataFrame, record: str = "record", keep: list[str] = (),
                   columns: list[str] | None = None) -> DataFrame:
     """N2 (+N4 legacy, N7 dates, N9 event date): chain snapshot rows.
@@ -193,10 +242,8 @@ def normalize_eod(records: DataFrame, record: str = "record", keep: list[str] =
         cands = [("greeks", name, kind), ("details", name, kind), ("rec", name, kind)]
         if name in EOD_NAMED_SOURCES:
             cands = [EOD_NAMED_SOURCES[name]] + cands
-        modern = pick(keys, cands, out_type)
-        old = _legacy_option_type(keys) if name == "option_type" else pick(keys, [("attributes", name, kind)], out_type)
-        cols.append(F.when(legacy, old).otherwise(modern).alias(name))
-    ids = _legacy_ids(keys)
+        cols.append(_either(keys, legacy, name, cands, kind, out_type).alias(name))
+    ids = _legacy_ids(keys, legacy)
     extra = [F.to_json(rec).alias("raw_json")] if columns is None or "raw_json" in columns else []
     staged = with_objects(records, record, EOD_OBJECTS, keys)
     out = staged.select(*keep, *ids, *cols, *extra)
@@ -216,10 +263,8 @@ def normalize_contracts(records: DataFrame, record: str = "record", keep: list[s
         cands = [("rec", name, kind)]
         if name in CONTRACT_ALIASES:
             cands.append(("rec", CONTRACT_ALIASES[name], kind))
-        modern = pick(keys, cands, out_type)
-        old = _legacy_option_type(keys) if name == "option_type" else pick(keys, [("attributes", name, kind)], out_type)
-        cols.append(F.when(legacy, old).otherwise(modern).alias(name))
-    ids = _legacy_ids(keys)
+        cols.append(_either(keys, legacy, name, cands, kind, out_type).alias(name))
+    ids = _legacy_ids(keys, legacy)
     staged = with_objects(records, record, {"rec": "$", "attributes": "$.attributes"}, keys)
     return staged.select(*keep, *ids, *cols, F.to_json(rec).alias("raw_json"))
 
@@ -265,7 +310,7 @@ def normalize_generic(records: DataFrame, record: str = "record", keep: list[str
     rec = F.col(record)
     keys = Keys()
     is_obj = keys.object("rec").isNotNull()
-    ids = _legacy_ids(keys)
+    ids = _legacy_ids(keys, _is_legacy(keys))
     staged = with_objects(records, record, {"rec": "$", "attributes": "$.attributes"}, keys)
     return staged.select(
         *keep, *ids,

@@ -23,7 +23,7 @@ def _ns(ts: Column) -> Column:
     return F.unix_micros(ts.cast("timestamp")) * F.lit(1000)
 
 
-def _assemble(rows: DataFrame, page_id: Column, shape: Column, sort_key: Column, modern: Column,
+def _assemble(rows: DataFrame, page_id: Column, shape: Column, sort_key: list[Column], modern: Column,
               legacy: Column | None = None, page_ticker: Column | None = None) -> DataFrame:
     """Pages as JSON text.  shape 0: ``results`` list of modern records,
     1: a single modern record as ``results``, 2: legacy ``data`` list.
@@ -31,9 +31,12 @@ def _assemble(rows: DataFrame, page_id: Column, shape: Column, sort_key: Column,
     Records stay structs until the page is serialised once with ``to_json``
     (NULL members are left out, as the vendor omits them).  Single-record
     pages hold one record by construction, so they are built row by row;
-    only list pages go through a grouping, sorted by ``sort_key``."""
+    only list pages go through a grouping, sorted by ``sort_key``: its columns
+    stand beside the record, since a struct of them would get a new ordering
+    object in every comparison."""
     ticker = page_ticker if page_ticker is not None else F.lit(None).cast("string")
-    tagged = rows.select(page_id.alias("page_id"), shape.alias("shape"), sort_key.alias("k"),
+    order = [f"k{n}" for n in range(len(sort_key))]
+    tagged = rows.select(page_id.alias("page_id"), shape.alias("shape"), *[k.alias(n) for k, n in zip(sort_key, order)],
                          modern.alias("m"), (legacy if legacy is not None else F.lit(None)).alias("l"),
                          ticker.alias("ticker"))
     single = tagged.where(F.col("shape") == 1).select(
@@ -43,9 +46,9 @@ def _assemble(rows: DataFrame, page_id: Column, shape: Column, sort_key: Column,
         if col == "l" and legacy is None:
             continue
         g = tagged.where(F.col("shape") == shp).groupBy("page_id", "shape", "ticker").agg(
-            F.sort_array(F.collect_list(F.struct("k", col))).alias("recs"))
+            F.sort_array(F.collect_list(F.struct(*order, col))).alias("recs"))
         parts.append(g.select("page_id", "shape", F.to_json(F.struct(
-            F.transform("recs", lambda r: r[col]).alias(member), "ticker")).alias("page_text")))
+            F.col("recs").getField(col).alias(member), "ticker")).alias("page_text")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -69,7 +72,7 @@ def contract_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("contract").alias("id"), F.lit("options-contracts").alias("type"),
         F.struct("contract", "underlying_symbol", F.col("exp_date").cast("string").alias("exp_date"),
                  F.col("option_type").alias("type"), "strike", "exchange").alias("attributes"))
-    return _assemble(rows, _page_id("c", shape, F.col("p_partkey"), RECORDS_PER_PAGE_KEYS), shape, F.col("p_partkey"),
+    return _assemble(rows, _page_id("c", shape, F.col("p_partkey"), RECORDS_PER_PAGE_KEYS), shape, [F.col("p_partkey")],
                      modern, legacy)
 
 
@@ -97,7 +100,7 @@ def chain_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.col("fetched_at").cast("string").alias("bid_date")).alias("attributes"))
     # one row = (contract, trade month, seq): unique, unlike the line id alone
     row_key = F.concat_ws("|", "contract", F.col("tradetime").cast("string"), F.col("seq").cast("string"))
-    return _assemble(rows, _page_id("e", shape, F.col("src_id"), 1600, row_key), shape, F.struct("src_id", row_key),
+    return _assemble(rows, _page_id("e", shape, F.col("src_id"), 1600, row_key), shape, [F.col("src_id"), row_key],
                      modern, legacy)
 
 
@@ -110,7 +113,7 @@ def bar_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("size").alias("v"), F.col("price").alias("vw"),
         F.unix_millis(F.col("t").cast("timestamp")).alias("t"))
     page_id = F.concat_ws("-", F.lit("b"), F.col("contract"), F.floor(F.col("event_id") / 500).cast("string"))
-    return _assemble(t, page_id, F.lit(0), F.col("event_id"), rec, page_ticker=F.col("contract"))
+    return _assemble(t, page_id, F.lit(0), [F.col("event_id")], rec, page_ticker=F.col("contract"))
 
 
 def symbol_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,7 +125,7 @@ def symbol_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     shape = F.when(obj, F.lit(0)).otherwise(F.lit(2))
     page_id = F.concat(F.lit("s"), shape.cast("string"), F.lit("-"), F.floor(F.col("p_partkey") / 200).cast("string"))
     # legacy pages list bare symbol strings
-    return _assemble(p, page_id, shape, F.col("p_partkey"), modern, legacy=F.col("p_brand"))
+    return _assemble(p, page_id, shape, [F.col("p_partkey")], modern, legacy=F.col("p_brand"))
 
 
 def linked_pages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -37,25 +37,25 @@ def page_records(pages: DataFrame, payload: str = "payload") -> DataFrame:
     Output: page columns, ``pos`` (0-based position in the page), ``kind``
     ('results', 'result', 'data'), ``record`` (VARIANT), ``page_ticker``.
 
-    The envelope members are taken from the payload once per page, and the
+    The envelope members are taken from the payload once per page, straight to
+    lists (a cast to VARIANT writes the whole member anew), and the
     explode is an outer one followed by a filter on its output: an inner
     explode would add a ``size(records) > 0`` filter that the optimizer
     pushes below the parse, parsing every page again.
     """
     p = F.col(payload)
     keep = [c for c in pages.columns if c != payload]
+    one = F.try_variant_get(p, "$.results", "struct<`__none`:variant>")  # any object, its members left alone
     env = pages.select(*keep,
-                       F.variant_get(p, "$.results", "variant").alias("__res"),
-                       F.variant_get(p, "$.data", "variant").alias("__data"),
+                       F.try_variant_get(p, "$.results", "array<variant>").alias("__res_list"),
+                       F.when(one.isNotNull(), F.array(F.variant_get(p, "$.results", "variant"))).alias("__res_one"),
+                       F.try_variant_get(p, "$.data", "array<variant>").alias("__data_list"),
                        F.try_variant_get(p, "$.ticker", "string").alias("page_ticker"))
-    res, data = F.col("__res"), F.col("__data")
-    res_list = F.try_variant_get(res, "$", "array<variant>")
-    data_list = F.try_variant_get(data, "$", "array<variant>")
-    res_obj = F.try_variant_get(res, "$", "map<string,variant>").isNotNull()
+    res_list, res_one, data_list = F.col("__res_list"), F.col("__res_one"), F.col("__data_list")
     staged = env.select(
         *keep, "page_ticker",
         F.when(res_list.isNotNull(), F.struct(F.lit("results").alias("kind"), res_list.alias("recs")))
-        .when(res_obj, F.struct(F.lit("result").alias("kind"), F.array(res).alias("recs")))
+        .when(res_one.isNotNull(), F.struct(F.lit("result").alias("kind"), res_one.alias("recs")))
         .when(data_list.isNotNull(), F.struct(F.lit("data").alias("kind"), data_list.alias("recs")))
         .alias("__env"))
     out = staged.select(*keep, F.col("__env.kind").alias("kind"), "page_ticker",
