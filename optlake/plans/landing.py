@@ -9,10 +9,14 @@ order inside a page is fixed by a sort key, so positions are reproducible.
 
 from __future__ import annotations
 
+import os
+import shutil
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from optlake.plans import fixtures as fx
+from optlake.session import local_path
 
 RECORDS_PER_PAGE_KEYS = 300
 # Folders that landed page files are spread over.
@@ -154,5 +158,43 @@ def land_page_files(pages: DataFrame, root: str) -> None:
     The pages are dealt out by folder first, by a fixed number: all cores write files, where the few MB of a small table
     would come from one task, and a commit moves whole folders instead of single files."""
     folder = F.pmod(F.xxhash64("page_id"), F.lit(PAGE_FOLDERS)).alias("folder")
-    (pages.select("page_text", folder).repartition(PAGE_FOLDERS, "folder")
-     .write.partitionBy("folder").option("maxRecordsPerFile", 1).text(root))
+    dealt = pages.select("page_text", folder).repartition(PAGE_FOLDERS, "folder")
+    where = local_path(pages.sparkSession, root)
+    if where is None:
+        dealt.write.partitionBy("folder").option("maxRecordsPerFile", 1).text(root)
+    else:
+        _write_local(dealt, where)
+
+
+def _write_local(dealt: DataFrame, root: str) -> None:
+    """The text writer's files, one a row, by Python's file functions.
+
+    Hadoop's local file system starts two ``chmod`` processes a file (without its native library) and adds a checksum
+    file.  A task writes to a hidden folder of its attempt; the driver moves the folders of those attempts that Spark
+    counts, so each row is there once whatever is retried."""
+    os.makedirs(root)
+    staged = f"{root}/_temporary"
+
+    def write(batches):
+        import os
+        import uuid
+
+        import pyarrow as pa
+        from pyspark import TaskContext
+
+        attempt, task, made, n = uuid.uuid4().hex, TaskContext.get().partitionId(), {}, 0
+        for batch in batches:
+            for text, folder in zip(batch.column(0), batch.column(1).to_pylist()):
+                if folder not in made:
+                    made[folder] = f"{attempt}/folder={folder}"
+                    os.makedirs(f"{staged}/{made[folder]}")
+                with open(f"{staged}/{made[folder]}/part-{task:05d}-{attempt}-c{n:06d}.txt", "xb") as f:
+                    f.write((text.as_py() or b"") + b"\n")
+                n += 1
+        yield pa.RecordBatch.from_arrays([pa.array(list(made.values()), pa.string())], names=["folder"])
+
+    try:
+        for r in dealt.select(F.col("page_text").cast("binary"), "folder").mapInArrow(write, "folder string").collect():
+            os.rename(f"{staged}/{r.folder}", f"{root}/{r.folder.split('/')[1]}")
+    finally:
+        shutil.rmtree(staged, ignore_errors=True)

@@ -4,6 +4,9 @@ summaries and edge pages."""
 
 import datetime as dt
 import json
+import os
+
+import pytest
 
 from optlake.operators.filters import FilterSet, apply_filter_set
 from optlake.operators.merge import upsert_eod
@@ -168,6 +171,95 @@ def test_page_files_are_written_by_many_tasks(spark, tmp_path):
     assert back.columns == ["page_id", "page_text"]
 
 
+def _texts(spark, path):
+    from pyspark.sql import functions as F
+
+    from optlake.sources.pages import read_page_files
+
+    plain = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path"), F.hex("value"))
+    got = read_page_files(spark, path).select("page_id", F.hex("page_text"))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, plain.collect()))
+    return got.count()
+
+
+def test_page_files_cost_no_more_than_a_file(spark, tmp_path):
+    """No checksum files (and no chmod processes) when landed, no list of all files on the driver when read."""
+    from pyspark.sql import functions as F
+
+    from optlake.plans.landing import land_page_files
+    from optlake.sources.pages import read_page_files
+
+    pages = spark.range(0, 300, 1, 3).select((F.col("id") % 90).cast("string").alias("page_id"), F.when(F.col("id") != 7, F.concat(F.lit("p\u00e9"), "id")).alias("page_text"))
+    root = tmp_path / "land"
+    land_page_files(pages, f"file://{root}")
+    files = [p for p in root.rglob("*") if p.is_file()]
+    assert not [p for p in files if p.suffix == ".crc"]
+    assert sorted(p.read_text() for p in files) == sorted("\n" if i == 7 else f"p\u00e9{i}\n" for i in range(300))
+    assert all(p.parent.parent == root and p.name.startswith("part-") for p in files) and not (root / "_temporary").exists()
+    back = read_page_files(spark, str(root))
+    assert len(back.inputFiles()) < 100
+    assert _texts(spark, f"file://{root}/") == back.count() == 300
+    (root / "folder=0").mkdir(exist_ok=True)
+    (root / "folder=0" / "late.txt").write_text("landed after the files were listed")
+    assert back.count() == 300 and _texts(spark, str(root)) == 301
+
+
+def test_landed_pages_of_a_lost_attempt_are_left_out(spark, tmp_path, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from optlake.plans import landing
+
+    moved, rename = [], os.rename
+
+    def stray(at, to):  # an attempt that Spark does not count left files, too
+        lost = os.path.join(os.path.dirname(os.path.dirname(at)), "lost", os.path.basename(at))
+        os.makedirs(lost)
+        with open(f"{lost}/part-00000-lost.txt", "w") as f:
+            f.write("twice")
+        moved.append(rename(at, to))
+
+    monkeypatch.setattr(landing.os, "rename", stray)
+    pages = spark.range(40).select(F.col("id").cast("string").alias("page_id"), F.col("id").cast("string").alias("page_text"))
+    landing.land_page_files(pages, str(tmp_path / "land"))
+    found = sorted(int(p.read_text()) for p in (tmp_path / "land").rglob("*") if p.is_file())
+    assert moved and found == list(range(40))
+
+
+def test_odd_folders_of_page_files(spark, tmp_path):
+    """The rows of Spark's reader, whatever the folder holds."""
+    import gzip
+
+    from optlake.sources.pages import read_page_files
+
+    def land(name, **files):
+        for at, text in files.items():
+            to = tmp_path / name / at.replace("__", "/")
+            to.parent.mkdir(parents=True, exist_ok=True)
+            to.write_bytes(text)
+        return str(tmp_path / name)
+
+    (tmp_path / "none").mkdir()
+    assert _texts(spark, str(tmp_path / "none")) == 0
+    flat = land("flat", **{"a.json": b"A\xff\r\n\x00", "b.json": b"", "_b.json": b"h", ".c.json": b"h", "x=1.json": b"X", "_temporary__d.json": b"t"})
+    assert _texts(spark, flat) == _texts(spark, f"file:{flat}") == _texts(spark, f"{flat}//") == 2
+    assert _texts(spark, land("days", **{"day=1__a": b"1", "day=x.2__a": b"2", "_SUCCESS": b"", "day=3___x": b"h"})) == 2
+    assert _texts(spark, land("loose", **{"day=1__a": b"1", "top": b"not read"})) == 1
+    assert _texts(spark, land("deep", **{"day=1__a": b"1", "day=1__hour=2__b": b"2"}) + "/day=1/hour=2") == 1
+    assert _texts(spark, land("two", **{"day=1__hour=2__b": b"2", "day=1__hour=3__b": b"3"})) == 2
+    assert _texts(spark, land("sub", **{"a": b"1", "more__b": b"not read"})) == 1
+    assert _texts(spark, land("packed", **{"a.json.gz": gzip.compress(b"packed"), "b": b"1"})) == 2
+    assert _texts(spark, land("names", **{"a b%41.json": b"1", "c": b"2", "_k=1": b"3", "d._COPYING_": b"4"})) == 3
+    assert _texts(spark, land("a space", **{"c": b"2"})) == 1
+    spark.range(3).selectExpr("string(id)").coalesce(1).write.text(str(tmp_path / "summed"))
+    part, = (tmp_path / "summed").glob("part-*")
+    assert _texts(spark, str(tmp_path / "summed")) == 1
+    part.write_bytes(b"9\n8\n7\n")  # its checksum file tells
+    with pytest.raises(Exception):
+        read_page_files(spark, str(tmp_path / "summed")).collect()
+    with pytest.raises(Exception):
+        read_page_files(spark, str(tmp_path / "missing"))
+
+
 def test_config_to_job_and_result(spark):
     from optlake.config import BackfillConfig, configs_frame
     from optlake.operators.tasks import create_jobs, job_result
